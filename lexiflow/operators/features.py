@@ -65,7 +65,10 @@ def vocabulary(df: DataFrame, tokens_col: str, size: int = 1000, term_col: str =
     Planned as explode -> partial/final hash aggregate -> TakeOrderedAndProject,
     so only ``size`` rows per task reach the final merge.
     """
-    counts = (df.select(F.explode(F.col(tokens_col)).alias(term_col))
+    # explode_outer: plain explode makes the optimizer add a ``size(tokens) > 0``
+    # filter, which evaluates the whole clean/tokenize chain a second time.
+    counts = (df.select(F.explode_outer(F.col(tokens_col)).alias(term_col))
+                .filter(F.col(term_col).isNotNull())
                 .groupBy(term_col).agg(F.count(F.lit(1)).alias("count")))
     top = counts.orderBy(F.col("count").desc(), F.col(term_col).asc()).limit(size)
     return top

@@ -29,6 +29,7 @@ from ..operators.lemma import lemmatize
 from ..operators.models import fit_timed, make_classifier, materialize, predict
 from ..session import work_path
 from ..sources.parquet import read_feature_set, write_feature_set
+from ..sources.tables import read_table
 from ..sources.text import parse_labeled_lines
 from . import experiments as X
 from . import tuning as T
@@ -39,8 +40,12 @@ from .splits import TEST, TRAIN, VAL, assign_split, is_split
 DIGITS = 6
 
 
+# Key of each table, used to spread a table that arrives in too few partitions.
+KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "labels": "doc_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return read_table(spark, os.path.join(sf_dir, f"{name}.parquet"), KEYS.get(name))
 
 
 def r6(c) -> F.Column:
@@ -455,7 +460,7 @@ def _cv(app_id, sf_dir):
     train = materialize(T.assign_folds(scored.filter(is_split(TRAIN)), 3, "doc_id", "fold"))
     est = make_classifier("svm", "featuresIDF", "label", "weight", parallelism=4)
     grid = T.param_grid(est.getClassifier())
-    cvm = T.cross_validate(est, grid, train, "fold", parallelism=3)
+    cvm = T.cross_validate(est, grid, train, "fold", parallelism=len(grid))
     scores = T.cv_scores(spark, cvm, grid).collect()
     best = T.best_model_scores(cvm, {VAL: scored.filter(is_split(VAL)), TEST: scored.filter(is_split(TEST))})
     train.unpersist()

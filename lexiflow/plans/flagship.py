@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from ..operators.metrics import per_class_metrics
 from ..operators.models import make_classifier, predict
+from ..sources.tables import read_table
 from .pipelines import fit_feature_sets
 from .prepare import documents_as_labeled, prepare
 from .splits import TRAIN, VAL, assign_split, is_split
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = assign_split(documents_as_labeled(spark.read.parquet(os.path.join(sf_dir, "documents.parquet"))))
+    docs = assign_split(documents_as_labeled(read_table(spark, os.path.join(sf_dir, "documents.parquet"), "doc_id")))
     prep = prepare(docs)
     (g3,) = fit_feature_sets(prep.frame, ("G3",)).values()
     feats = g3.transform(prep.frame).select("doc_id", "split", "label", "weight", "featuresIDF")
