@@ -26,7 +26,7 @@ from ..operators import profile as P
 from ..operators.features import (chi2_statistics, idf_table, stop_words_remover, tokenizer,
                                   vector_to_long, vocabulary)
 from ..operators.lemma import lemmatize
-from ..operators.models import fit_timed, make_classifier, materialize, predict
+from ..operators.models import fit_timed, make_classifier, materialize, predict, release
 from ..session import work_path
 from ..sources.parquet import read_feature_set, write_feature_set
 from ..sources.tables import read_table
@@ -77,7 +77,7 @@ class _State:
         self.spark = spark
         self.sf_dir = sf_dir
         self.docs = labeled_docs(spark, sf_dir)
-        self.prepared = prepare(self.docs)
+        self.prepared = prepare(self.docs, persist=True)
         self._models = {}
 
     def models(self, *names):
@@ -463,7 +463,7 @@ def _cv(app_id, sf_dir):
     cvm = T.cross_validate(est, grid, train, "fold", parallelism=len(grid))
     scores = T.cv_scores(spark, cvm, grid).collect()
     best = T.best_model_scores(cvm, {VAL: scored.filter(is_split(VAL)), TEST: scored.filter(is_split(TEST))})
-    train.unpersist()
+    release(train)
     return scores, best
 
 

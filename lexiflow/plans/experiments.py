@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.metrics import evaluate
-from ..operators.models import fit_timed, make_classifier, materialize, predict
+from ..operators.models import fit_timed, make_classifier, materialize, predict, release
 from ..sources.results import results_frame
 from .pipelines import FEATURE_SET_NAMES, FEATURES_COL, num_features_of
 from .splits import TRAIN, VAL, is_split
@@ -53,8 +53,8 @@ def run_experiments(spark: SparkSession, frame: DataFrame, feature_models: dict[
                          round(m["recall"], digits), round(m["f1Score"], digits), f"df{run}"))
             if log is not None:
                 log.append({"feature_set": fs, "classifier": clf, "fit_seconds": secs, **m})
-        train.unpersist()
-        held.unpersist()
+        release(train)
+        release(held)
     return results_frame(spark, rows)
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,13 +34,21 @@ class Prepared:
 def prepare(docs: DataFrame, text_col: str = "text", label_name_col: str = "emotion",
             split_col: str = "split", lemmas: DataFrame | None = None,
             key_cols: list[str] | None = None, weight_scheme: str = "share",
-            handle_invalid: str = "error", clean_col: str = "text_c") -> Prepared:
-    """Add ``label`` (int), ``text_c`` (cleaned, lemmatized) and ``weight``."""
+            handle_invalid: str = "error", clean_col: str = "text_c",
+            persist: bool = False) -> Prepared:
+    """Add ``label`` (int), ``text_c`` (cleaned, lemmatized) and ``weight``.
+
+    ``persist=True`` keeps the indexed, cleaned frame (MEMORY_AND_DISK) for the
+    several passes that fitting feature sets makes over it; its lineage is a
+    scan plus expressions, so lost blocks are cheap to recompute.
+    """
     train = docs.filter(is_split(TRAIN, split_col))
     indexer = fit_label_index(train, label_name_col, "label", handle_invalid)
     frame = index_labels(indexer, docs).withColumn(clean_col, clean_text(text_col))
     if lemmas is not None:
         frame = lemmatize(frame, lemmas, clean_col, key_cols=key_cols)
+    if persist:
+        frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
     wt = class_weights(frame.filter(is_split(TRAIN, split_col)).select("label"), "label", weight_scheme)
     weights = {int(r["label"]): float(r["weight"]) for r in wt.collect()}
     frame = apply_class_weight(frame, weights, "label", "weight")
