@@ -443,6 +443,24 @@ def q_nb_model(spark, sf_dir):
     return df.select("label", "feature", r6("log_prob").alias("log_prob"))
 
 
+def q_stream_nb_predict(spark, sf_dir):
+    """Held-out documents scored by a Structured Streaming query with the fitted
+    G3 features and Naive Bayes; must equal the batch ``nb_predict``."""
+    from ..streaming.scoring import read_scores, start_scoring
+    st = state(spark, sf_dir)
+    (g3,) = st.models("G3")
+    model, _ = _fit_predict(spark, sf_dir, "nb")
+    src = os.path.join(sf_dir, "documents.parquet")
+
+    def held_out(stream):
+        return assign_split(stream, "doc_id").filter(~is_split(TRAIN))
+
+    query, sink = start_scoring(spark, src, spark.read.parquet(src).schema, g3, model,
+                                ["doc_id", "split"], before=held_out)
+    query.awaitTermination()
+    return read_scores(spark, sink).select("doc_id", "split", "prediction")
+
+
 # ---------------------------------------------------------------- tuning and experiments
 
 def q_cv_folds(spark, sf_dir):
@@ -577,6 +595,7 @@ QUERIES = {
     "svm_predict": q_svm_predict,
     "logreg_predict": q_logreg_predict,
     "mlp_predict": q_mlp_predict,
+    "stream_nb_predict": q_stream_nb_predict,
     "cv_folds": q_cv_folds,
     "cv_grid_svm": q_cv_grid_svm,
     "cv_best_scores": q_cv_best_scores,

@@ -340,6 +340,9 @@ best AS (
 SELECT doc_id, split, CAST(label AS DOUBLE) AS prediction FROM best WHERE rk = 1
 """)
 
+# Streaming scores of held-out rows equal the batch predictions.
+SQL["stream_nb_predict"] = SQL["nb_predict"]
+
 SQL["cv_folds"] = _q(f"""
 {BASE}
 SELECT CAST(((doc_id % 3) + 3) % 3 AS INTEGER) AS fold, label, count(*) AS n
