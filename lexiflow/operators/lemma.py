@@ -5,12 +5,20 @@ lemma table is data: each space-separated token is looked up, unknown tokens
 stay as they are, and the tokens are joined back with single spaces, so
 spacing (and the empty tokens of double spaces) is preserved exactly.
 
-Two plans, picked by the size of the table (counted, not assumed):
-* small table: the table becomes a literal map and the lookup is a
-  ``transform`` over the token array -- no join, no shuffle, codegen'd;
-* large table: tokens are exploded with their position, joined to the table
-  (Spark picks broadcast or sort-merge from its statistics), and each text is
-  rebuilt in token order by grouping on a row key -- one shuffle.
+The plan depends on sizes that are counted, never assumed:
+
+1. A table of at most ``map_limit`` forms becomes a literal map, and the
+   lookup is a ``transform`` over the token array: no join, no shuffle.
+   Spark looks keys up in a map value by scanning them, so this plan is
+   kept to small tables.
+2. Otherwise the table is first reduced to the forms that occur in the
+   corpus: distinct corpus tokens (partial aggregation collapses hot tokens
+   in each task) semi-joined with the table (both sides distinct, so no key
+   is skewed).  A reduced table within ``map_limit`` takes plan 1.
+3. A reduced table within ``broadcast_limit`` is broadcast to the exploded
+   tokens; beyond that it is a shuffle join, where AQE's skew handling
+   splits a hot token's partition.  Texts are rebuilt per row key in token
+   order (a group is one document).
 """
 
 from __future__ import annotations
@@ -18,25 +26,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAP_LIMIT = 50_000
+MAP_LIMIT = 256
+BROADCAST_LIMIT = 2_000_000
 
 
 def lemmatize(df: DataFrame, lemmas: DataFrame, text_col: str, output_col: str | None = None,
               form_col: str = "form", lemma_col: str = "lemma", key_cols: list[str] | None = None,
-              map_limit: int = MAP_LIMIT) -> DataFrame:
+              map_limit: int = MAP_LIMIT, broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Replace each token of ``text_col`` by its lemma; output in ``output_col``.
 
-    ``key_cols`` must identify a row; they are needed only on the join plan
-    (a large table).  Forms repeated in the table keep their smallest lemma.
+    ``key_cols`` must identify a row; they are needed only when the table is
+    too large for the map plan.  Forms repeated in the table keep their
+    smallest lemma.
     """
     output_col = output_col or text_col
     table = lemmas.groupBy(F.col(form_col).alias("form")).agg(F.min(lemma_col).alias("lemma"))
-    small = table.limit(map_limit + 1).collect() if map_limit > 0 else None
-    if small is not None and len(small) <= map_limit:
+    small = _collect_if_small(table, map_limit)
+    if small is not None:
+        return _lemmatize_with_map(df, small, text_col, output_col)
+    present = df.select(F.explode(_tokens(text_col)).alias("form")).distinct()
+    reduced = table.join(present, "form", "left_semi")
+    small = _collect_if_small(reduced, map_limit)
+    if small is not None:
         return _lemmatize_with_map(df, small, text_col, output_col)
     if not key_cols:
         raise ValueError("key_cols are needed to lemmatize with a large table")
-    return _lemmatize_with_join(df, table, text_col, output_col, key_cols)
+    n = reduced.count()
+    lookup = F.broadcast(reduced) if n <= broadcast_limit else reduced
+    return _lemmatize_with_join(df, lookup, text_col, output_col, key_cols)
+
+
+def _tokens(text_col: str):
+    return F.split(F.col(text_col), " ", -1)
+
+
+def _collect_if_small(table: DataFrame, limit: int):
+    if limit <= 0:
+        return None
+    rows = table.limit(limit + 1).collect()
+    return rows if len(rows) <= limit else None
 
 
 def _lemmatize_with_map(df, rows, text_col, output_col):
@@ -45,14 +73,13 @@ def _lemmatize_with_map(df, rows, text_col, output_col):
     forms = F.array(*[F.lit(r["form"]) for r in rows])
     values = F.array(*[F.lit(r["lemma"]) for r in rows])
     table = F.map_from_arrays(forms, values)
-    tokens = F.split(F.col(text_col), " ", -1)
-    mapped = F.transform(tokens, lambda t: F.coalesce(F.try_element_at(table, t), t))
+    mapped = F.transform(_tokens(text_col), lambda t: F.coalesce(F.try_element_at(table, t), t))
     return df.withColumn(output_col, F.array_join(mapped, " "))
 
 
 def _lemmatize_with_join(df, table, text_col, output_col, key_cols):
-    keys = [F.col(k) for k in key_cols]
-    tokens = (df.select(*keys, F.posexplode_outer(F.split(F.col(text_col), " ", -1)).alias("pos", "form")))
+    tokens = df.select(*[F.col(k) for k in key_cols],
+                       F.posexplode_outer(_tokens(text_col)).alias("pos", "form"))
     looked = tokens.join(table, on="form", how="left") \
                    .select(*key_cols, "pos", F.coalesce("lemma", "form").alias("tok"))
     rebuilt = looked.groupBy(*key_cols).agg(

@@ -6,6 +6,8 @@ reference refitted the whole prefix for G2.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame
 
@@ -54,20 +56,38 @@ def g4_pipeline(num_features=1000, n=2, drop_empty=False, clean_col="text_c") ->
 
 def fit_feature_sets(frame: DataFrame, names=("G1", "G2", "G3", "G4"), split_col="split",
                      vocab_size=1000, num_hash=1000, chi2_top=300,
-                     drop_empty=False) -> dict[str, PipelineModel]:
-    """Fit the requested feature sets on the training rows of ``frame``."""
+                     drop_empty=False, parallelism: int = 3) -> dict[str, PipelineModel]:
+    """Fit the requested feature sets on the training rows of ``frame``.
+
+    The sets are independent Spark jobs (G2 only extends G1), so up to
+    ``parallelism`` of them are submitted at once from driver threads, as
+    ``CrossValidator(parallelism=...)`` does for its fits.
+    """
     train = frame.filter(is_split(TRAIN, split_col))
-    models: dict[str, PipelineModel] = {}
-    if "G1" in names or "G2" in names:
+
+    def fit_g1_g2() -> dict[str, PipelineModel]:
         g1 = g1_pipeline(vocab_size, drop_empty).fit(train)
-        models["G1"] = g1
+        out = {"G1": g1}
         if "G2" in names:
             sel = chi2_selector("featuresIDF", "features", "label", chi2_top).fit(g1.transform(train))
-            models["G2"] = PipelineModel(stages=list(g1.stages) + [sel])
+            out["G2"] = PipelineModel(stages=list(g1.stages) + [sel])
+        return out
+
+    jobs = []
+    if "G1" in names or "G2" in names:
+        jobs.append(fit_g1_g2)
     if "G3" in names:
-        models["G3"] = g3_pipeline(vocab_size, drop_empty).fit(train)
+        jobs.append(lambda: {"G3": g3_pipeline(vocab_size, drop_empty).fit(train)})
     if "G4" in names:
-        models["G4"] = g4_pipeline(num_hash, 2, drop_empty).fit(train)
+        jobs.append(lambda: {"G4": g4_pipeline(num_hash, 2, drop_empty).fit(train)})
+    models: dict[str, PipelineModel] = {}
+    if parallelism > 1 and len(jobs) > 1:
+        with ThreadPoolExecutor(max_workers=min(parallelism, len(jobs))) as pool:
+            for part in pool.map(lambda job: job(), jobs):
+                models.update(part)
+    else:
+        for job in jobs:
+            models.update(job())
     return {k: models[k] for k in names if k in models}
 
 

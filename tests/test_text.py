@@ -8,7 +8,7 @@ from lexiflow.operators.lemma import lemmatize
 from lexiflow.sources.text import parse_labeled_lines, read_labeled_text
 
 
-def test_stop_words_equal_spark_list():
+def test_stop_words_equal_spark_list(spark):
     assert ENGLISH_STOP_WORDS == StopWordsRemover.loadDefaultStopWords("english")
     assert len(ENGLISH_STOP_WORDS) == 181
 
@@ -59,14 +59,19 @@ def test_read_labeled_text(spark, tmp_path):
     assert rows == [("i feel ok", "joy"), ("i am sad, really", "sadness")]
 
 
-def test_lemmatize_map_and_join_agree(spark):
+def test_lemmatize_plans_agree(spark):
     docs = spark.createDataFrame([(1, "running  dogs ran"), (2, ""), (3, None), (4, "walking walking")],
                                  "doc_id long, text_c string")
-    lem = spark.createDataFrame([("running", "run"), ("walking", "walk"), ("dogs", "dog")], "form string, lemma string")
-    a = {r[0]: r[1] for r in lemmatize(docs, lem, "text_c", "l", key_cols=["doc_id"]).select("doc_id", "l").collect()}
-    b = {r[0]: r[1] for r in lemmatize(docs, lem, "text_c", "l", key_cols=["doc_id"], map_limit=0)
-         .select("doc_id", "l").collect()}
-    assert a == b == {1: "run  dog ran", 2: "", 3: None, 4: "walk walk"}
+    lem = spark.createDataFrame([("running", "run"), ("walking", "walk"), ("dogs", "dog"), ("geese", "goose")],
+                                "form string, lemma string")
+    expected = {1: "run  dog ran", 2: "", 3: None, 4: "walk walk"}
+    plans = [dict(),                                   # whole table as a map
+             dict(map_limit=3),                        # reduced to forms present, then a map
+             dict(map_limit=0),                        # broadcast join
+             dict(map_limit=0, broadcast_limit=-1)]    # shuffle join
+    for kw in plans:
+        out = lemmatize(docs, lem, "text_c", "l", key_cols=["doc_id"], **kw).select("doc_id", "l")
+        assert {r[0]: r[1] for r in out.collect()} == expected, kw
 
 
 def test_clean_matches_plain_regex(spark):
