@@ -40,11 +40,17 @@ from .splits import TEST, TRAIN, VAL, assign_split, is_split
 DIGITS = 6
 
 
-# Key of each table, used to spread a table that arrives in too few partitions.
-KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "labels": "doc_id"}
+# Key of each text table, used to spread one that arrives in too few partitions.
+KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as stored (aggregation-only queries need no extra parallelism)."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose text is processed per row: spread over the cores if it arrives in too few partitions."""
     return read_table(spark, os.path.join(sf_dir, f"{name}.parquet"), KEYS.get(name))
 
 
@@ -54,9 +60,10 @@ def r6(c) -> F.Column:
 
 # ---------------------------------------------------------------- shared state
 
-def labeled_docs(spark, sf_dir) -> DataFrame:
+def labeled_docs(spark, sf_dir, text_work: bool = True) -> DataFrame:
     """documents as (doc_id, text, emotion, split)."""
-    return assign_split(documents_as_labeled(table(spark, sf_dir, "documents")), "doc_id")
+    docs = text_table(spark, sf_dir, "documents") if text_work else table(spark, sf_dir, "documents")
+    return assign_split(documents_as_labeled(docs), "doc_id")
 
 
 def lemma_rule_table(frame: DataFrame, clean_col: str = "text_c") -> DataFrame:
@@ -112,7 +119,7 @@ def state(spark: SparkSession, sf_dir: str) -> _State:
 
 def q_parse_labeled_line(spark, sf_dir):
     """Documents as labelled lines ``<line>;<lang>``, parsed back."""
-    docs = table(spark, sf_dir, "documents")
+    docs = text_table(spark, sf_dir, "documents")
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"), "lang")
     lines = lines.select("doc_id", "line_no", F.concat("line", F.lit(";"), "lang").alias("value"))
     return parse_labeled_lines(lines, "value", ";", "text", "emotion", "keep",
@@ -142,33 +149,33 @@ def q_feature_roundtrip(spark, sf_dir):
 # ---------------------------------------------------------------- text functions
 
 def q_strip_tags(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages")
+    pages = text_table(spark, sf_dir, "pages")
     return pages.select("page_id", strip_tags("html").alias("stripped"))
 
 
 def q_keep_letters(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = text_table(spark, sf_dir, "documents")
     return docs.select("doc_id", keep_letters("text").alias("letters"))
 
 
 def q_drop_short_words(spark, sf_dir):
-    conv = table(spark, sf_dir, "conversations")
+    conv = text_table(spark, sf_dir, "conversations")
     return conv.select("conv_id", "turn", drop_short_words(keep_letters("text")).alias("dropped"))
 
 
 def q_clean_text(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = text_table(spark, sf_dir, "documents")
     return docs.select("doc_id", clean_text("text").alias("text_c"))
 
 
 def q_lemmatize(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", clean_text("text").alias("text_c"))
+    docs = text_table(spark, sf_dir, "documents").select("doc_id", clean_text("text").alias("text_c"))
     lemmas = lemma_rule_table(docs)
     return lemmatize(docs, lemmas, "text_c", "lemmatized", key_cols=["doc_id"]).select("doc_id", "lemmatized")
 
 
 def _tokens(spark, sf_dir, clean: bool):
-    docs = table(spark, sf_dir, "documents")
+    docs = text_table(spark, sf_dir, "documents")
     src = clean_text("text") if clean else F.col("text")
     df = docs.select("doc_id", src.alias("src"))
     return tokenizer("src", "words").transform(df)
@@ -204,11 +211,11 @@ def q_label_index(spark, sf_dir):
 
 
 def q_split_sizes(spark, sf_dir):
-    return P.split_sizes(labeled_docs(spark, sf_dir), "split")
+    return P.split_sizes(labeled_docs(spark, sf_dir, text_work=False), "split")
 
 
 def q_class_counts(spark, sf_dir):
-    return P.class_counts(labeled_docs(spark, sf_dir), "emotion", by=["split"])
+    return P.class_counts(labeled_docs(spark, sf_dir, text_work=False), "emotion", by=["split"])
 
 
 def q_filter_class(spark, sf_dir):
