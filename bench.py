@@ -29,6 +29,14 @@ DATA_QUERIES = ["clean_text", "tokenize", "vocabulary", "tfidf", "chi2_statistic
                 "weighted_metrics"]
 
 
+def _sf_number(sf_dir: str):
+    name = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -65,7 +73,7 @@ def main():
         "value": round(fit_total, 3),
         "unit": "sec",
         "queries": {k: round(v, 3) for k, v in times.items()},
-        "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
+        "sf": _sf_number(sf_dir),
         "results": [r.asDict() for r in rows],
     }
     print(json.dumps(out))

@@ -75,23 +75,26 @@ def materialize(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DIS
                 rows_per_partition: int | None = ROWS_PER_PARTITION) -> DataFrame:
     """Persist and fill the cache now, so a timed fit measures the fit alone.
 
-    The result is narrowed (``coalesce``, no shuffle) to about one partition
-    per ``rows_per_partition`` rows, never more than it had.
+    The cached frame is narrowed (``coalesce``, no shuffle) to about one
+    partition per ``rows_per_partition`` rows, never more than it had.  The
+    narrowed frame is itself the persisted one, so estimators that cache an
+    uncached input (``OneVsRest``) see it as cached.
     """
     base = df.persist(level)
     n = base.count()
-    out = base
     if rows_per_partition:
         want = max(1, -(-n // rows_per_partition))
         if want < base.rdd.getNumPartitions():
-            out = base.coalesce(want)
-    out._persisted_base = base
-    return out
+            narrow = base.coalesce(want).persist(level)
+            narrow.count()
+            base.unpersist(blocking=False)
+            return narrow
+    return base
 
 
 def release(df: DataFrame) -> None:
-    """Drop the cache behind a frame returned by ``materialize``."""
-    getattr(df, "_persisted_base", df).unpersist(blocking=False)
+    """Drop the cache of a frame returned by ``materialize``."""
+    df.unpersist(blocking=False)
 
 
 def fit_timed(estimator: Estimator, train: DataFrame) -> tuple[Model, float]:
