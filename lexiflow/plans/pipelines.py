@@ -91,6 +91,23 @@ def fit_feature_sets(frame: DataFrame, names=("G1", "G2", "G3", "G4"), split_col
     return {k: models[k] for k in names if k in models}
 
 
+def write_feature_sets(frame: DataFrame, models: dict[str, PipelineModel], base_path: str,
+                       mode: str = "errorifexists", keep=("doc_id", "split", "emotion", "label", "weight"),
+                       split_col: str = "split") -> dict[str, str]:
+    """Transform all rows with each fitted set and write one table per set,
+    partitioned by split (the reference wrote twelve folders: 4 sets x 3 splits).
+    Returns {set name: path}."""
+    from ..sources.parquet import write_feature_set
+    paths = {}
+    for name, model in models.items():
+        cols = [c for c in keep if c in frame.columns]
+        out = model.transform(frame).select(*cols, "rawFeatures", FEATURES_COL[name])
+        path = f"{base_path.rstrip('/')}/{name}"
+        write_feature_set(out, path, mode, split_col)
+        paths[name] = path
+    return paths
+
+
 def vocabulary_of(model: PipelineModel) -> list[str]:
     """Vocabulary of a count-vector feature set."""
     for st in model.stages:

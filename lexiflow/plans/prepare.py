@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.text import clean_text
 from ..operators.labels import apply_class_weight, class_weights, fit_label_index, index_labels
 from ..operators.lemma import lemmatize
+from ..session import ensure_checkpoint_dir
 from .splits import TRAIN, is_split
 
 
@@ -35,19 +36,26 @@ def prepare(docs: DataFrame, text_col: str = "text", label_name_col: str = "emot
             split_col: str = "split", lemmas: DataFrame | None = None,
             key_cols: list[str] | None = None, weight_scheme: str = "share",
             handle_invalid: str = "error", clean_col: str = "text_c",
-            persist: bool = False) -> Prepared:
+            persist: bool | str = False) -> Prepared:
     """Add ``label`` (int), ``text_c`` (cleaned, lemmatized) and ``weight``.
 
-    ``persist=True`` keeps the indexed, cleaned frame (MEMORY_AND_DISK) for the
-    several passes that fitting feature sets makes over it; its lineage is a
-    scan plus expressions, so lost blocks are cheap to recompute.
+    ``persist`` keeps the indexed, cleaned frame for the several passes that
+    fitting feature sets makes over it:
+    ``True`` / ``"cache"``: MEMORY_AND_DISK; lost blocks are recomputed from a
+    short lineage (scan + expressions);
+    ``"checkpoint"``: written once to ``spark.checkpoint.dir`` (a reliable
+    shared folder on a cluster) and read from there, so an executor loss
+    costs no recomputation of the cleaning.
     """
     train = docs.filter(is_split(TRAIN, split_col))
     indexer = fit_label_index(train, label_name_col, "label", handle_invalid)
     frame = index_labels(indexer, docs).withColumn(clean_col, clean_text(text_col))
     if lemmas is not None:
         frame = lemmatize(frame, lemmas, clean_col, key_cols=key_cols)
-    if persist:
+    if persist == "checkpoint":
+        ensure_checkpoint_dir(frame.sparkSession)
+        frame = frame.checkpoint(eager=True)
+    elif persist:
         frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
     wt = class_weights(frame.filter(is_split(TRAIN, split_col)).select("label"), "label", weight_scheme)
     weights = {int(r["label"]): float(r["weight"]) for r in wt.collect()}
