@@ -40,10 +40,6 @@ from .splits import TEST, TRAIN, VAL, assign_split, is_split
 DIGITS = 6
 
 
-# Key of each text table, used to spread one that arrives in too few partitions.
-KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table as stored (aggregation-only queries need no extra parallelism)."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
@@ -51,7 +47,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table whose text is processed per row: spread over the cores if it arrives in too few partitions."""
-    return read_table(spark, os.path.join(sf_dir, f"{name}.parquet"), KEYS.get(name))
+    return read_table(spark, os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def r6(c) -> F.Column:
@@ -419,6 +415,7 @@ def _fit_predict(spark, sf_dir, clf, fs="G3"):
                           n_features=num_features_of(model, fs), n_classes=st.n_classes,
                           parallelism=4)
     fitted, _ = fit_timed(est, train)
+    release(train)
     out = predict(fitted, scored.filter(~is_split(TRAIN)), ["doc_id", "split", "label"])
     return fitted, out
 

@@ -16,7 +16,7 @@ from .splits import TRAIN, VAL, assign_split, is_split
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = assign_split(documents_as_labeled(read_table(spark, os.path.join(sf_dir, "documents.parquet"), "doc_id")))
+    docs = assign_split(documents_as_labeled(read_table(spark, os.path.join(sf_dir, "documents.parquet"))))
     prep = prepare(docs)
     (g3,) = fit_feature_sets(prep.frame, ("G3",)).values()
     feats = g3.transform(prep.frame).select("doc_id", "split", "label", "weight", "featuresIDF")

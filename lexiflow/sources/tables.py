@@ -2,10 +2,11 @@
 
 Text stages (regex cleaning, tokenizing) cost CPU per byte, so a table that
 arrives in fewer partitions than the cluster has cores leaves cores idle
-(e.g. a single-row-group Parquet file is one task).  Such an input is hashed
-by its key into ``defaultParallelism`` partitions; a real multi-terabyte
-input already has far more partitions than cores and is left untouched, so
-no shuffle is added at scale.
+(e.g. a single-row-group Parquet file is one task).  Such an input is dealt
+round-robin into ``defaultParallelism`` partitions (even whatever the key
+distribution; Spark sorts before a round-robin repartition so a retried task
+gets the same rows); a real multi-terabyte input already has far more
+partitions than cores and is left untouched, so no shuffle is added at scale.
 """
 
 from __future__ import annotations
@@ -13,15 +14,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
-    """Repartition by ``key`` only when ``df`` has fewer partitions than the cluster's cores."""
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Repartition only when ``df`` has fewer partitions than the cluster's cores."""
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target, key) if key else df.repartition(target)
+    return df.repartition(target)
 
 
-def read_table(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str) -> DataFrame:
     """``spark.read.parquet`` plus ``spread`` for tiny-partition inputs."""
-    return spread(spark.read.parquet(path), key)
+    return spread(spark.read.parquet(path))
