@@ -11,10 +11,10 @@ from __future__ import annotations
 from pyspark import keyword_only
 from pyspark.ml import Estimator
 from pyspark.ml.feature import (IDF, CountVectorizerModel, HashingTF, NGram, RegexTokenizer,
-                                StopWordsRemover, Tokenizer, UnivariateFeatureSelector)
+                                StopWordsRemover, Tokenizer, UnivariateFeatureSelector, VectorSlicer)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.param.shared import HasInputCol, HasOutputCol
+from pyspark.ml.param.shared import HasInputCol, HasLabelCol, HasOutputCol
 from pyspark.ml.stat import ChiSquareTest
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
@@ -135,9 +135,51 @@ def chi2_statistics(df: DataFrame, features_col: str, label_col: str = "label")
 
 
 def chi2_selector(features_col: str, output_col: str, label_col: str = "label",
-                  num_top: int = 300) -> UnivariateFeatureSelector:
-    """Keep the ``num_top`` features with the smallest chi-square p-value (ties by index)."""
-    sel = UnivariateFeatureSelector(featuresCol=features_col, outputCol=output_col,
-                                    labelCol=label_col, selectionMode="numTopFeatures")
-    sel.setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(num_top)
-    return sel
+                  num_top: int = 300, rank_by: str = "pvalue"):
+    """Keep ``num_top`` features by a chi-square test against the label.
+
+    ``rank_by='pvalue'`` (the reference's rule): smallest p-value, ties by
+    index.  On long texts many p-values underflow to exactly 0.0, and the
+    choice among them falls back to the feature index.  ``'statistic'`` ranks
+    by statistic per degree of freedom instead, which keeps separating them.
+    """
+    if rank_by == "pvalue":
+        sel = UnivariateFeatureSelector(featuresCol=features_col, outputCol=output_col,
+                                        labelCol=label_col, selectionMode="numTopFeatures")
+        sel.setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(num_top)
+        return sel
+    if rank_by == "statistic":
+        return Chi2StatisticSelector(inputCol=features_col, outputCol=output_col, labelCol=label_col,
+                                     numTopFeatures=num_top)
+    raise ValueError("rank_by must be 'pvalue' or 'statistic'")
+
+
+class Chi2StatisticSelector(Estimator, HasInputCol, HasOutputCol, HasLabelCol,
+                            DefaultParamsReadable, DefaultParamsWritable):
+    """Estimator: top features by chi-square statistic / degrees of freedom -> ``VectorSlicer``.
+
+    The test runs distributed (Spark's ``ChiSquareTest``); ranking happens on
+    its result, one row per feature, and only ``numTopFeatures`` indices reach
+    the driver.  Selected indices are kept in ascending order, like Spark's
+    selectors.
+    """
+
+    numTopFeatures = Param(Params._dummy(), "numTopFeatures", "number of features to keep",
+                           typeConverter=TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(self, *, inputCol=None, outputCol=None, labelCol="label", numTopFeatures=300):
+        super().__init__()
+        self._setDefault(numTopFeatures=300, labelCol="label")
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> VectorSlicer:
+        stats = chi2_statistics(dataset.select(F.col(self.getLabelCol()).cast("double").alias("label"),
+                                               self.getInputCol()), self.getInputCol(), "label")
+        score = F.when(F.col("degreesOfFreedom") > 0, F.col("statistic") / F.col("degreesOfFreedom")) \
+                 .otherwise(F.lit(0.0))
+        top = stats.select("featureIndex", score.alias("score")) \
+                   .orderBy(F.col("score").desc(), F.col("featureIndex").asc()) \
+                   .limit(self.getOrDefault(self.numTopFeatures)).collect()
+        indices = sorted(int(r["featureIndex"]) for r in top)
+        return VectorSlicer(inputCol=self.getInputCol(), outputCol=self.getOutputCol(), indices=indices)

@@ -56,7 +56,8 @@ def g4_pipeline(num_features=1000, n=2, drop_empty=False, clean_col="text_c") ->
 
 def fit_feature_sets(frame: DataFrame, names=("G1", "G2", "G3", "G4"), split_col="split",
                      vocab_size=1000, num_hash=1000, chi2_top=300,
-                     drop_empty=False, parallelism: int = 3) -> dict[str, PipelineModel]:
+                     drop_empty=False, parallelism: int = 3,
+                     chi2_rank: str = "pvalue") -> dict[str, PipelineModel]:
     """Fit the requested feature sets on the training rows of ``frame``.
 
     The sets are independent Spark jobs (G2 only extends G1), so up to
@@ -69,7 +70,7 @@ def fit_feature_sets(frame: DataFrame, names=("G1", "G2", "G3", "G4"), split_col
         g1 = g1_pipeline(vocab_size, drop_empty).fit(train)
         out = {"G1": g1}
         if "G2" in names:
-            sel = chi2_selector("featuresIDF", "features", "label", chi2_top).fit(g1.transform(train))
+            sel = chi2_selector("featuresIDF", "features", "label", chi2_top, chi2_rank).fit(g1.transform(train))
             out["G2"] = PipelineModel(stages=list(g1.stages) + [sel])
         return out
 
@@ -127,4 +128,6 @@ def num_features_of(model: PipelineModel, name: str) -> int:
     last = model.stages[-1]
     if hasattr(last, "selectedFeatures"):
         return len(last.selectedFeatures)
+    if hasattr(last, "getIndices"):
+        return len(last.getIndices())
     return len(idf_model_of(model).idf)

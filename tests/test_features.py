@@ -55,3 +55,18 @@ def test_chi2_single_category(spark):
     rows = {r["featureIndex"]: r for r in chi2_statistics(df, "f", "label").collect()}
     assert rows[0]["degreesOfFreedom"] == 0 and rows[0]["statistic"] == 0.0
     assert rows[1]["degreesOfFreedom"] == 1 and rows[1]["statistic"] == pytest.approx(3.0)
+
+
+def test_chi2_rank_by_statistic(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from lexiflow.operators.features import chi2_selector
+    rows = [(0.0, Vectors.dense([1.0, 0.0, 5.0])), (0.0, Vectors.dense([1.0, 0.0, 5.0])),
+            (1.0, Vectors.dense([2.0, 1.0, 5.0])), (1.0, Vectors.dense([2.0, 0.0, 5.0]))]
+    df = spark.createDataFrame(rows, ["label", "f"])
+    model = chi2_selector("f", "sel", "label", 1, rank_by="statistic").fit(df)
+    assert model.getIndices() == [0]
+    out = model.transform(df).first()["sel"]
+    assert out.size == 1
+    by_p = chi2_selector("f", "sel", "label", 2).fit(df)
+    assert list(by_p.selectedFeatures) == [0, 1]

@@ -28,3 +28,16 @@ def test_write_all_feature_sets(spark):
     assert val.count() == prep.frame.filter(F.col("split") == "val").count()
     assert "features" in val.columns and val.first()["features"].size == 300
     prep.frame.unpersist()
+
+
+def test_fits_independent_of_partitioning(spark):
+    from lexiflow.plans.pipelines import idf_model_of, vocabulary_of
+    docs = labeled_docs(spark, SF001)
+    results = []
+    for n in (1, 5):
+        prep = prepare(docs.repartition(n))
+        models = fit_feature_sets(prep.frame, ("G1", "G2", "G3"))
+        results.append((prep.labels, prep.weights, vocabulary_of(models["G1"]), vocabulary_of(models["G3"]),
+                        [round(x, 12) for x in idf_model_of(models["G1"]).idf.toArray()],
+                        list(models["G2"].stages[-1].selectedFeatures)))
+    assert results[0] == results[1]
