@@ -32,17 +32,26 @@ def run_experiments(spark: SparkSession, frame: DataFrame, feature_models: dict[
     Times are wall seconds of ``fit`` on an already cached training frame; the
     cost of filling the cache is recorded apart in ``log``.
     """
+    tables = {fs: (model.transform(frame), num_features_of(model, fs)) for fs, model in feature_models.items()}
+    return run_on_feature_tables(spark, tables, n_classes, classifiers, eval_split, orientation,
+                                 split_col, parallelism, digits, log)
+
+
+def run_on_feature_tables(spark: SparkSession, tables: dict[str, tuple[DataFrame, int]], n_classes: int,
+                          classifiers=("svm", "lr", "nb"), eval_split: str = VAL,
+                          orientation: str = "right", split_col: str = "split", parallelism: int = 1,
+                          digits: int = 3, log: list | None = None) -> DataFrame:
+    """The run loop over already featurized tables: {set: (frame with split/label/weight/features, width)}."""
     rows = []
     run = 0
-    for fs, model in feature_models.items():
+    for fs, (featurized, n_features) in tables.items():
         feat = FEATURES_COL[fs]
         t0 = time.perf_counter()
-        scored = model.transform(frame).select(split_col, "label", "weight", feat)
+        scored = featurized.select(split_col, "label", "weight", feat)
         train = materialize(scored.filter(is_split(TRAIN, split_col)))
         held = materialize(scored.filter(is_split(eval_split, split_col)))
         if log is not None:
             log.append({"feature_set": fs, "cache_seconds": time.perf_counter() - t0})
-        n_features = num_features_of(model, fs)
         for clf in classifiers:
             run += 1
             est = make_classifier(clf, feat, "label", None if clf == "mlp" else "weight",
