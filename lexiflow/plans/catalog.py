@@ -13,7 +13,6 @@ entries), and several queries share them.
 from __future__ import annotations
 
 import os
-from functools import lru_cache
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -473,9 +472,18 @@ def q_cv_folds(spark, sf_dir):
     return train.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
-@lru_cache(maxsize=4)
-def _cv(app_id, sf_dir):
-    spark = SparkSession.getActiveSession()
+_MEMO: dict = {}
+
+
+def _memo(spark, sf_dir, name, compute):
+    """Driver-side memo of a small result (rows of a grid or of the run table)."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    if key not in _MEMO:
+        _MEMO[key] = compute(spark, sf_dir)
+    return _MEMO[key]
+
+
+def _cv(spark, sf_dir):
     st = state(spark, sf_dir)
     (g3,) = st.models("G3")
     scored = g3.transform(st.frame).select("doc_id", "split", "label", "weight", "featuresIDF")
@@ -490,18 +498,16 @@ def _cv(app_id, sf_dir):
 
 
 def q_cv_grid_svm(spark, sf_dir):
-    scores, _ = _cv(spark.sparkContext.applicationId, sf_dir)
+    scores, _ = _memo(spark, sf_dir, "cv", _cv)
     return spark.createDataFrame(scores)
 
 
 def q_cv_best_scores(spark, sf_dir):
-    _, best = _cv(spark.sparkContext.applicationId, sf_dir)
+    _, best = _memo(spark, sf_dir, "cv", _cv)
     return spark.createDataFrame([(k, float(v)) for k, v in best.items()], "split string, f1 double")
 
 
-@lru_cache(maxsize=4)
-def _experiments(app_id, sf_dir):
-    spark = SparkSession.getActiveSession()
+def _experiments(spark, sf_dir):
     st = state(spark, sf_dir)
     models = dict(zip(("G1", "G2", "G3", "G4"), st.models("G1", "G2", "G3", "G4")))
     res = X.run_experiments(spark, st.frame, models, st.n_classes, ("svm", "lr", "nb"),
@@ -511,7 +517,7 @@ def _experiments(app_id, sf_dir):
 
 def experiment_table(spark, sf_dir) -> DataFrame:
     from ..sources.results import results_frame
-    rows = _experiments(spark.sparkContext.applicationId, sf_dir)
+    rows = _memo(spark, sf_dir, "experiments", _experiments)
     return results_frame(spark, [tuple(r) for r in rows])
 
 
