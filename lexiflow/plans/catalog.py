@@ -396,6 +396,17 @@ def q_chi2_selection(spark, sf_dir):
     return spark.createDataFrame([(int(i), vocab[i]) for i in sel], "feature int, term string")
 
 
+def q_chi2_selection_by_statistic(spark, sf_dir):
+    """M10 option: 300 G1 features with the largest statistic per degree of freedom."""
+    from ..operators.features import chi2_selector
+    st = state(spark, sf_dir)
+    (g1,) = st.models("G1")
+    train = g1.transform(st.frame.filter(is_split(TRAIN)))
+    slicer = chi2_selector("featuresIDF", "features", "label", 300, rank_by="statistic").fit(train)
+    vocab = vocabulary_of(g1)
+    return spark.createDataFrame([(int(i), vocab[i]) for i in slicer.getIndices()], "feature int, term string")
+
+
 def q_features_chi2(spark, sf_dir):
     st = state(spark, sf_dir)
     (g2,) = st.models("G2")
@@ -599,6 +610,7 @@ QUERIES = {
     "features_hashed_bigrams": q_features_hashed_bigrams,
     "chi2_statistic": q_chi2_statistic,
     "chi2_selection": q_chi2_selection,
+    "chi2_selection_by_statistic": q_chi2_selection_by_statistic,
     "features_chi2": q_features_chi2,
     "nb_model": q_nb_model,
     "nb_predict": q_nb_predict,

@@ -276,30 +276,51 @@ FROM prepared p LEFT JOIN nz USING (doc_id) GROUP BY p.split
 # distinct TF-IDF values, zero included; with idf > 0 they are the distinct
 # term counts, with idf = 0 (term in every row) there is one category.
 # statistic = N * sum(o^2 / (row_total * label_total)) - N over non-empty cells.
-SQL["chi2_statistic"] = _q(f"""
-{G3},
-tr AS (SELECT doc_id, label FROM prepared WHERE split = 'train'),
+def CHI2(p: str) -> str:
+    """CTEs ending in ``chi2 (feature, dof, statistic)`` for feature set ``p`` on training rows."""
+    return f"""tr AS (SELECT doc_id, label FROM prepared WHERE split = 'train'),
 ntr AS (SELECT count(*) AS n, count(DISTINCT label) AS k FROM tr),
 lab AS (SELECT label, count(*) AS c FROM tr GROUP BY label),
 present AS (
   SELECT f.feature, CASE WHEN i.dfc < i.ntrain THEN f.tf ELSE 0 END AS v, tr.label
-  FROM g3_tf f JOIN tr USING (doc_id) JOIN g3_idf i USING (feature)),
+  FROM {p}_tf f JOIN tr USING (doc_id) JOIN {p}_idf i USING (feature)),
 nonzero AS (
   SELECT feature, v, label, count(*) AS o FROM present WHERE v > 0 GROUP BY feature, v, label),
 zero AS (
   SELECT i.feature, 0 AS v, lab.label,
          lab.c - coalesce((SELECT count(*) FROM present p
                            WHERE p.feature = i.feature AND p.label = lab.label AND p.v > 0), 0) AS o
-  FROM g3_idf i, lab),
+  FROM {p}_idf i, lab),
 cells AS (SELECT * FROM nonzero UNION ALL SELECT * FROM zero WHERE o > 0),
 rowt AS (SELECT feature, v, sum(o) AS r FROM cells GROUP BY feature, v),
 stat AS (
   SELECT c.feature, sum(c.o * c.o / (rowt.r * lab.c)) AS s
   FROM cells c JOIN rowt USING (feature, v) JOIN lab USING (label) GROUP BY c.feature),
-nv AS (SELECT feature, count(*) AS nvals FROM rowt GROUP BY feature)
-SELECT stat.feature, CAST((nv.nvals - 1) * (ntr.k - 1) AS BIGINT) AS dof,
-       round(CASE WHEN (nv.nvals - 1) * (ntr.k - 1) = 0 THEN 0.0 ELSE ntr.n * stat.s - ntr.n END, 6) AS statistic
-FROM stat JOIN nv USING (feature), ntr
+nv AS (SELECT feature, count(*) AS nvals FROM rowt GROUP BY feature),
+chi2 AS (
+  SELECT stat.feature, CAST((nv.nvals - 1) * (ntr.k - 1) AS BIGINT) AS dof,
+         CASE WHEN (nv.nvals - 1) * (ntr.k - 1) = 0 THEN 0.0 ELSE ntr.n * stat.s - ntr.n END AS statistic
+  FROM stat JOIN nv USING (feature), ntr)"""
+
+
+SQL["chi2_statistic"] = _q(f"""
+{G3},
+{CHI2('g3')}
+SELECT feature, dof, round(statistic, 6) AS statistic FROM chi2
+""")
+
+# Selection by statistic per degree of freedom (ties by index), G1 features.
+# Features with identical contingency tables tie exactly in Spark; here the
+# summation order can split them in the last bit, so scores are compared at
+# 1e-9 before the index decides.
+SQL["chi2_selection_by_statistic"] = _q(f"""
+{G1},
+{CHI2('g1')},
+ranked AS (
+  SELECT feature, row_number() OVER (
+           ORDER BY round(CASE WHEN dof > 0 THEN statistic / dof ELSE 0.0 END, 9) DESC, feature) AS rk
+  FROM chi2)
+SELECT r.feature, v.term FROM ranked r JOIN g1_vocab v ON v.idx = r.feature WHERE r.rk <= 300
 """)
 
 # Multinomial Naive Bayes on G3 TF-IDF with class-share weights, smoothing 1.
