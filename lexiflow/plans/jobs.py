@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,12 +64,16 @@ def prepare_job(spark: SparkSession, train_path: str, test_path: str, val_path:
 
 
 def _feature_tables(spark: SparkSession, features_dir: str, names=("G1", "G2", "G3", "G4")):
+    """The feature tables present under ``features_dir`` (any Hadoop path)."""
     tables = {}
     for name in names:
         path = os.path.join(features_dir, name)
-        if not os.path.exists(path) and "://" not in path:
-            continue
-        df = read_feature_set(spark, path)
+        try:
+            df = read_feature_set(spark, path)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+                continue
+            raise
         width = df.select(FEATURES_COL[name]).first()[0].size
         tables[name] = (df, width)
     return tables
