@@ -109,7 +109,11 @@ class TermVocabulary(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable
 
 def vector_to_long(df: DataFrame, vector_col: str, keys: list[str],
                    index_col: str = "feature", value_col: str = "value") -> DataFrame:
-    """Sparse vector column -> long rows (keys..., index, value) for non-zero entries."""
+    """Sparse vector column -> long rows (keys..., index, value) for non-zero entries.
+
+    Each vector is densified once (``vector_to_array``), so this is meant for
+    vocabulary-sized vectors, not for very wide hashed spaces.
+    """
     arr = vector_to_array(F.col(vector_col))
     return (df.select(*keys, F.posexplode(arr).alias(index_col, value_col))
               .filter(F.col(value_col) != 0.0))
