@@ -18,7 +18,8 @@ The plan depends on sizes that are counted, never assumed:
 3. A reduced table within ``broadcast_limit`` is broadcast to the exploded
    tokens; beyond that it is a shuffle join, where AQE's skew handling
    splits a hot token's partition.  Texts are rebuilt per row key in token
-   order (a group is one document).
+   order (a group is one document).  The reduced table is checkpointed once,
+   so the corpus is scanned once for it.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 MAP_LIMIT = 256
 BROADCAST_LIMIT = 2_000_000
 
@@ -45,7 +48,10 @@ def lemmatize(df: DataFrame, lemmas: DataFrame, text_col: str, output_col: str |
     if small is not None:
         return _lemmatize_with_map(df, small, text_col, output_col)
     present = df.select(F.explode(_tokens(text_col)).alias("form")).distinct()
-    reduced = table.join(present, "form", "left_semi")
+    # Written once to the checkpoint folder: the size checks and the join
+    # below read the small result instead of rescanning the corpus.
+    ensure_checkpoint_dir(df.sparkSession)
+    reduced = table.join(present, "form", "left_semi").checkpoint(eager=True)
     small = _collect_if_small(reduced, map_limit)
     if small is not None:
         return _lemmatize_with_map(df, small, text_col, output_col)
