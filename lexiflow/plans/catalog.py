@@ -446,6 +446,23 @@ def q_nb_predict(spark, sf_dir):
     return _fit_predict(spark, sf_dir, "nb")[1].select("doc_id", "split", "prediction")
 
 
+def q_nb_per_class_metrics(spark, sf_dir):
+    """E7/E8 on four classes: per-class metrics of NB on held-out rows, with class names."""
+    st = state(spark, sf_dir)
+    _, preds = _fit_predict(spark, sf_dir, "nb")
+    per = _round_all(M.per_class_metrics(preds.select(F.col("label").cast("double").alias("label"),
+                                                      "prediction")))
+    names = L.label_table(spark, st.prepared.indexer, "class_id", "name")
+    return (per.join(F.broadcast(names), per["class"] == names["class_id"].cast("double"), "left")
+               .drop("class_id"))
+
+
+def q_nb_confusion_matrix(spark, sf_dir):
+    """E6 on four classes: (label, prediction, n) of NB on held-out rows."""
+    _, preds = _fit_predict(spark, sf_dir, "nb")
+    return M.confusion_long(preds)
+
+
 def q_nb_model(spark, sf_dir):
     """Log priors (feature = -1) and log conditional probabilities per class."""
     model, _ = _fit_predict(spark, sf_dir, "nb")
@@ -614,6 +631,8 @@ QUERIES = {
     "features_chi2": q_features_chi2,
     "nb_model": q_nb_model,
     "nb_predict": q_nb_predict,
+    "nb_per_class_metrics": q_nb_per_class_metrics,
+    "nb_confusion_matrix": q_nb_confusion_matrix,
     "svm_predict": q_svm_predict,
     "logreg_predict": q_logreg_predict,
     "mlp_predict": q_mlp_predict,

@@ -361,6 +361,34 @@ best AS (
 SELECT doc_id, split, CAST(label AS DOUBLE) AS prediction FROM best WHERE rk = 1
 """)
 
+NB_PAIRS = f"""{NB},
+held AS (SELECT doc_id, split, label FROM prepared WHERE split <> 'train'),
+dot AS (
+  SELECT x.doc_id, t.label, sum(t.theta * x.value) AS s
+  FROM g3_tfidf x JOIN held USING (doc_id) JOIN theta t USING (feature) GROUP BY x.doc_id, t.label),
+score AS (
+  SELECT h.doc_id, pi.label AS cls, pi.pi + coalesce(dot.s, 0.0) AS score
+  FROM held h CROSS JOIN pi LEFT JOIN dot ON dot.doc_id = h.doc_id AND dot.label = pi.label),
+best AS (
+  SELECT doc_id, cls, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, cls) AS rk FROM score),
+nbpairs AS (
+  SELECT CAST(h.label AS DOUBLE) AS label, CAST(b.cls AS DOUBLE) AS prediction
+  FROM held h JOIN best b ON b.doc_id = h.doc_id AND b.rk = 1)"""
+
+SQL["nb_per_class_metrics"] = _q(f"""
+{NB_PAIRS},
+{PER_CLASS('nbpairs')}
+SELECT pcm.class, round(actual_n, 6) AS actual_n, round(predicted_n, 6) AS predicted_n, round(tp, 6) AS tp,
+       round(precision, 6) AS precision, round(recall, 6) AS recall, round(f_measure, 6) AS f_measure,
+       label_ids.emotion AS name
+FROM pcm LEFT JOIN label_ids ON CAST(label_ids.label AS DOUBLE) = pcm.class
+""")
+
+SQL["nb_confusion_matrix"] = _q(f"""
+{NB_PAIRS}
+SELECT label, prediction, count(*) AS n FROM nbpairs GROUP BY label, prediction
+""")
+
 # Streaming scores of held-out rows equal the batch predictions.
 SQL["stream_nb_predict"] = SQL["nb_predict"]
 
