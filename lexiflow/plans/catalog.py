@@ -457,6 +457,17 @@ def q_nb_per_class_metrics(spark, sf_dir):
                .drop("class_id"))
 
 
+def q_nb_weighted_metrics(spark, sf_dir, orientation="right"):
+    """E1-E5 on four classes: weighted metrics of NB on held-out rows."""
+    _, preds = _fit_predict(spark, sf_dir, "nb")
+    return _round_all(M.weighted_metrics(preds, orientation=orientation))
+
+
+def q_nb_weighted_metrics_swapped(spark, sf_dir):
+    """E10 on four classes: the reference's orientation."""
+    return q_nb_weighted_metrics(spark, sf_dir, "swapped")
+
+
 def q_nb_confusion_matrix(spark, sf_dir):
     """E6 on four classes: (label, prediction, n) of NB on held-out rows."""
     _, preds = _fit_predict(spark, sf_dir, "nb")
@@ -633,6 +644,8 @@ QUERIES = {
     "nb_predict": q_nb_predict,
     "nb_per_class_metrics": q_nb_per_class_metrics,
     "nb_confusion_matrix": q_nb_confusion_matrix,
+    "nb_weighted_metrics": q_nb_weighted_metrics,
+    "nb_weighted_metrics_swapped": q_nb_weighted_metrics_swapped,
     "svm_predict": q_svm_predict,
     "logreg_predict": q_logreg_predict,
     "mlp_predict": q_mlp_predict,

@@ -389,6 +389,15 @@ SQL["nb_confusion_matrix"] = _q(f"""
 SELECT label, prediction, count(*) AS n FROM nbpairs GROUP BY label, prediction
 """)
 
+SQL["nb_weighted_metrics"] = f"{NB_PAIRS},\n{PER_CLASS('nbpairs')}\n{WEIGHTED_SELECT}"
+
+SQL["nb_weighted_metrics_swapped"] = _q(f"""
+{NB_PAIRS},
+nbswap AS (SELECT prediction AS label, label AS prediction FROM nbpairs),
+{PER_CLASS('nbswap')}
+{WEIGHTED_SELECT}
+""")
+
 # Streaming scores of held-out rows equal the batch predictions.
 SQL["stream_nb_predict"] = SQL["nb_predict"]
 
