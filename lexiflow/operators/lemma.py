@@ -84,6 +84,10 @@ def _lemmatize_with_map(df, rows, text_col, output_col):
 
 
 def _lemmatize_with_join(df, table, text_col, output_col, key_cols):
+    # One shuffle of the rows by key; the token explode, the lookup (broadcast
+    # or sort-merge on form), the regroup by key and the join back then reuse
+    # that partitioning instead of shuffling tokens and rows separately.
+    df = df.repartition(*[F.col(k) for k in key_cols])
     tokens = df.select(*[F.col(k) for k in key_cols],
                        F.posexplode_outer(_tokens(text_col)).alias("pos", "form"))
     looked = tokens.join(table, on="form", how="left") \
