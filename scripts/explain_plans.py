@@ -28,7 +28,8 @@ NOTES = {
     "weighted_metrics": "One aggregate over (label, prediction); everything after it works on <= k*k rows.",
     "apply_class_weight": "The weight is a literal CASE folded from the k-row class table; no join.",
     "lemmatize": "The corpus' distinct tokens (partial aggregate) are semi-joined with the lemma table "
-                 "before anything touches the exploded tokens.",
+                 "and checkpointed (the Scan ExistingRDD); rows are partitioned by doc_id once, so the "
+                 "broadcast lookup and the collect_list regroup need no token shuffle.",
     "chi2_statistic": "Spark ML's chi-square test over the cached G3 training features.",
     "parse_labeled_line": "Lines are a posexplode of split(text, newline); parsing is split + get.",
     "drop_null_rows": "Left join documents -> labels (labels is small; AQE picks the strategy), then not-null filter.",
