@@ -416,6 +416,11 @@ def q_features_chi2(spark, sf_dir):
 # ---------------------------------------------------------------- classifiers
 
 def _fit_predict(spark, sf_dir, clf, fs="G3"):
+    """(fitted model, held-out predictions); one fit per (session, folder, classifier, set)."""
+    return _memo(spark, sf_dir, f"fit:{clf}:{fs}", lambda sp, d: _fit_and_score(sp, d, clf, fs))
+
+
+def _fit_and_score(spark, sf_dir, clf, fs):
     st = state(spark, sf_dir)
     (model,) = st.models(fs)
     feat = FEATURES_COL[fs]
