@@ -62,10 +62,14 @@ def main():
         else:
             times[f"cache_{entry['feature_set']}"] = entry["cache_seconds"]
 
+    errors = {}
     for name in DATA_QUERIES:
         t0 = time.perf_counter()
-        C.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = time.perf_counter() - t0
+        try:
+            C.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[name] = time.perf_counter() - t0
+        except Exception as e:  # noqa: BLE001 - report, keep the headline numbers
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
 
     fit_total = sum(times[f"df{i}"] for i in range(1, run + 1))
     out = {
@@ -76,6 +80,8 @@ def main():
         "sf": _sf_number(sf_dir),
         "results": [r.asDict() for r in rows],
     }
+    if errors:
+        out["errors"] = errors
     print(json.dumps(out))
     spark.stop()
 
