@@ -49,7 +49,8 @@ def run_on_feature_tables(spark: SparkSession, tables: dict[str, tuple[DataFrame
         t0 = time.perf_counter()
         scored = featurized.select(split_col, "label", "weight", feat)
         train = materialize(scored.filter(is_split(TRAIN, split_col)))
-        held = materialize(scored.filter(is_split(eval_split, split_col)))
+        # Held-out rows are only scored (once per classifier): a cache is enough.
+        held = materialize(scored.filter(is_split(eval_split, split_col)), cut_lineage=False)
         if log is not None:
             log.append({"feature_set": fs, "cache_seconds": time.perf_counter() - t0})
         for clf in classifiers:
