@@ -59,7 +59,7 @@ def prepare_job(spark: SparkSession, train_path: str, test_path: str, val_path:
     for name, model in models.items():
         model.write().overwrite().save(os.path.join(out_dir, "models", name))
     prep.indexer.write().overwrite().save(os.path.join(out_dir, "models", "label_index"))
-    prep.frame.unpersist()
+    prep.release()
     return paths
 
 

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text
-from ..operators.labels import apply_class_weight, class_weights, fit_label_index, index_labels
+from ..operators.labels import (MAX_CLASSES, apply_class_weight, class_weights, fit_label_index,
+                                index_labels)
 from ..operators.lemma import lemmatize
 from ..session import ensure_checkpoint_dir
 from .splits import TRAIN, is_split
@@ -26,11 +27,17 @@ class Prepared:
     frame: DataFrame
     indexer: StringIndexerModel
     weights: dict
+    cached: DataFrame | None = None
 
     @property
     def labels(self) -> list[str]:
         return list(self.indexer.labels)
 
+    def release(self) -> None:
+        """Drop the cache kept by ``prepare(persist=True)``."""
+        if self.cached is not None:
+            self.cached.unpersist(blocking=False)
+
 
 def prepare(docs: DataFrame, text_col: str = "text", label_name_col: str = "emotion",
             split_col: str = "split", lemmas: DataFrame | None = None,
@@ -52,15 +59,19 @@ def prepare(docs: DataFrame, text_col: str = "text", label_name_col: str = "emot
     frame = index_labels(indexer, docs).withColumn(clean_col, clean_text(text_col))
     if lemmas is not None:
         frame = lemmatize(frame, lemmas, clean_col, key_cols=key_cols)
+    cached = None
     if persist == "checkpoint":
         ensure_checkpoint_dir(frame.sparkSession)
         frame = frame.checkpoint(eager=True)
     elif persist:
-        frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
+        frame = cached = frame.persist(StorageLevel.MEMORY_AND_DISK)
     wt = class_weights(frame.filter(is_split(TRAIN, split_col)).select("label"), "label", weight_scheme)
-    weights = {int(r["label"]): float(r["weight"]) for r in wt.collect()}
+    rows = wt.limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes")
+    weights = {int(r["label"]): float(r["weight"]) for r in rows}
     frame = apply_class_weight(frame, weights, "label", "weight")
-    return Prepared(frame=frame, indexer=indexer, weights=weights)
+    return Prepared(frame=frame, indexer=indexer, weights=weights, cached=cached)
 
 
 def documents_as_labeled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -12,10 +12,11 @@ def test_checkpointed_prepare_equals_cached(spark):
     docs = labeled_docs(spark, SF001)
     a = prepare(docs, persist=True)
     b = prepare(docs, persist="checkpoint")
+    assert a.cached is not None and a.cached.is_cached and b.cached is None
     cols = ["doc_id", "label", "weight", "text_c"]
     assert sorted(a.frame.select(cols).collect()) == sorted(b.frame.select(cols).collect())
     assert a.labels == b.labels and a.weights == b.weights
-    a.frame.unpersist()
+    a.release()
 
 
 def test_write_all_feature_sets(spark):
@@ -27,7 +28,7 @@ def test_write_all_feature_sets(spark):
     val = read_feature_set(spark, paths["G2"], "val")
     assert val.count() == prep.frame.filter(F.col("split") == "val").count()
     assert "features" in val.columns and val.first()["features"].size == 300
-    prep.frame.unpersist()
+    prep.release()
 
 
 def test_fits_independent_of_partitioning(spark):
