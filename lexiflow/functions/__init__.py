@@ -1,0 +1 @@
+"""Column expressions (parsing, cleaning) and fixed word lists."""

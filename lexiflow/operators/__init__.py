@@ -1,0 +1 @@
+"""DataFrame operators: profiling, labels, lemmas, features, models, metrics."""

@@ -1,0 +1 @@
+"""Compositions: splits, preparation, feature sets, experiments, tuning, jobs, registered queries."""

@@ -1,0 +1 @@
+"""Structured Streaming: scoring texts with fitted models."""
