@@ -240,7 +240,7 @@ def decode_column(ids: Column, path: str) -> Column:
 
         whole = Tokenizer.from_file(path)
         size = whole.get_vocab_size(with_added_tokens=True)
-        names = pa.array([whole.id_to_token(i) or "" for i in range(size)], pa.large_string())
+        names = pa.array([whole.id_to_token(i) or "" for i in range(size)], pa.string())
         for batch in batches:
             parts = []
             for part in _parts(batch, 1 << 20):
@@ -248,9 +248,8 @@ def decode_column(ids: Column, path: str) -> Column:
                 if whole.decoder is None:
                     text = names.take(part.flatten())
                     ends = pa.array(np.concatenate([[0], np.cumsum(
-                        pc.list_value_length(part).to_numpy(zero_copy_only=False))]).astype(np.int64), pa.int64())
-                    lists = pa.LargeListArray.from_arrays(ends, text)
-                    parts.append(pc.binary_join(lists, " ").cast(pa.string()))
+                        pc.list_value_length(part).to_numpy(zero_copy_only=False))]).astype(np.int32), pa.int32())
+                    parts.append(pc.binary_join(pa.ListArray.from_arrays(ends, text), " "))
                 else:
                     parts.append(pa.array(whole.decode_batch(part.to_pylist(), skip_special_tokens=False),
                                           pa.string()))
