@@ -19,7 +19,18 @@ from ..session import ensure_checkpoint_dir
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+def workers_import(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever the driver was started; on a cluster the package is
+    shipped (``--py-files``), and a path that isn't there is ignored."""
+    here = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(":") if p]
+    if here not in paths:
+        env["PYTHONPATH"] = ":".join([here, *paths])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -94,6 +105,7 @@ def map_texts(df: DataFrame, keys: list[str], text_col: str, schema: str,
     strings) and returns a batch of ``schema``.
     """
     at = len(keys)
+    workers_import(df.sparkSession)
 
     def run(batches):
         work = make()

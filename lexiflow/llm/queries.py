@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, exact_dedup
+from . import chat, exact_dedup, quality_gbdt, toxicity
 from .common import table
 
 
@@ -15,6 +15,14 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_gbdt.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.report(table(spark, sf_dir, "conversations"))
 
@@ -27,6 +35,8 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op7_chat": op7_chat,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_quality": op9_quality,
+    "op10_toxicity": op10_toxicity,
 }
 
 SQL: dict[str, str] = {
