@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,15 +56,15 @@ def fold(id_col: str, n: int) -> Column:
 
 
 def slices(batch: pa.RecordBatch, text_index: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that each part holds about ``limit`` bytes of text (at least one row).
+    """Cut a batch so that each part holds about ``limit`` bytes of text or list values (at least one row).
 
     Bounds what a Python worker holds beside the batch itself, however long the texts are.
     """
     if batch.num_rows == 0:
         return
     column = batch.column(text_index)
-    ends = np.frombuffer(column.buffers()[1], np.int32 if pa.types.is_string(column.type) or pa.types.is_binary(
-        column.type) else np.int64)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    sizes = pc.list_value_length(column) if pa.types.is_list(column.type) else pc.binary_length(column)
+    ends = np.concatenate([[0], np.cumsum(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False).astype(np.int64))])
     start = 0
     while start < batch.num_rows:
         stop = max(start + 1, int(np.searchsorted(ends, ends[start] + limit, "right")) - 1)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, exact_dedup, quality_gbdt, toxicity
+from . import chat, exact_dedup, html_extract, quality_gbdt, quality_rules, toxicity
 from .common import table
 
 
@@ -23,6 +23,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.report(table(spark, sf_dir, "documents"))
+
+
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.report(table(spark, sf_dir, "pages"))
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.report(table(spark, sf_dir, "conversations"))
 
@@ -33,6 +41,8 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op3_quality_rules": op3_quality_rules,
+    "op4_html_extract": op4_html_extract,
     "op7_chat": op7_chat,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality": op9_quality,

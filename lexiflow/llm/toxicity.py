@@ -10,7 +10,8 @@ other way on that part, which keeps a flexible model from fitting the unlabelled
 negatives.  The model is trained in numpy by gradient steps with
 momentum over full batches.
 
-Features are hashed words and word beginnings of 4 to 6 bytes.  Spark counts over the training rows in how
+Features are hashed words and word beginnings of 4 to 8 bytes, at three levels: at least one, two or three
+different words of a text have it.  Spark counts over the training rows in how
 many confirmed and unlabelled documents each occurs; those that are surely more frequent in the confirmed
 ones (log ratio less three standard errors above zero) and occur in 2% of them are kept, the
 ``max_features`` surest at most; rarer ones are mostly the words of a few copies.
@@ -26,7 +27,9 @@ prior; an empty table gives an empty table; further columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,34 +41,41 @@ from .common import clean_text, fold, map_texts
 
 THRESHOLD = 0.3
 #: Feature hashes fall into 2 ** HASH_BITS buckets.
-HASH_BITS = 22
+HASH_BITS = 26
+#: Lengths in bytes of the word beginnings, and how many levels of a count are told apart.
+STEMS, LEVELS = (4, 5, 6, 8), 3
 EDGE = b".,;:!?'\"()[]{}-_/\\#*$%&|<>@+=~^`"
 
 
 class WordFeatures(dict):
-    """word (bytes) -> its feature buckets; kept for reuse, emptied at ``limit`` words.  With ``wanted``
-    (bucket -> column) the columns of the wanted buckets instead."""
+    """word (bytes) -> buckets of the word and its beginnings; kept for reuse, emptied at ``limit`` words.
+
+    The features of a text are (bucket, level) codes: level k if at least k different words have the
+    bucket.  With ``wanted`` (code -> column) only those, as columns.
+    """
 
     def __init__(self, wanted: dict[int, int] | None = None, limit: int = 400_000):
         super().__init__()
         self.wanted, self.limit = wanted, limit
+        self.bases = None if wanted is None else {code // LEVELS for code in wanted}
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
         if len(self) >= self.limit:
             self.clear()
         low = word.lower().strip(EDGE)
-        keys = [b"=" + low] + [low[:k] for k in (4, 5, 6) if len(low) >= k] if low else []
+        keys = [b"=" + low] + [low[:k] for k in STEMS if len(low) >= k] if low else []
         out = tuple(xxhash.xxh3_64_intdigest(k) >> (64 - HASH_BITS) for k in keys)
-        if self.wanted is not None:
-            out = tuple(self.wanted[b] for b in out if b in self.wanted)
+        if self.bases is not None:
+            out = tuple(b for b in out if b in self.bases)
         self[word] = out
         return out
 
-    def of(self, text: str) -> set[int]:
-        found: set[int] = set()
-        for word in set(text.encode("utf-8").split()):
-            found.update(self[word])
-        return found
+    def of(self, text: str) -> list[int]:
+        found = Counter(chain.from_iterable(map(self.__getitem__, set(text.encode("utf-8").split()))))
+        codes = [b * LEVELS + k for b, n in found.items() for k in range(min(n, LEVELS))]
+        if self.wanted is None:
+            return codes
+        return [self.wanted[c] for c in codes if c in self.wanted]
 
 
 @dataclass
@@ -78,7 +88,7 @@ class Linear:
         features = WordFeatures({int(b): i for i, b in enumerate(self.buckets)})
 
         def score(texts: list[str]) -> np.ndarray:
-            total = np.array([self.weights[list(f)].sum() if (f := features.of(t)) else 0.0 for t in texts], float)
+            total = np.array([self.weights[f].sum() if (f := features.of(t)) else 0.0 for t in texts], float)
             return 1 / (1 + np.exp(-np.clip(total + self.base, -50, 50)))
 
         return score
