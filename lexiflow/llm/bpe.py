@@ -24,7 +24,8 @@ from __future__ import annotations
 import json
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -32,11 +33,38 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import clean_text
+from .common import clean_text, slices, workers_import
 
-#: Bounds on what a task keeps between batches; beyond them the table is emptied and filled anew.
-MAX_CHUNKS, MAX_NODES, MAX_PAIRS = 500_000, 1_000_000, 500_000
+#: Bounds on what a worker keeps between batches.
+MAX_CHUNKS, MAX_WORDS, MAX_NODES, MAX_PAIRS = 800_000, 500_000, 400_000, 300_000
+
+
+class Recent(dict):
+    """A dictionary of two generations: ``turn`` drops what wasn't asked for by ``new`` since the turn before
+    once half of ``limit`` entries are young."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.half, self.old = limit // 2, {}
+
+    def turn(self) -> None:
+        if len(self) >= self.half:
+            self.old = dict(self)
+            self.clear()
+
+    def new(self, keys: Iterable) -> list:
+        """The keys that are unknown; those known from the older generation become young again."""
+        out = []
+        for key in keys:
+            if key not in self:
+                value = self.old.get(key)
+                if value is None:
+                    out.append(key)
+                else:
+                    self[key] = value
+        return out
 
 
 class Neighbours:
@@ -95,30 +123,30 @@ class WordTrie:
         self.clear()
 
     def clear(self) -> None:
-        self.child: dict[tuple[int, str], int] = {}
+        self.child: dict[int, int] = {}
         self.last: list[int | None] = [None]
         self.before: list[int] = [0]
 
-    def _state(self, path: list[int], text: str, suffix: str) -> tuple[int, int]:
-        """(last token, depth before it) of ``text + suffix``; ``path[i]`` is the node after i symbols."""
-        depth, last, tokens, known = len(text), self.last, self.tokens, self.may_follow.known
+    def _state(self, path: list[int], text: str, depth: int) -> tuple[int, int]:
+        """(last token, depth before it) of ``text`` of ``depth`` symbols; ``path[i]`` is the node after i."""
+        last, tokens, known = self.last, self.tokens, self.may_follow.known
         for start in range(depth - 1, max(0, depth - self.longest) - 1, -1):  # most last tokens are short
-            token = tokens.get(text[start:] + suffix)
+            token = tokens.get(text[start:])
             if token is not None:
                 answer = known.get((last[path[start]], token))
                 if answer or answer is None and self.may_follow(last[path[start]], token):
                     return token, start
         raise ValueError(f"no token for {text!r}")
 
-    def encode_all(self, words: Iterable[str]) -> dict[str, tuple[int, ...]]:
-        """Encodings of distinct byte-level words, visited in the trie's depth-first order.
+    def encode_all(self, words: Iterable[str]) -> dict[str, bytes]:
+        """Encodings (int32 as bytes) of distinct byte-level words, visited in the trie's depth-first order.
 
         Sorted words are the trie's words in depth-first order: ``path`` is the way from the root to the
         current node, cut back to what the next word shares with the last one.
         """
         if len(self.last) >= MAX_NODES:
             self.clear()
-        out, path, previous = {}, [0], ""
+        out, path, previous, child, last, before = {}, [0], "", self.child, self.last, self.before
         for word in sorted(words):
             inner = len(word) - 1  # the last symbol carries the end mark, so it is a leaf of its own kind
             shared = 0
@@ -127,20 +155,21 @@ class WordTrie:
                 shared += 1
             del path[shared + 1:]
             for depth in range(shared, inner):
-                edge = path[depth], word[depth]
-                node = self.child.get(edge)
+                edge = path[depth] << 21 | ord(word[depth])
+                node = child.get(edge)
                 if node is None:
-                    token, start = self._state(path, word[:depth + 1], "")
-                    node = self.child[edge] = len(self.last)
-                    self.last.append(token)
-                    self.before.append(path[start])
+                    token, start = self._state(path, word[:depth + 1], depth + 1)
+                    node = child[edge] = len(last)
+                    last.append(token)
+                    before.append(path[start])
                 path.append(node)
-            token, start = self._state(path, word, self.end)
+            token, start = self._state(path, word + self.end, len(word))
             ids, node = [token], path[start]
             while node:
-                ids.append(self.last[node])
-                node = self.before[node]
-            out[word] = tuple(reversed(ids))
+                ids.append(last[node])
+                node = before[node]
+            ids.reverse()
+            out[word] = array("i", ids).tobytes()
             previous = word
         return out
 
@@ -162,115 +191,121 @@ class Encoder:
         self.special = special
         self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True)))
                                         + ")").split if special else lambda chunk: [chunk]
-        self.known: dict[bytes, tuple[int, ...]] = {}
+        self.known: dict[bytes, bytes] = Recent(MAX_CHUNKS)
+        self.words: dict[str, bytes] = Recent(MAX_WORDS)
 
-    def _pieces(self, chunk: str) -> list[str | int]:
-        """The byte-level words of a chunk, special tokens as their ids."""
+    def _pieces(self, chunk: str) -> list[str]:
+        """The byte-level words of a chunk; special tokens as they are, marked by a leading space."""
         if chunk.isascii() and chunk.isalpha():
             return [chunk.lower()]
-        out: list[str | int] = []
+        out: list[str] = []
         for part in self.split_special(chunk):
             if part in self.special:
-                out.append(self.special[part])
+                self.words[" " + part] = array("i", [self.special[part]]).tobytes()
+                out.append(" " + part)
             elif part:
                 out.extend(word for word, _ in self.cut(self.normalise(part)))
         return out
 
     def learn(self, chunks: Iterable[bytes]) -> None:
         """Make sure that every chunk is known."""
-        new = {c for c in chunks if c not in self.known}
+        new = self.known.new(chunks)
         if not new:
             return
         pieces = {c: self._pieces(c.decode("utf-8")) for c in new}
-        words = self.trie.encode_all({p for ps in pieces.values() for p in ps if isinstance(p, str)})
+        words = self.words
+        words.update(self.trie.encode_all(words.new(set(chain.from_iterable(pieces.values())))))
         for chunk, parts in pieces.items():
-            if len(parts) == 1 and isinstance(parts[0], str):
-                self.known[chunk] = words[parts[0]]
-            else:
-                self.known[chunk] = tuple(i for p in parts for i in ((p,) if isinstance(p, int) else words[p]))
+            self.known[chunk] = words[parts[0]] if len(parts) == 1 else b"".join([words[p] for p in parts])
 
     def encode_batch(self, texts: list[bytes | None]) -> pa.ListArray:
         """Ids of UTF-8 texts."""
         chunks = [(t or b"").split() for t in texts]
-        if len(self.known) >= MAX_CHUNKS:
-            self.known.clear()
+        self.known.turn()
+        self.words.turn()
         self.learn(set(chain.from_iterable(chunks)))
-        known, values, ends = self.known, array("i"), [0]
-        for row in chunks:
-            values.extend(chain.from_iterable(map(known.__getitem__, row)))
-            ends.append(len(values))
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
-                                        pa.array(np.frombuffer(values, np.int32) if values else [], pa.int32()))
-
-
-def _parts(column: pa.Array, limit: int) -> Iterator[pa.Array]:
-    """Slices of a text or list array of about ``limit`` bytes or values each (at least one row)."""
-    if len(column):
-        sizes = pc.binary_length(column) if pa.types.is_string(column.type) else pc.list_value_length(column)
-        ends = np.cumsum(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False).astype(np.int64))
-        start, done = 0, 0
-        while start < len(column):
-            stop = max(start + 1, int(np.searchsorted(ends, done + limit, "right")))
-            yield column.slice(start, stop - start)
-            start, done = stop, int(ends[stop - 1])
-
-
-def encode_column(text: Column, path: str) -> Column:
-    """array<int> of token ids of ``text`` under the tokenizer file ``path`` (present on every executor)."""
-
-    @F.arrow_udf("array<int>")
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(path)
-        for batch in batches:
-            parts = [encoder.encode_batch(p.cast(pa.binary()).to_pylist()) for p in _parts(batch, 2 << 20)]
-            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+        known = self.known
+        rows = [b"".join([known[c] for c in row]) for row in chunks]
+        ends = np.cumsum([0, *map(len, rows)]) // 4
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(
+            np.frombuffer(b"".join(rows), np.int32), pa.int32()))
 
-    return encode(text)
 
+@lru_cache(maxsize=2)
+def encoder_of(path: str) -> Encoder:
+    """One encoder a Python worker: Spark reuses workers, so later tasks find the words of earlier ones."""
+    return Encoder(path)
 
-def decode_column(ids: Column, path: str) -> Column:
-    """Text of token ids as the tokenizer file's decoder gives it (special tokens kept).
 
-    A file without a decoder joins its tokens by one space; that case is done on whole Arrow arrays.
-    """
+@lru_cache(maxsize=2)
+def names_of(path: str):
+    """The tokenizer and its token strings by id."""
+    from tokenizers import Tokenizer
 
-    @F.arrow_udf("string")
-    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        from tokenizers import Tokenizer
+    whole = Tokenizer.from_file(path)
+    size = whole.get_vocab_size(with_added_tokens=True)
+    return whole, pa.array([whole.id_to_token(i) or "" for i in range(size)], pa.string())
 
-        whole = Tokenizer.from_file(path)
-        size = whole.get_vocab_size(with_added_tokens=True)
-        names = pa.array([whole.id_to_token(i) or "" for i in range(size)], pa.string())
+
+def decode_array(ids: pa.ListArray, path: str) -> pa.Array:
+    """Texts of lists of token ids as the tokenizer file's decoder gives them, special tokens kept.
+
+    A file without a decoder joins its tokens by one space; that case is done on whole Arrow arrays.
+    """
+    whole, names = names_of(path)
+    if ids.null_count:
+        ids = pc.fill_null(ids, pa.scalar([], ids.type))
+    if whole.decoder is not None:
+        return pa.array(whole.decode_batch(ids.to_pylist(), skip_special_tokens=False), pa.string())
+    ends = np.cumsum([0, *pc.list_value_length(ids).to_pylist()])
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), names.take(ids.flatten())), " ")
+
+
+def _add(df: DataFrame, source: Column, path: str, ids_col: str | None, text_col: str | None) -> DataFrame:
+    """Add ids of a text, or the text of ids, or both in one pass (the text then is that of the new ids)."""
+    workers_import(df.sparkSession)
+    new = [c for c in (ids_col, text_col) if c]
+    kept = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in new], source.alias("_source"))
+    at = len(kept.columns) - 1
+    schema = T.StructType(kept.schema.fields[:-1])
+    if ids_col:
+        schema = schema.add(ids_col, T.ArrayType(T.IntegerType()))
+    if text_col:
+        schema = schema.add(text_col, T.StringType())
+
+    def run(batches):
         for batch in batches:
-            parts = []
-            for part in _parts(batch, 1 << 20):
-                part = pc.fill_null(part, pa.scalar([], part.type)) if part.null_count else part
-                if whole.decoder is None:
-                    text = names.take(part.flatten())
-                    ends = pa.array(np.concatenate([[0], np.cumsum(
-                        pc.list_value_length(part).to_numpy(zero_copy_only=False))]).astype(np.int32), pa.int32())
-                    parts.append(pc.binary_join(pa.ListArray.from_arrays(ends, text), " "))
-                else:
-                    parts.append(pa.array(whole.decode_batch(part.to_pylist(), skip_special_tokens=False),
-                                          pa.string()))
-            yield pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+            for part in slices(batch, at, 2 << 20):
+                columns, last = part.columns[:-1], part.column(at)
+                if ids_col:
+                    last = encoder_of(path).encode_batch(last.cast(pa.binary()).to_pylist())
+                    columns.append(last)
+                if text_col:
+                    columns.append(decode_array(last, path))
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return decode(ids)
+    return kept.mapInArrow(run, schema)
 
 
 def encode(df: DataFrame, path: str, text_col: str = "text", output_col: str = "ids") -> DataFrame:
-    """Add the token ids of ``text_col``."""
-    return df.withColumn(output_col, encode_column(clean_text(text_col), path))
+    """Add the token ids of ``text_col`` under the tokenizer file ``path`` (present on every executor)."""
+    return _add(df, clean_text(text_col), path, output_col, None)
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", output_col: str = "decoded") -> DataFrame:
-    """Add the text of ``ids_col``."""
-    return df.withColumn(output_col, decode_column(F.col(ids_col), path))
+    """Add the text of ``ids_col``; null ids give an empty text."""
+    return _add(df, F.coalesce(F.col(ids_col), F.array().cast("array<int>")), path, None, output_col)
+
+
+def round_trip(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids",
+               output_col: str = "decoded") -> DataFrame:
+    """``encode`` and ``decode`` in one pass, so that the ids needn't go to Python again."""
+    return _add(df, clean_text(text_col), path, ids_col, output_col)
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
-    coded = decode(encode(docs.select("doc_id", "text"), path), path).select("doc_id", "ids", "decoded")
+    coded = round_trip(docs.select("doc_id", "text"), path).select("doc_id", "ids", "decoded")
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
