@@ -115,3 +115,49 @@ def map_texts(df: DataFrame, keys: list[str], text_col: str, schema: str,
                 yield work(part)
 
     return df.select(*keys, clean_text(text_col).alias("_text")).mapInArrow(run, schema)
+
+
+class Bitmap:
+    """A bit map of fixed size over rows of integer columns: surely has what was put in, and mostly nothing
+    else.  It only spares work; an exact join must follow."""
+
+    BITS = 1 << 26
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+
+    @staticmethod
+    def of(df: DataFrame, *cols: str) -> Bitmap:
+        """From the rows of ``df``; tasks make one map each slice, and maps of BITS bits are merged by ``or``
+        word by word, so 8 MB at most reach the driver."""
+        def run(batches):
+            for batch in batches:
+                slots = np.unique(Bitmap.slots(*[c.to_numpy() for c in batch.columns]))
+                words, start = np.unique(slots >> 6, return_index=True)
+                bits = np.left_shift(np.int64(1), slots & 63)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(words), pa.array(np.bitwise_or.reduceat(bits, start) if len(bits) else bits)],
+                    ["w", "bits"])
+
+        workers_import(df.sparkSession)
+        got = df.select(*cols).mapInArrow(run, "w long, bits long").groupBy("w").agg(
+            F.bit_or("bits").alias("bits")).toArrow()
+        out = np.zeros(Bitmap.BITS // 64, np.int64)
+        out[got["w"].to_numpy()] = got["bits"].to_numpy()
+        return Bitmap(out)
+
+    @staticmethod
+    def slots(*columns: np.ndarray) -> np.ndarray:
+        """Two bit positions of each row, one after the other."""
+        out = []
+        for seed in (901, 902):
+            key = np.zeros(len(columns[0]), np.uint64)
+            for c in columns:
+                key = mix(key ^ np.ascontiguousarray(c, np.int64).view(np.uint64), seed)
+            out.append((key >> np.uint64(38)).astype(np.int64))
+        return np.concatenate(out)
+
+    def has(self, *columns: np.ndarray) -> np.ndarray:
+        slots = self.slots(*columns)
+        hit = (self.bits[slots >> 6] >> (slots & 63)) & 1
+        return (hit[:len(hit) // 2] & hit[len(hit) // 2:]).astype(bool)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, exact_dedup, html_extract, minhash, quality_gbdt, quality_rules, toxicity
+from . import chat, exact_dedup, html_extract, minhash, quality_gbdt, quality_rules, substring, toxicity
 from .common import table
 
 
@@ -35,6 +35,10 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.report(table(spark, sf_dir, "documents"))
 
 
+def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.report(table(spark, sf_dir, "documents"))
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.report(table(spark, sf_dir, "conversations"))
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_html_extract": op4_html_extract,
     "op5_minhash": op5_minhash,
+    "op6_substring": op6_substring,
     "op7_chat": op7_chat,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality": op9_quality,
