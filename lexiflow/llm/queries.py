@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, exact_dedup, html_extract, minhash, quality_gbdt, quality_rules, substring, toxicity
+from . import chat, exact_dedup, html_extract, minhash, mixing, quality_gbdt, quality_rules, substring, toxicity
 from .common import table
 
 
@@ -23,6 +23,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_mixing": op2_mixing,
     "op3_quality_rules": op3_quality_rules,
     "op4_html_extract": op4_html_extract,
     "op5_minhash": op5_minhash,
