@@ -132,7 +132,9 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     kind = docs.schema[id_col].dataType.simpleString()
     got = map_texts(rows, [id_col, "label"], "t", f"id {kind}, label double, x array<double>", make).groupBy(
         "id").agg(F.min(F.struct("label", "x")).alias("r")).select("id", "r.*").toArrow().sort_by("id")
-    x = np.array(got["x"].to_pylist(), float).reshape(got.num_rows, -1)
+    if not got.num_rows:
+        return fit(np.zeros((0, 1)), np.zeros(0), **options)
+    x = np.array(got["x"].to_pylist(), float)
     return fit(x, got["label"].to_numpy().astype(float), **options)
 
 
