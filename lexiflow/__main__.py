@@ -17,7 +17,7 @@ def main(argv=None):
     p.add_argument("--val", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--sep", default=";")
-    p.add_argument("--malformed", default="drop", choices=["keep", "drop", "fail"])
+    p.add_argument("--malformed", default="fail", choices=["keep", "drop", "fail"])
     p.add_argument("--lemmas", default=None, help="Parquet table (form, lemma)")
     p.add_argument("--weights", default="share", choices=["share", "inverse"])
     p.add_argument("--mode", default="errorifexists")
@@ -25,6 +25,7 @@ def main(argv=None):
     s.add_argument("--features", required=True)
     s.add_argument("--out", required=True)
     s.add_argument("--classifiers", default="svm,lr,nb")
+    s.add_argument("--feature-sets", default="G1,G2,G3,G4")
     s.add_argument("--orientation", default="right", choices=["right", "swapped"])
     t = sub.add_parser("tune", help="cross-validated grid search of the one-vs-rest SVM")
     t.add_argument("--features", required=True)
@@ -39,7 +40,7 @@ def main(argv=None):
                                args.lemmas, args.weights, mode=args.mode)
     elif args.cmd == "select":
         res = jobs.select_job(spark, args.features, args.out, tuple(args.classifiers.split(",")),
-                              args.orientation)
+                              tuple(args.feature_sets.split(",")), args.orientation)
         out = [r.asDict() for r in res.collect()]
     else:
         out = jobs.tune_job(spark, args.features, args.feature_set, args.folds)

@@ -7,14 +7,9 @@ The label index is fitted once, on training rows, and applied to every split
 from __future__ import annotations
 
 from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Class tables are collected to build literal expressions; refuse anything
-# that is not plainly a set of classes.
-MAX_CLASSES = 10_000
-
-
 def fit_label_index(df: DataFrame, input_col: str, output_col: str = "label",
                     handle_invalid: str = "error") -> StringIndexerModel:
     """Ids by descending frequency, ties by label ascending (``frequencyDesc``).
@@ -56,58 +51,35 @@ def class_weights(df: DataFrame, label_col: str = "label", scheme: str = "share"
     ``inverse`` = N / (k * n_c) (balances the classes).
     """
     counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n"))
-    # The grouped table has one row per class, so a global window is cheap.
-    everything = Window.partitionBy()
-    counts = counts.withColumn("total", F.sum("n").over(everything)) \
-                   .withColumn("k", F.count(F.lit(1)).over(everything))
-    if scheme == "share":
-        w = F.col("n") / F.col("total")
-    elif scheme == "inverse":
-        w = F.col("total") / (F.col("k") * F.col("n"))
-    else:
+    if scheme not in ("share", "inverse"):
         raise ValueError("scheme must be 'share' or 'inverse'")
+    total, k = counts.agg(F.sum("n"), F.count(F.lit(1))).first()  # two numbers
+    w = F.col("n") / F.lit(total) if scheme == "share" else F.lit(total) / (F.lit(k) * F.col("n"))
     return counts.select(label_col, "n", w.cast("double").alias(weight_col))
 
 
-def _collect_small(df: DataFrame, what: str) -> list:
-    rows = df.limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{what} has more than {MAX_CLASSES} rows; not a class table")
-    return rows
-
-
-def weight_expr(weights: dict, label: Column, default="last") -> Column:
-    """CASE expression mapping class id -> weight.
+def apply_class_weight(df: DataFrame, weights: DataFrame | dict, label_col: str = "label",
+                       weight_col: str = "weight", default="last") -> DataFrame:
+    """Add ``weight_col`` by a join with a class-weight table (label, weight), of any number of classes.
 
     ``default='last'`` reproduces the reference: every other value, null
     included, takes the weight of the highest class id.  A number or None sets
     the fallback explicitly.
     """
-    if not weights:
-        raise ValueError("empty weight table")
-    keys = sorted(weights)
-    fallback = weights[keys[-1]] if default == "last" else default
-    expr = None
-    for k in keys:
-        cond = label == F.lit(k)
-        expr = F.when(cond, F.lit(float(weights[k]))) if expr is None else \
-            expr.when(cond, F.lit(float(weights[k])))
-    return expr.otherwise(F.lit(fallback).cast("double"))
-
-
-def apply_class_weight(df: DataFrame, weights: DataFrame | dict, label_col: str = "label",
-                       weight_col: str = "weight", default="last") -> DataFrame:
-    """Add ``weight_col`` from a class-weight table (folded into a literal CASE)."""
-    if isinstance(weights, DataFrame):
-        rows = _collect_small(weights.select(label_col, weight_col), "weight table")
-        weights = {r[0]: r[1] for r in rows}
-    return df.withColumn(weight_col, weight_expr(weights, F.col(label_col), default))
+    if isinstance(weights, dict):
+        if not weights:
+            raise ValueError("empty weight table")
+        weights = df.sparkSession.createDataFrame([(k, float(v)) for k, v in sorted(weights.items())],
+                                                  f"{label_col} int, {weight_col} double")
+    table = weights.select(F.col(label_col).alias("_class"), F.col(weight_col).alias("_weight"))
+    fallback = default
+    if default == "last":
+        fallback = table.agg(F.max_by("_weight", "_class")).first()[0]  # one number
+    out = df.drop(weight_col).join(table, F.col(label_col) == F.col("_class"), "left")
+    return out.withColumn(weight_col, F.coalesce("_weight", F.lit(fallback).cast("double"))).drop("_class", "_weight")
 
 
 def distinct_labels(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Distinct values across the given id columns, sorted (e.g. label and prediction)."""
-    parts = [df.select(F.col(c).cast("double").alias("id")) for c in cols]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.distinct().orderBy("id")
+    """Distinct values across the given id columns, sorted (e.g. label and prediction); one scan."""
+    values = F.array(*[F.col(c).cast("double") for c in cols])
+    return df.select(F.explode(values).alias("id")).distinct().orderBy("id")

@@ -5,97 +5,84 @@ lemma table is data: each space-separated token is looked up, unknown tokens
 stay as they are, and the tokens are joined back with single spaces, so
 spacing (and the empty tokens of double spaces) is preserved exactly.
 
-The plan depends on sizes that are counted, never assumed:
-
-1. A table of at most ``map_limit`` forms becomes a literal map, and the
-   lookup is a ``transform`` over the token array: no join, no shuffle.
-   Spark looks keys up in a map value by scanning them, so this plan is
-   kept to small tables.
-2. Otherwise the table is first reduced to the forms that occur in the
-   corpus: distinct corpus tokens (partial aggregation collapses hot tokens
-   in each task) semi-joined with the table (both sides distinct, so no key
-   is skewed).  A reduced table within ``map_limit`` takes plan 1.
-3. A reduced table within ``broadcast_limit`` is broadcast to the exploded
-   tokens; beyond that it is a shuffle join, where AQE's skew handling
-   splits a hot token's partition.  Texts are rebuilt per row key in token
-   order (a group is one document).  The reduced table is checkpointed once,
-   so the corpus is scanned once for it.
+There is one plan, whatever the sizes:
+
+1. The frame is written once with a row number (``checkpoint``: the number is
+   fixed and the text is not cleaned again).
+2. Each row's *different* non-empty tokens are joined with the table by a
+   sort-merge join on (form, salt); the salt deals a form that occurs in most
+   rows out to ``SALTS`` tasks.
+3. Only matched pairs go back to their rows, as one map a row, and the token
+   array is transformed in place.  Texts themselves are never shuffled by
+   token.
+
+The lookup in a row's map is a scan, so a row costs (tokens x matched forms).
+
+Null forms, null lemmas and forms that are their own lemma change nothing and
+are dropped from the table first; a form listed several times keeps its
+smallest lemma.  A null text stays null, an empty one empty; rows may repeat.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import join_tokens
 from ..session import ensure_checkpoint_dir
 
-MAP_LIMIT = 256
-BROADCAST_LIMIT = 2_000_000
+SALTS = 8
 
 
-def lemmatize(df: DataFrame, lemmas: DataFrame, text_col: str, output_col: str | None = None,
-              form_col: str = "form", lemma_col: str = "lemma", key_cols: list[str] | None = None,
-              map_limit: int = MAP_LIMIT, broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Replace each token of ``text_col`` by its lemma; output in ``output_col``.
-
-    ``key_cols`` must identify a row; they are needed only when the table is
-    too large for the map plan.  Forms repeated in the table keep their
-    smallest lemma.
-    """
-    output_col = output_col or text_col
-    table = lemmas.groupBy(F.col(form_col).alias("form")).agg(F.min(lemma_col).alias("lemma"))
-    small = _collect_if_small(table, map_limit)
-    if small is not None:
-        return _lemmatize_with_map(df, small, text_col, output_col)
-    present = df.select(F.explode(_tokens(text_col)).alias("form")).distinct()
-    # Written once to the checkpoint folder: the size checks and the join
-    # below read the small result instead of rescanning the corpus.
-    ensure_checkpoint_dir(df.sparkSession)
-    reduced = table.join(present, "form", "left_semi").checkpoint(eager=True)
-    small = _collect_if_small(reduced, map_limit)
-    if small is not None:
-        return _lemmatize_with_map(df, small, text_col, output_col)
-    if not key_cols:
-        raise ValueError("key_cols are needed to lemmatize with a large table")
-    n = reduced.count()
-    lookup = F.broadcast(reduced) if n <= broadcast_limit else reduced
-    return _lemmatize_with_join(df, lookup, text_col, output_col, key_cols)
-
-
-def _tokens(text_col: str):
+def tokens(text_col: str) -> Column:
     return F.split(F.col(text_col), " ", -1)
 
 
-def _collect_if_small(table: DataFrame, limit: int):
-    if limit <= 0:
-        return None
-    rows = table.limit(limit + 1).collect()
-    return rows if len(rows) <= limit else None
-
-
-def _lemmatize_with_map(df, rows, text_col, output_col):
-    if not rows:
-        return df.withColumn(output_col, F.col(text_col))
-    forms = F.array(*[F.lit(r["form"]) for r in rows])
-    values = F.array(*[F.lit(r["lemma"]) for r in rows])
-    table = F.map_from_arrays(forms, values)
-    mapped = F.transform(_tokens(text_col), lambda t: F.coalesce(F.try_element_at(table, t), t))
-    return df.withColumn(output_col, F.array_join(mapped, " "))
-
-
-def _lemmatize_with_join(df, table, text_col, output_col, key_cols):
-    # One shuffle of the rows by key; the token explode, the lookup (broadcast
-    # or sort-merge on form), the regroup by key and the join back then reuse
-    # that partitioning instead of shuffling tokens and rows separately.
-    df = df.repartition(*[F.col(k) for k in key_cols])
-    tokens = df.select(*[F.col(k) for k in key_cols],
-                       F.posexplode_outer(_tokens(text_col)).alias("pos", "form"))
-    looked = tokens.join(table, on="form", how="left") \
-                   .select(*key_cols, "pos", F.coalesce("lemma", "form").alias("tok"))
-    rebuilt = looked.groupBy(*key_cols).agg(
-        F.array_sort(F.collect_list(F.struct("pos", "tok"))).alias("_toks"))
-    rebuilt = rebuilt.select(*key_cols, F.array_join(F.transform("_toks", lambda s: s["tok"]), " ")
-                             .alias("_lemmatized"))
-    out = df.join(rebuilt, on=key_cols, how="left")
-    value = F.when(F.col(text_col).isNull(), F.lit(None)).otherwise(F.col("_lemmatized"))
-    return out.withColumn(output_col, value).drop("_lemmatized")
+def lemma_pairs(lemmas: DataFrame, form_col: str = "form", lemma_col: str = "lemma") -> DataFrame:
+    """The table's useful rows: one (form, lemma) per form, form <> lemma."""
+    named = lemmas.select(F.col(form_col).alias("form"), F.col(lemma_col).alias("lemma"))
+    return named.filter("form IS NOT NULL AND lemma IS NOT NULL").groupBy("form").agg(
+        F.min("lemma").alias("lemma")).filter("form <> lemma")
+
+
+def lemmatize(df: DataFrame, lemmas: DataFrame, text_col: str, output_col: str | None = None,
+              form_col: str = "form", lemma_col: str = "lemma") -> DataFrame:
+    """Replace each token of ``text_col`` by its lemma; output in ``output_col``."""
+    output_col = output_col or text_col
+    ensure_checkpoint_dir(df.sparkSession)
+    frame = df.withColumn("_row", F.monotonically_increasing_id()).checkpoint(eager=True)
+    present = F.array_remove(F.array_distinct(tokens(text_col)), "")
+    pairs = frame.select("_row", F.explode(present).alias("form")).withColumn(
+        "_salt", F.pmod(F.xxhash64("_row"), F.lit(SALTS)).cast("int"))
+    table = lemma_pairs(lemmas, form_col, lemma_col).withColumn(
+        "_salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+    matched = pairs.join(table.hint("merge"), ["form", "_salt"]).groupBy("_row").agg(
+        F.map_from_entries(F.collect_list(F.struct("form", "lemma"))).alias("_lemmas"))
+    out = frame.join(matched.hint("merge"), "_row", "left")
+    changed = F.transform(tokens(text_col), lambda t: F.coalesce(F.element_at("_lemmas", t), t))
+    value = F.when(F.col("_lemmas").isNull(), F.col(text_col)).otherwise(join_tokens(changed))
+    return out.withColumn(output_col, value).select(*df.columns, *([output_col] if output_col not in df.columns else []))
+
+
+# English suffix rules in order (pattern, replacement) and exceptions.
+SUFFIX_RULES = (("^(.{2,})sses$", "$1ss"), ("^(.{2,})ies$", "$1y"), ("^(.{3,})ing$", "$1"), ("^(.{3,})ed$", "$1"),
+                ("^(.{2,}[^su])s$", "$1"))
+EXCEPTIONS = {"was": "be", "were": "be", "been": "be", "has": "have", "had": "have", "does": "do", "did": "do",
+              "children": "child", "men": "man", "women": "woman", "feet": "foot", "mice": "mouse",
+              "thing": "thing", "string": "string", "this": "this", "during": "during"}
+
+
+def rule_lemma(form: Column) -> Column:
+    """Lemma of a form: an exception, else the first suffix rule that fits, else the form."""
+    out = form
+    for pattern, replacement in reversed(SUFFIX_RULES):
+        out = F.when(form.rlike(pattern), F.regexp_replace(form, pattern, replacement)).otherwise(out)
+    for word, lemma in EXCEPTIONS.items():
+        out = F.when(form == word, F.lit(lemma)).otherwise(out)
+    return out
+
+
+def rule_table(df: DataFrame, text_col: str) -> DataFrame:
+    """A lemma table for the distinct tokens of a corpus, by suffix rules and exceptions."""
+    forms = df.select(F.explode(F.array_distinct(tokens(text_col))).alias("form")).filter("form <> ''").distinct()
+    return forms.select("form", rule_lemma(F.col("form")).alias("lemma")).filter("form <> lemma")

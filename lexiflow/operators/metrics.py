@@ -78,6 +78,28 @@ def per_class_metrics(df: DataFrame, label_col: str = "label", prediction_col: s
                       f_measure(p, r, beta).alias("f_measure"))
 
 
+def metrics_by_orientation(df: DataFrame, label_col: str = "label", prediction_col: str = "prediction") -> DataFrame:
+    """``weighted_metrics`` for both orientations (column ``orientation``), from one scan of the pairs."""
+    cells = confusion_long(df, label_col, prediction_col)
+    both = cells.select(F.explode(F.array(
+        F.struct(F.lit("right").alias("orientation"), "label", "prediction", "n"),
+        F.struct(F.lit("swapped").alias("orientation"), F.col("prediction").alias("label"),
+                 F.col("label").alias("prediction"), "n"))).alias("c")).select("c.*")
+    each = both.select("orientation", F.explode(F.array(
+        F.struct(F.col("label").alias("class"), F.col("n").cast("double").alias("act"), F.lit(0.0).alias("pred"),
+                 F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0).cast("double").alias("tp")),
+        F.struct(F.col("prediction").alias("class"), F.lit(0.0).alias("act"), F.col("n").cast("double").alias("pred"),
+                 F.lit(0.0).alias("tp")))).alias("c")).select("orientation", "c.*")
+    per = each.groupBy("orientation", "class").agg(F.sum("act").alias("a"), F.sum("pred").alias("p"), F.sum("tp").alias("tp"))
+    p, r = _safe_div(F.col("tp"), F.col("p")), _safe_div(F.col("tp"), F.col("a"))
+    total = F.sum("a")
+    return per.groupBy("orientation").agg(
+        _safe_div(F.sum(F.col("a") * p), total).alias("precision"),
+        _safe_div(F.sum(F.col("a") * r), total).alias("recall"),
+        _safe_div(F.sum(F.col("a") * f_measure(p, r)), total).alias("f1Score"),
+        _safe_div(F.sum("tp"), total).alias("accuracy"))
+
+
 def weighted_metrics(df: DataFrame, label_col: str = "label", prediction_col: str = "prediction",
                      weight_col: str | None = None, orientation: str = "right",
                      beta: float = 1.0) -> DataFrame:

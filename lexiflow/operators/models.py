@@ -66,15 +66,7 @@ def make_classifier(name: str, features_col: str, label_col: str = "label",
     raise ValueError(f"unknown classifier {name!r}; one of {CLASSIFIERS}")
 
 
-# Rows per partition of a training frame.  Iterative solvers run one
-# tree-aggregate job per iteration, and every partition and tree level costs
-# scheduling time; a few hundred MB of sparse rows per task keeps the
-# per-iteration overhead down without making tasks too large.
-ROWS_PER_PARTITION = 100_000
-
-
 def materialize(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
-                rows_per_partition: int | None = ROWS_PER_PARTITION,
                 cut_lineage: bool = True) -> DataFrame:
     """Persist and fill the cache now, so a timed fit measures the fit alone.
 
@@ -82,25 +74,14 @@ def materialize(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DIS
     (``checkpoint()``, a reliable shared folder on a cluster): a lost
     executor's blocks are re-read instead of recomputed through the feature
     pipeline, and every solver iteration ships a short lineage instead of
-    the whole feature plan.  The cached frame is then narrowed (``coalesce``,
-    no shuffle) to about one partition per ``rows_per_partition`` rows,
-    never more than it had; the narrowed frame is itself the persisted one,
-    so estimators that cache an uncached input (``OneVsRest``) see it as
-    cached.
+    the whole feature plan.  Partitions stay as they are.
     """
     if cut_lineage:
         ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
-    base = df.persist(level)
-    n = base.count()
-    if rows_per_partition:
-        want = max(1, -(-n // rows_per_partition))
-        if want < base.rdd.getNumPartitions():
-            narrow = base.coalesce(want).persist(level)
-            narrow.count()
-            base.unpersist(blocking=False)
-            return narrow
-    return base
+    cached = df.persist(level)
+    cached.count()
+    return cached
 
 
 def release(df: DataFrame) -> None:

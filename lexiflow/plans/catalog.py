@@ -7,14 +7,13 @@ to 6 places on both sides.
 
 Fitted models (vocabulary, IDF, label index) are memoised per session and
 data folder: they are small driver-side objects (at most ``vocab_size``
-entries), and several queries share them.
+entries), and several queries share them; a changed table makes new ones.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,11 +21,11 @@ from ..functions.text import clean_text, drop_short_words, keep_letters, strip_t
 from ..operators import labels as L
 from ..operators import metrics as M
 from ..operators import profile as P
-from ..operators.features import (chi2_statistics, idf_table, stop_words_remover, tokenizer,
-                                  vector_to_long, vocabulary)
-from ..operators.lemma import lemmatize
+from ..operators.features import (chi2_selector, chi2_statistics, idf_table, sparse_entries, stop_words_remover,
+                                  tokenizer, vector_to_long, vocabulary)
+from ..operators.lemma import lemmatize, rule_table
 from ..operators.models import fit_timed, make_classifier, materialize, predict, release
-from ..session import work_path
+from ..session import ensure_checkpoint_dir, work_path
 from ..sources.parquet import read_feature_set, write_feature_set
 from ..sources.tables import read_table
 from ..sources.text import parse_labeled_lines
@@ -44,9 +43,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+#: Partitions that text tables are dealt into when read; None leaves them as stored.
+READ_PARTITIONS: int | None = None
+
+
 def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose text is processed per row: spread over the cores if it arrives in too few partitions."""
-    return read_table(spark, os.path.join(sf_dir, f"{name}.parquet"))
+    """A table whose text is processed per row."""
+    return read_table(spark, os.path.join(sf_dir, f"{name}.parquet"), READ_PARTITIONS)
 
 
 def r6(c) -> F.Column:
@@ -61,17 +64,6 @@ def labeled_docs(spark, sf_dir, text_work: bool = True) -> DataFrame:
     return assign_split(documents_as_labeled(docs), "doc_id")
 
 
-def lemma_rule_table(frame: DataFrame, clean_col: str = "text_c") -> DataFrame:
-    """A lemma table derived from the data: forms ending in ``ing`` -> the form without it.
-
-    Stands in for a real lemma list (which is a parameter of ``lemmatize``); it
-    grows with the corpus, so both the map and the join plan get exercised.
-    """
-    toks = frame.select(F.explode(F.split(F.col(clean_col), " ", -1)).alias("form")).distinct()
-    toks = toks.filter(F.col("form").rlike("^[a-z]{3,}ing$"))
-    return toks.select("form", F.expr("substring(form, 1, length(form) - 3)").alias("lemma"))
-
-
 class _State:
     """Prepared frame + fitted feature sets for one (session, folder)."""
 
@@ -79,7 +71,10 @@ class _State:
         self.spark = spark
         self.sf_dir = sf_dir
         self.docs = labeled_docs(spark, sf_dir)
-        self.prepared = prepare(self.docs, persist=True)
+        cleaned = self.docs.select(clean_text("text").alias("text_c"))
+        ensure_checkpoint_dir(spark)
+        self.lemmas = rule_table(cleaned, "text_c").checkpoint(eager=True)
+        self.prepared = prepare(self.docs, lemmas=self.lemmas, persist="checkpoint")
         self._models = {}
 
     def models(self, *names):
@@ -101,15 +96,44 @@ class _State:
 
 
 _STATES: dict = {}
+_MEMO: dict = {}
+
+
+def _stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """Size and change times of the tables that states are made from, by Spark's own file systems."""
+    out = []
+    for name in ("documents", "labels"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(sf_dir, f"{name}.parquet"))
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(path):
+            newest = max(f.getModificationTime() for f in fs.listStatus(path))
+            out.append((name, fs.getContentSummary(path).getLength(), newest))
+    return tuple(out)
+
+
+def _key(spark, sf_dir) -> tuple:
+    """What memos belong to; those of older versions of the same folder are dropped."""
+    session = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    stamp = _stamp(spark, sf_dir)
+    for memo in (_STATES, _MEMO):
+        for old in [k for k in memo if k[0][0] == session and k[0][1] != stamp]:
+            del memo[old]
+    return session, stamp
 
 
 def state(spark: SparkSession, sf_dir: str) -> _State:
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (_key(spark, sf_dir),)
     if key not in _STATES:
         _STATES[key] = _State(spark, sf_dir)
     return _STATES[key]
 
 
+def release_states() -> None:
+    """Forget all states and results; their checkpoint files go with Spark's cleaner."""
+    _STATES.clear()
+    _MEMO.clear()
+
+
 # ---------------------------------------------------------------- sources
 
 def q_parse_labeled_line(spark, sf_dir):
@@ -132,7 +156,7 @@ def q_feature_roundtrip(spark, sf_dir):
     for name in (TRAIN, TEST, VAL):
         # Reading one split prunes the other partitions at planning time.
         back = read_feature_set(spark, path, name)
-        nnz = F.size(F.filter(vector_to_array("rawFeatures"), lambda v: v != 0.0))
+        nnz = F.size(sparse_entries("rawFeatures"))
         parts.append(back.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"),
                                                F.sum(nnz).cast("bigint").alias("nnz")))
     out = parts[0]
@@ -165,8 +189,7 @@ def q_clean_text(spark, sf_dir):
 
 def q_lemmatize(spark, sf_dir):
     docs = text_table(spark, sf_dir, "documents").select("doc_id", clean_text("text").alias("text_c"))
-    lemmas = lemma_rule_table(docs)
-    return lemmatize(docs, lemmas, "text_c", "lemmatized", key_cols=["doc_id"]).select("doc_id", "lemmatized")
+    return lemmatize(docs, rule_table(docs, "text_c"), "text_c", "lemmatized").select("doc_id", "lemmatized")
 
 
 def _tokens(spark, sf_dir, clean: bool):
@@ -243,8 +266,7 @@ def q_drop_null_rows(spark, sf_dir):
 
 def q_label_names(spark, sf_dir):
     st = state(spark, sf_dir)
-    held = st.frame.filter(~is_split(TRAIN)).select("doc_id", "label")
-    return L.label_names(held, st.prepared.indexer, "label", "name")
+    return L.label_names(st.frame.select("doc_id", "label"), st.prepared.indexer, "label", "name")
 
 
 def q_preview(spark, sf_dir):
@@ -289,10 +311,9 @@ def q_distinct_labels(spark, sf_dir):
 
 
 def q_union_results(spark, sf_dir):
-    pairs = _pairs(spark, sf_dir)
-    frames = [M.weighted_metrics(pairs, orientation=o).withColumn("orientation", F.lit(o))
-              for o in M.ORIENTATIONS]
-    return _round_all(X.union_results(frames))
+    ensure_checkpoint_dir(spark)
+    both = M.metrics_by_orientation(_pairs(spark, sf_dir)).checkpoint(eager=True)  # two rows
+    return _round_all(X.union_results([both.filter(F.col("orientation") == o) for o in M.ORIENTATIONS]))
 
 
 # ---------------------------------------------------------------- features (long form)
@@ -334,12 +355,14 @@ def q_tfidf(spark, sf_dir):
     return _g1_long(spark, sf_dir, "featuresIDF").select("doc_id", "feature", r6("value").alias("tfidf"))
 
 
+def _entry_sum(col: str) -> F.Column:
+    return F.aggregate(sparse_entries(col), F.lit(0.0), lambda acc, e: acc + e["value"])
+
+
 def _doc_summary(feats: DataFrame, col: str) -> DataFrame:
-    arr = vector_to_array(F.col(col))
     return feats.select(
         "doc_id", "split", "label", r6("weight").alias("weight"),
-        F.size(F.filter(arr, lambda v: v != 0.0)).cast("bigint").alias("nnz"),
-        r6(F.aggregate(arr, F.lit(0.0), lambda acc, v: acc + v)).alias("total"))
+        F.size(sparse_entries(col)).cast("bigint").alias("nnz"), r6(_entry_sum(col)).alias("total"))
 
 
 def q_features_clean_tfidf(spark, sf_dir):
@@ -361,7 +384,7 @@ def q_hashed_bigram_totals(spark, sf_dir):
     st = state(spark, sf_dir)
     (g4,) = st.models("G4")
     feats = g4.transform(st.frame)
-    total = F.aggregate(vector_to_array("rawFeatures"), F.lit(0.0), lambda a, v: a + v)
+    total = _entry_sum("rawFeatures")
     return feats.select("doc_id", total.cast("bigint").alias("n_bigrams"))
 
 
@@ -370,41 +393,54 @@ def q_features_hashed_bigrams(spark, sf_dir):
     st = state(spark, sf_dir)
     (g4,) = st.models("G4")
     feats = g4.transform(st.frame)
-    total = F.aggregate(vector_to_array("rawFeatures"), F.lit(0.0), lambda a, v: a + v)
+    total = _entry_sum("rawFeatures")
     return feats.groupBy("split").agg(F.count(F.lit(1)).alias("n_docs"),
                                       F.sum(total).cast("bigint").alias("n_bigrams"))
 
 
-def q_chi2_statistic(spark, sf_dir):
-    """Chi-square statistic and degrees of freedom per G3 feature on training rows."""
+def _chi2(spark, sf_dir, fs):
     st = state(spark, sf_dir)
-    (g3,) = st.models("G3")
-    train = g3.transform(st.frame.filter(is_split(TRAIN))).select(
-        F.col("label").cast("double").alias("label"), "featuresIDF")
-    stats = chi2_statistics(train, "featuresIDF", "label")
-    return stats.select(F.col("featureIndex").alias("feature"),
-                        F.col("degreesOfFreedom").cast("bigint").alias("dof"),
-                        r6("statistic").alias("statistic"))
+    (model,) = st.models(fs)
+    train = model.transform(st.frame.filter(is_split(TRAIN)))
+    return chi2_statistics(train, "featuresIDF", "label", num_features_of(model, fs)), model
+
+
+def q_chi2_statistic(spark, sf_dir):
+    """Chi-square statistic, degrees of freedom and log p-value per G3 feature on training rows."""
+    stats, _ = _chi2(spark, sf_dir, "G3")
+    return stats.select("feature", "dof", r6("statistic").alias("statistic"), F.round("log_p", 4).alias("log_p"))
+
+
+def _selected(spark, sf_dir, indices):
+    (g1,) = state(spark, sf_dir).models("G1")
+    vocab = vocabulary_of(g1)
+    return spark.createDataFrame([(int(i), vocab[i]) for i in indices], "feature int, term string")
 
 
 def q_chi2_selection(spark, sf_dir):
     """The features kept by the chi-square selector on G1 (index, term)."""
+    (g2,) = state(spark, sf_dir).models("G2")
+    return _selected(spark, sf_dir, g2.stages[-1].getIndices())
+
+
+def _by_statistic(spark, sf_dir):
     st = state(spark, sf_dir)
-    g1, g2 = st.models("G1", "G2")
-    vocab = vocabulary_of(g1)
-    sel = g2.stages[-1].selectedFeatures
-    return spark.createDataFrame([(int(i), vocab[i]) for i in sel], "feature int, term string")
+    (g1,) = st.models("G1")
+    feats = g1.transform(st.frame)
+    return chi2_selector("featuresIDF", "features", "label", 300, rank_by="statistic").fit(
+        feats.filter(is_split(TRAIN))), feats
 
 
 def q_chi2_selection_by_statistic(spark, sf_dir):
     """M10 option: 300 G1 features with the largest statistic per degree of freedom."""
-    from ..operators.features import chi2_selector
-    st = state(spark, sf_dir)
-    (g1,) = st.models("G1")
-    train = g1.transform(st.frame.filter(is_split(TRAIN)))
-    slicer = chi2_selector("featuresIDF", "features", "label", 300, rank_by="statistic").fit(train)
-    vocab = vocabulary_of(g1)
-    return spark.createDataFrame([(int(i), vocab[i]) for i in slicer.getIndices()], "feature int, term string")
+    slicer, _ = _memo(spark, sf_dir, "chi2-by-statistic", _by_statistic)
+    return _selected(spark, sf_dir, slicer.getIndices())
+
+
+def q_features_chi2_by_statistic(spark, sf_dir):
+    """G2 option per document: selection by statistic per degree of freedom."""
+    slicer, feats = _memo(spark, sf_dir, "chi2-by-statistic", _by_statistic)
+    return _doc_summary(slicer.transform(feats), "features")
 
 
 def q_features_chi2(spark, sf_dir):
@@ -451,6 +487,63 @@ def q_nb_predict(spark, sf_dir):
     return _fit_predict(spark, sf_dir, "nb")[1].select("doc_id", "split", "prediction")
 
 
+def _scores(model, clf, entries: DataFrame) -> DataFrame:
+    """(doc_id, scores): one score a class from a fitted model's coefficients and (doc_id, feature, value) rows."""
+    spark = entries.sparkSession
+    if clf == "mlp":
+        n, hidden, k = model.getLayers() if hasattr(model, "getLayers") else model.layers
+        w = model.weights.toArray().tolist()
+        first = [[w[i * hidden + h] for h in range(hidden)] for i in range(n)]
+        bias = w[n * hidden:n * hidden + hidden]
+        at = (n + 1) * hidden
+        second = [[w[at + h * k + c] for c in range(k)] for h in range(hidden)]
+        out_bias = w[at + hidden * k:at + hidden * k + k]
+    else:
+        if clf == "svm":
+            rows = [(m.coefficients.toArray().tolist(), float(m.intercept)) for m in model.models]
+        else:
+            matrix, shift = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
+            rows = [(r.tolist(), float(b)) for r, b in zip(matrix, shift)]
+        first, bias = [list(c) for c in zip(*[r[0] for r in rows])], [r[1] for r in rows]
+    table = spark.createDataFrame([(i, c) for i, c in enumerate(first)], "feature int, w array<double>")
+    summed = entries.join(table, "feature").groupBy("doc_id").agg(
+        *[F.sum(F.col("value") * F.get("w", F.lit(j))).alias(f"z{j}") for j in range(len(bias))])
+    sums = [F.coalesce(f"z{j}", F.lit(0.0)) + F.lit(b) for j, b in enumerate(bias)]
+    if clf == "mlp":
+        act = [1 / (1 + F.exp(-z)) for z in sums]
+        sums = [sum((a * F.lit(second[h][c]) for h, a in enumerate(act)), F.lit(out_bias[c])) for c in range(k)]
+    return summed.select("doc_id", F.array(*sums).alias("scores"))
+
+
+def _check_predictions(spark, sf_dir, clf):
+    """(doc_id, split, label, ok): the prediction has the highest score recomputed from the coefficients."""
+    st = state(spark, sf_dir)
+    (g3,) = st.models("G3")
+    model, preds = _fit_predict(spark, sf_dir, clf)
+    held = g3.transform(st.frame.filter(~is_split(TRAIN)))
+    scores = _scores(model, clf, vector_to_long(held, "featuresIDF", ["doc_id"], "feature", "value"))
+    best = preds.join(scores, "doc_id", "left")
+    ok = F.coalesce(F.get("scores", F.col("prediction").cast("int")) >= F.array_max("scores") - 1e-9, F.lit(True))
+    return best.select("doc_id", "split", "label", ok.alias("ok"))
+
+
+def q_svm_predict_checked(spark, sf_dir):
+    return _check_predictions(spark, sf_dir, "svm")
+
+
+def q_logreg_predict_checked(spark, sf_dir):
+    return _check_predictions(spark, sf_dir, "lr")
+
+
+def q_mlp_predict_checked(spark, sf_dir):
+    return _check_predictions(spark, sf_dir, "mlp")
+
+
+def q_nb_predict_clean(spark, sf_dir):
+    """C3 on G1 (cleaned, lemmatized)."""
+    return _fit_predict(spark, sf_dir, "nb", "G1")[1].select("doc_id", "split", "prediction")
+
+
 def q_nb_per_class_metrics(spark, sf_dir):
     """E7/E8 on four classes: per-class metrics of NB on held-out rows, with class names."""
     st = state(spark, sf_dir)
@@ -479,6 +572,13 @@ def q_nb_confusion_matrix(spark, sf_dir):
     return M.confusion_long(preds)
 
 
+def q_nb_confusion_matrix_wide(spark, sf_dir):
+    """E6 as the reference prints it: one row per actual class, one column per predicted one, zeros filled."""
+    _, preds = _fit_predict(spark, sf_dir, "nb")
+    wide = M.confusion_matrix(preds, list(range(state(spark, sf_dir).n_classes)))
+    return wide.select("label", *[F.col(f"`{c}`").cast("bigint").alias(f"p{int(float(c))}") for c in wide.columns[1:]])
+
+
 def q_nb_model(spark, sf_dir):
     """Log priors (feature = -1) and log conditional probabilities per class."""
     model, _ = _fit_predict(spark, sf_dir, "nb")
@@ -490,24 +590,32 @@ def q_nb_model(spark, sf_dir):
     return df.select("label", "feature", r6("log_prob").alias("log_prob"))
 
 
-def q_stream_nb_predict(spark, sf_dir):
-    """Held-out documents scored by a Structured Streaming query with the fitted
-    G3 features and Naive Bayes; must equal the batch ``nb_predict``."""
+def _stream_predict(spark, sf_dir, fs):
+    """Held-out documents scored by a Structured Streaming query; must equal the batch predictions."""
     from ..streaming.scoring import read_scores, start_scoring
     st = state(spark, sf_dir)
-    (g3,) = st.models("G3")
-    model, _ = _fit_predict(spark, sf_dir, "nb")
+    (features,) = st.models(fs)
+    model, _ = _fit_predict(spark, sf_dir, "nb", fs)
     src = os.path.join(sf_dir, "documents.parquet")
 
     def held_out(stream):
         return assign_split(stream, "doc_id").filter(~is_split(TRAIN))
 
-    query, sink = start_scoring(spark, src, spark.read.parquet(src).schema, g3, model,
-                                ["doc_id", "split"], before=held_out)
+    query, sink = start_scoring(spark, src, spark.read.parquet(src).schema, features, model,
+                                ["doc_id", "split"], before=held_out, lemmas=st.lemmas)
     query.awaitTermination()
     return read_scores(spark, sink).select("doc_id", "split", "prediction")
 
 
+def q_stream_nb_predict(spark, sf_dir):
+    return _stream_predict(spark, sf_dir, "G3")
+
+
+def q_stream_nb_predict_clean(spark, sf_dir):
+    """G1: the stream is lemmatized with the table that the models were fitted with."""
+    return _stream_predict(spark, sf_dir, "G1")
+
+
 # ---------------------------------------------------------------- tuning and experiments
 
 def q_cv_folds(spark, sf_dir):
@@ -516,12 +624,9 @@ def q_cv_folds(spark, sf_dir):
     return train.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
-_MEMO: dict = {}
-
-
 def _memo(spark, sf_dir, name, compute):
     """Driver-side memo of a small result (rows of a grid or of the run table)."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    key = (_key(spark, sf_dir), name)
     if key not in _MEMO:
         _MEMO[key] = compute(spark, sf_dir)
     return _MEMO[key]
@@ -537,17 +642,39 @@ def _cv(spark, sf_dir):
     cvm = T.cross_validate(est, grid, train, "fold", parallelism=len(grid))
     scores = T.cv_scores(spark, cvm, grid).collect()
     best = T.best_model_scores(cvm, {VAL: scored.filter(is_split(VAL)), TEST: scored.filter(is_split(TEST))})
+    own = {name: _own_f1(cvm.bestModel, scored.filter(is_split(name))) for name in (VAL, TEST)}
     release(train)
-    return scores, best
+    return scores, best, own, list(cvm.avgMetrics)
+
+
+def _own_f1(model, rows: DataFrame) -> tuple[int, float]:
+    """Rows and weighted F1 by our own metrics."""
+    scored = predict(model, rows, ["label"])
+    return rows.count(), M.evaluate(scored)["f1Score"]
+
+
+def q_cv_grid_checked(spark, sf_dir):
+    """T2 invariant: every setting has a score in (0, 1], the best model's the highest; with the rows trained on."""
+    scores, best, _, means = _memo(spark, sf_dir, "cv", _cv)
+    n = state(spark, sf_dir).frame.filter(is_split(TRAIN)).count()
+    rows = [(r["maxIter"], float(r["regParam"]), n, bool(0 < r["avg_f1"] <= max(means) <= 1)) for r in scores]
+    return spark.createDataFrame(rows, "maxIter int, regParam double, n_train bigint, ok boolean")
+
+
+def q_cv_best_checked(spark, sf_dir):
+    """T3 invariant: the best model's F1 on val and test equals the one recomputed from its confusion cells."""
+    _, best, own, _ = _memo(spark, sf_dir, "cv", _cv)
+    rows = [(name, n, abs(f1 - best[name]) < 1e-9) for name, (n, f1) in own.items()]
+    return spark.createDataFrame(rows, "split string, n bigint, ok boolean")
 
 
 def q_cv_grid_svm(spark, sf_dir):
-    scores, _ = _memo(spark, sf_dir, "cv", _cv)
+    scores = _memo(spark, sf_dir, "cv", _cv)[0]
     return spark.createDataFrame(scores)
 
 
 def q_cv_best_scores(spark, sf_dir):
-    _, best = _memo(spark, sf_dir, "cv", _cv)
+    best = _memo(spark, sf_dir, "cv", _cv)[1]
     return spark.createDataFrame([(k, float(v)) for k, v in best.items()], "split string, f1 double")
 
 
@@ -566,11 +693,71 @@ def experiment_table(spark, sf_dir) -> DataFrame:
 
 
 def q_experiment_results(spark, sf_dir):
-    """R1 invariant: one row per (feature set, classifier), metrics in [0, 1], time > 0."""
+    """R1 invariant: one row per (feature set, classifier), metrics in [0, 1], time > 0, and the rows scored."""
     res = experiment_table(spark, sf_dir)
+    n_val = state(spark, sf_dir).frame.filter(is_split(VAL)).count()
     ok = ((F.col("trainingTime") > 0) & F.col("precision").between(0, 1)
           & F.col("recall").between(0, 1) & F.col("f1Score").between(0, 1))
-    return res.select("dataFrameNo", "dataModel", "modelName", ok.alias("ok"))
+    return res.select("dataFrameNo", "dataModel", "modelName", F.lit(n_val).cast("bigint").alias("n_scored"),
+                      ok.alias("ok"))
+
+
+def nb_result_table(spark, sf_dir) -> DataFrame:
+    """R1 without times: Naive Bayes on G1 and G3, both held-out splits, both orientations."""
+    parts = []
+    for fs in ("G1", "G3"):
+        _, preds = _fit_predict(spark, sf_dir, "nb", fs)
+        for split in (TEST, VAL):
+            parts.append(M.metrics_by_orientation(preds.filter(is_split(split))).select(
+                F.lit(X.FEATURE_SET_NAMES[fs]).alias("dataModel"), F.lit(split).alias("modelName"), "orientation",
+                *[r6(c).alias(c) for c in ("precision", "recall", "f1Score", "accuracy")]))
+    order = {"G1": 0, "G3": 4}
+    table = X.union_results(parts)
+    number = (F.when(F.col("dataModel") == X.FEATURE_SET_NAMES["G3"], order["G3"]).otherwise(order["G1"])
+              + F.when(F.col("modelName") == VAL, 2).otherwise(0)
+              + F.when(F.col("orientation") == "swapped", 2).otherwise(1))
+    return table.withColumn("dataFrameNo", F.concat(F.lit("df"), number.cast("string")))
+
+
+def _nb_results(spark, sf_dir) -> DataFrame:
+    rows = _memo(spark, sf_dir, "nb-results", lambda sp, d: nb_result_table(sp, d).collect())
+    return spark.createDataFrame([tuple(r) for r in rows], "dataModel string, modelName string, orientation string, "
+                                 "precision double, recall double, f1Score double, accuracy double, dataFrameNo string")
+
+
+def q_nb_results(spark, sf_dir):
+    return _nb_results(spark, sf_dir)
+
+
+def q_nb_results_column_max(spark, sf_dir):
+    """A6."""
+    return X.results_column_max(_nb_results(spark, sf_dir))
+
+
+def q_nb_results_series(spark, sf_dir):
+    """A8."""
+    return X.results_series(_nb_results(spark, sf_dir))
+
+
+def q_nb_best_run(spark, sf_dir):
+    """R2."""
+    return X.best_run(_nb_results(spark, sf_dir))
+
+
+def q_nb_results_by_features(spark, sf_dir):
+    """R3."""
+    return _round_all(X.results_by_group(_nb_results(spark, sf_dir), "dataModel"))
+
+
+def q_nb_results_by_split(spark, sf_dir):
+    """R3 by the other factor."""
+    return _round_all(X.results_by_group(_nb_results(spark, sf_dir), "modelName"))
+
+
+def q_n_chars_box_by_lang(spark, sf_dir):
+    """A7 over a column of the data."""
+    return _round_all(X.time_box_by_group(table(spark, sf_dir, "documents").select(
+        "lang", F.col("n_chars").cast("double").alias("n_chars")), "lang", "n_chars"))
 
 
 def q_experiment_matrix(spark, sf_dir):
@@ -645,6 +832,22 @@ QUERIES = {
     "chi2_selection": q_chi2_selection,
     "chi2_selection_by_statistic": q_chi2_selection_by_statistic,
     "features_chi2": q_features_chi2,
+    "features_chi2_by_statistic": q_features_chi2_by_statistic,
+    "nb_predict_clean": q_nb_predict_clean,
+    "nb_confusion_matrix_wide": q_nb_confusion_matrix_wide,
+    "svm_predict_checked": q_svm_predict_checked,
+    "logreg_predict_checked": q_logreg_predict_checked,
+    "mlp_predict_checked": q_mlp_predict_checked,
+    "stream_nb_predict_clean": q_stream_nb_predict_clean,
+    "cv_grid_checked": q_cv_grid_checked,
+    "cv_best_checked": q_cv_best_checked,
+    "nb_results": q_nb_results,
+    "nb_results_column_max": q_nb_results_column_max,
+    "nb_results_series": q_nb_results_series,
+    "nb_best_run": q_nb_best_run,
+    "nb_results_by_features": q_nb_results_by_features,
+    "nb_results_by_split": q_nb_results_by_split,
+    "n_chars_box_by_lang": q_n_chars_box_by_lang,
     "nb_model": q_nb_model,
     "nb_predict": q_nb_predict,
     "nb_per_class_metrics": q_nb_per_class_metrics,

@@ -19,6 +19,8 @@ from ..sources.results import results_frame
 from .pipelines import FEATURE_SET_NAMES, FEATURES_COL, num_features_of
 from .splits import TRAIN, VAL, is_split
 
+# The reference's order of classifiers within a feature set.
+RUN_CLASSIFIERS = ("svm", "lr", "nb")
 RESULT_COLS = ["dataModel", "modelName", "trainingTime", "precision", "recall", "f1Score", "dataFrameNo"]
 
 
@@ -43,7 +45,6 @@ def run_on_feature_tables(spark: SparkSession, tables: dict[str, tuple[DataFrame
                           digits: int = 3, log: list | None = None) -> DataFrame:
     """The run loop over already featurized tables: {set: (frame with split/label/weight/features, width)}."""
     rows = []
-    run = 0
     for fs, (featurized, n_features) in tables.items():
         feat = FEATURES_COL[fs]
         t0 = time.perf_counter()
@@ -54,13 +55,12 @@ def run_on_feature_tables(spark: SparkSession, tables: dict[str, tuple[DataFrame
         if log is not None:
             log.append({"feature_set": fs, "cache_seconds": time.perf_counter() - t0})
         for clf in classifiers:
-            run += 1
             est = make_classifier(clf, feat, "label", None if clf == "mlp" else "weight",
                                   n_features=n_features, n_classes=n_classes, parallelism=parallelism)
             fitted, secs = fit_timed(est, train)
             m = evaluate(predict(fitted, held, ["label"]), "label", "prediction", orientation)
             rows.append((FEATURE_SET_NAMES[fs], clf, round(secs, digits), round(m["precision"], digits),
-                         round(m["recall"], digits), round(m["f1Score"], digits), f"df{run}"))
+                         round(m["recall"], digits), round(m["f1Score"], digits), run_id(fs, clf)))
             if log is not None:
                 log.append({"feature_set": fs, "classifier": clf, "fit_seconds": secs, **m})
         release(train)
@@ -68,6 +68,12 @@ def run_on_feature_tables(spark: SparkSession, tables: dict[str, tuple[DataFrame
     return results_frame(spark, rows)
 
 
+def run_id(feature_set: str, classifier: str) -> str:
+    """The reference's run name of a (feature set, classifier) pair, whichever pairs are run."""
+    return f"df{3 * list(FEATURE_SET_NAMES).index(feature_set) + RUN_CLASSIFIERS.index(classifier) + 1}" \
+        if classifier in RUN_CLASSIFIERS else f"{feature_set}-{classifier}"
+
+
 def run_order(df: DataFrame, run_col: str = "dataFrameNo") -> DataFrame:
     """Add ``run`` = the number in ``df<N>`` so runs sort 1, 2, ..., 10 (not as text)."""
     return df.withColumn("run", F.regexp_extract(F.col(run_col), r"(\d+)$", 1).cast("int"))
@@ -100,8 +106,8 @@ def time_box_by_group(df: DataFrame, group_col: str, value_col: str = "trainingT
 
 def results_series(df: DataFrame, run_col: str = "dataFrameNo") -> DataFrame:
     """Metrics and time in run order."""
-    return run_order(df, run_col).select("run", run_col, "f1Score", "recall", "precision",
-                                         "trainingTime").orderBy("run")
+    shown = [c for c in ("f1Score", "recall", "precision", "trainingTime") if c in df.columns]
+    return run_order(df, run_col).select("run", run_col, *shown).orderBy("run")
 
 
 def best_run(df: DataFrame, metric: str = "f1Score", run_col: str = "dataFrameNo") -> DataFrame:

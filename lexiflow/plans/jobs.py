@@ -16,14 +16,13 @@ from __future__ import annotations
 
 import os
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.lemma import lemma_pairs
 from ..operators.models import make_classifier, materialize, release
 from ..sources.parquet import read_feature_set
 from ..sources.results import write_results_csv
-from ..sources.tables import spread
 from ..sources.text import read_labeled_text
 from . import tuning as T
 from .experiments import run_on_feature_tables
@@ -33,59 +32,53 @@ from .splits import TEST, TRAIN, VAL, is_split
 
 
 def read_splits(spark: SparkSession, train_path: str, test_path: str, val_path: str, sep: str = ";",
-                malformed: str = "drop") -> DataFrame:
+                malformed: str = "fail") -> DataFrame:
     """The three labelled files as one frame (doc_id, text, emotion, split).
 
-    ``doc_id`` numbers the lines; file splits are read in a fixed order, so
-    it is stable when a task is retried.
+    ``doc_id`` is a hash of split, label and text, so it doesn't depend on how
+    files are cut into tasks (equal lines share one, and a fold).
     """
     parts = [read_labeled_text(spark, path, sep, malformed=malformed).withColumn("split", F.lit(name))
              for name, path in ((TRAIN, train_path), (TEST, test_path), (VAL, val_path))]
     docs = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return spread(docs.withColumn("doc_id", F.monotonically_increasing_id()))
+    return docs.withColumn("doc_id", F.xxhash64("split", "emotion", "text"))
 
 
 def prepare_job(spark: SparkSession, train_path: str, test_path: str, val_path: str, out_dir: str,
-                sep: str = ";", malformed: str = "drop", lemma_path: str | None = None,
+                sep: str = ";", malformed: str = "fail", lemma_path: str | None = None,
                 weight_scheme: str = "share", vocab_size: int = 1000, num_hash: int = 1000,
                 chi2_top: int = 300, chi2_rank: str = "pvalue", mode: str = "errorifexists") -> dict[str, str]:
     """Step 1.  Returns {feature set: table path}; models go under ``out_dir/models``."""
     docs = read_splits(spark, train_path, test_path, val_path, sep, malformed)
     lemmas = spark.read.parquet(lemma_path) if lemma_path else None
-    prep = prepare(docs, lemmas=lemmas, key_cols=["doc_id"], weight_scheme=weight_scheme, persist=True)
+    prep = prepare(docs, lemmas=lemmas, weight_scheme=weight_scheme, persist="checkpoint")
     models = fit_feature_sets(prep.frame, vocab_size=vocab_size, num_hash=num_hash, chi2_top=chi2_top,
                               chi2_rank=chi2_rank)
     paths = write_feature_sets(prep.frame, models, os.path.join(out_dir, "features"), mode)
-    for name, model in models.items():
-        model.write().overwrite().save(os.path.join(out_dir, "models", name))
-    prep.indexer.write().overwrite().save(os.path.join(out_dir, "models", "label_index"))
-    prep.release()
+    saved = {**models, "label_index": prep.indexer}
+    for name, model in saved.items():
+        writer = model.write()
+        (writer.overwrite() if mode == "overwrite" else writer).save(os.path.join(out_dir, "models", name))
+    if lemmas is not None:  # scoring new texts needs the same table
+        lemma_pairs(lemmas).write.mode(mode).parquet(os.path.join(out_dir, "models", "lemmas"))
     return paths
 
 
 def _feature_tables(spark: SparkSession, features_dir: str, names=("G1", "G2", "G3", "G4")):
-    """The feature tables present under ``features_dir`` (any Hadoop path)."""
+    """The named feature tables under ``features_dir`` (any Hadoop path); a missing one is an error."""
     tables = {}
     for name in names:
-        path = os.path.join(features_dir, name)
-        try:
-            df = read_feature_set(spark, path)
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-                continue
-            raise
+        df = read_feature_set(spark, os.path.join(features_dir, name))
         width = df.select(FEATURES_COL[name]).first()[0].size
         tables[name] = (df, width)
     return tables
 
 
 def select_job(spark: SparkSession, features_dir: str, out_csv: str | None = None,
-               classifiers=("svm", "lr", "nb"), orientation: str = "right", eval_split: str = VAL,
+               classifiers=("svm", "lr", "nb"), feature_sets=("G1", "G2", "G3", "G4"), orientation: str = "right", eval_split: str = VAL,
                parallelism: int = 4, mode: str = "errorifexists") -> DataFrame:
     """Step 2.  Returns the result table (and writes it as CSV when ``out_csv`` is given)."""
-    tables = _feature_tables(spark, features_dir)
-    if not tables:
-        raise ValueError(f"no feature tables under {features_dir}")
+    tables = _feature_tables(spark, features_dir, feature_sets)
     any_table = next(iter(tables.values()))[0]
     n_classes = any_table.filter(is_split(TRAIN)).agg(F.max("label")).first()[0] + 1
     results = run_on_feature_tables(spark, tables, int(n_classes), classifiers, eval_split, orientation,

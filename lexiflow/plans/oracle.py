@@ -10,6 +10,7 @@ Column names and types follow the Spark side; doubles are rounded to 6 places.
 from __future__ import annotations
 
 from ..functions.stopwords import sql_list_literal
+from ..operators.lemma import EXCEPTIONS, SUFFIX_RULES
 
 SW = sql_list_literal()
 
@@ -29,6 +30,15 @@ def NO_STOP(x: str) -> str:
     return f"list_filter({x}, lambda t: NOT list_contains({SW}, lower(t)))"
 
 
+def LEMMAS(x: str) -> str:
+    """Each space-separated token by the suffix rules and exceptions."""
+    cases = " ".join(f"WHEN t = '{w}' THEN '{v}'" for w, v in reversed(EXCEPTIONS.items()))
+    for pattern, replacement in SUFFIX_RULES:
+        with_sql = replacement.replace("$1", "\\1")
+        cases += f" WHEN regexp_matches(t, '{pattern}') THEN regexp_replace(t, '{pattern}', '{with_sql}')"
+    return f"array_to_string(list_transform(string_split({x}, ' '), lambda t: CASE {cases} ELSE t END), ' ')"
+
+
 DOCS = """docs AS (
   SELECT doc_id, text, lang AS emotion,
          CASE ((doc_id % 10) + 10) % 10 WHEN 8 THEN 'test' WHEN 9 THEN 'val' ELSE 'train' END AS split
@@ -39,7 +49,7 @@ LABEL_IDS = """label_ids AS (
   FROM (SELECT emotion, count(*) AS n FROM docs WHERE split = 'train' GROUP BY emotion))"""
 
 PREPARED = f"""prepared0 AS (
-  SELECT d.doc_id, d.text, d.emotion, d.split, l.label, {CLEAN('d.text')} AS text_c
+  SELECT d.doc_id, d.text, d.emotion, d.split, l.label, {LEMMAS(CLEAN('d.text'))} AS text_c
   FROM docs d JOIN label_ids l USING (emotion)),
 weights AS (
   SELECT label, count(*) AS n, count(*) / sum(count(*)) OVER () AS weight,
@@ -148,16 +158,7 @@ FROM conversations
 
 SQL["clean_text"] = f"SELECT doc_id, {CLEAN('text')} AS text_c FROM documents"
 
-SQL["lemmatize"] = _q(f"""
-WITH d AS (SELECT doc_id, {CLEAN('text')} AS text_c FROM documents),
-toks AS (SELECT DISTINCT unnest(string_split(text_c, ' ')) AS form FROM d),
-lem AS (SELECT form, substring(form, 1, length(form) - 3) AS lemma FROM toks
-        WHERE regexp_full_match(form, '[a-z]{{3,}}ing')),
-ex AS (SELECT doc_id, generate_subscripts(t, 1) AS pos, unnest(t) AS form
-       FROM (SELECT doc_id, string_split(text_c, ' ') AS t FROM d))
-SELECT ex.doc_id, string_agg(coalesce(lem.lemma, ex.form), ' ' ORDER BY ex.pos) AS lemmatized
-FROM ex LEFT JOIN lem USING (form) GROUP BY ex.doc_id
-""")
+SQL["lemmatize"] = f"SELECT doc_id, {LEMMAS(CLEAN('text'))} AS lemmatized FROM documents"
 
 SQL["tokenize"] = _q(f"""
 WITH t AS (SELECT doc_id, {TOKENIZE('text')} AS w FROM documents)
@@ -199,7 +200,7 @@ FROM documents d JOIN labels l USING (doc_id)
 WHERE d.doc_id IS NOT NULL AND d.lang IS NOT NULL AND l.quality IS NOT NULL AND l.toxic IS NOT NULL
 """)
 
-SQL["label_names"] = f"{BASE}\nSELECT doc_id, label, emotion AS name FROM prepared WHERE split <> 'train'"
+SQL["label_names"] = f"{BASE}\nSELECT doc_id, label, emotion AS name FROM prepared"
 
 SQL["preview"] = f"{BASE}\nSELECT doc_id, emotion, label, split, text_c FROM prepared ORDER BY doc_id LIMIT 5"
 
@@ -303,25 +304,56 @@ chi2 AS (
   FROM stat JOIN nv USING (feature), ntr)"""
 
 
+# log of the chi-square tail with d degrees of freedom at x: z = x / 2, a = d / 2.  Below a + 1 from the series of
+# the lower tail; above, as the finite sum e^-z z^(a-1) / gamma(a) + ... down to gamma(1) (even d) or to
+# erfc(sqrt z) (odd d), added up by logarithms.  erfc is 1 - its series below z = 20 and asymptotic beyond.
+def LOG_P(p: str) -> str:
+    """CTE ``logp (feature, dof, statistic, log_p)`` after ``CHI2``."""
+    return f"""az AS (SELECT feature, dof, statistic, dof / 2.0 AS a, statistic / 2.0 AS z FROM chi2),
+small AS (
+  SELECT feature, ln(1 - least(1 - 1e-16, sum(exp(-z + (a + i) * ln(z) - lgamma(a + i + 1))))) AS log_p
+  FROM az, generate_series(0, 3000) AS g(i) WHERE dof > 0 AND z > 0 AND z < a + 1 GROUP BY feature),
+erfc AS (
+  SELECT feature, CASE WHEN z >= 20 THEN -z - 0.5 * ln(pi() * z) + ln(1 - 1 / (2 * z) + 3 / (4 * z ^ 2)
+              - 15 / (8 * z ^ 3) + 105 / (16 * z ^ 4) - 945 / (32 * z ^ 5))
+         ELSE ln(greatest(1e-300, 1 - (SELECT sum(exp(-z + (0.5 + i) * ln(z) - lgamma(i + 1.5)))
+                                       FROM generate_series(0, 200) AS g(i)))) END AS t
+  FROM az WHERE dof > 0 AND z >= a + 1 AND dof % 2 = 1),
+terms AS (
+  SELECT feature, -z + (a - j) * ln(z) - lgamma(a - j + 1) AS t
+  FROM az, generate_series(1, 20000) AS g(j) WHERE dof > 0 AND z >= a + 1 AND a - j >= 0
+  UNION ALL SELECT feature, t FROM erfc),
+top AS (SELECT feature, max(t) AS m FROM terms GROUP BY feature),
+large AS (SELECT terms.feature, max(m) + ln(sum(exp(t - m))) AS log_p FROM terms JOIN top USING (feature)
+          GROUP BY terms.feature),
+logp AS (
+  SELECT az.feature, az.dof, az.statistic, coalesce(small.log_p, large.log_p, 0.0) AS log_p
+  FROM az LEFT JOIN small USING (feature) LEFT JOIN large USING (feature))"""
+
+
 SQL["chi2_statistic"] = _q(f"""
 {G3},
-{CHI2('g3')}
-SELECT feature, dof, round(statistic, 6) AS statistic FROM chi2
+{CHI2('g3')},
+{LOG_P('g3')}
+SELECT feature, dof, round(statistic, 6) AS statistic, round(log_p, 4) AS log_p FROM logp
 """)
 
-# Selection by statistic per degree of freedom (ties by index), G1 features.
-# Features with identical contingency tables tie exactly in Spark; here the
-# summation order can split them in the last bit, so scores are compared at
-# 1e-9 before the index decides.
-SQL["chi2_selection_by_statistic"] = _q(f"""
-{G1},
-{CHI2('g1')},
-ranked AS (
-  SELECT feature, row_number() OVER (
-           ORDER BY round(CASE WHEN dof > 0 THEN statistic / dof ELSE 0.0 END, 9) DESC, feature) AS rk
-  FROM chi2)
-SELECT r.feature, v.term FROM ranked r JOIN g1_vocab v ON v.idx = r.feature WHERE r.rk <= 300
-""")
+# Selection by log p-value, or by statistic per degree of freedom; ties by index, G1 features.  Equal tables can
+# differ in the last bit by the order of summation, so both are compared at 1e-9 before the index decides.
+SELECTED = {
+    "chi2": (f"{CHI2('g1')},\n{LOG_P('g1')}", "logp", "round(log_p, 9)"),
+    "chi2_by_statistic": (CHI2('g1'), "chi2", "round(CASE WHEN dof > 0 THEN statistic / dof ELSE 0.0 END, 9) DESC"),
+}
+for _name, (_ctes, _from, _order) in SELECTED.items():
+    _ranked = f"""{G1},
+{_ctes},
+ranked AS (SELECT feature, row_number() OVER (ORDER BY {_order}, feature) AS rk FROM {_from})"""
+    _query = "chi2_selection" if _name == "chi2" else "chi2_selection_by_statistic"
+    SQL[_query] = f"""{_ranked}
+SELECT r.feature, v.term FROM ranked r JOIN g1_vocab v ON v.idx = r.feature WHERE r.rk <= 300"""
+    SQL[f"features_{_name}"] = f"""{_ranked},
+sel_tfidf AS (SELECT x.* FROM g1_tfidf x JOIN ranked USING (feature) WHERE rk <= 300)
+{DOC_SUMMARY('sel')}"""
 
 # Multinomial Naive Bayes on G3 TF-IDF with class-share weights, smoothing 1.
 NB = f"""{G3},
@@ -372,7 +404,7 @@ score AS (
 best AS (
   SELECT doc_id, cls, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, cls) AS rk FROM score),
 nbpairs AS (
-  SELECT CAST(h.label AS DOUBLE) AS label, CAST(b.cls AS DOUBLE) AS prediction
+  SELECT h.split, CAST(h.label AS DOUBLE) AS label, CAST(b.cls AS DOUBLE) AS prediction
   FROM held h JOIN best b ON b.doc_id = h.doc_id AND b.rk = 1)"""
 
 SQL["nb_per_class_metrics"] = _q(f"""
@@ -398,8 +430,74 @@ nbswap AS (SELECT prediction AS label, label AS prediction FROM nbpairs),
 {WEIGHTED_SELECT}
 """)
 
+SQL["nb_confusion_matrix_wide"] = _q(f"""
+{NB_PAIRS},
+ids AS (SELECT DISTINCT CAST(label AS DOUBLE) AS label FROM nbpairs)
+SELECT ids.label,
+       count(*) FILTER (WHERE n.prediction = 0) AS p0, count(*) FILTER (WHERE n.prediction = 1) AS p1,
+       count(*) FILTER (WHERE n.prediction = 2) AS p2, count(*) FILTER (WHERE n.prediction = 3) AS p3
+FROM ids JOIN nbpairs n USING (label) GROUP BY ids.label
+""")
+
+
+def on_g1(sql: str) -> str:
+    """A Naive Bayes statement on G1 instead of G3."""
+    return sql.replace(G3, G1).replace("g3_", "g1_")
+
+
+SQL["nb_predict_clean"] = on_g1(SQL["nb_predict"])
+
 # Streaming scores of held-out rows equal the batch predictions.
 SQL["stream_nb_predict"] = SQL["nb_predict"]
+SQL["stream_nb_predict_clean"] = SQL["nb_predict_clean"]
+
+# Trained models: the rows scored, and that each prediction has the highest score.
+for _clf in ("svm", "logreg", "mlp"):
+    SQL[f"{_clf}_predict_checked"] = f"{BASE}\nSELECT doc_id, split, label, true AS ok FROM prepared WHERE split <> 'train'"
+
+SQL["cv_grid_checked"] = _q(f"""
+WITH {DOCS}
+SELECT CAST(i AS INTEGER) AS maxIter, CAST(r AS DOUBLE) AS regParam, count(*) AS n_train, true AS ok
+FROM docs, (VALUES (10), (50), (100)) AS a(i), (VALUES (0.1), (0.01), (0.001)) AS b(r)
+WHERE split = 'train' GROUP BY i, r
+""")
+
+SQL["cv_best_checked"] = f"WITH {DOCS}\nSELECT split, count(*) AS n, true AS ok FROM docs WHERE split <> 'train' GROUP BY split"
+
+SQL["n_chars_box_by_lang"] = _q("""
+SELECT lang, CAST(min(n_chars) AS DOUBLE) AS min, round(quantile_cont(n_chars, 0.25), 6) AS q1,
+       round(quantile_cont(n_chars, 0.5), 6) AS median, round(quantile_cont(n_chars, 0.75), 6) AS q3,
+       CAST(max(n_chars) AS DOUBLE) AS max
+FROM documents GROUP BY lang
+""")
+
+# Naive Bayes on G1 and G3, test and val, both orientations: a result table in closed form.
+def _result_part(fs: str, split: str, orientation: str) -> str:
+    pairs = NB_PAIRS if fs == "G3" else on_g1(NB_PAIRS)
+    pick = "label, prediction" if orientation == "right" else "prediction AS label, label AS prediction"
+    name = {"G1": "countVectorizer+iDF", "G3": "unCleanData+countVectorizer+iDF"}[fs]
+    number = 4 * (fs == "G3") + 2 * (split == "val") + (2 if orientation == "swapped" else 1)
+    per = PER_CLASS(f"(SELECT {pick} FROM nbpairs WHERE split = '{split}')")
+    return f"""SELECT '{name}' AS dataModel, '{split}' AS modelName, '{orientation}' AS orientation, r.*, 'df{number}' AS dataFrameNo
+FROM ({pairs},
+{per}
+{WEIGHTED_SELECT}) AS r"""
+
+
+RESULTS = "results AS (" + "\nUNION ALL\n".join(
+    _result_part(fs, split, o) for fs in ("G1", "G3") for split in ("test", "val") for o in ("right", "swapped")) + ")"
+RUN = "CAST(regexp_extract(dataFrameNo, '[0-9]+$') AS INTEGER)"
+
+SQL["nb_results"] = f"WITH {RESULTS}\nSELECT * FROM results"
+SQL["nb_results_column_max"] = f"""WITH {RESULTS}
+SELECT {', '.join(f'max({c}) AS {c}' for c in ('dataModel', 'modelName', 'orientation', 'precision', 'recall', 'f1Score',
+                                               'accuracy', 'dataFrameNo'))} FROM results"""
+SQL["nb_results_series"] = f"WITH {RESULTS}\nSELECT {RUN} AS run, dataFrameNo, f1Score, recall, precision FROM results"
+SQL["nb_best_run"] = f"WITH {RESULTS}\nSELECT * FROM results ORDER BY f1Score DESC, {RUN} LIMIT 1"
+for _query, _by in (("nb_results_by_features", "dataModel"), ("nb_results_by_split", "modelName")):
+    SQL[_query] = f"""WITH {RESULTS}
+SELECT {_by}, max(f1Score) AS max_f1Score, round(avg(f1Score), 6) AS avg_f1Score, count(*) AS n_runs
+FROM results GROUP BY {_by}"""
 
 SQL["cv_folds"] = _q(f"""
 {BASE}
@@ -407,20 +505,14 @@ SELECT CAST(((doc_id % 3) + 3) % 3 AS INTEGER) AS fold, label, count(*) AS n
 FROM prepared WHERE split = 'train' GROUP BY 1, 2
 """)
 
-# Invariant: twelve runs, named by feature set and classifier, all within range.
-SQL["experiment_results"] = _q("""
-SELECT * FROM (VALUES
-  ('df1', 'countVectorizer+iDF', 'svm', true),
-  ('df2', 'countVectorizer+iDF', 'lr', true),
-  ('df3', 'countVectorizer+iDF', 'nb', true),
-  ('df4', 'countVectorizer+iDF+chisquare', 'svm', true),
-  ('df5', 'countVectorizer+iDF+chisquare', 'lr', true),
-  ('df6', 'countVectorizer+iDF+chisquare', 'nb', true),
-  ('df7', 'unCleanData+countVectorizer+iDF', 'svm', true),
-  ('df8', 'unCleanData+countVectorizer+iDF', 'lr', true),
-  ('df9', 'unCleanData+countVectorizer+iDF', 'nb', true),
-  ('df10', 'ngram+hashingtf+iDF', 'svm', true),
-  ('df11', 'ngram+hashingtf+iDF', 'lr', true),
-  ('df12', 'ngram+hashingtf+iDF', 'nb', true)
-) AS t(dataFrameNo, dataModel, modelName, ok)
+# Invariant: every (feature set, classifier) pair once, scored on all validation rows, within range.
+SQL["experiment_results"] = _q(f"""
+WITH {DOCS},
+runs AS (
+  SELECT s.name AS dataModel, c.name AS modelName, 'df' || (3 * s.i + c.i + 1) AS dataFrameNo
+  FROM (VALUES (0, 'countVectorizer+iDF'), (1, 'countVectorizer+iDF+chisquare'),
+               (2, 'unCleanData+countVectorizer+iDF'), (3, 'ngram+hashingtf+iDF')) AS s(i, name),
+       (VALUES (0, 'svm'), (1, 'lr'), (2, 'nb')) AS c(i, name))
+SELECT dataFrameNo, dataModel, modelName, count(*) AS n_scored, true AS ok
+FROM runs, docs WHERE split = 'val' GROUP BY ALL
 """)

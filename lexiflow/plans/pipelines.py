@@ -94,15 +94,21 @@ def fit_feature_sets(frame: DataFrame, names=("G1", "G2", "G3", "G4"), split_col
 
 def write_feature_sets(frame: DataFrame, models: dict[str, PipelineModel], base_path: str,
                        mode: str = "errorifexists", keep=("doc_id", "split", "emotion", "label", "weight"),
-                       split_col: str = "split") -> dict[str, str]:
+                       split_col: str = "split", text_columns: bool = True) -> dict[str, str]:
     """Transform all rows with each fitted set and write one table per set,
     partitioned by split (the reference wrote twelve folders: 4 sets x 3 splits).
-    Returns {set name: path}."""
+
+    Like the reference's, a table keeps the texts and every intermediate
+    column (words, filtered, ngrams, rawFeatures, featuresIDF, features);
+    ``text_columns=False`` writes ids and vectors only.  Returns {set name: path}."""
     from ..sources.parquet import write_feature_set
     paths = {}
     for name, model in models.items():
+        out = model.transform(frame)
         cols = [c for c in keep if c in frame.columns]
-        out = model.transform(frame).select(*cols, "rawFeatures", FEATURES_COL[name])
+        if text_columns:
+            cols += [c for c in out.columns if c not in cols and c not in ("rawFeatures", FEATURES_COL[name])]
+        out = out.select(*cols, "rawFeatures", FEATURES_COL[name])
         path = f"{base_path.rstrip('/')}/{name}"
         write_feature_set(out, path, mode, split_col)
         paths[name] = path
@@ -126,8 +132,6 @@ def idf_model_of(model: PipelineModel):
 
 def num_features_of(model: PipelineModel, name: str) -> int:
     last = model.stages[-1]
-    if hasattr(last, "selectedFeatures"):
-        return len(last.selectedFeatures)
     if hasattr(last, "getIndices"):
         return len(last.getIndices())
     return len(idf_model_of(model).idf)

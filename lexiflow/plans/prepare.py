@@ -15,8 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text
-from ..operators.labels import (MAX_CLASSES, apply_class_weight, class_weights, fit_label_index,
-                                index_labels)
+from ..operators.labels import apply_class_weight, class_weights, fit_label_index, index_labels
 from ..operators.lemma import lemmatize
 from ..session import ensure_checkpoint_dir
 from .splits import TRAIN, is_split
@@ -26,7 +25,7 @@ from .splits import TRAIN, is_split
 class Prepared:
     frame: DataFrame
     indexer: StringIndexerModel
-    weights: dict
+    weights: DataFrame  # (label, n, weight), one row a class
     cached: DataFrame | None = None
 
     @property
@@ -40,37 +39,33 @@ class Prepared:
 
 
 def prepare(docs: DataFrame, text_col: str = "text", label_name_col: str = "emotion",
-            split_col: str = "split", lemmas: DataFrame | None = None,
-            key_cols: list[str] | None = None, weight_scheme: str = "share",
+            split_col: str = "split", lemmas: DataFrame | None = None, weight_scheme: str = "share",
             handle_invalid: str = "error", clean_col: str = "text_c",
             persist: bool | str = False) -> Prepared:
     """Add ``label`` (int), ``text_c`` (cleaned, lemmatized) and ``weight``.
 
-    ``persist`` keeps the indexed, cleaned frame for the several passes that
-    fitting feature sets makes over it:
-    ``True`` / ``"cache"``: MEMORY_AND_DISK; lost blocks are recomputed from a
-    short lineage (scan + expressions);
+    Class weights are counted on (split, label) alone, from the source.
+    ``persist`` keeps the finished frame for the several passes that fitting
+    feature sets makes over it:
     ``"checkpoint"``: written once to ``spark.checkpoint.dir`` (a reliable
     shared folder on a cluster) and read from there, so an executor loss
-    costs no recomputation of the cleaning.
+    costs no recomputation of the cleaning;
+    ``True`` / ``"cache"``: MEMORY_AND_DISK, for corpora that fit there.
     """
     train = docs.filter(is_split(TRAIN, split_col))
     indexer = fit_label_index(train, label_name_col, "label", handle_invalid)
-    frame = index_labels(indexer, docs).withColumn(clean_col, clean_text(text_col))
+    ensure_checkpoint_dir(docs.sparkSession)
+    counted = index_labels(indexer, train.select(label_name_col))
+    weights = class_weights(counted, "label", weight_scheme).checkpoint(eager=True)  # one row a class
+    frame = apply_class_weight(index_labels(indexer, docs), weights, "label", "weight")
+    frame = frame.withColumn(clean_col, clean_text(text_col))
     if lemmas is not None:
-        frame = lemmatize(frame, lemmas, clean_col, key_cols=key_cols)
+        frame = lemmatize(frame, lemmas, clean_col)
     cached = None
     if persist == "checkpoint":
-        ensure_checkpoint_dir(frame.sparkSession)
         frame = frame.checkpoint(eager=True)
     elif persist:
         frame = cached = frame.persist(StorageLevel.MEMORY_AND_DISK)
-    wt = class_weights(frame.filter(is_split(TRAIN, split_col)).select("label"), "label", weight_scheme)
-    rows = wt.limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
-    weights = {int(r["label"]): float(r["weight"]) for r in rows}
-    frame = apply_class_weight(frame, weights, "label", "weight")
     return Prepared(frame=frame, indexer=indexer, weights=weights, cached=cached)
 
 

@@ -1,13 +1,15 @@
 """Session helpers: a local session for tests/bench and the shared work folder.
 
 On a cluster the caller passes its own session; the library only reads
-``spark.checkpoint.dir`` from it.  A private folder is set only when that
-setting is missing (local tests), never a machine-local folder on a cluster.
+``spark.checkpoint.dir`` from it, and refuses to go on without it.  In local
+mode a missing setting gets a private folder, which goes when Python ends.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -45,8 +47,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        # Only reached when nothing is configured (local tests).
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="lexiflow-ckpt-")
+        atexit.register(shutil.rmtree, conf_dir, ignore_errors=True)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
 

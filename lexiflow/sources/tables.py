@@ -1,12 +1,10 @@
-"""Reading input tables with enough parallelism for CPU-heavy text work.
+"""Reading input tables.
 
-Text stages (regex cleaning, tokenizing) cost CPU per byte, so a table that
-arrives in fewer partitions than the cluster has cores leaves cores idle
-(e.g. a single-row-group Parquet file is one task).  Such an input is dealt
-round-robin into ``defaultParallelism`` partitions (even whatever the key
-distribution; Spark sorts before a round-robin repartition so a retried task
-gets the same rows); a real multi-terabyte input already has far more
-partitions than cores and is left untouched, so no shuffle is added at scale.
+Text stages (regex cleaning, tokenizing) cost CPU per byte, and a Parquet
+file with a single row group is one task however many cores there are.
+``partitions`` deals such an input out round-robin (Spark sorts before that,
+so a retried task gets the same rows).  It is the caller's choice: nothing is
+shuffled unless asked for.
 """
 
 from __future__ import annotations
@@ -14,15 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Repartition only when ``df`` has fewer partitions than the cluster's cores."""
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """``spark.read.parquet`` plus ``spread`` for tiny-partition inputs."""
-    return spread(spark.read.parquet(path))
+def read_table(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    df = spark.read.parquet(path)
+    return df.repartition(partitions) if partitions else df

@@ -1,10 +1,11 @@
 """Score a stream of texts with fitted models (Structured Streaming).
 
-All fitted stages used here (label-free cleaning, tokenizer, count vectors,
-IDF, hashing, classifiers) are stateless per row, so a ``PipelineModel``
-applies to a streaming DataFrame as is: no state store, no watermark.  The
-sink is Parquet with its checkpoint in the shared checkpoint folder, so a
-restarted query resumes exactly once from where it stopped.
+All fitted stages used here (label-free cleaning, lemmas, tokenizer, count
+vectors, IDF, hashing, classifiers) concern single rows: no state store, no
+watermark.  Each micro-batch is cleaned, lemmatized with the table that the
+models were fitted with, scored and written to a folder of its own, named by
+the batch's number and overwritten if the batch is repeated; with the query's
+checkpoint in the shared folder a restarted query gives each row once.
 """
 
 from __future__ import annotations
@@ -19,13 +20,16 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..functions.text import clean_text
+from ..operators.lemma import lemmatize
 from ..session import work_path
 
 
-def scoring_frame(stream: DataFrame, feature_model: Model, classifier: Model, keep: list[str],
-                  text_col: str = "text", clean_col: str = "text_c") -> DataFrame:
-    """Streaming (or batch) rows -> ``keep`` columns + ``prediction``."""
-    prepared = stream.withColumn(clean_col, clean_text(text_col))
+def scoring_frame(rows: DataFrame, feature_model: Model, classifier: Model, keep: list[str],
+                  text_col: str = "text", clean_col: str = "text_c", lemmas: DataFrame | None = None) -> DataFrame:
+    """Rows -> ``keep`` columns + ``prediction``; ``lemmas`` as given to ``prepare``."""
+    prepared = rows.withColumn(clean_col, clean_text(text_col))
+    if lemmas is not None:
+        prepared = lemmatize(prepared, lemmas, clean_col)
     scored = classifier.transform(feature_model.transform(prepared))
     return scored.select(*keep, F.col("prediction").cast("double").alias("prediction"))
 
@@ -33,7 +37,8 @@ def scoring_frame(stream: DataFrame, feature_model: Model, classifier: Model, ke
 def start_scoring(spark: SparkSession, source_path: str, schema: StructType, feature_model: Model,
                   classifier: Model, keep: list[str], sink_path: str | None = None,
                   before: Callable[[DataFrame], DataFrame] | None = None,
-                  available_now: bool = True, text_col: str = "text") -> tuple[StreamingQuery, str]:
+                  available_now: bool = True, text_col: str = "text",
+                  lemmas: DataFrame | None = None) -> tuple[StreamingQuery, str]:
     """Start a query reading Parquet files at ``source_path``; returns (query, sink path).
 
     ``source_path`` is a folder or a glob (a single file is read through a glob
@@ -45,13 +50,17 @@ def start_scoring(spark: SparkSession, source_path: str, schema: StructType, fea
     stream = spark.readStream.schema(schema).parquet(source_path)
     if before is not None:
         stream = before(stream)
-    out = scoring_frame(stream, feature_model, classifier, keep, text_col)
     sink_path = sink_path or work_path(spark, "stream-scores")
-    writer = (out.writeStream.format("parquet").outputMode("append")
-                 .option("checkpointLocation", os.path.join(sink_path, "_checkpoint")))
+
+    def score(batch: DataFrame, number: int) -> None:
+        out = scoring_frame(batch, feature_model, classifier, keep, text_col, lemmas=lemmas)
+        out.write.mode("overwrite").parquet(os.path.join(sink_path, "data", f"batch={number}"))
+
+    writer = stream.writeStream.foreachBatch(score).option("checkpointLocation",
+                                                           os.path.join(sink_path, "_checkpoint"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
-    return writer.start(os.path.join(sink_path, "data")), sink_path
+    return writer.start(), sink_path
 
 
 def read_scores(spark: SparkSession, sink_path: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sink_path, "data"))
+    return spark.read.parquet(os.path.join(sink_path, "data")).drop("batch")

@@ -62,3 +62,31 @@ def test_union_and_csv_roundtrip(spark, golden, tmp_path):
     write_results_csv(golden, path)
     back = read_results_csv(spark, path)
     assert sorted(tuple(r) for r in back.collect()) == sorted(GOLDEN)
+
+
+def test_run_ids_belong_to_pairs_not_positions(spark):
+    from lexiflow.plans.catalog import state
+    from lexiflow.plans.experiments import run_experiments
+    from tests.conftest import SF001
+    st = state(spark, SF001)
+    (g3,) = st.models("G3")
+    rows = run_experiments(spark, st.frame, {"G3": g3}, st.n_classes, ("nb", "svm"), parallelism=2).collect()
+    assert {(r["modelName"], r["dataFrameNo"]) for r in rows} == {("nb", "df9"), ("svm", "df7")}
+    assert all(r["trainingTime"] > 0 and 0 <= r["f1Score"] <= 1 for r in rows)
+
+
+def test_small_grid_scores_equal_own_metrics(spark):
+    from lexiflow.operators.models import make_classifier
+    from lexiflow.plans.catalog import _own_f1, state
+    from lexiflow.plans.splits import is_split
+    from lexiflow.plans.tuning import assign_folds, best_model_scores, cross_validate, param_grid
+    from tests.conftest import SF001
+    st = state(spark, SF001)
+    (g3,) = st.models("G3")
+    feats = g3.transform(st.frame)
+    est = make_classifier("svm", "featuresIDF", "label", "weight", parallelism=4)
+    grid = param_grid(est.getClassifier(), max_iter=(3,), reg_param=(0.1, 0.01))
+    cvm = cross_validate(est, grid, assign_folds(feats.filter(is_split("train")), 3), "fold", parallelism=2)
+    val = feats.filter(is_split("val"))
+    n, f1 = _own_f1(cvm.bestModel, val)
+    assert n == val.count() and abs(best_model_scores(cvm, {"val": val})["val"] - f1) < 1e-9

@@ -52,9 +52,47 @@ def test_chi2_single_category(spark):
     from pyspark.ml.linalg import Vectors
     df = spark.createDataFrame([(0.0, Vectors.dense([1.0, 0.0])), (1.0, Vectors.dense([1.0, 2.0])),
                                 (1.0, Vectors.dense([1.0, 2.0]))], ["label", "f"])
-    rows = {r["featureIndex"]: r for r in chi2_statistics(df, "f", "label").collect()}
-    assert rows[0]["degreesOfFreedom"] == 0 and rows[0]["statistic"] == 0.0
-    assert rows[1]["degreesOfFreedom"] == 1 and rows[1]["statistic"] == pytest.approx(3.0)
+    rows = {r["feature"]: r for r in chi2_statistics(df, "f", "label", 2).collect()}
+    assert rows[0]["dof"] == 0 and rows[0]["statistic"] == 0.0 and rows[0]["log_p"] == 0.0
+    assert rows[1]["dof"] == 1 and rows[1]["statistic"] == pytest.approx(3.0)
+
+
+def test_chi2_equals_spark_and_has_no_cap(spark):
+    import math
+    import random
+
+    from pyspark.ml.linalg import Vectors
+    from pyspark.ml.stat import ChiSquareTest
+    r = random.Random(3)
+    rows = [(float(i % 3), Vectors.sparse(4, {0: float(r.randrange(3)), 1: float(i % 3 == 1), 3: float(r.randrange(9) + 1)}))
+            for i in range(300)]
+    df = spark.createDataFrame(rows, ["label", "f"])
+    want = {x["featureIndex"]: x for x in ChiSquareTest.test(df, "f", "label", flatten=True).collect()}
+    got = {x["feature"]: x for x in chi2_statistics(df, "f", "label", 4).collect()}
+    assert set(got) == {0, 1, 2, 3}
+    for j, x in got.items():
+        assert x["dof"] == want[j]["degreesOfFreedom"]
+        assert x["statistic"] == pytest.approx(want[j]["statistic"], abs=1e-8)
+        if want[j]["pValue"] > 1e-250:
+            assert x["log_p"] == pytest.approx(math.log(want[j]["pValue"]), rel=1e-6, abs=1e-9)
+    many = spark.range(10_050).rdd.map(lambda i: (float(i[0] % 2), Vectors.dense([float(i[0])]))).toDF(["label", "f"])
+    x = chi2_statistics(many, "f", "label").first()
+    assert x["dof"] == 10_049 and x["statistic"] == pytest.approx(10_050)
+
+
+def test_log_tail_beyond_underflow():
+    from lexiflow.operators.features import log_chi2_tail
+    assert log_chi2_tail(2.0, 2) == pytest.approx(-1.0)
+    assert log_chi2_tail(5000.0, 2) == pytest.approx(-2500.0)
+    assert log_chi2_tail(3.841458820694124, 1) == pytest.approx(-2.995732273553991)
+    assert log_chi2_tail(10.0, 40) == pytest.approx(0.0, abs=1e-6) and log_chi2_tail(0.0, 3) == 0.0
+
+
+def test_sparse_and_dense_entries(spark):
+    from pyspark.ml.linalg import Vectors
+    df = spark.createDataFrame([(1, Vectors.dense([0.0, 2.0, 0.0])), (2, Vectors.sparse(1 << 18, {7: 1.5, 9: 0.0})),
+                                (3, Vectors.sparse(5, {}))], ["k", "v"])
+    assert sorted(map(tuple, vector_to_long(df, "v", ["k"]).collect())) == [(1, 1, 2.0), (2, 7, 1.5)]
 
 
 def test_chi2_rank_by_statistic(spark):
@@ -69,4 +107,4 @@ def test_chi2_rank_by_statistic(spark):
     out = model.transform(df).first()["sel"]
     assert out.size == 1
     by_p = chi2_selector("f", "sel", "label", 2).fit(df)
-    assert list(by_p.selectedFeatures) == [0, 1]
+    assert by_p.getIndices() == [0, 1]

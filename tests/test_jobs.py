@@ -1,8 +1,10 @@
 """The three-step workflow on labelled text files made from sf0.001 documents."""
 
 import os
+import shutil
 
 import pyarrow.parquet as pq
+import pytest
 
 from lexiflow.plans.jobs import prepare_job, select_job, tune_job
 from lexiflow.sources.results import read_results_csv
@@ -27,11 +29,42 @@ def test_prepare_select_tune(spark, tmp_path):
     paths = prepare_job(spark, train, test, val, out)
     assert set(paths) == {"G1", "G2", "G3", "G4"}
     assert os.path.exists(os.path.join(out, "models", "G3"))
+    with pytest.raises(Exception):  # neither tables nor models are overwritten unless asked for
+        prepare_job(spark, train, test, val, out)
     csv = str(tmp_path / "modelselection")
     res = select_job(spark, os.path.join(out, "features"), csv, classifiers=("nb", "lr"))
     assert res.count() == 8
     back = read_results_csv(spark, csv).collect()
-    assert sorted(r["dataFrameNo"] for r in back) == sorted(f"df{i}" for i in range(1, 9))
+    assert sorted(r["dataFrameNo"] for r in back) == sorted(f"df{i}" for i in (2, 3, 5, 6, 8, 9, 11, 12))
     assert all(0.0 <= r["f1Score"] <= 1.0 for r in back)
     tuned = tune_job(spark, os.path.join(out, "features"), "G3", folds=3, max_iter=(5,), reg_param=(0.1, 0.01))
+    shutil.rmtree(os.path.join(out, "features", "G2"))
+    with pytest.raises(Exception):
+        select_job(spark, os.path.join(out, "features"), classifiers=("nb",))
+    assert select_job(spark, os.path.join(out, "features"), classifiers=("nb",),
+                      feature_sets=("G3",)).first()["dataFrameNo"] == "df9"
     assert len(tuned["cv"]) == 2 and set(tuned["best"]) == {"val", "test"}
+
+
+def test_saved_lemma_table_scores_new_texts_alike(spark, tmp_path):
+    from lexiflow.operators.lemma import rule_table
+    from lexiflow.functions.text import clean_text
+    train, test, val = _write_split_files(tmp_path)
+    lines = spark.read.text(train).select(clean_text("value").alias("text_c"))
+    lemmas = str(tmp_path / "lemmas")
+    rule_table(lines, "text_c").write.parquet(lemmas)
+    out = str(tmp_path / "out")
+    prepare_job(spark, train, test, val, out, lemma_path=lemmas)
+    saved = spark.read.parquet(os.path.join(out, "models", "lemmas"))
+    assert sorted(map(tuple, saved.collect())) == sorted(map(tuple, spark.read.parquet(lemmas).collect()))
+
+
+def test_ids_do_not_depend_on_file_splits(spark, tmp_path):
+    from lexiflow.plans.jobs import read_splits
+    train, test, val = _write_split_files(tmp_path)
+    ids = []
+    for size in ("134217728", "4096"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        ids.append(sorted(r[0] for r in read_splits(spark, train, test, val).select("doc_id").collect()))
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert ids[0] == ids[1]

@@ -15,7 +15,7 @@ def test_checkpointed_prepare_equals_cached(spark):
     assert a.cached is not None and a.cached.is_cached and b.cached is None
     cols = ["doc_id", "label", "weight", "text_c"]
     assert sorted(a.frame.select(cols).collect()) == sorted(b.frame.select(cols).collect())
-    assert a.labels == b.labels and a.weights == b.weights
+    assert a.labels == b.labels and sorted(a.weights.collect()) == sorted(b.weights.collect())
     a.release()
 
 
@@ -28,6 +28,8 @@ def test_write_all_feature_sets(spark):
     val = read_feature_set(spark, paths["G2"], "val")
     assert val.count() == prep.frame.filter(F.col("split") == "val").count()
     assert "features" in val.columns and val.first()["features"].size == 300
+    assert {"text", "text_c", "words", "filtered", "rawFeatures", "featuresIDF"} <= set(val.columns)
+    assert "ngrams" in read_feature_set(spark, paths["G4"]).columns
     prep.release()
 
 
@@ -38,7 +40,7 @@ def test_fits_independent_of_partitioning(spark):
     for n in (1, 5):
         prep = prepare(docs.repartition(n))
         models = fit_feature_sets(prep.frame, ("G1", "G2", "G3"))
-        results.append((prep.labels, prep.weights, vocabulary_of(models["G1"]), vocabulary_of(models["G3"]),
+        results.append((prep.labels, sorted(prep.weights.collect()), vocabulary_of(models["G1"]), vocabulary_of(models["G3"]),
                         [round(x, 12) for x in idf_model_of(models["G1"]).idf.toArray()],
-                        list(models["G2"].stages[-1].selectedFeatures)))
+                        list(models["G2"].stages[-1].getIndices())))
     assert results[0] == results[1]

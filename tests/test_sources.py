@@ -1,10 +1,12 @@
+import os
 import pytest
 from pyspark.sql import functions as F
 
 from lexiflow.plans.splits import assign_split
 from lexiflow.session import work_path
 from lexiflow.sources.parquet import read_feature_set, write_feature_set
-from lexiflow.sources.tables import spread
+from lexiflow.sources.tables import read_table
+from tests.conftest import SF001
 
 
 def test_write_refuses_existing_path_by_default(spark):
@@ -23,8 +25,23 @@ def test_every_row_in_one_split(spark):
     assert counts == {"train": 80, "test": 10, "val": 10}
 
 
-def test_spread_only_small_inputs(spark):
-    one = spark.range(100).coalesce(1)
-    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(100).repartition(spark.sparkContext.defaultParallelism * 2)
-    assert spread(many) is many
+def test_reader_deals_out_only_when_asked(spark):
+    path = os.path.join(SF001, "documents.parquet")
+    stored = spark.read.parquet(path).rdd.getNumPartitions()
+    assert read_table(spark, path).rdd.getNumPartitions() == stored
+    assert read_table(spark, path, 5).rdd.getNumPartitions() == 5
+
+
+def test_checkpoint_folder_is_asked_for_on_a_cluster(monkeypatch):
+    from lexiflow import session
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())

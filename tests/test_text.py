@@ -59,19 +59,43 @@ def test_read_labeled_text(spark, tmp_path):
     assert rows == [("i feel ok", "joy"), ("i am sad, really", "sadness")]
 
 
-def test_lemmatize_plans_agree(spark):
-    docs = spark.createDataFrame([(1, "running  dogs ran"), (2, ""), (3, None), (4, "walking walking")],
-                                 "doc_id long, text_c string")
-    lem = spark.createDataFrame([("running", "run"), ("walking", "walk"), ("dogs", "dog"), ("geese", "goose")],
+def test_lemmatize_odd_rows(spark):
+    rows = [(1, "running  dogs ran"), (2, ""), (3, None), (4, "walking walking"), (None, "run geese"),
+            (5, "dogs home"), (5, "a running"), (5, "a running"), (6, "dogs " * 3000)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text_c string, form string")
+    lem = spark.createDataFrame([("running", "run"), ("walking", "walk"), ("dogs", "dog"), ("dogs", "doggy"),
+                                 ("geese", "goose"), (None, "nothing"), ("home", None), ("ran", "ran")],
                                 "form string, lemma string")
-    expected = {1: "run  dog ran", 2: "", 3: None, 4: "walk walk"}
-    plans = [dict(),                                   # whole table as a map
-             dict(map_limit=3),                        # reduced to forms present, then a map
-             dict(map_limit=0),                        # broadcast join
-             dict(map_limit=0, broadcast_limit=-1)]    # shuffle join
-    for kw in plans:
-        out = lemmatize(docs, lem, "text_c", "l", key_cols=["doc_id"], **kw).select("doc_id", "l")
-        assert {r[0]: r[1] for r in out.collect()} == expected, kw
+    table = {"running": "run", "walking": "walk", "dogs": "dog", "geese": "goose"}
+    expected = [(i, None if t is None else " ".join(table.get(w, w) for w in t.split(" "))) for i, t in rows]
+    out = lemmatize(docs, lem, "text_c", "l")
+    assert out.columns == ["doc_id", "text_c", "form", "l"]
+    key = lambda r: (r[0] is None, str(r))
+    assert sorted((tuple(r) for r in out.select("doc_id", "l").collect()), key=key) == sorted(expected, key=key)
+    assert sorted(str(r[0]) for r in lemmatize(docs, lem.limit(0), "text_c").select("text_c").collect()) == \
+        sorted(str(t) for _, t in rows)
+    assert lemmatize(docs.limit(0), lem, "text_c").count() == 0
+
+
+def test_lemmatize_has_one_plan(spark):
+    import re
+    docs = spark.createDataFrame([(1, "w1 w2 x")], "doc_id long, text_c string")
+    shapes = []
+    for n in (2, 1_000_000):
+        lem = spark.range(n).select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("form"),
+                                    F.lit("w").alias("lemma"))
+        plan = lemmatize(docs, lem, "text_c")._jdf.queryExecution().sparkPlan().toString()
+        shapes.append(re.findall(r"\w+(?:Join|Aggregate|Generate)\b", plan))
+    assert shapes[0] == shapes[1] and "BroadcastHashJoin" not in shapes[0]
+
+
+def test_lemma_rules(spark):
+    from lexiflow.operators.lemma import rule_table
+    words = "walks running glasses parties string was class bus thing jumped ed ing is"
+    df = spark.createDataFrame([(words,)], "text_c string")
+    got = {r["form"]: r["lemma"] for r in rule_table(df, "text_c").collect()}
+    assert got == {"walks": "walk", "running": "runn", "glasses": "glass", "parties": "party", "was": "be",
+                   "jumped": "jump"}
 
 
 def test_clean_matches_plain_regex(spark):
