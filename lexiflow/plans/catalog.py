@@ -408,7 +408,7 @@ def _chi2(spark, sf_dir, fs):
 def q_chi2_statistic(spark, sf_dir):
     """Chi-square statistic, degrees of freedom and log p-value per G3 feature on training rows."""
     stats, _ = _chi2(spark, sf_dir, "G3")
-    return stats.select("feature", "dof", r6("statistic").alias("statistic"), F.round("log_p", 4).alias("log_p"))
+    return stats.select("feature", "dof", r6("statistic").alias("statistic"), (F.round("log_p", 4) + 0.0).alias("log_p"))
 
 
 def _selected(spark, sf_dir, indices):

@@ -335,7 +335,7 @@ SQL["chi2_statistic"] = _q(f"""
 {G3},
 {CHI2('g3')},
 {LOG_P('g3')}
-SELECT feature, dof, round(statistic, 6) AS statistic, round(log_p, 4) AS log_p FROM logp
+SELECT feature, dof, round(statistic, 6) AS statistic, round(log_p, 4) + 0.0 AS log_p FROM logp
 """)
 
 # Selection by log p-value, or by statistic per degree of freedom; ties by index, G1 features.  Equal tables can
