@@ -1,18 +1,25 @@
 """The four feature sets, as Spark ML pipelines fitted on training rows.
 
 G1 and G2 share one fitted prefix (G2 = G1 + chi-square selection); the
-reference refitted the whole prefix for G2.
+reference refitted the whole prefix for G2.  ``fit_feature_sets`` fits all four
+together in three passes; the ``g*_pipeline`` functions are the same sets as
+ordinary Spark ML pipelines, one at a time.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import math
+from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
+from pyspark.ml.linalg import DenseVector, Vectors
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..operators.features import (TermVocabulary, chi2_selector, hashing_tf, idf, ngrams,
+from ..operators.features import (TermVocabulary, chi2_selector, hashing_tf, idf, ngrams, sparse_entries,
                                   stop_words_remover, tokenizer)
+from ..session import ensure_checkpoint_dir
 from .splits import TRAIN, is_split
 
 # The feature-set names used in the result table.
@@ -54,42 +61,81 @@ def g4_pipeline(num_features=1000, n=2, drop_empty=False, clean_col="text_c") ->
     ])
 
 
+def _token_stages(name: str, drop_empty: bool, text_col: str, clean_col: str) -> tuple[list, str]:
+    """The stages of a set up to its terms, and the column of these."""
+    if name == "G3":
+        return [tokenizer(text_col, "words", drop_empty)], "words"
+    stages = [tokenizer(clean_col, "words", drop_empty), stop_words_remover("words", "filtered")]
+    if name == "G4":
+        return stages + [ngrams("filtered", "ngrams", 2)], "ngrams"
+    return stages, "filtered"
+
+
+def _side_by_side(train: DataFrame, stages: dict[str, list], columns: dict[str, str], out: str) -> DataFrame:
+    """One frame with a column of each set's stages as ``<out>_<set>``; a single scan of ``train``."""
+    done = train
+    for name, own in stages.items():
+        before = done.columns
+        for stage in own:
+            done = stage.transform(done)
+        done = done.select(*before, F.col(columns[name]).alias(f"{out}_{name}"))
+    return done.select(*[f"{out}_{name}" for name in stages])
+
+
+def _tag(name: str, field: str):
+    """A function that puts the set's name beside a value."""
+    return lambda x: F.struct(F.lit(name).alias("set"), x.alias(field))
+
+
 def fit_feature_sets(frame: DataFrame, names=("G1", "G2", "G3", "G4"), split_col="split",
                      vocab_size=1000, num_hash=1000, chi2_top=300,
-                     drop_empty=False, parallelism: int = 3,
-                     chi2_rank: str = "pvalue") -> dict[str, PipelineModel]:
-    """Fit the requested feature sets on the training rows of ``frame``.
+                     drop_empty=False, chi2_rank: str = "pvalue", text_col: str = "text",
+                     clean_col: str = "text_c") -> dict[str, PipelineModel]:
+    """Fit the requested feature sets on the training rows of ``frame``, in three passes over them at most.
 
-    The sets are independent Spark jobs (G2 only extends G1), so up to
-    ``parallelism`` of them are submitted at once from driver threads, as
-    ``CrossValidator(parallelism=...)`` does for its fits.
+    1. The vocabularies of G1 and G3: terms are counted by (set, term).
+    2. The document frequencies of G1, G3 and G4: counted by (set, index).
+    3. The chi-square cells of G2, which extends G1.
+
+    Fitted sets are the same as those of ``g1_pipeline`` ... ``g4_pipeline``.
     """
     train = frame.filter(is_split(TRAIN, split_col))
-
-    def fit_g1_g2() -> dict[str, PipelineModel]:
-        g1 = g1_pipeline(vocab_size, drop_empty).fit(train)
-        out = {"G1": g1}
-        if "G2" in names:
-            sel = chi2_selector("featuresIDF", "features", "label", chi2_top, chi2_rank).fit(g1.transform(train))
-            out["G2"] = PipelineModel(stages=list(g1.stages) + [sel])
-        return out
-
-    jobs = []
-    if "G1" in names or "G2" in names:
-        jobs.append(fit_g1_g2)
-    if "G3" in names:
-        jobs.append(lambda: {"G3": g3_pipeline(vocab_size, drop_empty).fit(train)})
-    if "G4" in names:
-        jobs.append(lambda: {"G4": g4_pipeline(num_hash, 2, drop_empty).fit(train)})
-    models: dict[str, PipelineModel] = {}
-    if parallelism > 1 and len(jobs) > 1:
-        with ThreadPoolExecutor(max_workers=min(parallelism, len(jobs))) as pool:
-            for part in pool.map(lambda job: job(), jobs):
-                models.update(part)
-    else:
-        for job in jobs:
-            models.update(job())
-    return {k: models[k] for k in names if k in models}
+    ensure_checkpoint_dir(frame.sparkSession)
+    sets = [n for n in ("G1", "G3", "G4") if n in names or (n == "G1" and "G2" in names)]
+    tokens = {n: _token_stages(n, drop_empty, text_col, clean_col) for n in sets}
+    stages: dict[str, list] = {n: list(tokens[n][0]) for n in sets}
+
+    counted = [n for n in sets if n != "G4"]
+    if counted:
+        side = _side_by_side(train, {n: tokens[n][0] for n in counted}, {n: tokens[n][1] for n in counted}, "t")
+        tagged = F.concat(*[F.transform(f"t_{n}", _tag(n, "term")) for n in counted])
+        counts = side.select(F.explode(tagged).alias("x")).select("x.*").filter("term IS NOT NULL").groupBy(
+            "set", "term").agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+        for n in counted:
+            top = counts.filter(F.col("set") == n).orderBy(F.col("n").desc(), "term").limit(vocab_size).collect()
+            words = [r["term"] for r in sorted(top, key=lambda r: (-r["n"], r["term"]))]
+            stages[n].append(CountVectorizerModel.from_vocabulary(words, inputCol=tokens[n][1], outputCol="rawFeatures"))
+    if "G4" in sets:
+        stages["G4"].append(hashing_tf("ngrams", "rawFeatures", num_hash))
+
+    width = {n: num_hash if n == "G4" else len(stages[n][-1].vocabulary) for n in sets}
+    side = _side_by_side(train, stages, dict.fromkeys(sets, "rawFeatures"), "v")
+    tagged = F.concat(*[F.transform(F.transform(sparse_entries(f"v_{n}"), lambda e: e["index"]), _tag(n, "index"))
+                        for n in sets])
+    each_row = F.array(F.struct(F.lit("rows").alias("set"), F.lit(0).alias("index")))
+    found = side.select(F.explode(F.concat(tagged, each_row)).alias("x")).select("x.*").groupBy("set", "index").agg(F.count(F.lit(1)).alias("n"))
+    frequency = {(r["set"], r["index"]): r["n"] for r in found.collect()}  # vocab_size + num_hash rows a set at most
+    n_rows = frequency.get(("rows", 0), 0)
+    models = {}
+    for n in sets:
+        weights = [math.log((n_rows + 1.0) / (frequency.get((n, i), 0) + 1.0)) for i in range(width[n])]
+        stages[n].append(ElementwiseProduct(inputCol="rawFeatures", outputCol="featuresIDF",
+                                            scalingVec=Vectors.dense(weights)))
+        models[n] = PipelineModel(stages=stages[n])
+    if "G2" in names:
+        selector = chi2_selector("featuresIDF", "features", "label", chi2_top, chi2_rank)
+        models["G2"] = PipelineModel(stages=stages["G1"] + [selector.fit(models["G1"].transform(train))])
+    return {n: models[n] for n in names}
 
 
 def write_feature_sets(frame: DataFrame, models: dict[str, PipelineModel], base_path: str,
@@ -123,10 +169,18 @@ def vocabulary_of(model: PipelineModel) -> list[str]:
     raise ValueError("feature set has no vocabulary (hashed)")
 
 
-def idf_model_of(model: PipelineModel):
+class IdfWeights(NamedTuple):
+    """The fitted weights of an IDF stage."""
+
+    idf: DenseVector
+
+
+def idf_model_of(model: PipelineModel) -> IdfWeights:
     for st in model.stages:
+        if isinstance(st, ElementwiseProduct):
+            return IdfWeights(st.getScalingVec())
         if hasattr(st, "idf") and hasattr(st, "docFreq"):
-            return st
+            return IdfWeights(st.idf)
     raise ValueError("feature set has no IDF stage")
 
 

@@ -44,3 +44,19 @@ def test_fits_independent_of_partitioning(spark):
                         [round(x, 12) for x in idf_model_of(models["G1"]).idf.toArray()],
                         list(models["G2"].stages[-1].getIndices())))
     assert results[0] == results[1]
+
+
+def test_joint_fit_equals_single_pipelines(spark):
+    from lexiflow.plans.pipelines import g1_pipeline, g3_pipeline, g4_pipeline, idf_model_of, vocabulary_of
+    prep = prepare(labeled_docs(spark, SF001), persist="checkpoint")
+    train = prep.frame.filter(F.col("split") == "train")
+    joint = fit_feature_sets(prep.frame, ("G1", "G3", "G4"))
+    for name, make in (("G1", g1_pipeline), ("G3", g3_pipeline), ("G4", g4_pipeline)):
+        single = make().fit(train)
+        if name != "G4":
+            assert vocabulary_of(joint[name]) == vocabulary_of(single)
+        a, b = (idf_model_of(m).idf.toArray() for m in (joint[name], single))
+        assert len(a) == len(b) and max(abs(a - b)) < 1e-12
+        rows = [m.transform(prep.frame).select("doc_id", "featuresIDF").orderBy("doc_id").head(20) for m in (joint[name], single)]
+        for x, y in zip(*rows):
+            assert x.doc_id == y.doc_id and x.featuresIDF.squared_distance(y.featuresIDF) < 1e-18
