@@ -3,7 +3,8 @@
 Links (a, b) with a > b are rewired until every node points at the smallest node of its component: a large
 star sends the larger neighbours of a node to its smallest neighbour, a small star the smaller ones.  Each
 step is one aggregation and one join; no neighbourhood is gathered and nothing reaches the driver but two
-numbers a step, which tell whether anything changed.
+numbers a step, which tell whether anything changed.  Least neighbours are written before the join: it
+then has an exchange on both sides, so that Spark can split the many links of a hub over tasks.
 """
 
 from __future__ import annotations
@@ -18,8 +19,9 @@ def _rewire(links: DataFrame, large: bool) -> DataFrame:
     if large:  # (a, b) -> (a, smallest of b and its neighbours)
         least = links.select(F.col("b").alias("u"), F.col("b").alias("v")).unionByName(
             links.select(F.col("a").alias("u"), F.col("b").alias("v"))).groupBy("u").agg(F.min("v").alias("m"))
+        least = materialise(least, "least")
         return links.join(least, links["b"] == least["u"]).select("a", F.col("m").alias("b")).distinct()
-    least = links.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
+    least = materialise(links.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u"), "least")
     moved = links.join(least, links["a"] == least["u"])  # (a, b) -> (b, smallest of a), (a, smallest of a)
     return moved.select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
                                           F.struct("a", F.col("m").alias("b")))).alias("l")).select(

@@ -131,8 +131,8 @@ def _sketch_table(docs: DataFrame, keys: list[str], text_col: str, width: int) -
 def _ties(nodes: DataFrame) -> DataFrame:
     """(a, b): every node of a bucket and its least node."""
     rows = nodes.select("node", F.explode("bands").alias("key"))
-    shared = rows.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter(
-        "least < most").select("key", "least")
+    shared = materialise(rows.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter(
+        "least < most").select("key", "least"), "buckets")  # written, so that the join can split a large bucket
     return rows.join(shared, "key").filter("node > least").select(
         F.col("node").alias("a"), F.col("least").alias("b")).distinct()
 
@@ -219,6 +219,7 @@ def _links(sets: DataFrame) -> DataFrame:
     size = lambda c: F.ceil(F.sum(c.cast("long")) / BLOCK).cast("int")
     groups = near.groupBy("grp").agg(size(~F.col("near")).alias("far"), size(F.col("near")).alias("close"),
                                      F.count(F.lit(1)).alias("m")).filter("far > 0 AND m > 2").drop("m")
+    groups = materialise(groups, "far-groups")
     rest = near.join(groups, "grp").withColumn(
         "block", F.pmod(F.xxhash64("node"), F.when(F.col("near"), F.col("close")).otherwise(F.col("far"))).cast("int"))
     # tasks (x, y): x is a block of far nodes, y one of far nodes (y >= x) or, as -1 - y, of near nodes
@@ -254,7 +255,8 @@ def link(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str
     found = components(_links(sets)).withColumnRenamed("component", "c")
     named = nodes.select("node", "d1", "d2", "id").join(found, "node", "left").withColumn(
         "c", F.coalesce("c", "node"))
-    least = named.groupBy("c").agg(F.min("id").alias("component_id"))
+    named = materialise(named, "named")
+    least = materialise(named.groupBy("c").agg(F.min("id").alias("component_id")), "components")
     named = named.join(least, "c").select("d1", "d2", "component_id")
     out = rows.drop("bands").join(named, ["d1", "d2"], "left")  # empty sets find nothing
     return out.select(*keys, F.col("n").alias("n_shingles"),
