@@ -65,6 +65,8 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op5_minhash": minhash.REPORT_SQL,
+    "op6_substring": substring.REPORT_SQL,
     "op7_chat": chat.REPORT_SQL,
     "op8_exact_dedup": exact_dedup.REPORT_SQL,
 }

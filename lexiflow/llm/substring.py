@@ -355,3 +355,24 @@ def report(docs: DataFrame) -> DataFrame:
         F.when(F.col("id") != LAST_ID, F.col("id")).alias("doc_id"), "n_words",
         F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(copy, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept", "sha")).alias("kept_sha256"))
+
+
+REPORT_SQL = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 49)) AS i FROM d)),
+firsts AS (SELECT h, min(doc_id) AS m FROM windows GROUP BY h),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(i, i + 49)) AS pos
+  FROM windows JOIN firsts USING (h) WHERE m < doc_id),
+words AS (SELECT doc_id, unnest(generate_series(1, len(w))) AS pos, unnest(w) AS word FROM d),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS t, count(*) AS k
+  FROM words ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, (len(d.w) - coalesce(k, 0))::BIGINT AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
