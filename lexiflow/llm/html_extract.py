@@ -5,7 +5,8 @@ punctuation and the number of its nodes; length and punctuation per node are smo
 nodes and fused into one ratio, which is high for paths of running text and low for menus and link lists.
 Nodes on paths above a share of the page's length-weighted mean ratio are content nodes.  The deepest
 element that holds nearly all of their text is the article; within it nodes on weaker paths (headings,
-one-word paragraphs) are content as well, unless they are link lists.
+one-word paragraphs) are content as well, unless they are link lists.  An ``<article>`` or ``<main>`` with
+most of the content text is taken as it is.
 
 Some elements are never article text, however well written: see ``OUTSIDE`` and ``OUTSIDE_WORDS`` (tags,
 and words of class, id and role).  If nothing is left, only the invisible ones are left out.
@@ -64,18 +65,20 @@ TOKEN = re.compile(
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*+)>", re.S | re.I)
 ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
-#: Share of the mean ratio from which a path is content, and of the content text that the article holds.
-LEAST_RATIO, ARTICLE_SHARE = 0.3, 0.9
+#: Share of the mean ratio from which a path is content; of the content text that the article holds; of that in
+#: an <article> or <main> that is the article for this reason.
+LEAST_RATIO, ARTICLE_SHARE, MARKED_SHARE = 0.3, 0.9, 0.5
 
 
 class Node:
-    """A text node: its text, tag path, open holders, block, and whether it lies outside the article."""
+    """A text node: its text, tag path, open holders (those marked as articles apart), block, and whether it
+    lies outside the article."""
 
-    __slots__ = ("text", "path", "elements", "block", "outside", "hidden", "linked")
+    __slots__ = ("text", "path", "elements", "marked", "block", "outside", "hidden", "linked")
 
-    def __init__(self, text, path, elements, block, outside, hidden, linked):
-        self.text, self.path, self.elements, self.block = text, path, elements, block
-        self.outside, self.hidden, self.linked = outside, hidden, linked
+    def __init__(self, text, path, elements, marked, block, outside, hidden, linked):
+        self.text, self.path, self.elements, self.marked = text, path, elements, marked
+        self.block, self.outside, self.hidden, self.linked = block, outside, hidden, linked
 
 
 def marked_outside(attributes: str) -> bool:
@@ -96,7 +99,8 @@ def text_nodes(html: str) -> list[Node]:
     def add(text: str) -> None:
         if text:
             tags = [x[0] for x in stack]
-            nodes.append(Node(unescape(text), "/".join(tags), [x[1] for x in stack if x[0] in HOLDERS], block,
+            nodes.append(Node(unescape(text), "/".join(tags), [x[1] for x in stack if x[0] in HOLDERS],
+                              [x[1] for x in stack if x[0] in ("article", "main")], block,
                               bool(stack) and stack[-1][2], bool(stack) and stack[-1][3], "a" in tags))
 
     for token in TOKEN.finditer(html):
@@ -171,13 +175,20 @@ def content(nodes: list[Node]) -> list[Node]:
     length = np.array([len(n.text) for n in nodes], float)
     chosen = ratio >= LEAST_RATIO * np.average(ratio, weights=length)
     chosen &= ~np.array([n.linked for n in nodes]) | (ratio >= ratio.max())
-    held: dict[int, float] = {}
-    for node, size, good in zip(nodes, length, chosen):
-        if good:
-            for element in node.elements:
-                held[element] = held.get(element, 0) + size
     total = float(length[chosen].sum())
-    article = max((e for e, size in held.items() if size >= ARTICLE_SHARE * total), default=None)
+
+    def holder(attribute: str, share: float) -> int | None:
+        """The deepest of the nodes' elements that holds this share of the content nodes' text."""
+        held: dict[int, float] = {}
+        for node, size, good in zip(nodes, length, chosen):
+            for element in getattr(node, attribute) if good else ():
+                held[element] = held.get(element, 0) + size
+        return max((e for e, size in held.items() if size >= share * total), default=None)
+
+    marked = holder("marked", MARKED_SHARE)
+    if marked is not None:  # the page says what its article is
+        return [n for n in nodes if marked in n.elements]
+    article = holder("elements", ARTICLE_SHARE)
     linked: dict[int, list[float]] = {}
     for node, size in zip(nodes, length):
         sizes = linked.setdefault(node.block, [0.0, 0.0])

@@ -28,6 +28,12 @@ def test_broken_and_small_pages(html, text):
     assert main_text(html) == text
 
 
+def test_marked_article_is_kept_whole():
+    page = ("<main><article><h1>T</h1><p>A long text, with marks. And more of it, too.</p><p><a href=x>Only a link</a></p>"
+            "<div class='related'>Other, things.</div><p>x</p></article></main><div><p>Beside, of it. Again, so.</p></div>")
+    assert main_text(page) == "T\n\nA long text, with marks. And more of it, too.\n\nOnly a link\n\nx"
+
+
 def test_deep_and_long_pages():
     assert main_text("<div>" * 3000 + "<p>Deep, text.</p>") == "Deep, text."
     long = " ".join(f"word{i}," for i in range(60000))

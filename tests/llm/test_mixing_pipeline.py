@@ -1,9 +1,15 @@
+import re
+
 import numpy as np
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline as P
 from lexiflow.llm import mixing as M
-from tests.llm.helpers import odd_docs, odd_texts
+from lexiflow.llm import quality_gbdt
+from tests.llm.helpers import odd_docs, odd_texts, words
+from tests.llm.test_near_and_repeats import brute_links
 
 SF = "/root/testdata/sf0.01"
 
@@ -51,17 +57,49 @@ def test_odd_rows(spark):
     assert out.columns == docs.columns and out.count() >= docs.select("doc_id", "text").distinct().count()
 
 
-def test_stages_on_the_documents(spark, tables):
+def by_id(df):
+    return {r.doc_id: r.text for r in df.select("doc_id", "text").collect()}
+
+
+def test_stages_equal_brute_force(spark, tables):
+    """Each stage against plain Python on its own input; the two trained ones against what they must respect."""
     docs, labels = tables
-    sizes = [docs.count()]
-    for name, stage in P.STAGES:
-        before, docs = docs, P.materialise(stage(spark, docs, SF), "test-stage")
-        sizes.append(docs.count())
-        if name != P.STAGES[-1][0]:
-            assert docs.columns == before.columns
+    outs = [docs]
+    for _, stage in P.STAGES:
+        outs.append(P.materialise(stage(spark, outs[-1], SF), "test-stage"))
     assert [n for n, _ in P.STAGES] == ["quality classifier", "exact dedup", "MinHash near-dedup", "mixing", "BPE"]
-    assert sizes[0] > sizes[1] > sizes[2] > sizes[3] and sizes[4] == sizes[5] > 0
-    assert docs.filter("n_tokens <> size(ids) OR decoded IS NULL").count() == 0
+    assert all(o.columns == docs.columns for o in outs[:-1])
+
+    trees = quality_gbdt.train(docs, labels)
+    texts = by_id(docs)
+    score = dict(zip(texts, trees.score(quality_gbdt.features([t or "" for t in texts.values()]))))
+    assert by_id(outs[1]) == {i: t for i, t in texts.items() if score[i] >= quality_gbdt.THRESHOLD}
+
+    first = {}
+    for i, t in sorted(by_id(outs[1]).items()):
+        first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", t), (i, t))
+    assert by_id(outs[2]) == dict(first.values())
+
+    rows = sorted(by_id(outs[2]).items())
+    kept = {i for (i, _), (_, _, c) in zip(rows, brute_links(rows, 5)) if i == c}
+    assert by_id(outs[3]) == {i: t for i, t in rows if i in kept}
+
+    before, after = by_id(outs[3]), by_id(outs[4])
+    assert set(after) <= set(before) and all(before[i] == t for i, t in after.items())
+    toxic = {r.doc_id for r in labels.filter("toxic = 1").collect()}
+    drawn = [r.doc_id for r in outs[4].select("doc_id").collect()]
+    share = lambda ids: sum(len(words(before[i])) for i in ids if i in toxic) / sum(
+        len(words(before[i])) for i in ids)
+    assert share(drawn) < 0.7 * share(before)
+
+    whole = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    whole.no_truncation()
+    whole.no_padding()
+    got = outs[5].collect()
+    assert sorted(r.doc_id for r in got) == sorted(drawn)
+    for r in got:
+        ids = whole.encode(before[r.doc_id], add_special_tokens=False).ids
+        assert (r.n_tokens, r.ids, r.decoded) == (len(ids), ids, whole.decode(ids, skip_special_tokens=False))
 
 
 def test_stages_on_odd_and_empty_tables(spark):

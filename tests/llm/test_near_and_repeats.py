@@ -30,6 +30,8 @@ def brute_links(rows, width):
 
     for i in range(len(rows)):
         for j in range(i):
+            if 100 * min(len(sets[i]), len(sets[j])) < 80 * max(len(sets[i]), len(sets[j])):
+                continue
             common = len(sets[i] & sets[j])
             if sets[i] and sets[j] and 100 * common >= 80 * (len(sets[i]) + len(sets[j]) - common):
                 root[find(i)] = find(j)
