@@ -25,7 +25,7 @@ from ..operators.features import (chi2_selector, chi2_statistics, idf_table, spa
                                   tokenizer, vector_to_long, vocabulary)
 from ..operators.lemma import lemmatize, rule_table
 from ..operators.models import fit_timed, make_classifier, materialize, predict, release
-from ..session import ensure_checkpoint_dir, work_path
+from ..session import ensure_checkpoint_dir, remove_path, work_path
 from ..sources.parquet import read_feature_set, write_feature_set
 from ..sources.tables import read_table
 from ..sources.text import parse_labeled_lines
@@ -152,17 +152,15 @@ def q_feature_roundtrip(spark, sf_dir):
     feats = g3.transform(st.frame).select("doc_id", "split", "label", "weight", "rawFeatures", "featuresIDF")
     path = work_path(spark, "feature-roundtrip")
     write_feature_set(feats, path)
-    parts = []
+    rows = []
     for name in (TRAIN, TEST, VAL):
         # Reading one split prunes the other partitions at planning time.
         back = read_feature_set(spark, path, name)
         nnz = F.size(sparse_entries("rawFeatures"))
-        parts.append(back.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"),
-                                               F.sum(nnz).cast("bigint").alias("nnz")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        rows += back.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"),
+                                          F.sum(nnz).cast("bigint").alias("nnz")).collect()  # one row a split
+    remove_path(spark, path)
+    return spark.createDataFrame([tuple(r) for r in rows], "split string, n_rows bigint, nnz bigint")
 
 
 # ---------------------------------------------------------------- text functions
@@ -290,6 +288,11 @@ def q_weighted_metrics(spark, sf_dir, orientation="right"):
     return _round_all(M.weighted_metrics(_pairs(spark, sf_dir), orientation=orientation))
 
 
+def q_weighted_metrics_beta2(spark, sf_dir):
+    """F-measure with beta 2."""
+    return _round_all(M.weighted_metrics(_pairs(spark, sf_dir), beta=2.0))
+
+
 def q_weighted_metrics_swapped(spark, sf_dir):
     return q_weighted_metrics(spark, sf_dir, "swapped")
 
@@ -814,6 +817,7 @@ QUERIES = {
     "label_names": q_label_names,
     "preview": q_preview,
     "weighted_metrics": q_weighted_metrics,
+    "weighted_metrics_beta2": q_weighted_metrics_beta2,
     "weighted_metrics_swapped": q_weighted_metrics_swapped,
     "accuracy": q_accuracy,
     "confusion_matrix": q_confusion_matrix,

@@ -208,6 +208,10 @@ SQL["weighted_metrics"] = f"WITH {PAIRS},\n{PER_CLASS()}\n{WEIGHTED_SELECT}"
 
 SQL["weighted_metrics_swapped"] = f"WITH {PAIRS},\n{SWAPPED_PAIRS},\n{PER_CLASS('spairs')}\n{WEIGHTED_SELECT}"
 
+SQL["weighted_metrics_beta2"] = (f"WITH {PAIRS},\n{PER_CLASS()}\n{WEIGHTED_SELECT}").replace(
+    "precision + recall = 0 THEN 0.0", "4 * precision + recall = 0 THEN 0.0").replace(
+    "2 * precision * recall / (precision + recall)", "5 * precision * recall / (4 * precision + recall)")
+
 SQL["accuracy"] = _q(f"""
 WITH {PAIRS}
 SELECT round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM pairs

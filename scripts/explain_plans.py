@@ -19,18 +19,16 @@ from lexiflow.plans.catalog import QUERIES  # noqa: E402
 from lexiflow.session import local_session  # noqa: E402
 
 NOTES = {
-    "clean_text": "One scan + one codegen'd projection of three nested regexp_replace; the spread exchange "
-                  "appears only because the test file is a single row group.",
-    "vocabulary": "Tokens come from the cached prepared corpus; explode_outer (no inferred size() filter), "
+    "clean_text": "One scan + one codegen'd projection of three nested regexp_replace.",
+    "vocabulary": "Tokens come from the written prepared corpus; explode_outer (no inferred size() filter), "
                   "partial count before the exchange, TakeOrderedAndProject keeps 1000 rows per task.",
-    "tfidf": "Narrow: cached corpus -> Spark ML transformers -> posexplode; no exchange.",
+    "tfidf": "Narrow: written corpus -> Spark ML transformers -> explode of the stored entries; no exchange.",
     "class_counts": "Scan prunes to (doc_id, lang); partial + final aggregate.",
     "weighted_metrics": "One aggregate over (label, prediction); everything after it works on <= k*k rows.",
-    "apply_class_weight": "The weight is a literal CASE folded from the k-row class table; no join.",
-    "lemmatize": "The corpus' distinct tokens (partial aggregate) are semi-joined with the lemma table "
-                 "and checkpointed (the Scan ExistingRDD); rows are partitioned by doc_id once, so the "
-                 "broadcast lookup and the collect_list regroup need no token shuffle.",
-    "chi2_statistic": "Spark ML's chi-square test over the cached G3 training features.",
+    "apply_class_weight": "A join with the class-weight table, one row a class; Spark picks the strategy.",
+    "lemmatize": "The frame is written once with row numbers (Scan ExistingRDD); each row's different tokens are "
+                 "joined with the table by (form, salt), matched pairs come back as one map a row.",
+    "chi2_statistic": "Cells are counted from stored entries and written; the zero cell is a subtraction.",
     "parse_labeled_line": "Lines are a posexplode of split(text, newline); parsing is split + get.",
     "drop_null_rows": "Left join documents -> labels (labels is small; AQE picks the strategy), then not-null filter.",
 }
