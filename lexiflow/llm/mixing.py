@@ -37,25 +37,19 @@ RIDGE, MAX_STEPS, TOLERANCE = 0.005, 30, 1e-6
 TARGETS = {"good": 0.85, "poor": 0.10, "toxic": 0.05}
 
 
-def _features(text_col: str) -> tuple[Column, Column]:
-    """(tokens, array of features) of a text."""
-    text = clean_text(text_col)
-    plain = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
-    words = F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, " "))
-    return words, text
-
-
 def featured(docs: DataFrame, keys: list[Column], text_col: str) -> DataFrame:
     """keys, tokens, features (different words and shapes)."""
-    words, text = _features(text_col)
-    rows = docs.select(*keys, words.alias("w"), text.alias("t"))
-    rows = rows.withColumn("tokens", F.size("w").cast("long")).withColumn("w", F.array_distinct("w"))
-    size = F.greatest(F.length("t"), F.lit(1))
-    share = lambda keep: F.length(F.regexp_replace("t", keep, "")) / size
-    bins = {"=d": F.size("w") / F.greatest("tokens", F.lit(1)) * 10, "=u": F.least(share("[^A-Z]+") * 20, F.lit(9)),
-            "=s": F.least(share("[^#*$%&|<>!]+") * 20, F.lit(9)), "=n": F.least(F.log2(F.col("tokens") + 1) / 2, F.lit(9))}
+    text = clean_text(text_col)
+    count = lambda others: F.length(F.regexp_replace(text, others, ""))
+    rows = docs.select(*keys, F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "").alias("w"),
+                       count("[^A-Z]+").alias("u"), count("[^#*$%&|<>!]+").alias("s"),
+                       F.greatest(F.length(text), F.lit(1)).alias("n"))
+    names = [c for c in rows.columns if c not in ("w", "u", "s", "n")]
+    rows = rows.select(*names, F.size("w").cast("long").alias("tokens"), F.array_distinct("w").alias("w"), "u", "s", "n")
+    bins = {"=d": F.size("w") / F.greatest("tokens", F.lit(1)) * 10, "=u": F.least(F.col("u") / F.col("n") * 20, F.lit(9)),
+            "=s": F.least(F.col("s") / F.col("n") * 20, F.lit(9)), "=n": F.least(F.log2(F.col("tokens") + 1) / 2, F.lit(9))}
     shapes = [F.concat(F.lit(k), F.floor(v).cast("int").cast("string")) for k, v in bins.items()]
-    return rows.withColumn("features", F.concat("w", F.array(*shapes))).drop("w", "t")
+    return rows.select(*names, "tokens", F.concat("w", F.array(*shapes)).alias("features"))
 
 
 def _bucket(feature: Column) -> Column:
@@ -67,7 +61,7 @@ def _weights(rows: DataFrame, domains: list[str]) -> tuple[DataFrame, list[float
     n = dict(rows.groupBy("domain").agg(F.count(F.lit(1))).collect())  # one row a domain
     total = sum(n.values())
     cells = rows.select("domain", F.array_distinct(F.transform("features", _bucket)).alias("b")).select(
-        "domain", F.explode("b").alias("bucket")).groupBy("bucket").agg(
+        "domain", F.explode_outer("b").alias("bucket")).groupBy("bucket").agg(
         *[F.count_if(F.col("domain") == d).alias(f"n_{i}") for i, d in enumerate(domains)],
         F.count(F.lit(1)).alias("n_all"))
     share = (F.col("n_all") + 0.5) / (total + 1)
@@ -86,7 +80,8 @@ def _weights(rows: DataFrame, domains: list[str]) -> tuple[DataFrame, list[float
 
 def _evidence(rows: DataFrame, keys: list[str], table: DataFrame, priors: list[float]) -> DataFrame:
     """keys, top (likeliest domain's number), margin (its log odds to the next, in bins) of rows with features."""
-    words = rows.select(*keys, F.explode("features").alias("f")).withColumn("bucket", _bucket(F.col("f")))
+    # plain explode would add a filter on the array's size, which makes the array twice
+    words = rows.select(*keys, F.explode_outer("features").alias("f")).withColumn("bucket", _bucket(F.col("f")))
     # the table has MAX_FEATURES rows at most
     summed = words.join(F.broadcast(table), "bucket", "left").groupBy(*keys).agg(
         *[(F.coalesce(F.sum(f"w_{i}"), F.lit(0.0)) + x).alias(f"s_{i}") for i, x in enumerate(priors)])
