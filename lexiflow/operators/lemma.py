@@ -52,7 +52,8 @@ def lemmatize(df: DataFrame, lemmas: DataFrame, text_col: str, output_col: str |
     ensure_checkpoint_dir(df.sparkSession)
     frame = df.withColumn("_row", F.monotonically_increasing_id()).checkpoint(eager=True)
     present = F.array_remove(F.array_distinct(tokens(text_col)), "")
-    pairs = frame.select("_row", F.explode(present).alias("form")).withColumn(
+    # Plain explode makes the optimizer add a size filter, which makes the array a second time.
+    pairs = frame.select("_row", F.explode_outer(present).alias("form")).filter("form IS NOT NULL").withColumn(
         "_salt", F.pmod(F.xxhash64("_row"), F.lit(SALTS)).cast("int"))
     table = lemma_pairs(lemmas, form_col, lemma_col).withColumn(
         "_salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
@@ -84,5 +85,6 @@ def rule_lemma(form: Column) -> Column:
 
 def rule_table(df: DataFrame, text_col: str) -> DataFrame:
     """A lemma table for the distinct tokens of a corpus, by suffix rules and exceptions."""
-    forms = df.select(F.explode(F.array_distinct(tokens(text_col))).alias("form")).filter("form <> ''").distinct()
+    forms = df.select(F.explode_outer(F.array_distinct(tokens(text_col))).alias("form")).filter(
+        "form <> ''").distinct()
     return forms.select("form", rule_lemma(F.col("form")).alias("lemma")).filter("form <> lemma")
