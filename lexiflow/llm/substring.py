@@ -43,6 +43,7 @@ WINDOW, GRAM = 50, 10
 #: so at most 65536 prefixes are, which bounds the table of parts.
 LARGE, MOST_LARGE = 1_000, 65_536
 LAST_ID = (1 << 63) - 1
+SPANS = "array<struct<start:bigint,end:bigint>>"
 BASE = 0x9E3779B97F4A7C15
 
 
@@ -284,7 +285,8 @@ class Repeats:
             F.array_sort(F.flatten(F.collect_list("marks"))).alias("marks")), "removable")
 
     def stripped(self) -> DataFrame:
-        """id, d1, d2, n_removed, text: the kept words of the documents with removable windows, one row each."""
+        """id, d1, d2, n_removed, spans, text of the documents with removable windows, one row each: the
+        maximal repeats that go (start, end in words) and the kept words."""
         wanted = self.texts.sparkSession.sparkContext.broadcast(Bitmap.of(self.marks, "d1", "id"))
 
         def pick():
@@ -304,23 +306,27 @@ class Repeats:
             hashes, windows = WordHashes(), Windows()
 
             def work(part: pa.RecordBatch) -> pa.RecordBatch:
-                removed, kept = [], []
+                removed, spans, kept = [], [], []
                 for text, marks in zip(part.column(4).to_pylist(), part.column(3)):
                     words = split_words(text)
                     gone = covered(words, marks.values.to_numpy(), hashes, windows)
                     removed.append(int(gone.sum()))
+                    edges = np.flatnonzero(np.diff(np.concatenate([[0], gone, [0]]))).tolist()
+                    spans.append([{"start": a, "end": b} for a, b in zip(edges[::2], edges[1::2])])
                     kept.append(b" ".join(w for w, g in zip(words, gone) if not g).decode("utf-8"))
                 return pa.RecordBatch.from_arrays(
-                    [*part.columns[:3], pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
-                    ["id", "d1", "d2", "n_removed", "text"])
+                    [*part.columns[:3], pa.array(removed, pa.int64()), pa.array(spans, pa.list_(pa.struct(
+                        [("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.string())],
+                    ["id", "d1", "d2", "n_removed", "spans", "text"])
             return work
 
         return map_texts(picked, ["id", "d1", "d2", "marks"], "t",
-                         "id long, d1 long, d2 long, n_removed long, text string", strip)
+                         f"id long, d1 long, d2 long, n_removed long, spans {SPANS}, text string", strip)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id_col, n_words, n_removed and text_col (kept words joined by one space) of every row."""
+    """id_col, n_words, n_removed, spans (start, end of the removed runs, in words) and text_col (kept words
+    joined by one space) of every row."""
     found = Repeats(docs, id_col, text_col)
 
     def name():
@@ -342,6 +348,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return rows.select(
         F.when(F.col("id") != LAST_ID, F.col("id")).alias(id_col), "n_words",
         F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
+        F.when(copy, F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end")))).otherwise(
+            F.coalesce("spans", F.array().cast(SPANS))).alias("spans"),
         F.when(copy, F.lit("")).otherwise(F.coalesce("kept", "t")).alias(text_col))
 
 

@@ -154,6 +154,10 @@ def test_repeats_equal_brute_force(spark, monkeypatch, large):
         texts = S.remove_repeats(docs).collect()
         assert sorted(((r.doc_id, r.n_words, r.n_removed, r.text) for r in texts), key=key) == sorted(
             ((i, n, m, k.decode()) for i, n, m, k in want), key=key)
+        for r in texts:
+            assert sum(x.end - x.start for x in r.spans) == r.n_removed
+            assert all(x.end - x.start >= 50 for x in r.spans)
+            assert all(a.end < b.start for a, b in zip(r.spans, r.spans[1:]))
         assert S.report(docs.limit(0)).collect() == []
 
 
