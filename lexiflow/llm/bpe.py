@@ -26,7 +26,7 @@ import re
 from array import array
 from collections.abc import Iterable
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,32 +38,34 @@ from pyspark.sql import types as T
 from .common import clean_text, slices, workers_import
 
 #: Bounds on what a worker keeps between batches.
-MAX_CHUNKS, MAX_WORDS, MAX_NODES, MAX_PAIRS = 800_000, 500_000, 400_000, 300_000
+MAX_CHUNKS, MAX_WORDS, MAX_NODES, MAX_PAIRS = 500_000, 300_000, 250_000, 200_000
+#: What it keeps of them when a task ends.
+KEPT = 50_000
 
 
-class Recent(dict):
-    """A dictionary of two generations: ``turn`` drops what wasn't asked for by ``new`` since the turn before
-    once half of ``limit`` entries are young."""
+class Recent:
+    """A dictionary of two generations: ``turn`` drops what ``new`` wasn't asked for since the turn before, once
+    half of ``limit`` entries are young."""
 
     def __init__(self, limit: int):
-        super().__init__()
-        self.half, self.old = limit // 2, {}
+        self.half, self.young, self.old = limit // 2, {}, {}
 
     def turn(self) -> None:
-        if len(self) >= self.half:
-            self.old = dict(self)
-            self.clear()
+        if len(self.young) >= self.half:
+            self.young, self.old = {}, self.young
+
+    def trim(self, size: int) -> None:
+        self.young, self.old = dict(islice(self.young.items(), size)), {}
 
     def new(self, keys: Iterable) -> list:
         """The keys that are unknown; those known from the older generation become young again."""
-        out = []
+        out, young, old = [], self.young, self.old
         for key in keys:
-            if key not in self:
-                value = self.old.get(key)
-                if value is None:
-                    out.append(key)
+            if key not in young:
+                if key in old:
+                    young[key] = old[key]
                 else:
-                    self[key] = value
+                    out.append(key)
         return out
 
 
@@ -186,13 +188,15 @@ class Encoder:
             raise ValueError("a BPE tokenizer file is needed")
         whole = Tokenizer.from_file(path)
         self.normalise, self.cut = whole.normalizer.normalize_str, whole.pre_tokenizer.pre_tokenize_str
+        size = whole.get_vocab_size(with_added_tokens=True)
+        self.names = pa.array([whole.id_to_token(i) or "" for i in range(size)], pa.string())
+        self.decoder = whole if whole.decoder is not None else None
         self.trie = WordTrie(spec["model"])
         special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.special = special
         self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True)))
                                         + ")").split if special else lambda chunk: [chunk]
-        self.known: dict[bytes, bytes] = Recent(MAX_CHUNKS)
-        self.words: dict[str, bytes] = Recent(MAX_WORDS)
+        self.known, self.words = Recent(MAX_CHUNKS), Recent(MAX_WORDS)
 
     def _pieces(self, chunk: str) -> list[str]:
         """The byte-level words of a chunk; special tokens as they are, marked by a leading space."""
@@ -201,7 +205,7 @@ class Encoder:
         out: list[str] = []
         for part in self.split_special(chunk):
             if part in self.special:
-                self.words[" " + part] = array("i", [self.special[part]]).tobytes()
+                self.words.young[" " + part] = array("i", [self.special[part]]).tobytes()
                 out.append(" " + part)
             elif part:
                 out.extend(word for word, _ in self.cut(self.normalise(part)))
@@ -213,10 +217,11 @@ class Encoder:
         if not new:
             return
         pieces = {c: self._pieces(c.decode("utf-8")) for c in new}
-        words = self.words
-        words.update(self.trie.encode_all(words.new(set(chain.from_iterable(pieces.values())))))
+        unknown = self.words.new(set(chain.from_iterable(pieces.values())))
+        words, known = self.words.young, self.known.young
+        words.update(self.trie.encode_all(unknown))
         for chunk, parts in pieces.items():
-            self.known[chunk] = words[parts[0]] if len(parts) == 1 else b"".join([words[p] for p in parts])
+            known[chunk] = words[parts[0]] if len(parts) == 1 else b"".join([words[p] for p in parts])
 
     def encode_batch(self, texts: list[bytes | None]) -> pa.ListArray:
         """Ids of UTF-8 texts."""
@@ -224,43 +229,39 @@ class Encoder:
         self.known.turn()
         self.words.turn()
         self.learn(set(chain.from_iterable(chunks)))
-        known = self.known
+        known = self.known.young
         rows = [b"".join([known[c] for c in row]) for row in chunks]
         ends = np.cumsum([0, *map(len, rows)]) // 4
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(
             np.frombuffer(b"".join(rows), np.int32), pa.int32()))
 
 
-@lru_cache(maxsize=2)
+    def decode_batch(self, ids: pa.ListArray) -> pa.Array:
+        """Texts of lists of token ids as the tokenizer file's decoder gives them, special tokens kept.
+
+        A file without a decoder joins its tokens by one space; that case is done on whole Arrow arrays.
+        """
+        if ids.null_count:
+            ids = pc.fill_null(ids, pa.scalar([], ids.type))
+        if self.decoder is not None:
+            return pa.array(self.decoder.decode_batch(ids.to_pylist(), skip_special_tokens=False), pa.string())
+        ends = np.cumsum([0, *pc.list_value_length(ids).to_pylist()])
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), self.names.take(ids.flatten())), " ")
+
+    def trim(self) -> None:
+        """Give most memory back; the most recent words stay for the worker's next task."""
+        self.known.trim(KEPT)
+        self.words.trim(KEPT)
+        self.trie.clear()
+        self.trie.may_follow.known.clear()
+
+
+@lru_cache(maxsize=1)
 def encoder_of(path: str) -> Encoder:
     """One encoder a Python worker: Spark reuses workers, so later tasks find the words of earlier ones."""
     return Encoder(path)
 
 
-@lru_cache(maxsize=2)
-def names_of(path: str):
-    """The tokenizer and its token strings by id."""
-    from tokenizers import Tokenizer
-
-    whole = Tokenizer.from_file(path)
-    size = whole.get_vocab_size(with_added_tokens=True)
-    return whole, pa.array([whole.id_to_token(i) or "" for i in range(size)], pa.string())
-
-
-def decode_array(ids: pa.ListArray, path: str) -> pa.Array:
-    """Texts of lists of token ids as the tokenizer file's decoder gives them, special tokens kept.
-
-    A file without a decoder joins its tokens by one space; that case is done on whole Arrow arrays.
-    """
-    whole, names = names_of(path)
-    if ids.null_count:
-        ids = pc.fill_null(ids, pa.scalar([], ids.type))
-    if whole.decoder is not None:
-        return pa.array(whole.decode_batch(ids.to_pylist(), skip_special_tokens=False), pa.string())
-    ends = np.cumsum([0, *pc.list_value_length(ids).to_pylist()])
-    return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), names.take(ids.flatten())), " ")
-
-
 def _add(df: DataFrame, source: Column, path: str, ids_col: str | None, text_col: str | None) -> DataFrame:
     """Add ids of a text, or the text of ids, or both in one pass (the text then is that of the new ids)."""
     workers_import(df.sparkSession)
@@ -274,15 +275,19 @@ def _add(df: DataFrame, source: Column, path: str, ids_col: str | None, text_col
         schema = schema.add(text_col, T.StringType())
 
     def run(batches):
-        for batch in batches:
-            for part in slices(batch, at, 2 << 20):
-                columns, last = part.columns[:-1], part.column(at)
-                if ids_col:
-                    last = encoder_of(path).encode_batch(last.cast(pa.binary()).to_pylist())
-                    columns.append(last)
-                if text_col:
-                    columns.append(decode_array(last, path))
-                yield pa.RecordBatch.from_arrays(columns, schema.names)
+        encoder = encoder_of(path)
+        try:
+            for batch in batches:
+                for part in slices(batch, at, 2 << 20):
+                    columns, last = part.columns[:-1], part.column(at)
+                    if ids_col:
+                        last = encoder.encode_batch(last.cast(pa.binary()).to_pylist())
+                        columns.append(last)
+                    if text_col:
+                        columns.append(encoder.decode_batch(last))
+                    yield pa.RecordBatch.from_arrays(columns, schema.names)
+        finally:
+            encoder.trim()
 
     return kept.mapInArrow(run, schema)
 

@@ -55,7 +55,7 @@ def fold(id_col: str, n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(n))
 
 
-def slices(batch: pa.RecordBatch, text_index: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text_index: int, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each part holds about ``limit`` bytes of text or list values (at least one row).
 
     Bounds what a Python worker holds beside the batch itself, however long the texts are.
@@ -75,7 +75,7 @@ def slices(batch: pa.RecordBatch, text_index: int, limit: int = 4 << 20) -> Iter
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash, kept for reuse and emptied when it holds ``limit`` words."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 

@@ -54,7 +54,7 @@ class WordFeatures(dict):
     bucket.  With ``wanted`` (code -> column) only those, as columns.
     """
 
-    def __init__(self, wanted: dict[int, int] | None = None, limit: int = 400_000):
+    def __init__(self, wanted: dict[int, int] | None = None, limit: int = 200_000):
         super().__init__()
         self.wanted, self.limit = wanted, limit
         self.bases = None if wanted is None else {code // LEVELS for code in wanted}
