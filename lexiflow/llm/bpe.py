@@ -40,7 +40,7 @@ from .common import clean_text, slices, workers_import
 #: Bounds on what a worker keeps between batches.
 MAX_CHUNKS, MAX_WORDS, MAX_NODES, MAX_PAIRS = 500_000, 300_000, 250_000, 200_000
 #: What it keeps of them when a task ends.
-KEPT = 50_000
+KEPT = 100_000
 
 
 class Recent:
@@ -249,11 +249,10 @@ class Encoder:
         return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), self.names.take(ids.flatten())), " ")
 
     def trim(self) -> None:
-        """Give most memory back; the most recent words stay for the worker's next task."""
+        """Give most memory back; recent words and the known neighbours stay for the worker's next task."""
         self.known.trim(KEPT)
         self.words.trim(KEPT)
         self.trie.clear()
-        self.trie.may_follow.known.clear()
 
 
 @lru_cache(maxsize=1)
