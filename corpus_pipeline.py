@@ -6,8 +6,8 @@ as the next stage's ``docs``.  All but the last return the columns of ``document
 1. quality classifier: documents that it rejects go;
 2. exact de-duplication: one row of equal texts stays;
 3. MinHash near-duplicates (5-word shingles, similarity 0.8): one document of each group stays;
-4. mixing: documents are taken at rates that bring toxic text down to its target share of tokens, at the
-   largest total for which no domain has to grow;
+4. mixing: documents are taken at rates that bring toxic text down to its limit of the tokens, at the
+   largest total for which no domain has to grow; where it is below the limit, nothing is dropped;
 5. BPE: token ids and the text they decode to.
 """
 
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from lexiflow.llm import bpe, exact_dedup, minhash, mixing, quality_gbdt
 from lexiflow.llm.common import materialise, table, workers_import
 
-#: Target token shares of the mix; what the quality stage rejects is no domain any more.
+#: Target token shares of the mix, toxic text's an upper limit; what the quality stage rejects is no domain any more.
 TARGETS = {"clean": 0.97, "toxic": 0.03}
 
 
@@ -42,7 +42,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     marks = table(spark, sf_dir, "labels").filter("toxic IS NOT NULL")
     domains = marks.select("doc_id", F.when(F.col("toxic") == 1, "toxic").otherwise("clean").alias("domain"))
-    return mixing.mix(docs, domains, TARGETS, total="down")
+    return mixing.mix(docs, domains, TARGETS, total="down", limits=("toxic",))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -123,10 +123,11 @@ def memberships(docs: DataFrame, labelled: DataFrame, domains: list[str], id_col
 
 
 def fit_rates(members: DataFrame, targets: dict[str, float], total: str | float = "same",
-              least: float = 0.0) -> tuple[DataFrame, dict]:
+              least: float = 0.0, limits: tuple[str, ...] = ()) -> tuple[DataFrame, dict]:
     """``members`` with ``rate``, and what was reached.
 
     ``total``: tokens to aim at, ``same`` as there are, or ``down``: the most for which no domain grows.
+    ``limits``: domains whose target is an upper limit; what they lack of it goes to the other domains.
     """
     names, k = list(targets), len(targets)
     p = [F.get("p", F.lit(i)) for i in range(k)]
@@ -137,8 +138,13 @@ def fit_rates(members: DataFrame, targets: dict[str, float], total: str | float
     tokens = float(first[0])
     now, m = np.array(first[1:1 + k], float) / tokens, np.array(first[1 + k:], float).reshape(k, k) / tokens
     weight = np.array([targets[d] for d in names], float) / sum(targets.values())
-    scale = {"same": 1.0, "down": float((now / weight).min())}.get(total) if isinstance(total, str) \
-        else total / tokens
+    low = np.array([d in limits for d in names])
+    held = np.where(low, np.minimum(weight, now), weight)
+    if weight[~low].sum() > 0:
+        held[~low] *= (1 - held[low].sum()) / weight[~low].sum()
+    weight = held
+    scale = {"same": 1.0, "down": float((now[weight > 0] / weight[weight > 0]).min())}.get(total) \
+        if isinstance(total, str) else total / tokens
     goal = scale * weight
     metric = np.linalg.inv(m + 1e-9 * np.eye(k))
     pace = 1 / (1 + RIDGE)
@@ -164,14 +170,15 @@ def copies(id_col: str) -> Column:
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], total: str | float = "same",
-        least: float = 0.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        least: float = 0.0, id_col: str = "doc_id", text_col: str = "text",
+        limits: tuple[str, ...] = ()) -> DataFrame:
     """The rows of ``docs``, each as often as its rate asks, with all columns.
 
     ``labelled`` has id_col and domain.  Texts are shuffled once, by id and text hash; repeated rows have
     the same rate.
     """
     members = memberships(docs, labelled, list(targets), id_col, text_col)
-    rates = fit_rates(members, targets, total, least)[0]
+    rates = fit_rates(members, targets, total, least, limits)[0]
     times = rates.groupBy(F.col(id_col).alias("_id"), F.col("key").alias("_key")).agg(
         F.max(copies(id_col)).alias("_times"))
     found = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
