@@ -5,12 +5,14 @@
    capitals, of symbols, size); the ``MAX_FEATURES`` that tell a domain most surely are kept.  The training
    rows are the ``MAX_LABELLED`` labelled documents with the smallest id hashes; half of them calibrate.
 2. Every document gets the posterior probabilities p of the domains: it belongs to all of them a little.
-3. Document rates r >= ``least`` are fitted by projected gradient steps on
+3. Document rates r >= ``least`` are the exact minimum of
 
        1/2 (a - target)' M^-1 (a - target) + RIDGE / 2 * sum(t (r - 1)^2) / T,   a = sum(r t p) / T
 
-   with t the tokens of a document, T their sum and M = sum(t p p') / T.  A step needs the sums a, one
-   aggregation with as many numbers as domains; the rates themselves never leave their rows.
+   with t the tokens of a document, T their sum and M = sum(t p p') / T.  There r = max(least, 1 - p'v / RIDGE)
+   with one multiplier v a domain, and the dual problem in v is solved by Newton steps with line search until
+   its slope is zero.  A step is one aggregation with a few numbers a pair of domains; the rates never leave
+   their rows.  Shares that can't be reached are logged as a warning.
 4. A document is written floor(rate + u) times, u a hash of its id and text in [0, 1), so that the expected
    tokens of every domain are as fitted.
 
@@ -23,16 +25,22 @@ columns are kept by ``mix``.
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import clean_text, materialise
 
+LOG = logging.getLogger(__name__)
 MAX_LABELLED, MAX_FEATURES, BUCKETS = 20_000, 4_096, 1 << 24
 #: A feature needs this many documents of a domain, and this share of them.
 LEAST_DOCS, LEAST_SHARE = 3, 0.02
-RIDGE, MAX_STEPS, TOLERANCE = 0.005, 30, 1e-6
+#: Steps stop when the conditions of the least squares hold to the tolerance; more than MAX_STEPS is an error.
+RIDGE, MAX_STEPS, TOLERANCE, LEAST_MOMENT = 0.005, 200, 1e-6, 1e-9
+#: Token shares this far from the goal are reported.
+MISSED = 0.01
 #: Domains of op2 and their target token shares.
 TARGETS = {"good": 0.85, "poor": 0.10, "toxic": 0.05}
 
@@ -146,19 +154,56 @@ def fit_rates(members: DataFrame, targets: dict[str, float], total: str | float
     scale = {"same": 1.0, "down": float((now[weight > 0] / weight[weight > 0]).min())}.get(total) \
         if isinstance(total, str) else total / tokens
     goal = scale * weight
-    metric = np.linalg.inv(m + 1e-9 * np.eye(k))
-    pace = 1 / (1 + RIDGE)
-    rate, reached = F.lit(1.0), now
+    # the rates follow from one multiplier a domain; directions without tokens have none
+    sizes, axes = np.linalg.eigh(m)
+    axes = axes[:, sizes > LEAST_MOMENT * sizes[-1]]
+    pairs = [(i, j) for i in range(k) for j in range(i + 1)]
+
+    def rates(at: np.ndarray) -> Column:
+        pull = F.lit(0.0)
+        for x, y in zip(p, at):
+            pull = pull + x * float(y / RIDGE)
+        return F.greatest(F.lit(float(least)), 1 - pull)
+
+    def look(at: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """The dual value, what is reached, and the moments of the rows above the least rate."""
+        held = members.select("p", (F.col("tokens") / tokens).alias("w"), rates(at).alias("r"))
+        pull = F.lit(0.0)
+        for x, y in zip(p, at):
+            pull = pull + x * float(y)
+        free = F.col("r") > float(least)
+        got = held.agg(F.sum(F.col("w") * (RIDGE / 2 * (F.col("r") - 1) ** 2 + pull * F.col("r"))),
+                       *[F.sum(F.col("w") * F.col("r") * x) for x in p],
+                       *[F.sum(F.when(free, F.col("w") * p[i] * p[j]).otherwise(0.0)) for i, j in pairs]).first()
+        inner = np.zeros((k, k))
+        for (i, j), v in zip(pairs, got[1 + k:]):
+            inner[i, j] = inner[j, i] = v
+        return float(at @ goal + at @ m @ at / 2 - got[0]), np.array(got[1:1 + k], float), inner
+
+    at = np.zeros(k)
+    value, reached, inner = look(at)
     for _ in range(MAX_STEPS):
-        slope = metric @ (reached - goal)
-        step = F.lit(0.0)
-        for x, y in zip(p, slope):
-            step = step + x * float(pace * y)
-        rate = F.greatest(F.lit(float(least)), rate * float(1 - pace * RIDGE) + float(pace * RIDGE) - step)
-        after = np.array(members.agg(*[F.sum(rate * F.col("tokens") * x) for x in p]).first(), float) / tokens
-        moved, reached = np.abs(after - reached).max(), after
-        if moved < TOLERANCE:
+        slope = axes.T @ (goal + m @ at - reached)
+        if np.abs(slope).max() < TOLERANCE:
             break
+        step = -axes @ np.linalg.solve(axes.T @ (m + inner / RIDGE) @ axes, slope)
+        pace, gain = 1.0, float(slope @ (axes.T @ step))
+        while True:
+            tried = look(at + pace * step)
+            if tried[0] <= value + 1e-4 * pace * gain + 1e-13 * max(1.0, abs(value)):
+                break
+            pace /= 2
+            if pace < 1e-9:
+                raise RuntimeError(f"no rates found: slope {slope.tolist()}")
+        at = at + pace * step
+        value, reached, inner = tried
+    else:
+        raise RuntimeError(f"no rates found in {MAX_STEPS} steps: slope {slope.tolist()}")
+    rate = rates(at)
+    missed = np.abs(reached - goal).max()
+    if missed > MISSED:
+        LOG.warning("mixing: token shares %s are the nearest to the goal %s", *(
+            {d: round(float(v), 4) for d, v in zip(names, x)} for x in (reached, goal)))
     return members.withColumn("rate", F.round(rate, 3)), {
         "goal": dict(zip(names, goal)), "before": dict(zip(names, now)), "reached": dict(zip(names, reached))}
 

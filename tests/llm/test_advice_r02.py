@@ -28,3 +28,24 @@ def test_little_toxic_text_drops_no_clean_text(spark, monkeypatch, share):
     rate = np.array([x.rate for x in told[0][0].orderBy("doc_id").collect()])
     assert rate[~toxic].min() > 0.99
     assert (rate * q).sum() / rate.sum() < 0.031 and (share > 0.03 or rate.min() == 1)
+
+
+@pytest.mark.parametrize("shares", [(0.2, 0.4, 0.4), (0.35, 0.5, 0.15), (0.0, 0.6, 0.4), (0.9, 0.07, 0.03)])
+def test_rates_are_the_least_squares_solution(spark, caplog, shares):
+    r = np.random.default_rng(5)
+    kind = r.choice(3, 1500, p=shares)
+    p = np.array([r.dirichlet(np.eye(3)[c] * 6 + 0.5) for c in kind])
+    t = r.integers(20, 500, 1500)
+    found, told = M.fit_rates(members_of(spark, p, t), {"a": 0.85, "b": 0.10, "c": 0.05})
+    w, goal = t / t.sum(), np.array([0.85, 0.10, 0.05])
+    metric, rate, ahead, turn = np.linalg.inv((p * w[:, None]).T @ p), np.ones(1500), np.ones(1500), 1.0
+    for _ in range(20000):  # accelerated gradient steps in numpy
+        new = np.maximum(0, ahead - (p @ (metric @ ((ahead * w) @ p - goal)) + M.RIDGE * (ahead - 1)) / (1 + M.RIDGE))
+        if (ahead - new) @ (new - rate) > 0:
+            turn = 1.0
+        again = (1 + (1 + 4 * turn * turn) ** 0.5) / 2
+        rate, ahead, turn = new, new + (turn - 1) / again * (new - rate), again
+    got = np.array([x.rate for x in found.orderBy("doc_id").collect()])
+    assert np.abs(got - rate).max() < 0.01
+    assert np.allclose(list(told["reached"].values()), (rate * w) @ p, atol=1e-4)
+    assert ("nearest to the goal" in caplog.text) == (np.abs((rate * w) @ p - goal).max() > M.MISSED)
