@@ -5,6 +5,7 @@ import pytest
 
 import corpus_pipeline as P
 from lexiflow.llm import mixing as M
+from lexiflow.llm import quality_rules as R
 
 
 def members_of(spark, p, t):
@@ -49,3 +50,26 @@ def test_rates_are_the_least_squares_solution(spark, caplog, shares):
     assert np.abs(got - rate).max() < 0.01
     assert np.allclose(list(told["reached"].values()), (rate * w) @ p, atol=1e-4)
     assert ("nearest to the goal" in caplog.text) == (np.abs((rate * w) @ p - goal).max() > M.MISSED)
+
+
+def test_rules_reject_much_junk(spark):
+    """Groups with 24 to 45% of junk, some of it copies, in one table; no clean row goes."""
+    r = np.random.default_rng(7)
+    off, groups, n = np.arange(R.SIZE) < 2, {}, 1500
+    for share in (0.24, 0.30, 0.35, 0.40, 0.45):
+        m = int(n * share)
+        clean = r.normal(size=(n - m, R.SIZE))
+        groups[f"far {share}"] = np.vstack([clean, r.normal(size=(m, R.SIZE)) + 15 * off]), m
+        groups[f"tight {share}"] = np.vstack([clean, 0.05 * r.normal(size=(m, R.SIZE)) + 10 * off]), m
+        groups[f"copies {share}"] = np.vstack([clean, np.zeros((m, R.SIZE))]), 0  # like the rest: kept
+    rows = spark.createDataFrame([([g], v.tolist()) for g, (x, _) in groups.items() for v in x],
+                                 "keys array<string>, x array<double>")
+    found = {e.key: e for e in R.trusted(rows).collect()}
+    for g, (x, m) in groups.items():
+        if g not in found:  # no estimate holds for most rows: the next coarser group judges
+            assert g.startswith("copies")
+            continue
+        lower = np.zeros((R.SIZE, R.SIZE))
+        lower[np.tril_indices(R.SIZE)] = found[g].whiten
+        rejected = (((x - found[g].center) @ lower.T) ** 2).sum(1) > R.CUTOFF
+        assert rejected[n - m:].all() and rejected[:n - m].mean() < 0.005, (g, rejected[n - m:].mean(), rejected[:n - m].mean())
