@@ -5,8 +5,8 @@ punctuation and the number of its nodes; length and punctuation per node are smo
 nodes and fused into one ratio, which is high for paths of running text and low for menus and link lists.
 Nodes on paths above a share of the page's length-weighted mean ratio are content nodes.  The deepest
 element that holds nearly all of their text is the article; within it nodes on weaker paths (headings,
-one-word paragraphs) are content as well, unless they are link lists.  An ``<article>`` or ``<main>`` with
-most of the content text is taken as it is.
+one-word paragraphs) are content as well, unless they are link lists.  In an ``<article>`` or ``<main>`` a
+single linked line is no list.  A ``<main>`` with most of the content text is the page for this.
 
 Some elements are never article text, however well written: see ``OUTSIDE`` and ``OUTSIDE_WORDS`` (tags,
 and words of class, id and role).  If nothing is left, only the invisible ones are left out.
@@ -66,18 +66,18 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 #: Share of the mean ratio from which a path is content; of the content text that the article holds; of that in
-#: an <article> or <main> that is the article for this reason.
+#: a <main> that is the page for this reason.
 LEAST_RATIO, ARTICLE_SHARE, MARKED_SHARE = 0.3, 0.9, 0.5
 
 
 class Node:
-    """A text node: its text, tag path, open holders (those marked as articles apart), block, and whether it
-    lies outside the article."""
+    """A text node: its text, tag path, open holders, open <main> elements, whether an <article> or <main> is
+    open, block, and whether it lies outside the article."""
 
-    __slots__ = ("text", "path", "elements", "marked", "block", "outside", "hidden", "linked")
+    __slots__ = ("text", "path", "elements", "mains", "marked", "block", "outside", "hidden", "linked")
 
-    def __init__(self, text, path, elements, marked, block, outside, hidden, linked):
-        self.text, self.path, self.elements, self.marked = text, path, elements, marked
+    def __init__(self, text, path, elements, mains, marked, block, outside, hidden, linked):
+        self.text, self.path, self.elements, self.mains, self.marked = text, path, elements, mains, marked
         self.block, self.outside, self.hidden, self.linked = block, outside, hidden, linked
 
 
@@ -100,7 +100,7 @@ def text_nodes(html: str) -> list[Node]:
         if text:
             tags = [x[0] for x in stack]
             nodes.append(Node(unescape(text), "/".join(tags), [x[1] for x in stack if x[0] in HOLDERS],
-                              [x[1] for x in stack if x[0] in ("article", "main")], block,
+                              [x[1] for x in stack if x[0] == "main"], "article" in tags or "main" in tags, block,
                               bool(stack) and stack[-1][2], bool(stack) and stack[-1][3], "a" in tags))
 
     for token in TOKEN.finditer(html):
@@ -185,16 +185,20 @@ def content(nodes: list[Node]) -> list[Node]:
                 held[element] = held.get(element, 0) + size
         return max((e for e, size in held.items() if size >= share * total), default=None)
 
-    marked = holder("marked", MARKED_SHARE)
-    if marked is not None:  # the page says what its article is
-        return [n for n in nodes if marked in n.elements]
+    main = holder("mains", MARKED_SHARE)
+    if main is not None and not all(main in n.mains for n in nodes):
+        return content([n for n in nodes if main in n.mains])  # a page has one <main>; what is beside it isn't
     article = holder("elements", ARTICLE_SHARE)
     linked: dict[int, list[float]] = {}
     for node, size in zip(nodes, length):
         sizes = linked.setdefault(node.block, [0.0, 0.0])
         sizes[node.linked] += size
-    return [n for n, good in zip(nodes, chosen) if good or (
-        (article is None or article in n.elements) and linked[n.block][0] >= linked[n.block][1])]
+    blocks = list(linked)
+    links = [linked[b][0] < linked[b][1] for b in blocks]
+    listed = {b for i, b in enumerate(blocks) if links[i] and (links[i - 1:i] == [True] or links[i + 1:i + 2] == [True])}
+    alone = {n.block for n in nodes if n.marked} - listed  # a single linked line of a marked article is no list
+    return [n for n, good in zip(nodes, chosen) if good or ((article is None or article in n.elements) and (
+        linked[n.block][0] >= linked[n.block][1] or n.block in alone))]
 
 
 def main_text(html: str | None) -> str:

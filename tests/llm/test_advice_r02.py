@@ -6,6 +6,7 @@ import pytest
 import corpus_pipeline as P
 from lexiflow.llm import mixing as M
 from lexiflow.llm import quality_rules as R
+from lexiflow.llm.html_extract import main_text
 
 
 def members_of(spark, p, t):
@@ -73,3 +74,26 @@ def test_rules_reject_much_junk(spark):
         lower[np.tril_indices(R.SIZE)] = found[g].whiten
         rejected = (((x - found[g].center) @ lower.T) ** 2).sum(1) > R.CUTOFF
         assert rejected[n - m:].all() and rejected[:n - m].mean() < 0.005, (g, rejected[n - m:].mean(), rejected[:n - m].mean())
+
+
+LONG, SHORT = "A first long text, with marks. " * 11, "Another text of it, also with marks. " * 8
+
+
+@pytest.mark.parametrize("page", [
+    f"<main><article><p>{LONG}</p></article><article><p>{SHORT}</p></article></main>",
+    f"<body><article><p>{LONG}</p></article><article><p>{SHORT}</p></article></body>",
+    f"<body><article><p>{LONG}</p></article><div><p>{SHORT}</p></div></body>"])
+def test_text_beside_an_article_is_kept(page):
+    assert main_text(page) == f"{LONG.strip()}\n\n{SHORT.strip()}"
+
+
+def test_link_lists_inside_an_article_go():
+    links = "<ul><li><a href=1>One of them</a></li><li><a href=2>Two of them</a></li></ul>"
+    for tag in ("article", "div"):
+        assert main_text(f"<{tag}><p>{LONG}</p>{links}<p>{SHORT}</p></{tag}>") == f"{LONG.strip()}\n\n{SHORT.strip()}"
+
+
+def test_table_pages_without_the_article_tag(spark):
+    for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("html").collect():
+        plain = r.html.replace("<article>", "<div>").replace("</article>", "</div>")
+        assert main_text(plain) == main_text(r.html)
