@@ -13,12 +13,13 @@ momentum over full batches.
 Features are hashed words and word beginnings of 4 to 8 bytes, at three levels: at least one, two or three
 different words of a text have it.  Spark counts over the training rows in how
 many confirmed and unlabelled documents each occurs; those that are surely more frequent in the confirmed
-ones (log ratio less three standard errors above zero) and occur in 2% of them are kept, the
-``max_features`` surest at most; rarer ones are mostly the words of a few copies.
+ones (log ratio less three standard errors above zero) and occur in ``least`` of them are kept, the
+``max_features`` surest at most.  Equal confirmed texts count once here, so that the words of a few copies
+aren't taken for markers, and a language with few confirmed documents keeps its own.
 
 Bounds, all parameters: the training rows are the ``max_positive`` confirmed and ``max_unlabelled``
 other documents with the smallest id hashes, ``max_features`` features.  Every document is scored, where
-it lies; no text is shuffled.
+it lies; no text is shuffled but the confirmed ones of the training rows.
 
 Defined results: null and empty texts get the score of no features; label rows with a null id or label
 are ignored, of several for one id the largest counts; without confirmed documents every score is the
@@ -37,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import clean_text, fold, map_texts
+from .common import clean_text, fold, map_texts, materialise
 
 THRESHOLD = 0.3
 #: Feature hashes fall into 2 ** HASH_BITS buckets.
@@ -147,7 +148,7 @@ def _buckets(rows: DataFrame) -> DataFrame:
 
 def train(docs: DataFrame, confirmed: DataFrame, prior: float, id_col: str = "doc_id", text_col: str = "text",
           max_positive: int = 5_000, max_unlabelled: int = 15_000, max_features: int = 3_000,
-          least: int = 3, least_share: float = 0.02) -> Linear:
+          least: int = 3) -> Linear:
     """Fit on ``confirmed`` (ids) as positives and a sample of ``docs`` as unlabelled."""
     first = lambda df, n: df.filter(F.col(id_col).isNotNull()).select(id_col).distinct().orderBy(
         F.xxhash64(id_col), id_col).limit(n)
@@ -155,16 +156,20 @@ def train(docs: DataFrame, confirmed: DataFrame, prior: float, id_col: str = "do
     other = first(docs, max_unlabelled).withColumn("p", F.lit(0))
     chosen = F.broadcast(positive.unionByName(other))  # max_positive + max_unlabelled ids at most
     # a confirmed document that is also among the unlabelled ones counts as both, as the risk asks
-    rows = docs.join(chosen, id_col).select(id_col, F.col("p").cast("long").alias("p"),
-                                            clean_text(text_col).alias("t"))
+    rows = materialise(docs.join(chosen, id_col).select(id_col, F.col("p").cast("long").alias("p"),
+                                                        clean_text(text_col).alias("t")), "toxicity-rows")
     sizes = {r["p"]: r["n"] for r in chosen.groupBy("p").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_pos, n_unl = sizes.get(1, 0), sizes.get(0, 0)
     intercept = float(np.log(prior / (1 - prior)))
     if not n_pos or not n_unl:
         return Linear(base=intercept)
-    a, u = (F.col("pos") + 0.5) / F.lit(n_pos + 1.0), (F.col("unl") + 0.5) / F.lit(n_unl + 1.0)
+    once = rows.filter("p = 1").dropDuplicates(["t"])  # max_positive ids' texts at most
+    n_once = once.count()
+    a, u = (F.col("pos") + 0.5) / F.lit(n_once + 1.0), (F.col("unl") + 0.5) / F.lit(n_unl + 1.0)
     surely = F.log(a / u) - 3 * F.sqrt(1 / (F.col("pos") + 0.5) + 1 / (F.col("unl") + 0.5))
-    best = _buckets(rows).filter((F.col("pos") >= max(least, least_share * n_pos)) & (surely > 0)).orderBy(surely.desc(), "bucket").limit(max_features).select("bucket").toArrow()["bucket"].to_numpy()
+    counts = _buckets(once.unionByName(rows.filter("p = 0")))
+    best = counts.filter((F.col("pos") >= least) & (surely > 0)).orderBy(
+        surely.desc(), "bucket").limit(max_features).select("bucket").toArrow()["bucket"].to_numpy()
     wanted = {int(b): i for i, b in enumerate(best)}
 
     def make():

@@ -2,10 +2,12 @@
 
 import numpy as np
 import pytest
+import xxhash
 
 import corpus_pipeline as P
 from lexiflow.llm import mixing as M
 from lexiflow.llm import quality_rules as R
+from lexiflow.llm import toxicity as T
 from lexiflow.llm.html_extract import main_text
 
 
@@ -97,3 +99,21 @@ def test_table_pages_without_the_article_tag(spark):
     for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("html").collect():
         plain = r.html.replace("<article>", "<div>").replace("</article>", "</div>")
         assert main_text(plain) == main_text(r.html)
+
+
+def test_markers_of_a_rare_language(spark):
+    """5 of 500 confirmed documents are in another language; another word is in 20 copies of one text only."""
+    r = np.random.default_rng(9)
+    some = lambda kind, *more: " ".join([*(f"{kind}{k}" for k in r.integers(0, 400, 30)), *more])
+    copy = some("w", "vilemark", "copyword")
+    texts = [copy] * 20 + [some("w", "vilemark") for _ in range(475)] + [some("qz", "bomenmark") for _ in range(5)]
+    confirmed = len(texts)
+    texts += [some("w") for _ in range(3000)] + [some("qz") for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = T.train(docs, docs.filter(f"doc_id < {confirmed}").select("doc_id"), 0.13)
+    code = lambda w: (xxhash.xxh3_64_intdigest(w) >> (64 - T.HASH_BITS)) * T.LEVELS
+    assert {code(b"=vilemark"), code(b"=bomenmark")} <= set(model.buckets.tolist())
+    assert code(b"=copyword") not in model.buckets
+    new = spark.createDataFrame(list(enumerate([some("qz", "bomenmark"), some("qz")])), "doc_id long, text string")
+    toxic, clean = (x.score for x in T.score(new, model).orderBy("doc_id").collect())
+    assert toxic > 0.5 > T.THRESHOLD > clean
