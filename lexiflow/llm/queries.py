@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, exact_dedup, html_extract, minhash, mixing, quality_gbdt, quality_rules, substring, toxicity
+from . import (chat, exact_dedup, filter_audit, html_extract, minhash, mixing, quality_gbdt, quality_rules, substring,
+               toxicity)
 from .common import table
 
 
@@ -51,6 +52,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_mixing": op2_mixing,
@@ -62,6 +67,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
+    "op12_filter_audit": op12_filter_audit,
 }
 
 SQL: dict[str, str] = {
@@ -69,4 +75,5 @@ SQL: dict[str, str] = {
     "op6_substring": substring.REPORT_SQL,
     "op7_chat": chat.REPORT_SQL,
     "op8_exact_dedup": exact_dedup.REPORT_SQL,
+    "op12_filter_audit": filter_audit.REPORT_SQL,
 }
