@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (chat, exact_dedup, filter_audit, html_extract, minhash, mixing, quality_gbdt, quality_rules, substring,
-               toxicity)
+from . import (chat, exact_dedup, filter_audit, html_extract, minhash, mixing, quality_gbdt, quality_rules,
+               source_divergence, substring, toxicity)
 from .common import table
 
 
@@ -52,6 +52,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.report(table(spark, sf_dir, "documents"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -67,6 +71,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
+    "op11_divergence": op11_divergence,
     "op12_filter_audit": op12_filter_audit,
 }
 
@@ -75,5 +80,6 @@ SQL: dict[str, str] = {
     "op6_substring": substring.REPORT_SQL,
     "op7_chat": chat.REPORT_SQL,
     "op8_exact_dedup": exact_dedup.REPORT_SQL,
+    "op11_divergence": source_divergence.REPORT_SQL,
     "op12_filter_audit": filter_audit.REPORT_SQL,
 }
