@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (chat, exact_dedup, filter_audit, html_extract, minhash, mixing, quality_gbdt, quality_rules,
-               source_divergence, substring, toxicity)
+               secret_scan, source_divergence, substring, toxicity)
 from .common import table
 
 
@@ -60,6 +60,10 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_mixing": op2_mixing,
@@ -73,6 +77,7 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
     "op11_divergence": op11_divergence,
     "op12_filter_audit": op12_filter_audit,
+    "op13_secret_scan": op13_secret_scan,
 }
 
 SQL: dict[str, str] = {
@@ -82,4 +87,5 @@ SQL: dict[str, str] = {
     "op8_exact_dedup": exact_dedup.REPORT_SQL,
     "op11_divergence": source_divergence.REPORT_SQL,
     "op12_filter_audit": filter_audit.REPORT_SQL,
+    "op13_secret_scan": secret_scan.REPORT_SQL,
 }
