@@ -31,6 +31,7 @@ texts are read in pieces; further columns are not read; an empty table gives no
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -59,30 +60,33 @@ def _pieces(text: bytes):
 
 def term_counts(docs: DataFrame) -> DataFrame:
     """(lang, source, term, n, docs): occurrences, and documents that have the term."""
-    def rows(held: dict[tuple, list[int]]) -> pa.RecordBatch:
-        langs, sources, terms = zip(*held)
-        sums = np.array(list(held.values()), np.int64)
+    def rows(held: dict[tuple, tuple[Counter, Counter]]) -> Iterator[pa.RecordBatch]:
+        for (lang, source), (n, seen) in held.items():
+            if n:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(lang, len(n)), pa.repeat(source, len(n)), pa.array(list(n), pa.binary()).cast(pa.string()),
+                     pa.array(list(n.values()), pa.int64()), pa.array([seen[t] for t in n], pa.int64())],
+                    ["lang", "source", "term", "n", "docs"])
         held.clear()
-        return pa.RecordBatch.from_arrays(
-            [pa.array(langs, pa.string()), pa.array(sources, pa.string()), pa.array(terms, pa.binary()).cast(pa.string()),
-             pa.array(sums[:, 0]), pa.array(sums[:, 1])], ["lang", "source", "term", "n", "docs"])
 
     def run(batches):
-        held: dict[tuple, list[int]] = {}
+        held: dict[tuple, tuple[Counter, Counter]] = {}
+        size = 0
         for batch in batches:
             for part in slices(batch, 2):
                 for lang, source, text in zip(*(c.to_pylist() for c in part.columns)):
-                    counts: Counter = Counter()
+                    n, seen = held.setdefault((lang, source), (Counter(), Counter()))
+                    size -= len(n)
+                    here: set[bytes] = set()
                     for terms in _pieces(text.encode().translate(TO_TERMS)):
-                        counts.update(terms)
-                    for term, n in counts.items():
-                        sums = held.setdefault((lang, source, term), [0, 0])
-                        sums[0] += n
-                        sums[1] += 1
-                    if len(held) > HELD:
-                        yield rows(held)
-        if held:
-            yield rows(held)
+                        n.update(terms)
+                        here.update(terms)
+                    seen.update(here)
+                    size += len(n)
+                    if size > HELD:
+                        yield from rows(held)
+                        size = 0
+        yield from rows(held)
 
     workers_import(docs.sparkSession)
     named = docs.select(*[clean_text(c).alias(c) for c in ("lang", "source", "text")])
@@ -91,36 +95,44 @@ def term_counts(docs: DataFrame) -> DataFrame:
 
 
 def vocabulary(counts: DataFrame, least_docs: int = 30, block_terms: int = 50_000) -> DataFrame:
-    """(lang, term, lang_n, v, block, id): the kept terms of each language with ids within their blocks."""
+    """(lang, term, lang_n, block, id): the kept terms of each language with ids within their blocks.  All
+    languages have as many blocks as the whole vocabulary needs, so no block is larger than ``block_terms``
+    but by the chance of the hash."""
     kept = materialise(counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs"))
                        .filter(F.col("docs") >= least_docs).select("lang", "term", "lang_n"), "kept-terms")
-    sizes = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
-    block = F.pmod(F.xxhash64("term"), F.ceil(F.col("v") / block_terms)).cast("int")
-    return kept.join(sizes, "lang").withColumn("block", block).withColumn(
+    blocks = max(1, -(-kept.count() // block_terms))
+    return kept.withColumn("block", F.pmod(F.xxhash64("term"), F.lit(blocks)).cast("int")).withColumn(
         "id", F.row_number().over(Window.partitionBy("lang", "block").orderBy("term")) - 1)
 
 
-def group_totals(docs: DataFrame, terms: DataFrame, joined: DataFrame) -> DataFrame:
-    """(lang, source, v, total): every group of ``docs``; ``total`` is N + 5 V."""
-    sizes = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
-    sums = joined.groupBy("lang", "source").agg(F.sum("n").alias("kept_n"))
+def group_blocks(docs: DataFrame, terms: DataFrame, joined: DataFrame, tile_sources: int = 8) -> DataFrame:
+    """A row for every group of ``docs`` and every block of its language (block 0 of none), also where the group
+    has no term: (lang, source, total, lang_total, tile, tiles, block, size).
+
+    Totals are N + 5 V of the group and of its language; ``tile`` deals the ``tiles`` of a language's sources;
+    ``size`` is the block's number of terms.
+    """
     groups = docs.select(*[clean_text(c).alias(c) for c in ("lang", "source")]).distinct()
-    v = F.coalesce("v", F.lit(0)).cast("long")
-    return groups.join(sizes, "lang", "left").join(sums, ["lang", "source"], "left").select(
-        "lang", "source", v.alias("v"), (F.coalesce("kept_n", F.lit(0)) + SMOOTHING * v).alias("total"))
+    blocks = terms.groupBy("lang", "block").agg(F.count(F.lit(1)).alias("size"), F.sum("lang_n").alias("n"))
+    langs = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("sources")).join(
+        blocks.groupBy("lang").agg(F.sum("size").alias("v"), F.sum("n").alias("lang_n")), "lang", "left").select(
+        "lang", F.ceil(F.col("sources") / tile_sources).cast("int").alias("tiles"),
+        F.coalesce("v", F.lit(0)).alias("v"), F.coalesce("lang_n", F.lit(0)).alias("lang_n"))
+    sums = joined.groupBy("lang", "source").agg(F.sum("n").alias("kept_n"))
+    totals = groups.join(langs, "lang").join(sums, ["lang", "source"], "left").select(
+        "lang", "source", (F.coalesce("kept_n", F.lit(0)) + SMOOTHING * F.col("v")).alias("total"),
+        (F.col("lang_n") + SMOOTHING * F.col("v")).alias("lang_total"),
+        F.pmod(F.xxhash64("source"), F.col("tiles")).cast("int").alias("tile"), "tiles")
+    return totals.join(blocks.select("lang", "block", "size"), "lang", "left").withColumns(
+        {c: F.coalesce(c, F.lit(0)) for c in ("block", "size")})
 
 
-def sparse_arrays(joined: DataFrame, totals: DataFrame, terms: DataFrame) -> DataFrame:
-    """(lang, block, size, source, total, ids, counts) for every group and block of its language, also for
-    blocks of which the group has no term; ``size`` is the block's number of terms."""
-    blocks = totals.select("lang").distinct().join(
-        terms.groupBy("lang", "block").agg(F.count(F.lit(1)).alias("size")), "lang", "left").select(
-        "lang", F.coalesce("block", F.lit(0)).alias("block"), F.coalesce("size", F.lit(0)).alias("size"))
+def sparse_arrays(joined: DataFrame, groups: DataFrame) -> DataFrame:
+    """``groups`` with the sorted ``ids`` of the group's terms in the block and their ``counts``."""
     found = joined.groupBy("lang", "source", "block").agg(F.sort_array(F.collect_list(F.struct("id", "n"))).alias("e"))
     empty = F.array().cast("array<struct<id:int,n:bigint>>")
-    return totals.join(blocks, "lang").join(found, ["lang", "source", "block"], "left").withColumn(
-        "e", F.coalesce("e", empty)).select("lang", "block", "size", "source", "total",
-                                            F.col("e.id").alias("ids"), F.col("e.n").alias("counts"))
+    return groups.join(found, ["lang", "source", "block"], "left").withColumn("e", F.coalesce("e", empty)).select(
+        *groups.columns, F.col("e.id").alias("ids"), F.col("e.n").alias("counts"))
 
 
 def prices(counts: np.ndarray, total: int) -> np.ndarray:
@@ -172,16 +184,13 @@ def merged(a: tuple, b: tuple, size: int) -> int:
     return int(both + only_a + only_b) + absent * abs(floor_p - floor_q)
 
 
-def pair_values(arrays: DataFrame, tile_sources: int = 8) -> DataFrame:
+def pair_values(arrays: DataFrame) -> DataFrame:
     """(lang, a, b, value) for each unordered pair a < b of a language's sources."""
-    tiles = materialise(arrays.groupBy("lang").agg(F.countDistinct("source").alias("sources")), "tiles")
-    dealt = arrays.join(tiles, "lang").withColumn("tiles", F.ceil(F.col("sources") / tile_sources).cast("int"))
-    dealt = dealt.withColumn("tile", F.pmod(F.xxhash64("source"), F.col("tiles")).cast("int"))
     keys = ["lang", "block", "x", "y"]
     held = ["size", "source", "total", "ids", "counts"]
-    left = dealt.select("lang", "block", F.col("tile").alias("x"), F.explode(
+    left = arrays.select("lang", "block", F.col("tile").alias("x"), F.explode(
         F.sequence("tile", F.col("tiles") - 1)).alias("y"), *held)
-    right = dealt.select(F.col("lang").alias("r_lang"), F.col("block").alias("r_block"),
+    right = arrays.select(F.col("lang").alias("r_lang"), F.col("block").alias("r_block"),
                          F.explode(F.sequence(F.lit(0), "tile")).alias("r_x"), F.col("tile").alias("r_y"),
                          *[F.col(c).alias(f"r_{c}") for c in held])
 
@@ -217,11 +226,10 @@ def price(n: Column, total: Column) -> Column:
     return F.call_function("div", big, total.cast("decimal(19,0)")) + 1
 
 
-def term_values(joined: DataFrame, totals: DataFrame, top: int = 50) -> DataFrame:
+def term_values(joined: DataFrame, groups: DataFrame, top: int = 50) -> DataFrame:
     """(lang, source, item, value, rank): the terms a group has above its language's price, ``top`` a group."""
-    lang_n = joined.groupBy("lang").agg(F.sum("n").alias("lang_kept"))
-    priced = joined.join(totals.select("lang", "source", "v", "total"), ["lang", "source"]).join(lang_n, "lang")
-    gap = price(F.col("n"), F.col("total")) - price(F.col("lang_n"), F.col("lang_kept") + SMOOTHING * F.col("v"))
+    priced = joined.join(groups.select("lang", "source", "block", "total", "lang_total"), ["lang", "source", "block"])
+    gap = price(F.col("n"), F.col("total")) - price(F.col("lang_n"), F.col("lang_total"))
     best = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     return priced.select("lang", "source", F.col("term").alias("item"), gap.alias("value")).filter(
         "value > 0").withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
@@ -232,17 +240,16 @@ def divergence(docs: DataFrame, least_docs: int = 30, top: int = 50, block_terms
     """(lang, source, part, item, value, rank); see the module's text."""
     counts = materialise(term_counts(docs), "term-counts")
     terms = materialise(vocabulary(counts, least_docs, block_terms), "vocabulary")
-    joined = materialise(counts.select("lang", "source", "term", "n").join(
-        terms.select("lang", "term", "lang_n", "block", "id"), ["lang", "term"]), "group-terms")
-    totals = materialise(group_totals(docs, terms, joined), "groups")
-    pairs = materialise(pair_values(materialise(sparse_arrays(joined, totals, terms), "arrays"), tile_sources), "pairs")
+    joined = materialise(counts.select("lang", "source", "term", "n").join(terms, ["lang", "term"]), "group-terms")
+    groups = materialise(group_blocks(docs, terms, joined, tile_sources), "group-blocks")
+    pairs = materialise(pair_values(materialise(sparse_arrays(joined, groups), "arrays")), "pairs")
     both = pairs.select("lang", F.col("a").alias("source"), F.col("b").alias("item"), "value").unionByName(
         pairs.select("lang", F.col("b").alias("source"), F.col("a").alias("item"), "value"))
     far = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     ranked = both.withColumn("rank", F.row_number().over(far))
     order = ["lang", "source", "part", "item", "value", "rank"]
     return ranked.withColumn("part", F.lit("pair")).select(order).unionByName(
-        term_values(joined, totals, top).withColumn("part", F.lit("term")).select(order))
+        term_values(joined, groups, top).withColumn("part", F.lit("term")).select(order))
 
 
 def report(docs: DataFrame) -> DataFrame:
