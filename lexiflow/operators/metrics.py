@@ -118,6 +118,18 @@ def weighted_metrics(df: DataFrame, label_col: str = "label", prediction_col: st
     )
 
 
+def weighted_f1_by(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, f1): weighted F1 of each group of confusion cells (keys, label, prediction, n)."""
+    both = cells.select(*keys, F.explode(F.array(
+        F.struct(F.col("label").alias("class"), F.col("n").alias("a"), F.lit(0).cast("long").alias("p"),
+                 F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0).cast("long").alias("tp")),
+        F.struct(F.col("prediction").alias("class"), F.lit(0).cast("long").alias("a"), F.col("n").alias("p"),
+                 F.lit(0).cast("long").alias("tp")))).alias("c")).select(*keys, "c.*")
+    per = both.groupBy(*keys, "class").agg(*[F.sum(c).cast("double").alias(c) for c in ("a", "p", "tp")])
+    f1 = f_measure(_safe_div(F.col("tp"), F.col("p")), _safe_div(F.col("tp"), F.col("a")))
+    return per.groupBy(*keys).agg(_safe_div(F.sum(F.col("a") * f1), F.sum("a")).alias("f1"))
+
+
 def accuracy(df: DataFrame, label_col: str = "label", prediction_col: str = "prediction") -> DataFrame:
     """One row: share of rows whose prediction equals the label."""
     hit = F.when(F.col(label_col).cast("double") == F.col(prediction_col).cast("double"), 1.0).otherwise(0.0)

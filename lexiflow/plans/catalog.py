@@ -639,41 +639,35 @@ def _cv(spark, sf_dir):
     st = state(spark, sf_dir)
     (g3,) = st.models("G3")
     scored = g3.transform(st.frame).select("doc_id", "split", "label", "weight", "featuresIDF")
-    train = materialize(T.assign_folds(scored.filter(is_split(TRAIN)), 3, "doc_id", "fold"))
-    est = make_classifier("svm", "featuresIDF", "label", "weight", parallelism=4)
-    grid = T.param_grid(est.getClassifier())
-    cvm = T.cross_validate(est, grid, train, "fold", parallelism=len(grid))
-    scores = T.cv_scores(spark, cvm, grid).collect()
-    best = T.best_model_scores(cvm, {VAL: scored.filter(is_split(VAL)), TEST: scored.filter(is_split(TEST))})
-    own = {name: _own_f1(cvm.bestModel, scored.filter(is_split(name))) for name in (VAL, TEST)}
-    release(train)
-    return scores, best, own, list(cvm.avgMetrics)
-
-
-def _own_f1(model, rows: DataFrame) -> tuple[int, float]:
-    """Rows and weighted F1 by our own metrics."""
-    scored = predict(model, rows, ["label"])
-    return rows.count(), M.evaluate(scored)["f1Score"]
+    train = T.assign_folds(scored.filter(is_split(TRAIN)), 3, "doc_id", "fold")
+    found = T.search_svms(train, "featuresIDF", num_features_of(g3, "G3"), st.n_classes)
+    splits = {name: scored.filter(is_split(name)) for name in (VAL, TEST)}
+    best = found.best_scores(splits)
+    cells = {name: M.confusion_long(found.predict(rows, ["label"])).collect() for name, rows in splits.items()}
+    return found, best, cells
 
 
 def q_cv_grid_checked(spark, sf_dir):
-    """T2 invariant: every setting has a score in (0, 1], the best model's the highest; with the rows trained on."""
-    scores, best, _, means = _memo(spark, sf_dir, "cv", _cv)
-    n = state(spark, sf_dir).frame.filter(is_split(TRAIN)).count()
-    rows = [(r["maxIter"], float(r["regParam"]), n, bool(0 < r["avg_f1"] <= max(means) <= 1)) for r in scores]
+    """T2 invariant: each setting scored each training row once, its mean is in (0, 1], the best has the highest."""
+    found, _, _ = _memo(spark, sf_dir, "cv", _cv)
+    top = found.scores[found.best]["avg_f1"]
+    rows = [(r["maxIter"], r["regParam"], found.n_scored, bool(0 < r["avg_f1"] <= top <= 1)) for r in found.scores]
     return spark.createDataFrame(rows, "maxIter int, regParam double, n_train bigint, ok boolean")
 
 
 def q_cv_best_checked(spark, sf_dir):
     """T3 invariant: the best model's F1 on val and test equals the one recomputed from its confusion cells."""
-    _, best, own, _ = _memo(spark, sf_dir, "cv", _cv)
-    rows = [(name, n, abs(f1 - best[name]) < 1e-9) for name, (n, f1) in own.items()]
-    return spark.createDataFrame(rows, "split string, n bigint, ok boolean")
+    _, best, cells = _memo(spark, sf_dir, "cv", _cv)
+    frame = spark.createDataFrame([(name, r["label"], r["prediction"], r["n"]) for name in cells for r in cells[name]],
+                                  "split string, label double, prediction double, n bigint")
+    known = spark.createDataFrame([(k, float(v)) for k, v in best.items()], "split string, f1_best double")
+    sizes = frame.groupBy("split").agg(F.sum("n").alias("n"))
+    return M.weighted_f1_by(frame, ["split"]).join(known, "split").join(sizes, "split").select(
+        "split", "n", (F.abs(F.col("f1") - F.col("f1_best")) < 1e-9).alias("ok"))
 
 
 def q_cv_grid_svm(spark, sf_dir):
-    scores = _memo(spark, sf_dir, "cv", _cv)[0]
-    return spark.createDataFrame(scores)
+    return _memo(spark, sf_dir, "cv", _cv)[0].frame(spark)
 
 
 def q_cv_best_scores(spark, sf_dir):

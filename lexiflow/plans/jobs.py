@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.lemma import lemma_pairs
-from ..operators.models import make_classifier, materialize, release
+from ..operators.models import make_classifier
 from ..sources.parquet import read_feature_set
 from ..sources.results import write_results_csv
 from ..sources.text import read_labeled_text
@@ -69,19 +69,33 @@ def _feature_tables(spark: SparkSession, features_dir: str, names=("G1", "G2", "
     tables = {}
     for name in names:
         df = read_feature_set(spark, os.path.join(features_dir, name))
-        width = df.select(FEATURES_COL[name]).first()[0].size
-        tables[name] = (df, width)
+        tables[name] = (df, vector_width(df, FEATURES_COL[name]))
     return tables
 
 
+def vector_width(df: DataFrame, features_col: str) -> int:
+    """Length of a feature column's vectors; a table without rows is an error that says so."""
+    first = df.select(features_col).first()
+    if first is None:
+        raise ValueError(f"the feature table has no rows, so the width of {features_col} isn't known")
+    return first[0].size
+
+
+def _n_classes(df: DataFrame) -> int:
+    """One more than the highest class id of the training rows."""
+    top = df.filter(is_split(TRAIN)).agg(F.max("label")).first()[0]
+    if top is None:
+        raise ValueError("the feature table has no training rows")
+    return int(top) + 1
+
+
 def select_job(spark: SparkSession, features_dir: str, out_csv: str | None = None,
                classifiers=("svm", "lr", "nb"), feature_sets=("G1", "G2", "G3", "G4"), orientation: str = "right", eval_split: str = VAL,
                parallelism: int = 4, mode: str = "errorifexists") -> DataFrame:
     """Step 2.  Returns the result table (and writes it as CSV when ``out_csv`` is given)."""
     tables = _feature_tables(spark, features_dir, feature_sets)
     any_table = next(iter(tables.values()))[0]
-    n_classes = any_table.filter(is_split(TRAIN)).agg(F.max("label")).first()[0] + 1
-    results = run_on_feature_tables(spark, tables, int(n_classes), classifiers, eval_split, orientation,
+    results = run_on_feature_tables(spark, tables, _n_classes(any_table), classifiers, eval_split, orientation,
                                     parallelism=parallelism)
     if out_csv:
         write_results_csv(results, out_csv, mode)
@@ -89,15 +103,11 @@ def select_job(spark: SparkSession, features_dir: str, out_csv: str | None = Non
 
 
 def tune_job(spark: SparkSession, features_dir: str, feature_set: str = "G3", folds: int = 3,
-             max_iter=(10, 50, 100), reg_param=(0.1, 0.01, 0.001), parallelism: int = 3) -> dict:
+             max_iter=(10, 50, 100), reg_param=(0.1, 0.01, 0.001)) -> dict:
     """Step 3.  Cross-validated grid search of the weighted one-vs-rest SVM."""
     df = read_feature_set(spark, os.path.join(features_dir, feature_set))
     feat = FEATURES_COL[feature_set]
-    train = materialize(T.assign_folds(df.filter(is_split(TRAIN)), folds, "doc_id", "fold"))
-    est = make_classifier("svm", feat, "label", "weight", parallelism=4)
-    grid = T.param_grid(est.getClassifier(), max_iter, reg_param)
-    cvm = T.cross_validate(est, grid, train, "fold", parallelism=parallelism)
-    scores = [r.asDict() for r in T.cv_scores(spark, cvm, grid).orderBy("setting").collect()]
-    best = T.best_model_scores(cvm, {VAL: df.filter(is_split(VAL)), TEST: df.filter(is_split(TEST))})
-    release(train)
-    return {"feature_set": FEATURE_SET_NAMES[feature_set], "cv": scores, "best": best}
+    train = T.assign_folds(df.filter(is_split(TRAIN)), folds, "doc_id", "fold")
+    found = T.search_svms(train, feat, vector_width(df, feat), _n_classes(df), max_iter, reg_param)
+    best = found.best_scores({VAL: df.filter(is_split(VAL)), TEST: df.filter(is_split(TEST))})
+    return {"feature_set": FEATURE_SET_NAMES[feature_set], "cv": found.scores, "best": best}
