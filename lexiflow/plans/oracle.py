@@ -48,36 +48,37 @@ LABEL_IDS = """label_ids AS (
   SELECT emotion, CAST(row_number() OVER (ORDER BY n DESC, emotion) - 1 AS INTEGER) AS label
   FROM (SELECT emotion, count(*) AS n FROM docs WHERE split = 'train' GROUP BY emotion))"""
 
-PREPARED = f"""prepared0 AS (
+PREPARED = f"""prepared0 AS MATERIALIZED (
   SELECT d.doc_id, d.text, d.emotion, d.split, l.label, {LEMMAS(CLEAN('d.text'))} AS text_c
   FROM docs d JOIN label_ids l USING (emotion)),
 weights AS (
   SELECT label, count(*) AS n, count(*) / sum(count(*)) OVER () AS weight,
          sum(count(*)) OVER () / (count(*) OVER () * count(*)) AS weight_inverse
   FROM prepared0 WHERE split = 'train' GROUP BY label),
-prepared AS (
+prepared AS MATERIALIZED (
   SELECT p.*, w.weight FROM prepared0 p JOIN weights w USING (label))"""
 
 BASE = f"WITH {DOCS},\n{LABEL_IDS},\n{PREPARED}"
 
 # Per-document token lists of the feature sets: G1 (cleaned, no stop words), G3 (raw).
-G1_TOKENS = f"""g1tok AS (
+G1_TOKENS = f"""g1tok AS MATERIALIZED (
   SELECT doc_id, split, label, weight, {NO_STOP(TOKENIZE('text_c'))} AS toks FROM prepared)"""
-G3_TOKENS = f"""g3tok AS (
+G3_TOKENS = f"""g3tok AS MATERIALIZED (
   SELECT doc_id, split, label, weight, {TOKENIZE('text')} AS toks FROM prepared)"""
 
 
 def FEATURES(tok: str, p: str) -> str:
     """Vocabulary (top 1000 on train), term counts, IDF on train, TF-IDF for one token CTE."""
-    return f"""{p}_terms AS (
-  SELECT doc_id, split, unnest(toks) AS term FROM {tok}),
-{p}_vocab AS (
+    return f"""{p}_terms AS MATERIALIZED (
+  SELECT doc_id, split, term, count(*) AS n
+  FROM (SELECT doc_id, split, unnest(toks) AS term FROM {tok}) GROUP BY doc_id, split, term),
+{p}_vocab AS MATERIALIZED (
   SELECT term, count, idx FROM (
-    SELECT term, count(*) AS count,
-           CAST(row_number() OVER (ORDER BY count(*) DESC, term) - 1 AS INTEGER) AS idx
+    SELECT term, CAST(sum(n) AS BIGINT) AS count,
+           CAST(row_number() OVER (ORDER BY sum(n) DESC, term) - 1 AS INTEGER) AS idx
     FROM {p}_terms WHERE split = 'train' GROUP BY term) WHERE idx < 1000),
-{p}_tf AS (
-  SELECT t.doc_id, v.idx AS feature, count(*) AS tf
+{p}_tf AS MATERIALIZED (
+  SELECT t.doc_id, v.idx AS feature, CAST(sum(t.n) AS BIGINT) AS tf
   FROM {p}_terms t JOIN {p}_vocab v USING (term) GROUP BY t.doc_id, v.idx),
 {p}_ntrain AS (SELECT count(*) AS n FROM prepared WHERE split = 'train'),
 {p}_df AS (
