@@ -89,6 +89,34 @@ def test_lemmatize_has_one_plan(spark):
     assert shapes[0] == shapes[1] and "BroadcastHashJoin" not in shapes[0]
 
 
+def test_lemmatize_hot_forms_and_random_rows(spark):
+    """A form in every row, forms that fill a row, and tokens beside them, against a dictionary."""
+    import random
+    r = random.Random(4)
+    table = {f"f{i}": f"l{i % 7}" for i in range(400)} | {"hot": "cold"}
+    rows = [" ".join(["hot"] + [r.choice(["", "x", f"f{r.randrange(600)}", "hot"]) for _ in range(r.randrange(60))])
+            for _ in range(900)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "i int, t string").repartition(6)
+    lem = spark.createDataFrame(list(table.items()), "form string, lemma string")
+    got = {x.i: x.t for x in lemmatize(docs, lem, "t").collect()}
+    assert got == {i: " ".join(table.get(w, w) for w in t.split(" ")) for i, t in enumerate(rows)}
+
+
+def test_lemmatize_is_linear_in_a_row(spark):
+    """Rows of 1k, 10k and 100k different tokens, all matched: time may grow with the row, not with its square."""
+    import time
+    seconds = {}
+    for n in (1_000, 10_000, 100_000):
+        text = " ".join(f"w{i}" for i in range(n))
+        docs = spark.createDataFrame([(1, text)], "i int, t string")
+        lem = spark.range(n).select(F.format_string("w%d", "id").alias("form"), F.format_string("v%d", "id").alias("lemma"))
+        start = time.perf_counter()
+        (out,) = lemmatize(docs, lem, "t").collect()
+        seconds[n] = time.perf_counter() - start
+        assert out.t == text.replace("w", "v")
+    assert seconds[100_000] < 5 * seconds[10_000] + 10, seconds
+
+
 def test_lemma_rules(spark):
     from lexiflow.operators.lemma import rule_table
     words = "walks running glasses parties string was class bus thing jumped ed ing is"
