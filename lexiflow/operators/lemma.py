@@ -9,18 +9,17 @@ There is one plan, whatever the sizes:
 
 1. The frame is written once with a row number (``checkpoint``: the number is
    fixed and the text is not cleaned again).
-2. Each row's tokens are sorted, so that equal ones are neighbours; each
-   *different* non-empty token goes to the join once, with the place of its run
-   among the sorted tokens.
-3. These (row, form) pairs are joined with the table by a sort-merge join.
-   Forms that hold more than 1/512 of the pairs, counted (there are at most
-   512), are dealt out to as many tasks as the count of the most frequent asks.
-4. Matched pairs go back to their rows.  A run gives the positions of its
-   token, so that a row's (position, lemma) pairs can be put in order and the
-   unmatched stretches between them copied.  Texts themselves are never
-   shuffled by token.
-
-A row of n tokens costs n log n (the sort), however many of them match.
+2. Each row's *different* non-empty tokens are joined with the table by a
+   sort-merge join.  Forms that hold more than 1/512 of these (row, form) pairs
+   (there are at most 512) are dealt out to as many tasks as the count of the
+   most frequent asks; every 16th row is counted for that.
+3. Only matched pairs go back to their rows, as one map a row, and the token
+   array is transformed in place.  Texts themselves are never shuffled by
+   token.
+
+Looking a key up in a map is a scan, so a map of more than 64 forms is laid out
+in buckets of some eight forms by their hash first, and a row's time is linear
+in its tokens however many of them match.
 
 Null forms, null lemmas and forms that are their own lemma change nothing and
 are dropped from the table first; a form listed several times keeps its
@@ -39,6 +38,10 @@ from ..session import ensure_checkpoint_dir
 
 #: A form is dealt out if it has more than this share of the (row, form) pairs.
 HOT_SHARE = 1 / 512
+#: Rows counted for that: every 16th.
+COUNTED_ROWS = 16
+#: Maps of more forms than this are laid out in buckets of about BUCKET forms.
+SCANNED, BUCKET = 64, 8
 
 
 def tokens(text_col: str) -> Column:
@@ -52,37 +55,20 @@ def lemma_pairs(lemmas: DataFrame, form_col: str = "form", lemma_col: str = "lem
         F.min("lemma").alias("lemma")).filter("form <> lemma")
 
 
-def _sorted_tokens(text_col: str) -> Column:
-    """array<struct<form, pos>> by form, then position."""
-    return F.array_sort(F.transform(tokens(text_col), lambda t, i: F.struct(t.alias("form"), i.alias("pos"))))
-
-
-def _neighbours(items: str, first: Column) -> Column:
-    """Each item of an array column with the one before it (``first`` for the first), as fields 0 and 1."""
-    shifted = F.concat(F.array(first), F.slice(items, F.lit(1), F.greatest(F.size(items) - 1, F.lit(0))))
-    return F.arrays_zip(F.col(items).alias("item"), shifted.alias("before"))
-
-
-def _runs(frame: DataFrame, text_col: str) -> DataFrame:
-    """(_row, form, start, end): the different non-empty tokens of each row and their places among its sorted tokens."""
-    placed = frame.select("_row", _sorted_tokens(text_col).alias("_sorted"))
-    zipped = placed.select("_row", F.size("_sorted").alias("_n"), _neighbours(
-        "_sorted", F.lit(None).cast("struct<form:string,pos:int>")).alias("_pairs"))
-    heads = zipped.select("_row", "_n", F.filter(
-        F.transform("_pairs", lambda p, i: F.struct(p["item"]["form"].alias("form"), i.alias("start"),
-                                                    p["before"]["form"].eqNullSafe(p["item"]["form"]).alias("again"))),
-        lambda p: ~p["again"]).alias("_heads"))
-    ends = F.concat(F.slice(F.transform("_heads", lambda h: h["start"]), F.lit(2), F.size("_heads")), F.array("_n"))
-    # outer: a plain explode makes the optimizer add a size filter, which makes the array a second time
-    one = heads.select("_row", F.explode_outer(F.arrays_zip(F.col("_heads").alias("h"), ends.alias("end"))).alias("r"))
-    return one.select("_row", "r.h.form", "r.h.start", "r.end").filter("form <> ''")
+def _pairs(frame: DataFrame, text_col: str) -> DataFrame:
+    """(_row, form): the different non-empty tokens of each row."""
+    present = F.array_remove(F.array_distinct(tokens(text_col)), "")
+    # Plain explode makes the optimizer add a size filter, which makes the array a second time.
+    return frame.select("_row", F.explode_outer(present).alias("form")).filter("form IS NOT NULL")
 
 
 def _dealt(pairs: DataFrame) -> tuple[Column, int]:
-    """Whether a ``form`` is dealt out, and to how many tasks.  Reads the hashes of 1 / HOT_SHARE forms at most."""
-    share = pairs.count() * HOT_SHARE
-    hot = pairs.groupBy("form").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > F.lit(share)).select(
-        F.xxhash64("form").alias("key"), "n").collect()
+    """Whether a ``form`` is dealt out, and to how many tasks, by the rows counted.  Reads the hashes of
+    1 / HOT_SHARE forms at most."""
+    counts = pairs.filter(F.col("_row") % COUNTED_ROWS == 0).groupBy(F.xxhash64("form").alias("key")).agg(
+        F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    share = (counts.agg(F.sum("n")).first()[0] or 0) * HOT_SHARE
+    hot = counts.filter(F.col("n") > F.lit(share)).collect()
     return (F.xxhash64("form").isin([r.key for r in hot]) if hot else F.lit(False),
             max([math.ceil(r.n / share) for r in hot], default=1))
 
@@ -93,35 +79,42 @@ def lemmatize(df: DataFrame, lemmas: DataFrame, text_col: str, output_col: str |
     output_col = output_col or text_col
     ensure_checkpoint_dir(df.sparkSession)
     frame = df.withColumn("_row", F.monotonically_increasing_id()).checkpoint(eager=True)
-    table = lemma_pairs(lemmas, form_col, lemma_col)
-    pairs = _runs(frame, text_col).checkpoint(eager=True)
-    salted, salts = _dealt(pairs)
-    salt = F.when(salted, F.pmod(F.xxhash64("_row"), F.lit(salts))).otherwise(F.lit(0))
-    copies = F.explode(F.when(salted, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
-    matched = pairs.withColumn("_salt", salt.cast("int")).join(
-        table.withColumn("_salt", copies).hint("merge"), ["form", "_salt"])
-    hits = matched.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "lemma"))).alias("_hits"))
-    found = frame.join(hits.hint("merge"), "_row", "left")
-    return _merged(found, text_col, output_col).select(
-        *df.columns, *([output_col] if output_col not in df.columns else []))
-
-
-def _merged(found: DataFrame, text_col: str, output_col: str) -> DataFrame:
-    """Put the lemmas of ``_hits`` in their positions."""
-    # Each array is a column of its own and used twice, so that no lambda evaluates it again for each element.
-    cols = found.columns
-    held = found.select(*cols, F.when(F.col("_hits").isNotNull(), _sorted_tokens(text_col)).alias("_sorted"))
-    places = F.when(F.size("_sorted") > 0, F.array_sort(F.flatten(F.transform("_hits", lambda h: F.transform(
-        F.slice("_sorted", h["start"] + 1, h["end"] - h["start"]),
-        lambda x: F.struct(x["pos"].alias("pos"), h["lemma"].alias("lemma")))))))
-    held = held.select(*cols, places.alias("_places"), F.when(F.col("_hits").isNotNull(), tokens(text_col)).alias("_tokens"))
-    steps = held.select(*cols, "_tokens", _neighbours("_places", F.struct(
-        F.lit(-1).alias("pos"), F.lit("").alias("lemma"))).alias("_steps"))
-    parts = F.flatten(F.transform("_steps", lambda p: F.concat(
-        F.slice("_tokens", p["before"]["pos"] + 2, p["item"]["pos"] - p["before"]["pos"] - 1), F.array(p["item"]["lemma"]))))
-    rest = F.slice("_tokens", F.element_at("_steps", -1)["item"]["pos"] + 2, F.size("_tokens"))
-    value = F.when(F.col("_steps").isNull(), F.col(text_col)).otherwise(join_tokens(F.concat(parts, rest)))
-    return steps.withColumn(output_col, value)
+    pairs = _pairs(frame, text_col)
+    dealt, tasks = _dealt(pairs)
+    salt = F.when(dealt, F.pmod(F.xxhash64("_row"), F.lit(tasks))).otherwise(F.lit(0))
+    copies = F.explode(F.when(dealt, F.sequence(F.lit(0), F.lit(tasks - 1))).otherwise(F.array(F.lit(0))))
+    table = lemma_pairs(lemmas, form_col, lemma_col).withColumn("_salt", copies)
+    matched = pairs.withColumn("_salt", salt.cast("int")).join(table.hint("merge"), ["form", "_salt"]).groupBy(
+        "_row").agg(F.map_from_entries(F.collect_list(F.struct("form", "lemma"))).alias("_lemmas"))
+    found = _with_buckets(frame.join(matched.hint("merge"), "_row", "left"))
+    few = F.transform(tokens(text_col), lambda t: F.coalesce(F.element_at("_lemmas", t), t))
+    many = F.transform(tokens(text_col), lambda t: F.coalesce(_in_bucket(t), t))
+    value = F.when(F.col("_lemmas").isNull(), F.col(text_col)).when(
+        F.col("_starts").isNull(), join_tokens(few)).otherwise(join_tokens(many))
+    return found.withColumn(output_col, value).select(*df.columns, *([output_col] if output_col not in df.columns else []))
+
+
+def _with_buckets(found: DataFrame) -> DataFrame:
+    """Adds ``_entries``, the forms and lemmas of large maps sorted by bucket, each bucket after a mark without a
+    form, and ``_starts``, the places of the marks.  Both are null for small maps."""
+    n = F.ceil(F.size("_lemmas") / BUCKET).cast("int")
+    marks = F.transform(F.sequence(F.lit(0), n - 1), lambda b: F.struct(
+        b.alias("b"), F.lit(None).cast("string").alias("form"), F.lit(None).cast("string").alias("lemma")))
+    forms = F.transform(F.map_entries("_lemmas"), lambda e: F.struct(
+        F.pmod(F.xxhash64(e["key"]), n).cast("int").alias("b"), e["key"].alias("form"), e["value"].alias("lemma")))
+    held = found.withColumn("_entries", F.when(F.size("_lemmas") > SCANNED, F.sort_array(F.concat(marks, forms))))
+    # _entries is used twice, so that the optimizer doesn't move it into the lambda
+    starts = F.filter(F.transform("_entries", lambda e, i: F.when(e["form"].isNull(), i)), lambda i: i.isNotNull())
+    return held.withColumn("_starts", F.when(F.col("_entries").isNotNull(), starts))
+
+
+def _in_bucket(token: Column) -> Column:
+    """The token's lemma, or null, by ``_entries`` and ``_starts``."""
+    bucket = F.pmod(F.xxhash64(token), F.size("_starts")).cast("int")
+    start = F.element_at("_starts", bucket + 1)
+    end = F.coalesce(F.try_element_at("_starts", bucket + 2), F.size("_entries"))
+    held = F.slice("_entries", start + 2, end - start - 1)
+    return F.try_element_at(F.filter(held, lambda e: e["form"] == token), F.lit(1))["lemma"]
 
 
 # English suffix rules in order (pattern, replacement) and exceptions.
