@@ -45,3 +45,17 @@ def read_labeled_text(spark: SparkSession, path: str | list[str], sep: str = ";"
     """Read one or more text files of ``text<sep>label`` lines."""
     lines = spark.read.text(path)
     return parse_labeled_lines(lines, "value", sep, text_col, label_col, malformed)
+
+
+def read_labeled_files(spark: SparkSession, path: str | list[str], sep: str = ";", text_col: str = "text",
+                       label_col: str = "emotion") -> tuple[DataFrame, DataFrame]:
+    """(records, malformed) of text files of ``text<sep>label`` lines.
+
+    ``records`` has the text, the label and the line's ``file``; ``malformed`` has ``file`` and ``line`` of each line
+    without a label, so that a bad file can be found and mended.  Both are read from the files when they
+    are used; nothing is dropped in silence.
+    """
+    lines = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))
+    bad = split_part(F.col("line"), sep, 1).isNull()
+    records = parse_labeled_lines(lines.filter(~bad), "line", sep, text_col, label_col, keep=["file"])
+    return records, lines.filter(bad).select("file", "line")
