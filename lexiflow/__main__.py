@@ -1,4 +1,4 @@
-"""Command line: ``python -m lexiflow prepare|select|tune ...`` (spark-submit friendly)."""
+"""Command line: ``python -m lexiflow prepare|select|tune|score ...`` (spark-submit friendly)."""
 
 from __future__ import annotations
 
@@ -31,6 +31,14 @@ def main(argv=None):
     t.add_argument("--features", required=True)
     t.add_argument("--feature-set", default="G3")
     t.add_argument("--folds", type=int, default=3)
+    t.add_argument("--model", default=None, help="where to save the best model")
+    c = sub.add_parser("score", help="text files -> predicted labels, with the saved models")
+    c.add_argument("--prepared", required=True, help="the folder that prepare wrote")
+    c.add_argument("--model", required=True, help="the model that tune saved")
+    c.add_argument("--texts", required=True)
+    c.add_argument("--out", required=True)
+    for q in (s, t, c):
+        q.add_argument("--mode", default="errorifexists", choices=["errorifexists", "overwrite"])
     args = ap.parse_args(argv)
 
     from .plans import jobs
@@ -40,10 +48,13 @@ def main(argv=None):
                                args.lemmas, args.weights, mode=args.mode)
     elif args.cmd == "select":
         res = jobs.select_job(spark, args.features, args.out, tuple(args.classifiers.split(",")),
-                              tuple(args.feature_sets.split(",")), args.orientation)
+                              tuple(args.feature_sets.split(",")), args.orientation, mode=args.mode)
         out = [r.asDict() for r in res.collect()]
+    elif args.cmd == "tune":
+        out = jobs.tune_job(spark, args.features, args.feature_set, args.folds, model_path=args.model, mode=args.mode)
     else:
-        out = jobs.tune_job(spark, args.features, args.feature_set, args.folds)
+        scored = jobs.score_job(spark, args.prepared, args.model, args.texts, args.out, args.mode)
+        out = {r["label"]: r["count"] for r in scored.groupBy("label").count().collect()}
     print(json.dumps(out, indent=1, default=str))
 
 

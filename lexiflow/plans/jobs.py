@@ -7,6 +7,7 @@ partitioned by split, plus the fitted models.
 table as CSV.
 ``tune``: one feature table -> k-fold cross-validated grid search of the
 one-vs-rest SVM -> mean F1 per setting and the best model's F1 on val / test.
+``score``: new text files -> predicted labels, with the saved models.
 
 Paths are arguments (the reference hard-coded them); the session is the
 caller's.
@@ -16,11 +17,16 @@ from __future__ import annotations
 
 import os
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.lemma import lemma_pairs
-from ..operators.models import make_classifier
+from ..functions.text import clean_text
+from ..operators.labels import label_names
+from ..operators.lemma import lemma_pairs, lemmatize
+from ..operators.linear import predict_linear
+from ..session import path_exists
 from ..sources.parquet import read_feature_set
 from ..sources.results import write_results_csv
 from ..sources.text import read_labeled_text
@@ -29,6 +35,7 @@ from .experiments import run_on_feature_tables
 from .pipelines import FEATURE_SET_NAMES, FEATURES_COL, fit_feature_sets, write_feature_sets
 from .prepare import prepare
 from .splits import TEST, TRAIN, VAL, is_split
+from .tuning import load_svm
 
 
 def read_splits(spark: SparkSession, train_path: str, test_path: str, val_path: str, sep: str = ";",
@@ -103,11 +110,38 @@ def select_job(spark: SparkSession, features_dir: str, out_csv: str | None = Non
 
 
 def tune_job(spark: SparkSession, features_dir: str, feature_set: str = "G3", folds: int = 3,
-             max_iter=(10, 50, 100), reg_param=(0.1, 0.01, 0.001)) -> dict:
-    """Step 3.  Cross-validated grid search of the weighted one-vs-rest SVM."""
+             max_iter=(10, 50, 100), reg_param=(0.1, 0.01, 0.001), model_path: str | None = None,
+             mode: str = "errorifexists") -> dict:
+    """Step 3.  Cross-validated grid search of the weighted one-vs-rest SVM; the best model is saved at
+    ``model_path`` if given."""
     df = read_feature_set(spark, os.path.join(features_dir, feature_set))
     feat = FEATURES_COL[feature_set]
     train = T.assign_folds(df.filter(is_split(TRAIN)), folds, "doc_id", "fold")
     found = T.search_svms(train, feat, vector_width(df, feat), _n_classes(df), max_iter, reg_param)
+    if model_path:
+        found.save(spark, model_path, feature_set, mode)
     best = found.best_scores({VAL: df.filter(is_split(VAL)), TEST: df.filter(is_split(TEST))})
     return {"feature_set": FEATURE_SET_NAMES[feature_set], "cv": found.scores, "best": best}
+
+
+def score_job(spark: SparkSession, prepared_dir: str, model_path: str, text_path: str | list[str], out: str | None = None,
+              mode: str = "errorifexists") -> DataFrame:
+    """Score new text files, one text a line: (file, text, prediction, label).
+
+    Uses what ``prepare`` saved under ``prepared_dir`` (label index, feature model, lemma table if there was one)
+    and what ``tune`` saved at ``model_path``.  Written as Parquet when ``out`` is given.
+    """
+    feature_set, features_col, coef = load_svm(spark, model_path)
+    folder = os.path.join(prepared_dir, "models")
+    index = StringIndexerModel.load(os.path.join(folder, "label_index"))
+    features = PipelineModel.load(os.path.join(folder, feature_set))
+    texts = spark.read.text(text_path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
+    texts = texts.withColumn("text_c", clean_text("text"))
+    if path_exists(spark, os.path.join(folder, "lemmas")):
+        texts = lemmatize(texts, spark.read.parquet(os.path.join(folder, "lemmas")), "text_c")
+    scored = label_names(predict_linear(features.transform(texts), coef, features_col, ["file", "text"]), index,
+                         "prediction", "label")
+    if out:
+        scored.write.mode(mode).parquet(out)
+        return spark.read.parquet(out)
+    return scored

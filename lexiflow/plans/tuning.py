@@ -93,11 +93,25 @@ class SvmSearch:
                                       for r in self.scores],
                                      "setting int, maxIter int, regParam double, weightCol string, avg_f1 double")
 
+    def save(self, spark: SparkSession, path: str, feature_set: str, mode: str = "errorifexists") -> None:
+        """The best model as a table (feature_set, features_col, cls, coef, intercept), a row a class."""
+        rows = [(feature_set, self.features_col, c, [float(x) for x in r[:-1]], float(r[-1])) for c, r in enumerate(self.coef)]
+        spark.createDataFrame(rows, "feature_set string, features_col string, cls int, coef array<double>, "
+                                    "intercept double").coalesce(1).write.mode(mode).parquet(path)
+
     def best_scores(self, splits: dict[str, DataFrame], label_col: str = "label") -> dict[str, float]:
         """Weighted F1 of the best model on each named split."""
         return {name: float(evaluate(self.predict(df, [label_col]), label_col)["f1Score"]) for name, df in splits.items()}
 
 
+def load_svm(spark: SparkSession, path: str) -> tuple[str, str, np.ndarray]:
+    """(feature set, features column, coefficients with the intercept last) of a saved model."""
+    rows = sorted(spark.read.parquet(path).collect(), key=lambda r: r.cls)  # one row a class
+    if [r.cls for r in rows] != list(range(len(rows))) or not rows:
+        raise ValueError(f"{path} isn't a saved model: classes {[r.cls for r in rows]}")
+    return rows[0].feature_set, rows[0].features_col, np.array([[*r.coef, r.intercept] for r in rows])
+
+
 def search_svms(train: DataFrame, features_col: str, width: int, n_classes: int, max_iter=(10, 50, 100),
                 reg_param=(0.1, 0.01, 0.001), fold_col: str = "fold", label_col: str = "label",
                 weight_col: str | None = "weight", tol: float = 1e-6) -> SvmSearch:

@@ -68,3 +68,41 @@ def test_ids_do_not_depend_on_file_splits(spark, tmp_path):
         ids.append(sorted(r[0] for r in read_splits(spark, train, test, val).select("doc_id").collect()))
     spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert ids[0] == ids[1]
+
+
+def test_tune_saves_a_model_that_scores_new_texts(spark, tmp_path, capsys):
+    import json
+
+    from lexiflow.__main__ import main
+    from lexiflow.operators.lemma import rule_table
+    from lexiflow.functions.text import clean_text
+    from pyspark.sql import functions as F
+    train, test, val = _write_split_files(tmp_path)
+    lines = spark.read.text(train).select(clean_text(F.split("value", ";")[0]).alias("text_c"))
+    lemmas, out, model = (str(tmp_path / n) for n in ("lemmas", "out", "model"))
+    rule_table(lines, "text_c").write.parquet(lemmas)
+    prepare_job(spark, train, test, val, out, lemma_path=lemmas)
+    tuned = tune_job(spark, os.path.join(out, "features"), "G1", 3, (5,), (0.1,), model_path=model)
+    new = tmp_path / "new.txt"
+    rows = [line.rstrip("\n").split(";") for line in open(val)]
+    new.write_text("\n".join(r[0] for r in rows) + "\n")
+    main(["score", "--prepared", out, "--model", model, "--texts", str(new), "--out", str(tmp_path / "scored")])
+    counts = json.loads(capsys.readouterr().out)
+    scored = spark.read.parquet(str(tmp_path / "scored"))
+    assert sum(counts.values()) == scored.count() == len(rows)
+    label = {r.text: r.label for r in scored.collect()}
+    # the F1 of the scored file is the one that tune found on val
+    pairs = spark.createDataFrame([(b, label[a]) for a, b in rows], "label string, prediction string")
+    ids = {name: float(i) for i, name in enumerate(sorted({r[1] for r in rows} | set(label.values())))}
+    from lexiflow.operators.metrics import evaluate
+    pairs = spark.createDataFrame([(ids[r.label], ids[r.prediction]) for r in pairs.collect()], "label double, prediction double")
+    assert abs(evaluate(pairs)["f1Score"] - tuned["best"]["val"]) < 1e-9
+    with pytest.raises(Exception):
+        main(["score", "--prepared", out, "--model", model, "--texts", str(new), "--out", str(tmp_path / "scored")])
+
+
+def test_empty_feature_table_says_so(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, label int, split string, weight double, featuresIDF array<double>").write.parquet(
+        str(tmp_path / "G3"))
+    with pytest.raises(ValueError, match="no rows"):
+        tune_job(spark, str(tmp_path), "G3")
