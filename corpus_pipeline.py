@@ -4,11 +4,19 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 as the next stage's ``docs``.  All but the last return the columns of ``documents``.
 
 1. quality classifier: documents that it rejects go;
-2. exact de-duplication: one row of equal texts stays;
+2. exact de-duplication: one row of equal texts stays.  The session's ``lexiflow.digest.index`` names an index folder
+   that is kept over runs, and ``lexiflow.batch.id`` this run's batch: a run that is repeated under the same id
+   decides as before, another one drops what earlier batches brought.  Unset, each run has an index of its own;
 3. MinHash near-duplicates (5-word shingles, similarity 0.8): one document of each group stays;
 4. mixing: documents are taken at rates that bring toxic text down to its limit of the tokens, at the
-   largest total for which no domain has to grow; where it is below the limit, nothing is dropped;
+   largest total for which no domain has to grow; no rate exceeds 1, so nothing is doubled, and where toxic text
+   is below the limit, nothing is dropped; a limit that can't be met is logged;
 5. BPE: token ids and the text they decode to.
+
+Nulls in any column, empty and very long texts, ties, repeated rows and empty tables have the results that each operator's
+text defines (a null or empty text scores as such, copies of it go, it is never a near copy, and it has no
+tokens); of equal rows the exact stage keeps one; columns beyond those of ``documents`` are carried through the
+first four stages whatever their names, and left out by the last.
 """
 
 from __future__ import annotations
@@ -32,7 +40,10 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return exact_dedup.drop_copies(docs, exact_dedup.DigestIndex(spark))
+    index = exact_dedup.DigestIndex(spark, spark.conf.get("lexiflow.digest.index", None))
+    kept = exact_dedup.drop_copies(docs, index, batch_id=spark.conf.get("lexiflow.batch.id", None))
+    index.close()
+    return kept
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
