@@ -1,20 +1,25 @@
 """Main text of web pages by tag-path ratios.
 
-Every text node has a root-to-leaf tag path.  Over a page, each path collects the text length, the
+Every visible text node has a root-to-leaf tag path.  Over a page, each path collects the text length, the
 punctuation and the number of its nodes; length and punctuation per node are smoothed over neighbouring
 nodes and fused into one ratio, which is high for paths of running text and low for menus and link lists.
-Nodes on paths above a share of the page's length-weighted mean ratio are content nodes.  The deepest
+A node's score is its path's ratio, of which only a small share (``BELIEF``) is believed where an element around it
+announces something else than the article: see ``OUTSIDE`` and ``OUTSIDE_WORDS`` (tags, and words of class, id and role).  Nodes
+that score at least a share of the length-weighted mean of the nodes that nothing speaks against are content nodes.  The deepest
 element that holds nearly all of their text is the article; within it nodes on weaker paths (headings,
-one-word paragraphs) are content as well, unless they are link lists.  In an ``<article>`` or ``<main>`` a
-single linked line is no list.  A ``<main>`` with most of the content text is the page for this.
+one-word paragraphs) are content as well, unless they are link lists or announced as something else.  In an ``<article>`` or ``<main>`` a
+single linked line is no list.  A ``<main>`` with three fifths of the content text is the page for this.
 
-Some elements are never article text, however well written: see ``OUTSIDE`` and ``OUTSIDE_WORDS`` (tags,
-and words of class, id and role).  If nothing is left, only the invisible ones are left out.
+A word of a class, id or role counts on a container if it is one of the name's words, and on a paragraph, heading, list item, cell or
+inline element only if all of the name's words are such words.  It counts nowhere if the name says what a page has
+(``with-sidebar``), nor around an ``<article>`` or ``<main>``.
 
-Each page is handled on its own in the task that reads it; time and memory are linear in the page.
-Defined results: a null or empty page and a page without text give an empty text; broken markup is read
+Each page is handled on its own in the task that reads it; time and memory are linear in the page, however
+deep its elements are nested: paths and elements are numbers with parents.
+Defined results: a null or empty page, a page without text and a page of which every visible text is announced as
+something else than the article give an empty text; broken markup is read
 as far as it goes (unclosed elements end with their parent, an unclosed comment or script at the end of
-the page); repeated rows give repeated results; further columns are kept by ``extract``.
+the page); repeated rows give repeated results; equal ratios are chosen alike; further columns are kept by ``extract``.
 """
 
 from __future__ import annotations
@@ -48,8 +53,11 @@ OUTSIDE_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising
     follow newsletter subscribe subscription signup login cookie cookies consent gdpr notice notices alert popup modal
     overlay disclaimer comment comments commentlist replies reply respond disqus discussion form search searchbox
     toolbar pagination pager tags skip toc contentinfo complementary dialog""".split())
-#: First words of names that tell what a page has, not what an element is.
+#: Words of names that tell what a page has, not what an element is.
 ABOUT_PAGE = frozenset("has with without no layout page".split())
+#: Elements that count as a menu, an advert and so on if one word of their name says so.
+CONTAINERS = frozenset("""address aside center details dialog div dl fieldset figure footer form header iframe ins menu nav ol
+    section table tbody ul""".split())
 #: An element that closes an open one of the same row when it starts (HTML's optional end tags).
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}}
@@ -65,43 +73,84 @@ TOKEN = re.compile(
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*+)>", re.S | re.I)
 ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
-#: Share of the mean ratio from which a path is content; of the content text that the article holds; of that in
-#: a <main> that is the page for this reason.
-LEAST_RATIO, ARTICLE_SHARE, MARKED_SHARE = 0.3, 0.9, 0.5
-
-
-class Node:
-    """A text node: its text, tag path, open holders, open <main> elements, whether an <article> or <main> is
-    open, block, and whether it lies outside the article."""
-
-    __slots__ = ("text", "path", "elements", "mains", "marked", "block", "outside", "hidden", "linked")
-
-    def __init__(self, text, path, elements, mains, marked, block, outside, hidden, linked):
-        self.text, self.path, self.elements, self.mains, self.marked = text, path, elements, mains, marked
-        self.block, self.outside, self.hidden, self.linked = block, outside, hidden, linked
-
-
-def marked_outside(attributes: str) -> bool:
+#: Share of the mean from which a node is content; of the content text that the article holds; of that in a
+#: <main> that is the page for this reason; what is believed of a ratio where something speaks against it.
+LEAST_RATIO, ARTICLE_SHARE, MARKED_SHARE, BELIEF = 0.3, 0.9, 0.6, 0.005
+
+
+class Page:
+    """The text nodes of a page in order, as columns, and its elements with their parents.
+
+    A node has its text, path, innermost element, block (nodes between two block limits share one), and whether it is
+    linked, in an ``<article>`` or ``<main>``, outside the article, and hidden.  An element has its parent (an earlier one, -1
+    for none), tag, and whether itself or one around it is outside or hidden.
+    """
+
+    def __init__(self):
+        self.text: list[str] = []
+        self.path: list[int] = []
+        self.element: list[int] = []
+        self.block: list[int] = []
+        self.linked: list[bool] = []
+        self.marked: list[bool] = []
+        self.parent: list[int] = []
+        self.tag: list[str] = []
+        self.barred: list[bool] = []  # by its own tag
+        self.named: list[bool] = []   # by a word of its class, id or role
+        self.hidden: list[bool] = []
+
+    def outside(self) -> list[bool]:
+        """Whether each element, or one around it, is announced as something else than the article."""
+        holds = [t in ("article", "main") for t in self.tag]
+        for e in range(len(holds) - 1, -1, -1):  # children have higher numbers
+            if holds[e] and self.parent[e] >= 0:
+                holds[self.parent[e]] = True
+        out: list[bool] = []
+        for e, up in enumerate(self.parent):
+            own = self.barred[e] or self.hidden[e] or (self.named[e] and not holds[e])
+            out.append(own or (up >= 0 and out[up]))
+        return out
+
+
+def marked_outside(tag: str, attributes: str) -> bool:
+    """Whether a class, id or role says that an element isn't the article."""
     for found in ATTRIBUTE.finditer(attributes):
         for name in next(v for v in found.groups() if v is not None).split():
             words = [w.lower() for w in WORDS.findall(name)]
-            if words and words[0] not in ABOUT_PAGE and not OUTSIDE_WORDS.isdisjoint(words):
+            if not words or not ABOUT_PAGE.isdisjoint(words):
+                continue
+            if not OUTSIDE_WORDS.isdisjoint(words) if tag in CONTAINERS else OUTSIDE_WORDS.issuperset(words):
                 return True
     return False
 
 
-def text_nodes(html: str) -> list[Node]:
-    """The text nodes of a page in order.  Nodes between two block limits share a block number."""
-    stack: list[tuple[str, int, bool, bool]] = []  # tag, element number, outside, hidden
-    nodes: list[Node] = []
-    block = elements = at = 0
+def read_page(html: str) -> Page:
+    page = Page()
+    paths: dict[tuple[int, str], int] = {}
+    stack: list[tuple[str, int, int]] = []  # tag, path, element
+    open_at: dict[str, list[int]] = {}      # tag: depths at which it is open
+    blocks_at: list[int] = []               # depths of open block elements
+    block = at = 0
+
+    def last(tags) -> int:
+        return max((open_at[t][-1] for t in tags if open_at.get(t)), default=-1)
+
+    def close(depth: int) -> None:
+        while len(stack) > depth:
+            tag = stack.pop()[0]
+            open_at[tag].pop()
+            if blocks_at and blocks_at[-1] == len(stack):
+                blocks_at.pop()
 
     def add(text: str) -> None:
         if text:
-            tags = [x[0] for x in stack]
-            nodes.append(Node(unescape(text), "/".join(tags), [x[1] for x in stack if x[0] in HOLDERS],
-                              [x[1] for x in stack if x[0] == "main"], "article" in tags or "main" in tags, block,
-                              bool(stack) and stack[-1][2], bool(stack) and stack[-1][3], "a" in tags))
+            _, path, element = stack[-1] if stack else ("", -1, -1)
+            page.text.append(unescape(text))
+            page.path.append(path)
+            page.element.append(element)
+            page.block.append(block)
+            page.linked.append(bool(open_at.get("a")))
+            page.marked.append(bool(open_at.get("article") or open_at.get("main")))
 
     for token in TOKEN.finditer(html):
         add(html[at:token.start()])
@@ -114,111 +163,113 @@ def text_nodes(html: str) -> list[Node]:
             continue
         if tag in BLOCK:
             block += 1
+        inner = blocks_at[-1] if blocks_at else -1  # the innermost open block
         if token["end"] or token["end2"]:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == tag:
-                    del stack[depth:]
-                    break
-                if tag not in BLOCK and stack[depth][0] in BLOCK:
-                    break  # an inline end tag doesn't close blocks
+            depth = last((tag,))
+            if depth >= 0 and (tag in BLOCK or depth > inner):  # an inline end tag doesn't close blocks
+                close(depth)
             continue
         if tag in VOID:
             continue
-        closes, scope = CLOSES.get(tag, ()), SCOPES.get(tag, ())
-        if tag in BLOCK:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == "p":
-                    del stack[depth:]
-                    break
-                if stack[depth][0] in BLOCK:
-                    break
-        if closes:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] in scope:
-                    break
-                if stack[depth][0] in closes:
-                    del stack[depth:]
-                    break
+        if tag in BLOCK and inner >= 0 and stack[inner][0] == "p":
+            close(inner)
+        if tag in CLOSES:
+            depth = last(CLOSES[tag])
+            if depth > last(SCOPES[tag]):
+                # the outermost of the row's elements that are open in this scope
+                close(min(d for t in CLOSES[tag] for d in open_at.get(t, ())[-1:] if d > last(SCOPES[tag])))
         attributes = token["attrs"] or token["attrs2"] or ""
-        above = stack[-1] if stack else ("", 0, False, False)
-        elements += 1
-        hidden = above[3] or tag in HIDDEN
-        outside = above[2] or hidden or tag in OUTSIDE or (
-            tag not in ("html", "body", "article", "main") and marked_outside(attributes))
-        if not attributes.rstrip().endswith("/") or tag not in ("svg", "iframe"):
-            stack.append((tag, elements, outside, hidden))
+        if attributes.rstrip().endswith("/") and tag in ("svg", "iframe"):
+            continue
+        _, up, parent = stack[-1] if stack else ("", -1, -1)
+        path = paths.setdefault((up, tag), len(paths))
+        page.parent.append(parent)
+        page.tag.append(tag)
+        page.hidden.append(tag in HIDDEN or (parent >= 0 and page.hidden[parent]))
+        page.barred.append(tag in OUTSIDE)
+        page.named.append(tag not in ("html", "body", "article", "main") and marked_outside(tag, attributes))
+        open_at.setdefault(tag, []).append(len(stack))
+        if tag in BLOCK:
+            blocks_at.append(len(stack))
+        stack.append((tag, path, len(page.tag) - 1))
     add(html[at:])
-    return nodes
+    return page
 
 
-def path_ratios(nodes: list[Node]) -> np.ndarray:
-    """The fused ratio of each node's path, from the nodes given."""
-    paths = {p: i for i, p in enumerate(dict.fromkeys(n.path for n in nodes))}
-    which = np.array([paths[n.path] for n in nodes])
-    length = np.array([len(n.text.strip()) for n in nodes], float)
-    marks = np.array([len(MARKS.findall(n.text)) for n in nodes], float)
-    count = np.bincount(which, minlength=len(paths))
+def path_ratios(path: np.ndarray, length: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """The fused ratio of each node's path."""
+    which = np.unique(path, return_inverse=True)[1].reshape(-1)
+    count = np.bincount(which)
     fused = []
     for values in (length, marks):
-        ratio = (np.bincount(which, values, len(paths)) / count)[which]
+        ratio = (np.bincount(which, values) / count)[which]
         padded = np.concatenate([ratio[:1], ratio, ratio[-1:]])
         smooth = 0.25 * padded[:-2] + 0.5 * padded[1:-1] + 0.25 * padded[2:]
-        fused.append((np.bincount(which, smooth, len(paths)) / count)[which])
+        fused.append((np.bincount(which, smooth) / count)[which])
     return fused[0] * (1 + fused[1])
 
 
-def content(nodes: list[Node]) -> list[Node]:
-    """The nodes of the article among the nodes given (those with text)."""
-    if not nodes:
-        return []
-    ratio = path_ratios(nodes)
-    length = np.array([len(n.text) for n in nodes], float)
-    chosen = ratio >= LEAST_RATIO * np.average(ratio, weights=length)
-    chosen &= ~np.array([n.linked for n in nodes]) | (ratio >= ratio.max())
+def content(page: Page, nodes: np.ndarray, outside: np.ndarray) -> np.ndarray:
+    """Which of the nodes with the given numbers belong to the article; ``outside`` is by node of the page."""
+    if not len(nodes) or outside[nodes].all():
+        return nodes[:0]
+    texts = [page.text[i] for i in nodes]
+    linked, element = np.array(page.linked)[nodes], np.array(page.element)[nodes]
+    strange = outside[nodes]
+    ratio = path_ratios(np.array(page.path)[nodes], np.array([len(t.strip()) for t in texts], float),
+                        np.array([len(MARKS.findall(t)) for t in texts], float))
+    length = np.array([len(t) for t in texts], float)
+    score = np.where(strange, BELIEF, 1.0) * ratio
+    chosen = score >= LEAST_RATIO * np.average(score[~strange], weights=length[~strange])
+    chosen &= ~linked | (ratio >= ratio[~strange].max())
+    if not chosen.any():
+        return nodes[:0]
     total = float(length[chosen].sum())
-
-    def holder(attribute: str, share: float) -> int | None:
-        """The deepest of the nodes' elements that holds this share of the content nodes' text."""
-        held: dict[int, float] = {}
-        for node, size, good in zip(nodes, length, chosen):
-            for element in getattr(node, attribute) if good else ():
-                held[element] = held.get(element, 0) + size
-        return max((e for e, size in held.items() if size >= share * total), default=None)
-
-    main = holder("mains", MARKED_SHARE)
-    if main is not None and not all(main in n.mains for n in nodes):
-        return content([n for n in nodes if main in n.mains])  # a page has one <main>; what is beside it isn't
-    article = holder("elements", ARTICLE_SHARE)
-    linked: dict[int, list[float]] = {}
-    for node, size in zip(nodes, length):
-        sizes = linked.setdefault(node.block, [0.0, 0.0])
-        sizes[node.linked] += size
-    blocks = list(linked)
-    links = [linked[b][0] < linked[b][1] for b in blocks]
-    listed = {b for i, b in enumerate(blocks) if links[i] and (links[i - 1:i] == [True] or links[i + 1:i + 2] == [True])}
-    alone = {n.block for n in nodes if n.marked} - listed  # a single linked line of a marked article is no list
-    return [n for n, good in zip(nodes, chosen) if good or ((article is None or article in n.elements) and (
-        linked[n.block][0] >= linked[n.block][1] or n.block in alone))]
+    up = page.parent
+
+    def holder(tags: frozenset, share: float) -> int:
+        """The deepest such element that holds this share of the content nodes' text; -1 if none does."""
+        held = np.zeros(len(up) + 1)
+        np.add.at(held, element[chosen], length[chosen])  # -1, no element, is the last place
+        for e in range(len(up) - 1, -1, -1):
+            if up[e] >= 0:
+                held[up[e]] += held[e]
+        return max((e for e in range(len(up)) if page.tag[e] in tags and held[e] >= share * total and held[e] > 0), default=-1)
+
+    def within(one: int) -> np.ndarray:
+        """Whether each node is in element ``one``."""
+        inside = np.zeros(len(up) + 1, bool)
+        for e in range(one, len(up)):
+            inside[e] = e == one or (up[e] >= 0 and inside[up[e]])
+        return inside[element]
+
+    main = holder(frozenset(["main"]), MARKED_SHARE)
+    if main >= 0 and not within(main).all():
+        return content(page, nodes[within(main)], outside)  # a page has one <main>; what is beside it isn't
+    article = holder(HOLDERS, ARTICLE_SHARE)
+    block = np.unique(np.array(page.block)[nodes], return_inverse=True)[1].reshape(-1)
+    links = np.bincount(block, length * linked) > np.bincount(block, length * ~linked)
+    beside = np.concatenate([[False], links[:-1]]) | np.concatenate([links[1:], [False]])
+    listed = (links & beside)[block]
+    alone = np.array(page.marked)[nodes] & ~listed  # a single linked line of a marked article is no list
+    weak = (within(article) if article >= 0 else np.ones(len(nodes), bool)) & ~strange & (~links[block] | alone)
+    return nodes[chosen | weak]
 
 
 def main_text(html: str | None) -> str:
     """Blocks of the article, white space inside a block as one space, joined by blank lines."""
     if not html:
         return ""
-    every = text_nodes(html)
-    kept: list[Node] = []
-    for barred in ("outside", "hidden"):
-        shown = [n for n in every if not getattr(n, barred)]
-        kept = content([n for n in shown if n.text.strip()])
-        if kept:
-            break
-    if not kept:
-        return ""
-    wanted = {id(n) for n in kept}
+    page = read_page(html)
+    at = np.array(page.element, np.int64)
+    outside = np.append(np.array(page.outside(), bool), False)[at] if len(at) else np.zeros(0, bool)
+    hidden = np.append(np.array(page.hidden, bool), False)[at] if len(at) else np.zeros(0, bool)
+    words = np.array([bool(t.strip()) for t in page.text], bool)
+    wanted = set(content(page, np.flatnonzero(words & ~hidden), outside).tolist())
     blocks: dict[int, list[str]] = {}
-    for node in shown:
-        if id(node) in wanted or not node.text.strip():
-            blocks.setdefault(node.block, []).append(node.text)
+    for i, text in enumerate(page.text):
+        if i in wanted or not (words[i] or hidden[i]):
+            blocks.setdefault(page.block[i], []).append(text)
     texts = (" ".join("".join(parts).split()) for parts in blocks.values())
     return "\n\n".join(t for t in texts if t)
 
