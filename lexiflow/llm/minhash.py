@@ -25,6 +25,7 @@ documents; a bit map of fixed size (``BITMAP_BITS``) picks the documents for it,
 Defined results: null and empty texts have an empty set, which is linked with nothing (their component is
 their own id); ids may repeat or be null (rows are told apart by their sets; a null id never is a
 component's id unless all are null); an empty table gives an empty table; texts of any length enter whole.
+Further columns aren't read by ``link``, and kept by ``keep_one``, whatever their names.
 Shingles are compared by 64-bit hashes.
 """
 
@@ -128,13 +129,17 @@ def _sketch_table(docs: DataFrame, keys: list[str], text_col: str, width: int) -
     return map_texts(docs, keys, text_col, head + "n long, d1 long, d2 long, bands array<long>", make)
 
 
-def _ties(nodes: DataFrame) -> DataFrame:
-    """(a, b): every node of a bucket and its least node."""
-    rows = nodes.select("node", F.explode("bands").alias("key"))
+def _shared_buckets(nodes: DataFrame) -> DataFrame:
+    """(node, band, key, least) for the buckets of at least two nodes; ``least`` is the bucket's least node."""
+    rows = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     shared = materialise(rows.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter(
         "least < most").select("key", "least"), "buckets")  # written, so that the join can split a large bucket
-    return rows.join(shared, "key").filter("node > least").select(
-        F.col("node").alias("a"), F.col("least").alias("b")).distinct()
+    return rows.join(shared, "key").select("node", "band", "key", "least")
+
+
+def _ties(buckets: DataFrame) -> DataFrame:
+    """(a, b): every node of a bucket and its least node."""
+    return buckets.filter("node > least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
 
 
 def _slots(d1: Column) -> Column:
@@ -182,7 +187,8 @@ def _similar(common: Column, n1: Column, n2: Column) -> Column:
 
 def compare_blocks(table: pa.Table) -> pa.Table:
     """Links between the two blocks of a task (or inside its one block), without those that follow from
-    others.  Columns: node, set, first (bool)."""
+    others, of pairs that share no band before the task's.  Columns: node, set, bands, band, first (bool)."""
+    bands, band = np.array(table["bands"].to_pylist(), np.int64).reshape(len(table), -1), table["band"][0].as_py()
     sets = [np.sort(np.array(s, np.int64)) for s in table["set"].to_pylist()]
     node, first = table["node"].to_numpy(), table["first"].to_numpy(zero_copy_only=False).astype(bool)
     alone = first.all()
@@ -196,6 +202,7 @@ def compare_blocks(table: pa.Table) -> pa.Table:
         others = order[place + 1:] if alone else np.flatnonzero(~first)
         low, high = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
         others = others[(100 * low >= PERCENT * high) & (label[others] != label[i])]
+        others = others[(bands[others] == bands[i]).argmax(1) == band]
         if not len(others):
             continue
         flat = np.concatenate([sets[k] for k in others])
@@ -210,29 +217,31 @@ def compare_blocks(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _links(sets: DataFrame) -> DataFrame:
+def _links(sets: DataFrame, nodes: DataFrame, buckets: DataFrame) -> DataFrame:
     """(a, b): verified links that connect what is connected in each group of ``sets`` (node, grp, n, set);
     a group is named by its least node."""
     lead = sets.filter("node = grp").select("grp", F.col("set").alias("lead"), F.col("n").alias("lead_n"))
     near = materialise(sets.join(lead, "grp").select("node", "grp", (F.col("node") == F.col("grp")).alias("is_lead"), _similar(
         F.size(F.array_intersect("set", "lead")), F.col("n"), F.col("lead_n")).alias("near")), "near-leader")
-    size = lambda c: F.ceil(F.sum(c.cast("long")) / BLOCK).cast("int")
-    groups = near.groupBy("grp").agg(size(~F.col("near")).alias("far"), size(F.col("near")).alias("close"),
-                                     F.count(F.lit(1)).alias("m")).filter("far > 0 AND m > 2").drop("m")
-    groups = materialise(groups, "far-groups")
-    rest = near.join(groups, "grp").withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.when(F.col("near"), F.col("close")).otherwise(F.col("far"))).cast("int"))
+    placed = buckets.select("node", "band", "key").join(near.select("node", "near"), "node")
+    blocks = lambda c: F.ceil(F.sum(c.cast("long")) / BLOCK).cast("int")
+    strange = materialise(placed.groupBy("key").agg(blocks(~F.col("near")).alias("far"), blocks(F.col("near")).alias("close"))
+                          .filter("far > 0"), "far-buckets")
+    rest = placed.join(strange, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.when(
+        F.col("near"), F.col("close")).otherwise(F.col("far"))).cast("int"))
     # tasks (x, y): x is a block of far nodes, y one of far nodes (y >= x) or, as -1 - y, of near nodes
     all_far = F.sequence(F.lit(0), F.col("far") - 1)
+    all_close = F.when(F.col("close") > 0, F.sequence(F.lit(0), F.col("close") - 1)).otherwise(F.array().cast("array<int>"))
     task = lambda x, y, first: F.struct(x.alias("x"), y.alias("y"), F.lit(first).alias("first"))
     far_tasks = F.concat(
         F.transform(F.filter(all_far, lambda y: y >= F.col("block")), lambda y: task(F.col("block"), y, True)),
         F.transform(F.filter(all_far, lambda x: x < F.col("block")), lambda x: task(x, F.col("block"), False)),
-        F.transform(F.sequence(F.lit(0), F.col("close") - 1), lambda y: task(F.col("block"), -1 - y, True)))
+        F.transform(all_close, lambda y: task(F.col("block"), -1 - y, True)))
     near_tasks = F.transform(all_far, lambda x: task(x, -1 - F.col("block"), False))
-    dealt = rest.select("node", "grp", F.explode(F.when(F.col("near"), near_tasks).otherwise(far_tasks)).alias("t"))
-    found = dealt.select("node", "grp", "t.*").join(sets.select("node", "set"), "node").groupBy(
-        "grp", "x", "y").applyInArrow(compare_blocks, "a long, b long")
+    dealt = rest.select("node", "band", "key", F.explode(F.when(F.col("near"), near_tasks).otherwise(far_tasks)).alias("t"))
+    held = sets.select("node", "set").join(nodes.select("node", "bands"), "node")
+    found = dealt.select("node", "band", "key", "t.*").join(held, "node").groupBy("key", "x", "y").applyInArrow(
+        compare_blocks, "a long, b long")
     return near.filter("near AND NOT is_lead").select(F.col("node").alias("a"), F.col("grp").alias("b")).unionByName(
         found)
 
@@ -248,11 +257,12 @@ def link(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str
     nodes = materialise(
         rows.filter("n > 0").groupBy("d1", "d2").agg(F.min(id_col).alias("id"), F.any_value("bands").alias("bands"))
         .withColumn("node", F.monotonically_increasing_id()), "sketch-nodes")
-    groups = components(_ties(nodes))
+    buckets = materialise(_shared_buckets(nodes), "shared-buckets")
+    groups = components(_ties(buckets))
     wanted = materialise(nodes.select("node", "id", "d1", "d2").join(
         groups.withColumnRenamed("component", "grp"), "node"), "grouped")
     sets = materialise(_full_sets(docs, wanted, id_col, text_col, width), "grouped-sets")
-    found = components(_links(sets)).withColumnRenamed("component", "c")
+    found = components(_links(sets, nodes, buckets)).withColumnRenamed("component", "c")
     named = nodes.select("node", "d1", "d2", "id").join(found, "node", "left").withColumn(
         "c", F.coalesce("c", "node"))
     named = materialise(named, "named")

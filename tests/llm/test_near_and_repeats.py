@@ -167,3 +167,37 @@ def test_windows_agree_on_equal_content():
     p1, m1 = windows.of(hashes.of([w.encode() for w in a + b]))
     p2, m2 = windows.of(hashes.of([w.encode() for w in b]))
     assert (p1[30:] == p2).all() and (m1[30:] == m2).all() and len(set(m1.tolist())) == len(m1)
+
+
+def test_only_bucket_mates_are_compared(spark):
+    """A chain in which each text is similar at 0.74 to the next: one group of ties, and work that
+    grows with the buckets, not with the square of the group."""
+    r = random.Random(21)
+    n = 1500
+    stream = [f"v{r.randrange(10**9)}" for _ in range(15 * n + 100)]
+    rows = [(i, " ".join(stream[15 * i:15 * i + 100])) for i in range(n)]  # neighbours share 84 of 114 shingles
+    rows += [(n + i, t + " tail") for i, t in rows[:40]]                    # and some near copies of links of it
+    docs = odd_docs(spark, rows)
+    nodes = M.materialise(M._sketch_table(docs.select("doc_id", "text"), ["doc_id"], "text", 2).withColumn(
+        "node", M.F.monotonically_increasing_id()), "t-nodes")
+    buckets = M.materialise(M._shared_buckets(nodes), "t-buckets")
+    pairs = buckets.groupBy("key").count().selectExpr("sum(count * (count - 1) / 2) AS p").first().p
+    group = M.components(M._ties(buckets)).groupBy("component").count().agg(M.F.max("count")).first()[0]
+    assert group > n / 3 and pairs < 20 * n
+    got = {x.doc_id: x.component_id for x in M.link(docs, 2).collect()}
+    assert got == {i: c for i, _, c in brute_links(rows, 2)}
+
+
+def test_large_buckets_of_distant_texts_equal_brute_force(spark, monkeypatch):
+    """Texts of one template, similar at about 0.7 to the leader and in families of near copies."""
+    r = random.Random(5)
+    base = [f"b{i}" for i in range(160)]
+    rows = []
+    for family in range(25):
+        own = [w if r.random() < 0.9 else f"x{r.randrange(10**6)}" for w in base]
+        for _ in range(r.randrange(1, 5)):
+            rows.append((len(rows), " ".join(w if r.random() < 0.985 else f"y{r.randrange(10**6)}" for w in own)))
+    for block in (256, 3):
+        monkeypatch.setattr(M, "BLOCK", block)
+        got = {x.doc_id: x.component_id for x in M.link(odd_docs(spark, rows), 2).collect()}
+        assert got == {i: c for i, _, c in brute_links(rows, 2)}
