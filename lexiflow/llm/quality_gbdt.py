@@ -11,8 +11,9 @@ no text is shuffled.
 
 Defined results: null and empty texts are scored by their zero statistics; a label row with a null
 label or id is ignored, of several for one id the smallest label counts; without labelled rows every
-score is 0.5; ids may repeat (each row is scored); an empty table gives an empty table; further columns
-of the documents are ignored by ``score`` and kept by ``keep_good``.
+score is 0.5; ids may repeat (each row is scored); texts of any length are measured whole, one at a time; of splits
+that gain alike, the first in order of statistic and bin is taken; an empty table gives an empty table; further columns
+of the documents are ignored by ``score`` and kept by ``keep_good``, whatever their names.
 """
 
 from __future__ import annotations
@@ -109,10 +110,11 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, bins: int
 
 
 def sample(labels: DataFrame, label_col: str, max_rows: int, id_col: str = "doc_id") -> DataFrame:
-    """(id, label) of at most ``max_rows`` labelled ids: those with the smallest hashes."""
-    one = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(id_col).agg(
-        F.min(label_col).cast("double").alias("label"))
-    return one.orderBy(F.xxhash64(id_col), id_col).limit(max_rows)
+    """(_id, _label) of at most ``max_rows`` labelled ids: those with the smallest hashes."""
+    known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("double").alias("_label"))
+    one = known.filter(F.col("_id").isNotNull() & F.col("_label").isNotNull()).groupBy("_id").agg(
+        F.min("_label").alias("_label"))
+    return one.orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
@@ -120,7 +122,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     """Fit on the sampled labelled documents.  At most ``max_rows`` ids are broadcast, and as many rows of
     20 numbers come back (of ids that repeat, one row)."""
     chosen = F.broadcast(sample(labels, label_col, max_rows, id_col))
-    rows = docs.join(chosen, id_col).select(id_col, "label", clean_text(text_col).alias("t"))
+    plain = docs.select(F.col(id_col).alias("_id"), clean_text(text_col).alias("t"))
+    rows = plain.join(chosen, "_id").select("_id", "_label", "t")
 
     def make():
         def work(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -130,7 +133,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
         return work
 
     kind = docs.schema[id_col].dataType.simpleString()
-    got = map_texts(rows, [id_col, "label"], "t", f"id {kind}, label double, x array<double>", make).groupBy(
+    got = map_texts(rows, ["_id", "_label"], "t", f"id {kind}, label double, x array<double>", make).groupBy(
         "id").agg(F.min(F.struct("label", "x")).alias("r")).select("id", "r.*").toArrow().sort_by("id")
     if not got.num_rows:
         return fit(np.zeros((0, 1)), np.zeros(0), **options)

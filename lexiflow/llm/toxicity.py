@@ -8,26 +8,30 @@ toxic documents too, in the share of the class prior.  With prior q, loss l and
 The bracket estimates the loss on true negatives; when a batch drives it below zero, the step goes the
 other way on that part, which keeps a flexible model from fitting the unlabelled toxic documents as
 negatives.  The model is trained in numpy by gradient steps with
-momentum over full batches.
+momentum over full batches, until the risk has settled.
 
 Features are hashed words and word beginnings of 4 to 8 bytes, at three levels: at least one, two or three
-different words of a text have it.  Spark counts over the training rows in how
-many confirmed and unlabelled documents each occurs; those that are surely more frequent in the confirmed
-ones (log ratio less three standard errors above zero) and occur in ``least`` of them are kept, the
+different words of a text have it.  Candidates occur in ``least`` of the confirmed training texts and there more often
+than in the unlabelled training rows.  Spark then counts in how many of *all* documents that may teach each candidate
+occurs; those that are surely more frequent in the confirmed
+ones (log ratio less three standard errors above zero) are kept, the
 ``max_features`` surest at most.  Equal confirmed texts count once here, so that the words of a few copies
 aren't taken for markers, and a language with few confirmed documents keeps its own.
 
 Bounds, all parameters: the training rows are the ``max_positive`` confirmed and ``max_unlabelled``
-other documents with the smallest id hashes, ``max_features`` features.  Every document is scored, where
+other documents with the smallest id hashes; ``max_candidates`` candidates (the surest by the training rows), ``max_features``
+features.  Every document is counted and scored, where
 it lies; no text is shuffled but the confirmed ones of the training rows.
 
 Defined results: null and empty texts get the score of no features; label rows with a null id or label
-are ignored, of several for one id the largest counts; without confirmed documents every score is the
-prior; an empty table gives an empty table; further columns are ignored.
+are ignored, of several for one id the largest counts; rows of documents that repeat an id teach and are scored each; without
+confirmed documents every score is the prior; texts of any length are read whole, one at a time; features as sure as each
+other are taken by bucket number; an empty table gives an empty table; further columns aren't read, whatever their names.
 """
 
 from __future__ import annotations
 
+import logging
 from collections import Counter
 from dataclasses import dataclass, field
 from itertools import chain
@@ -40,6 +44,7 @@ from pyspark.sql import functions as F
 
 from .common import clean_text, fold, map_texts, materialise
 
+LOG = logging.getLogger(__name__)
 THRESHOLD = 0.3
 #: Feature hashes fall into 2 ** HASH_BITS buckets.
 HASH_BITS = 26
@@ -100,64 +105,90 @@ def _rows(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(lists)), sizes), np.array([i for x in lists for i in x], np.int64)
 
 
+def risk_and_slope(sets: list[tuple], w: np.ndarray, b: float, prior: float) -> tuple[float, np.ndarray, np.ndarray]:
+    """The non-negative risk of a linear model on (row, column, rows) sets of confirmed and unlabelled rows, its slope, and
+    the slope of its bracket (intercept last).  Where the bracket is below zero, the risk's slope is that of the first part alone."""
+    def slope(rows, pull):
+        at, col, n = rows
+        return np.append(np.bincount(col, pull[at], len(w)), pull.sum()) / max(n, 1)
+
+    scores = [np.bincount(at, w[col], n) + b for at, col, n in sets]
+    up = [1 / (1 + np.exp(-np.clip(s, -50, 50))) for s in scores]  # slope of a negative's loss
+    as_negative = [np.logaddexp(0, s).mean() for s in scores]
+    bracket = as_negative[1] - prior * as_negative[0]
+    g_bracket = slope(sets[1], up[1]) - prior * slope(sets[0], up[0])
+    g_first = prior * slope(sets[0], up[0] - 1)
+    risk = prior * np.logaddexp(0, -scores[0]).mean() + max(0.0, bracket)
+    return float(risk), (g_first + g_bracket if bracket >= 0 else g_first), (g_bracket if bracket < 0 else 0 * g_bracket)
+
+
 def fit_nnpu(positive: list[list[int]], unlabelled: list[list[int]], columns: int, prior: float,
-             steps: int = 400, rate: float = 1.0, decay: float = 2e-4) -> tuple[np.ndarray, float]:
-    """Weights and intercept that minimise the non-negative risk; rows are lists of active columns."""
+             steps: int = 5_000, rate: float = 1.0, decay: float = 2e-4, settled: float = 2e-4,
+             window: int = 100) -> tuple[np.ndarray, float]:
+    """Weights and intercept that minimise the non-negative risk; rows are lists of active columns.
+
+    Stops when the mean risk (with the decay) of ``window`` steps differs from that of the ``window`` steps before by no more than
+    ``settled`` of its start (single steps go up and down where the bracket is about zero); ``steps`` is an emergency stop, which
+    is logged."""
     sets = [(*_rows(rows), len(rows)) for rows in (positive, unlabelled)]
     w, b = np.zeros(columns), float(np.log(prior / (1 - prior)))
     pace = np.zeros(columns + 1)
-
-    def grad(rows, slope):
-        at, col, n = rows
-        return np.append(np.bincount(col, slope[at], columns), slope.sum()) / max(n, 1)
-
+    path: list[float] = []
     for _ in range(steps):
-        scores = [np.bincount(at, w[col], n) + b for at, col, n in sets]
-        up = [1 / (1 + np.exp(-np.clip(s, -50, 50))) for s in scores]  # slope of a negative's loss
-        as_negative = [np.logaddexp(0, s).mean() for s in scores]
-        negative_risk = as_negative[1] - prior * as_negative[0]
-        g_negative = grad(sets[1], up[1]) - prior * grad(sets[0], up[0])
-        g = prior * grad(sets[0], up[0] - 1) + g_negative if negative_risk >= 0 else -g_negative
+        risk, g, below = risk_and_slope(sets, w, b, prior)
+        path.append(risk + decay / 2 * float(w @ w))
+        if len(path) % window == 0 and len(path) >= 2 * window and abs(
+                sum(path[-window:]) - sum(path[-2 * window:-window])) <= window * settled * path[0]:
+            break
+        if below.any():
+            g = -below  # the bracket is below zero: back on that part
         g[:-1] += decay * w
         pace = 0.9 * pace - rate * g
         w, b = w + pace[:-1], b + float(pace[-1])
+    else:
+        LOG.warning("toxicity: the risk still moves after %d steps: %s", steps, path[-1])
     return w, b
 
 
-def _buckets(rows: DataFrame) -> DataFrame:
-    """(bucket, pos, unl): in how many confirmed and unlabelled documents a feature occurs.  Each task sums
-    its own slices first."""
+def _occurrences(rows: DataFrame, flags: list[str], wanted: np.ndarray | None = None) -> DataFrame:
+    """(bucket, a count for each flag column): in how many rows (flags..., t) with a flag set a feature occurs.  Each task sums
+    its own slices first; with ``wanted`` only those features."""
     def make():
-        features = WordFeatures()
+        places = None if wanted is None else {int(b): i for i, b in enumerate(wanted)}
+        features = WordFeatures(places)
 
         def work(part: pa.RecordBatch) -> pa.RecordBatch:
-            flags = part.column(0).to_pylist()
-            found = [np.fromiter(f, np.int64, len(f)) for f in map(features.of, part.column(1).to_pylist())]
+            found = [np.fromiter(f, np.int64, len(f)) for f in map(features.of, part.column(len(flags)).to_pylist())]
             flat = np.concatenate([*found, np.zeros(0, np.int64)])
             unique, where = np.unique(flat, return_inverse=True)
-            pos = np.bincount(where.reshape(-1), np.repeat(np.array(flags, float), [len(f) for f in found]),
-                              len(unique)).astype(np.int64)
-            both = np.bincount(where.reshape(-1), minlength=len(unique))
-            return pa.RecordBatch.from_arrays([pa.array(unique), pa.array(pos), pa.array(both - pos)],
-                                              ["bucket", "pos", "unl"])
+            counts = [pa.array(np.bincount(where.reshape(-1), np.repeat(np.array(part.column(k).to_pylist(), float), [
+                len(f) for f in found]), len(unique)).astype(np.int64)) for k in range(len(flags))]
+            keys = unique if wanted is None else wanted[unique]
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *counts], ["bucket", *flags])
         return work
 
-    return map_texts(rows, ["p"], "t", "bucket long, pos long, unl long", make).groupBy("bucket").agg(
-        F.sum("pos").alias("pos"), F.sum("unl").alias("unl"))
+    schema = ", ".join(["bucket long", *[f"{f} long" for f in flags]])
+    return map_texts(rows, flags, "t", schema, make).groupBy("bucket").agg(*[F.sum(f).alias(f) for f in flags])
+
+
+def _surely(pos: str, n_pos: float, other: str, n_other: float):
+    """Log ratio of two document frequencies, and the same less three standard errors."""
+    a, u = (F.col(pos) + 0.5) / F.lit(n_pos + 1.0), (F.col(other) + 0.5) / F.lit(n_other + 1.0)
+    return F.log(a / u), F.log(a / u) - 3 * F.sqrt(1 / (F.col(pos) + 0.5) + 1 / (F.col(other) + 0.5))
 
 
 def train(docs: DataFrame, confirmed: DataFrame, prior: float, id_col: str = "doc_id", text_col: str = "text",
           max_positive: int = 5_000, max_unlabelled: int = 15_000, max_features: int = 3_000,
-          least: int = 3) -> Linear:
-    """Fit on ``confirmed`` (ids) as positives and a sample of ``docs`` as unlabelled."""
-    first = lambda df, n: df.filter(F.col(id_col).isNotNull()).select(id_col).distinct().orderBy(
-        F.xxhash64(id_col), id_col).limit(n)
-    positive = first(confirmed, max_positive).withColumn("p", F.lit(1))
-    other = first(docs, max_unlabelled).withColumn("p", F.lit(0))
+          least: int = 3, max_candidates: int = 50_000) -> Linear:
+    """Fit on ``confirmed`` (ids) as positives and ``docs`` as unlabelled."""
+    plain = docs.select(F.col(id_col).alias("_id"), clean_text(text_col).alias("t"))
+    first = lambda df, n: df.filter(F.col("_id").isNotNull()).select("_id").distinct().orderBy(
+        F.xxhash64("_id"), "_id").limit(n)
+    positive = first(confirmed.select(F.col(id_col).alias("_id")), max_positive).withColumn("p", F.lit(1))
+    other = first(plain, max_unlabelled).withColumn("p", F.lit(0))
     chosen = F.broadcast(positive.unionByName(other))  # max_positive + max_unlabelled ids at most
     # a confirmed document that is also among the unlabelled ones counts as both, as the risk asks
-    rows = materialise(docs.join(chosen, id_col).select(id_col, F.col("p").cast("long").alias("p"),
-                                                        clean_text(text_col).alias("t")), "toxicity-rows")
+    rows = materialise(plain.join(chosen, "_id").select("_id", F.col("p").cast("long").alias("p"), "t"), "toxicity-rows")
     sizes = {r["p"]: r["n"] for r in chosen.groupBy("p").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_pos, n_unl = sizes.get(1, 0), sizes.get(0, 0)
     intercept = float(np.log(prior / (1 - prior)))
@@ -165,11 +196,16 @@ def train(docs: DataFrame, confirmed: DataFrame, prior: float, id_col: str = "do
         return Linear(base=intercept)
     once = rows.filter("p = 1").dropDuplicates(["t"])  # max_positive ids' texts at most
     n_once = once.count()
-    a, u = (F.col("pos") + 0.5) / F.lit(n_once + 1.0), (F.col("unl") + 0.5) / F.lit(n_unl + 1.0)
-    surely = F.log(a / u) - 3 * F.sqrt(1 / (F.col("pos") + 0.5) + 1 / (F.col("unl") + 0.5))
-    counts = _buckets(once.unionByName(rows.filter("p = 0")))
-    best = counts.filter((F.col("pos") >= least) & (surely > 0)).orderBy(
-        surely.desc(), "bucket").limit(max_features).select("bucket").toArrow()["bucket"].to_numpy()
+    flagged = once.unionByName(rows.filter("p = 0")).select(F.col("p").alias("pos"), (1 - F.col("p")).alias("unl"), "t")
+    ratio, sure = _surely("pos", n_once, "unl", n_unl)
+    candidates = materialise(_occurrences(flagged, ["pos", "unl"]).filter((F.col("pos") >= least) & (ratio > 0)).orderBy(
+        sure.desc(), "bucket").limit(max_candidates).select("bucket", "pos"), "toxicity-candidates")
+    known = np.sort(candidates.select("bucket").toArrow()["bucket"].to_numpy())  # max_candidates numbers at most
+    every = _occurrences(plain.select(F.lit(1).cast("long").alias("all"), "t"), ["all"], known)
+    n_all = plain.count()
+    _, sure = _surely("pos", n_once, "all", n_all)
+    best = candidates.join(F.broadcast(every), "bucket").filter(sure > 0).orderBy(
+        sure.desc(), "bucket").limit(max_features).select("bucket").toArrow()["bucket"].to_numpy()
     wanted = {int(b): i for i, b in enumerate(best)}
 
     def make():
