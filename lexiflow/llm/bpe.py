@@ -11,7 +11,7 @@ token of the node where it starts: two tokens may be neighbours if BPE over the
 gives exactly these two.  There is one such token at each node.
 
 Texts are cut at ASCII white space into chunks (no token, normalisation step or special token crosses
-it).  Each distinct chunk of a task goes once through the tokenizer file's own normaliser and
+it; a file whose settings or a set of probe texts say otherwise is refused).  Each distinct chunk of a task goes once through the tokenizer file's own normaliser and
 pre-tokenizer and then through the trie; documents are assembled by lookups.  Nothing is shuffled.
 
 Defined results: a null or empty text has no tokens and decodes to an empty string; texts of any length
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import json
 import re
+import string
 from array import array
 from collections.abc import Iterable
 from functools import lru_cache
@@ -37,6 +38,11 @@ from pyspark.sql import types as T
 
 from .common import clean_text, slices, workers_import
 
+#: Settings of tokenizer files that the trie doesn't know, and texts that must come out as the library encodes them.
+UNSUPPORTED = ("continuing_subword_prefix", "byte_fallback", "ignore_merges", "dropout", "fuse_unk")
+UNSUPPORTED_FLAGS = ("single_word", "lstrip", "rstrip")
+PROBES = ("Hello World", "  two  spaces\tand\nlines ", "don't (stop) 12,345.60 x_y #tag", "ÀÉ ñandú ß İ 日本語 😀 e\u0301",
+          "\u00a0nbsp\u2003em \x1c\x85", "a" * 40 + " supercalifragilistic")
 #: Bounds on what a worker keeps between batches.
 MAX_CHUNKS, MAX_WORDS, MAX_NODES, MAX_PAIRS = 500_000, 300_000, 250_000, 200_000
 #: What it keeps of them when a task ends.
@@ -184,10 +190,18 @@ class Encoder:
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        if spec["model"]["type"] != "BPE":
-            raise ValueError("a BPE tokenizer file is needed")
+        unsupported = [k for k in UNSUPPORTED if spec["model"].get(k)] if spec["model"]["type"] == "BPE" else ["model type"]
+        unsupported += [f"{flag} of {t['content']}" for t in spec.get("added_tokens", []) for flag in UNSUPPORTED_FLAGS
+                        if t.get(flag)]
+        if unsupported:
+            raise ValueError(f"{path}: not supported: {', '.join(unsupported)}")
         whole = Tokenizer.from_file(path)
-        self.normalise, self.cut = whole.normalizer.normalize_str, whole.pre_tokenizer.pre_tokenize_str
+        whole.no_truncation()
+        whole.no_padding()
+        self.normalise = whole.normalizer.normalize_str if whole.normalizer else str
+        self.cut = whole.pre_tokenizer.pre_tokenize_str if whole.pre_tokenizer else lambda text: [(text, (0, len(text)))]
+        letters = string.ascii_letters
+        self.lowers = [w for w, _ in self.cut(self.normalise(letters))] == [letters.lower()]
         size = whole.get_vocab_size(with_added_tokens=True)
         self.names = pa.array([whole.id_to_token(i) or "" for i in range(size)], pa.string())
         self.decoder = whole if whole.decoder is not None else None
@@ -197,10 +211,16 @@ class Encoder:
         self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True)))
                                         + ")").split if special else lambda chunk: [chunk]
         self.known, self.words = Recent(MAX_CHUNKS), Recent(MAX_WORDS)
+        for probe in (*PROBES, *[f"a{t}b {t} {t}{t}" for t in special][:100]):
+            ids = self.encode_batch([probe.encode()]).flatten().to_pylist()
+            if ids != whole.encode(probe, add_special_tokens=False).ids:
+                raise ValueError(f"{path}: not supported: texts can't be cut at white space, as {probe!r} shows")
+        self.known, self.words = Recent(MAX_CHUNKS), Recent(MAX_WORDS)
+        self.trie.clear()
 
     def _pieces(self, chunk: str) -> list[str]:
         """The byte-level words of a chunk; special tokens as they are, marked by a leading space."""
-        if chunk.isascii() and chunk.isalpha():
+        if self.lowers and chunk.isascii() and chunk.isalpha() and chunk not in self.special:
             return [chunk.lower()]
         out: list[str] = []
         for part in self.split_special(chunk):
