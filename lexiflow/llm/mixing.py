@@ -100,50 +100,57 @@ def _priors(counts: dict[str, int]) -> list[float]:
 
 
 def _evidence(rows: DataFrame, keys: list[str], table: DataFrame, k: int) -> DataFrame:
-    """keys, found (how many features have weights), s (their summed weights, one a domain) of rows with features."""
+    """keys, found (how many features have weights), s_0, ... (their summed weights by domain) of rows with features."""
     # plain explode would add a filter on the array's size, which makes the array twice
     words = rows.select(*keys, F.explode_outer("features").alias("f")).withColumn("bucket", _bucket(F.col("f")))
     # the table has MAX_FEATURES rows at most
     return words.join(F.broadcast(table), "bucket", "left").groupBy(*keys).agg(
-        F.count("w_0").alias("found"), *[F.coalesce(F.sum(f"w_{i}"), F.lit(0.0)).alias(f"s_{i}") for i in range(k)]).select(
-        *keys, "found", F.array(*[F.col(f"s_{i}") for i in range(k)]).alias("s"))
+        F.count("w_0").alias("found"), *[F.coalesce(F.sum(f"w_{i}"), F.lit(0.0)).alias(f"s_{i}") for i in range(k)])
 
 
-def _posteriors(temperature: Column, power: Column, doubt: Column, base: Column, shares: list[float]) -> Column:
-    """Probabilities of the domains from ``s`` and ``found``; ``base`` has what each domain starts from."""
-    belief = temperature * F.pow(F.col("found") + 1, power)
-    scores = F.zip_with("s", base, lambda s, x: s / belief + x)
-    top = F.array_max(scores)
-    grown = F.transform(scores, lambda z: F.exp(z - top))
-    size = F.aggregate(grown, F.lit(0.0), lambda a, x: a + x)
-    return F.zip_with(grown, F.array(*map(F.lit, shares)), lambda g, x: (1 - doubt) * g / size + doubt * x)
+def _softmax(rows: DataFrame, belief: Column, base: list[Column]) -> DataFrame:
+    """``rows`` with p_0, ...: probabilities of the domains from ``found`` and s_0, ...; ``base`` has what each starts from."""
+    k = range(len(base))
+    rows = rows.withColumn("_b", belief)
+    rows = rows.withColumns({f"_z{i}": F.col(f"s_{i}") / F.col("_b") + base[i] for i in k})
+    rows = rows.withColumn("_top", F.greatest(*[F.col(f"_z{i}") for i in k], F.lit(-1e300)))
+    rows = rows.withColumns({f"_e{i}": F.exp(F.col(f"_z{i}") - F.col("_top")) for i in k})
+    size = sum((F.col(f"_e{i}") for i in k), F.lit(0.0))
+    return rows.withColumns({f"p_{i}": F.col(f"_e{i}") / size for i in k}).drop(
+        "_b", "_top", *[f"_{c}{i}" for c in "ze" for i in k])
+
+
+def _doubted(doubt: float, shares: list[float]) -> list[Column]:
+    return [(1 - doubt) * F.col(f"p_{i}") + doubt * x for i, x in enumerate(shares)]
 
 
 def _belief(seen: DataFrame, priors: list[float]) -> tuple[float, float, float, list[float]]:
-    """Temperature, power, doubt and starting points with the least log loss on (top, found, s), ``top`` the true
+    """Temperature, power, doubt and starting points with the least log loss on (top, found, s_0, ...), ``top`` the true
     domain's number.  For each temperature and power the starting points are moved until the domains' mean
     probabilities are their shares, so that a text without evidence gets what such texts deserve."""
     shares = [float(x) for x in np.exp(priors) / np.exp(priors).sum()]
     k = len(priors)
-    sizes = np.array([seen.filter(F.col("top") == i).count() for i in range(k)], float)
+    counted = {r.top: r["count"] for r in seen.groupBy("top").count().collect()}  # one row a domain
+    sizes = np.array([counted.get(i, 0) for i in range(k)], float)
     if not sizes.sum():
         return 1.0, 0.0, 0.01, priors
     bases = {(t, g): list(priors) for t in TEMPERATURES for g in POWERS}
 
-    def tried(doubts: tuple[float, ...]) -> DataFrame:
-        grid = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(g).alias("g"), F.lit(d).alias("d"),
-                                  F.array(*map(F.lit, base)).alias("base")) for (t, g), base in bases.items() for d in doubts])
-        one = seen.select("top", "found", "s", F.explode(grid).alias("c")).select("top", "found", "s", "c.*")
-        return one.select("top", "t", "g", "d", _posteriors(F.col("t"), F.col("g"), F.col("d"), F.col("base"), shares).alias("p"))
+    def tried() -> DataFrame:
+        grid = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(g).alias("g"), F.array(*map(F.lit, base)).alias("base"))
+                         for (t, g), base in bases.items()])
+        one = seen.select("*", F.explode(grid).alias("c")).select(*seen.columns, "c.*")
+        return _softmax(one, F.col("t") * F.pow(F.col("found") + 1, F.col("g")), [F.get("base", F.lit(i)) for i in range(k)])
 
     for _ in range(ROUNDS):
-        sums = tried((0.0,)).groupBy("t", "g").agg(*[F.sum(F.get("p", F.lit(i))).alias(f"p_{i}") for i in range(k)])
+        sums = tried().groupBy("t", "g").agg(*[F.sum(f"p_{i}").alias(f"p_{i}") for i in range(k)])
         for r in sums.collect():  # one row a temperature and power
             got = np.array([r[f"p_{i}"] for i in range(k)], float)
             bases[r.t, r.g] = [float(x) for x in bases[r.t, r.g] + np.log((sizes + 0.5) / (got + 0.5))]
-    loss = F.avg(-F.log(F.get("p", F.col("top"))))
-    best = tried(DOUBTS).groupBy("t", "g", "d").agg(loss.alias("loss")).orderBy(F.round("loss", 9), "t", "g", "d").first()
-    return best.t, best.g, best.d, bases[best.t, best.g]
+    losses = tried().groupBy("t", "g").agg(*[F.avg(-F.log(F.get(F.array(*_doubted(d, shares)), F.col("top")))).alias(f"loss_{j}")
+                                             for j, d in enumerate(DOUBTS)]).collect()
+    _, t, g, d = min((round(r[f"loss_{j}"], 9), r.t, r.g, d) for r in losses for j, d in enumerate(DOUBTS))
+    return t, g, d, bases[t, g]
 
 
 def memberships(docs: DataFrame, labelled: DataFrame, domains: list[str], id_col: str = "doc_id",
@@ -177,15 +184,16 @@ def memberships(docs: DataFrame, labelled: DataFrame, domains: list[str], id_col
     for half in (0, 1):
         one = _evidence(taught.filter(F.col("half") == 1 - half), ["row", "domain"], learnt((half,))[0], len(domains))
         seen = one if seen is None else seen.unionByName(one)
-    belief = _belief(materialise(seen.select(place.cast("int").alias("top"), "found", "s"), "evidence"), priors)
+    scores = [f"s_{i}" for i in range(len(domains))]
+    t, g, doubt, base = _belief(materialise(seen.select(place.cast("int").alias("top"), "found", *scores), "evidence"), priors)
     keys = [F.monotonically_increasing_id().alias("row"), F.col("_id").alias("id"), F.xxhash64("_text").alias("key")]
     found = _evidence(featured(plain, keys, "_text"), ["row", "id", "key", "tokens"], table, len(domains))
     shares = [float(x) for x in np.exp(priors) / np.exp(priors).sum()]
-    raw = _posteriors(*map(F.lit, belief[:3]), F.array(*map(F.lit, belief[3])), shares)
-    held = found.select("row", "id", "key", "tokens", F.slice(F.transform(raw, lambda x: F.round(x, 4)), 1, len(domains) - 1).alias("q"))
-    rest = F.round(1 - F.aggregate("q", F.lit(0.0), lambda a, x: a + x), 4)
-    return materialise(held.select("row", F.col("id").alias(id_col), "key", "tokens", F.concat(
-        "q", F.array(F.greatest(rest, F.lit(0.0)))).alias("p")), "memberships")
+    found = _softmax(found, t * F.pow(F.col("found") + 1, F.lit(g)), [F.lit(x) for x in base])
+    first = [F.round(x, 4) for x in _doubted(doubt, shares)[:-1]]
+    rest = F.greatest(F.round(1 - sum(first, F.lit(0.0)), 4), F.lit(0.0))
+    return materialise(found.select("row", F.col("id").alias(id_col), "key", "tokens", F.array(*first, rest).alias("p")),
+                       "memberships")
 
 
 def _goal(now: np.ndarray, weight: np.ndarray, low: np.ndarray, total: str | float, tokens: float) -> np.ndarray:
