@@ -32,6 +32,8 @@ from lexiflow.plans.experiments import run_experiments  # noqa: E402
 from lexiflow.plans.splits import TRAIN, is_split  # noqa: E402
 from lexiflow.session import local_session  # noqa: E402
 
+#: Tasks of a solver's iteration: the caller's choice for some thousand training rows on one machine.
+TRAIN_PARTITIONS = int(os.environ.get("BENCH_TRAIN_PARTITIONS", "2"))
 COLD = ["clean_text", "tokenize", "lemmatize"]
 AFTER = ["vocabulary", "tfidf", "weighted_metrics"]
 
@@ -76,7 +78,7 @@ def main():
     log: list = []
     rows = timed("experiment_total", lambda: run_experiments(
         spark, st.frame, models, st.n_classes, ("svm", "lr", "nb"), orientation="swapped", parallelism=4,
-        log=log).collect())
+        log=log, train_partitions=TRAIN_PARTITIONS).collect())
     n_runs = 0
     for entry in log:
         if "fit_seconds" in entry:

@@ -27,6 +27,7 @@ def main(argv=None):
     s.add_argument("--classifiers", default="svm,lr,nb")
     s.add_argument("--feature-sets", default="G1,G2,G3,G4")
     s.add_argument("--orientation", default="right", choices=["right", "swapped"])
+    s.add_argument("--train-partitions", type=int, default=None, help="tasks of a solver's iteration at most")
     t = sub.add_parser("tune", help="cross-validated grid search of the one-vs-rest SVM")
     t.add_argument("--features", required=True)
     t.add_argument("--feature-set", default="G3")
@@ -48,7 +49,7 @@ def main(argv=None):
                                args.lemmas, args.weights, mode=args.mode)
     elif args.cmd == "select":
         res = jobs.select_job(spark, args.features, args.out, tuple(args.classifiers.split(",")),
-                              tuple(args.feature_sets.split(",")), args.orientation, mode=args.mode)
+                              tuple(args.feature_sets.split(",")), args.orientation, mode=args.mode, train_partitions=args.train_partitions)
         out = [r.asDict() for r in res.collect()]
     elif args.cmd == "tune":
         out = jobs.tune_job(spark, args.features, args.feature_set, args.folds, model_path=args.model, mode=args.mode)

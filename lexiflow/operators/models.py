@@ -67,18 +67,22 @@ def make_classifier(name: str, features_col: str, label_col: str = "label",
 
 
 def materialize(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
-                cut_lineage: bool = True) -> DataFrame:
+                cut_lineage: bool = True, partitions: int | None = None) -> DataFrame:
     """Persist and fill the cache now, so a timed fit measures the fit alone.
 
     ``cut_lineage`` first writes the frame to ``spark.checkpoint.dir``
     (``checkpoint()``, a reliable shared folder on a cluster): a lost
     executor's blocks are re-read instead of recomputed through the feature
     pipeline, and every solver iteration ships a short lineage instead of
-    the whole feature plan.  Partitions stay as they are.
+    the whole feature plan.  Partitions stay as they are unless the caller says
+    how many tasks an iteration shall have: then the written rows are read in
+    at most ``partitions``.
     """
     if cut_lineage:
         ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
+    if partitions:
+        df = df.coalesce(partitions)
     cached = df.persist(level)
     cached.count()
     return cached

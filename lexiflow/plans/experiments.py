@@ -28,29 +28,32 @@ RESULT_COLS = ["dataModel", "modelName", "trainingTime", "precision", "recall",
 def run_experiments(spark: SparkSession, frame: DataFrame, feature_models: dict[str, PipelineModel],
                     n_classes: int, classifiers=("svm", "lr", "nb"), eval_split: str = VAL,
                     orientation: str = "right", split_col: str = "split", parallelism: int = 1,
-                    digits: int = 3, log: list | None = None) -> DataFrame:
+                    digits: int = 3, log: list | None = None, train_partitions: int | None = None) -> DataFrame:
     """Fit every (feature set, classifier) pair on train, score ``eval_split``.
 
     ``orientation='swapped'`` reproduces the reference's published numbers.
     Times are wall seconds of ``fit`` on an already cached training frame; the
-    cost of filling the cache is recorded apart in ``log``.
+    cost of filling the cache is recorded apart in ``log``.  ``train_partitions``:
+    how many tasks a solver's iteration shall have at most (a choice of the
+    caller, who knows rows and executors; partitions stay as they are without).
     """
     tables = {fs: (model.transform(frame), num_features_of(model, fs)) for fs, model in feature_models.items()}
     return run_on_feature_tables(spark, tables, n_classes, classifiers, eval_split, orientation,
-                                 split_col, parallelism, digits, log)
+                                 split_col, parallelism, digits, log, train_partitions)
 
 
 def run_on_feature_tables(spark: SparkSession, tables: dict[str, tuple[DataFrame, int]], n_classes: int,
                           classifiers=("svm", "lr", "nb"), eval_split: str = VAL,
                           orientation: str = "right", split_col: str = "split", parallelism: int = 1,
-                          digits: int = 3, log: list | None = None) -> DataFrame:
+                          digits: int = 3, log: list | None = None,
+                          train_partitions: int | None = None) -> DataFrame:
     """The run loop over already featurized tables: {set: (frame with split/label/weight/features, width)}."""
     rows = []
     for fs, (featurized, n_features) in tables.items():
         feat = FEATURES_COL[fs]
         t0 = time.perf_counter()
         scored = featurized.select(split_col, "label", "weight", feat)
-        train = materialize(scored.filter(is_split(TRAIN, split_col)))
+        train = materialize(scored.filter(is_split(TRAIN, split_col)), partitions=train_partitions)
         # Held-out rows are only scored (once per classifier): a cache is enough.
         held = materialize(scored.filter(is_split(eval_split, split_col)), cut_lineage=False)
         if log is not None:

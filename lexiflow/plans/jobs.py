@@ -98,12 +98,12 @@ def _n_classes(df: DataFrame) -> int:
 
 def select_job(spark: SparkSession, features_dir: str, out_csv: str | None = None,
                classifiers=("svm", "lr", "nb"), feature_sets=("G1", "G2", "G3", "G4"), orientation: str = "right", eval_split: str = VAL,
-               parallelism: int = 4, mode: str = "errorifexists") -> DataFrame:
+               parallelism: int = 4, mode: str = "errorifexists", train_partitions: int | None = None) -> DataFrame:
     """Step 2.  Returns the result table (and writes it as CSV when ``out_csv`` is given)."""
     tables = _feature_tables(spark, features_dir, feature_sets)
     any_table = next(iter(tables.values()))[0]
     results = run_on_feature_tables(spark, tables, _n_classes(any_table), classifiers, eval_split, orientation,
-                                    parallelism=parallelism)
+                                    parallelism=parallelism, train_partitions=train_partitions)
     if out_csv:
         write_results_csv(results, out_csv, mode)
     return results

@@ -47,3 +47,12 @@ def test_quality_floor_flagship(spark):
         m = evaluate(predict(model, feats.filter(~is_split("train")), ["label"]))
         assert m["f1Score"] > 0.6, (clf, m)
     assert feats.filter(F.col("weight").isNull()).count() == 0
+
+
+def test_partitions_are_the_caller_s_choice(spark):
+    from lexiflow.operators.models import materialize, release
+    df = spark.range(100).repartition(6)
+    for wanted, got in ((None, 6), (2, 2), (50, 6)):
+        held = materialize(df, partitions=wanted)
+        assert held.rdd.getNumPartitions() == got and held.count() == 100
+        release(held)
