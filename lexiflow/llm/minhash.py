@@ -187,7 +187,8 @@ def _similar(common: Column, n1: Column, n2: Column) -> Column:
 
 def compare_blocks(table: pa.Table) -> pa.Table:
     """Links between the two blocks of a task (or inside its one block), without those that follow from
-    others, of pairs that share no band before the task's.  Columns: node, set, bands, band, first (bool)."""
+    others, of pairs that share no band before the task's (-1: of all pairs).  Columns: node, set, bands, band,
+    first (bool)."""
     bands, band = np.array(table["bands"].to_pylist(), np.int64).reshape(len(table), -1), table["band"][0].as_py()
     sets = [np.sort(np.array(s, np.int64)) for s in table["set"].to_pylist()]
     node, first = table["node"].to_numpy(), table["first"].to_numpy(zero_copy_only=False).astype(bool)
@@ -202,7 +203,8 @@ def compare_blocks(table: pa.Table) -> pa.Table:
         others = order[place + 1:] if alone else np.flatnonzero(~first)
         low, high = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
         others = others[(100 * low >= PERCENT * high) & (label[others] != label[i])]
-        others = others[(bands[others] == bands[i]).argmax(1) == band]
+        if band >= 0:
+            others = others[(bands[others] == bands[i]).argmax(1) == band]
         if not len(others):
             continue
         flat = np.concatenate([sets[k] for k in others])
@@ -223,11 +225,23 @@ def _links(sets: DataFrame, nodes: DataFrame, buckets: DataFrame) -> DataFrame:
     lead = sets.filter("node = grp").select("grp", F.col("set").alias("lead"), F.col("n").alias("lead_n"))
     near = materialise(sets.join(lead, "grp").select("node", "grp", (F.col("node") == F.col("grp")).alias("is_lead"), _similar(
         F.size(F.array_intersect("set", "lead")), F.col("n"), F.col("lead_n")).alias("near")), "near-leader")
-    placed = buckets.select("node", "band", "key").join(near.select("node", "near"), "node")
-    blocks = lambda c: F.ceil(F.sum(c.cast("long")) / BLOCK).cast("int")
-    strange = materialise(placed.groupBy("key").agg(blocks(~F.col("near")).alias("far"), blocks(F.col("near")).alias("close"))
-                          .filter("far > 0"), "far-buckets")
-    rest = placed.join(strange, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.when(
+    count = lambda c: F.sum(c.cast("long"))
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    # sets that are copied if all far nodes meet all others
+    cost = F.col("far_n") * (blocks("far_n") + blocks("near_n")) + F.col("near_n") * blocks("far_n")
+    groups = near.groupBy("grp").agg(count(~F.col("near")).alias("far_n"), count(F.col("near")).alias("near_n")).filter(
+        "far_n > 0 AND far_n + near_n > 2")
+    placed = buckets.select("node", "band", "key").join(near.select("node", "grp", "near"), "node")
+    strange = materialise(placed.groupBy("grp", "key").agg(
+        count(~F.col("near")).alias("far_n"), count(F.col("near")).alias("near_n")).filter("far_n > 0"), "far-buckets")
+    costs = strange.groupBy("grp").agg(F.sum(cost).alias("apart"))
+    groups = materialise(groups.join(costs, "grp").withColumn("by_bucket", F.col("apart") < cost), "far-groups")
+    sizes = [blocks("far_n").alias("far"), blocks("near_n").alias("close")]
+    whole = near.join(groups.filter("NOT by_bucket").select("grp", *sizes), "grp").select(
+        "node", "near", F.lit(-1).alias("band"), F.col("grp").alias("key"), "far", "close")
+    apart = placed.join(strange.join(groups.filter("by_bucket").select("grp"), "grp").select("key", *sizes), "key").select(
+        "node", "near", "band", "key", "far", "close")
+    rest = whole.unionByName(apart).withColumn("block", F.pmod(F.xxhash64("node"), F.when(
         F.col("near"), F.col("close")).otherwise(F.col("far"))).cast("int"))
     # tasks (x, y): x is a block of far nodes, y one of far nodes (y >= x) or, as -1 - y, of near nodes
     all_far = F.sequence(F.lit(0), F.col("far") - 1)
@@ -240,7 +254,7 @@ def _links(sets: DataFrame, nodes: DataFrame, buckets: DataFrame) -> DataFrame:
     near_tasks = F.transform(all_far, lambda x: task(x, -1 - F.col("block"), False))
     dealt = rest.select("node", "band", "key", F.explode(F.when(F.col("near"), near_tasks).otherwise(far_tasks)).alias("t"))
     held = sets.select("node", "set").join(nodes.select("node", "bands"), "node")
-    found = dealt.select("node", "band", "key", "t.*").join(held, "node").groupBy("key", "x", "y").applyInArrow(
+    found = dealt.select("node", "band", "key", "t.*").join(held, "node").groupBy("band", "key", "x", "y").applyInArrow(
         compare_blocks, "a long, b long")
     return near.filter("near AND NOT is_lead").select(F.col("node").alias("a"), F.col("grp").alias("b")).unionByName(
         found)
