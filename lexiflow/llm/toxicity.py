@@ -179,7 +179,7 @@ def _surely(pos: str, n_pos: float, other: str, n_other: float):
 
 def train(docs: DataFrame, confirmed: DataFrame, prior: float, id_col: str = "doc_id", text_col: str = "text",
           max_positive: int = 5_000, max_unlabelled: int = 15_000, max_features: int = 3_000,
-          least: int = 3, max_candidates: int = 50_000) -> Linear:
+          least: int = 3, max_candidates: int = 12_000) -> Linear:
     """Fit on ``confirmed`` (ids) as positives and ``docs`` as unlabelled."""
     plain = docs.select(F.col(id_col).alias("_id"), clean_text(text_col).alias("t"))
     first = lambda df, n: df.filter(F.col("_id").isNotNull()).select("_id").distinct().orderBy(
