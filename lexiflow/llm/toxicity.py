@@ -38,9 +38,9 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest as digest
 
 from .common import clean_text, fold, map_texts, materialise
 
@@ -63,25 +63,28 @@ class WordFeatures(dict):
     def __init__(self, wanted: dict[int, int] | None = None, limit: int = 200_000):
         super().__init__()
         self.wanted, self.limit = wanted, limit
-        self.bases = None if wanted is None else {code // LEVELS for code in wanted}
+        # bucket -> the columns of 0, 1, ... LEVELS different words
+        self.bases = {} if wanted is None else {b: [[wanted[c] for c in range(b * LEVELS, b * LEVELS + n) if c in wanted]
+                                                    for n in range(LEVELS + 1)] for b in {code // LEVELS for code in wanted}}
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
         if len(self) >= self.limit:
             self.clear()
         low = word.lower().strip(EDGE)
-        keys = [b"=" + low] + [low[:k] for k in STEMS if len(low) >= k] if low else []
-        out = tuple(xxhash.xxh3_64_intdigest(k) >> (64 - HASH_BITS) for k in keys)
-        if self.bases is not None:
-            out = tuple(b for b in out if b in self.bases)
+        out: tuple[int, ...] = ()
+        if low:
+            n, bases, shift = len(low), self.bases, 64 - HASH_BITS
+            found = [digest(b"=" + low) >> shift] + [digest(low[:k]) >> shift for k in STEMS if n >= k]
+            out = tuple(found if self.wanted is None else [b for b in found if b in bases])
         self[word] = out
         return out
 
     def of(self, text: str) -> list[int]:
         found = Counter(chain.from_iterable(map(self.__getitem__, set(text.encode("utf-8").split()))))
-        codes = [b * LEVELS + k for b, n in found.items() for k in range(min(n, LEVELS))]
         if self.wanted is None:
-            return codes
-        return [self.wanted[c] for c in codes if c in self.wanted]
+            return [b * LEVELS + k for b, n in found.items() for k in range(min(n, LEVELS))]
+        bases = self.bases
+        return [c for b, n in found.items() for c in bases[b][n if n < LEVELS else LEVELS]]
 
 
 @dataclass
@@ -160,7 +163,11 @@ def _occurrences(rows: DataFrame, flags: list[str], wanted: np.ndarray | None =
         def work(part: pa.RecordBatch) -> pa.RecordBatch:
             found = [np.fromiter(f, np.int64, len(f)) for f in map(features.of, part.column(len(flags)).to_pylist())]
             flat = np.concatenate([*found, np.zeros(0, np.int64)])
-            unique, where = np.unique(flat, return_inverse=True)
+            if wanted is None:
+                unique, where = np.unique(flat, return_inverse=True)
+            else:  # few and small numbers: counted without a sort
+                unique = np.flatnonzero(np.bincount(flat, minlength=len(wanted)))
+                where = np.searchsorted(unique, flat)
             counts = [pa.array(np.bincount(where.reshape(-1), np.repeat(np.array(part.column(k).to_pylist(), float), [
                 len(f) for f in found]), len(unique)).astype(np.int64)) for k in range(len(flags))]
             keys = unique if wanted is None else wanted[unique]

@@ -52,3 +52,23 @@ def test_lemmas_of_frequent_forms_join_nothing(spark, monkeypatch):
         got = {r.i: r.t for r in lemma.lemmatize(docs, lemmas, "t").collect()}
         assert got == {i: " ".join(table.get(w, w) for w in t.split(" ")) for i, t in rows}
     assert sizes == [0, 8, 16]  # different forms of the 4 rows counted that aren't held
+
+
+def test_wanted_toxicity_features_are_found_by_bucket():
+    """One lookup a bucket, none a (bucket, level) code, and the same features as before."""
+    from lexiflow.llm.toxicity import LEVELS, WordFeatures
+
+    class Counting(dict):
+        asked = 0
+
+        def __contains__(self, key):
+            Counting.asked += 1
+            return dict.__contains__(self, key)
+
+    text = "Boarding boards board, boarded! A be bee é ... (x) badly"
+    every = WordFeatures().of(text)
+    wanted = Counting({c: i for i, c in enumerate(sorted(every)[::2])} | {7 * LEVELS + 1: 99})
+    features = WordFeatures(wanted)
+    Counting.asked = 0
+    assert sorted(features.of(text)) == sorted(dict.__getitem__(wanted, c) for c in every if dict.__contains__(wanted, c))
+    assert Counting.asked == 0
