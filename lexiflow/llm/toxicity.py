@@ -38,9 +38,9 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest as digest
 
 from .common import clean_text, fold, map_texts, materialise
 
@@ -73,7 +73,7 @@ class WordFeatures(dict):
         low = word.lower().strip(EDGE)
         out: tuple[int, ...] = ()
         if low:
-            n, bases, shift = len(low), self.bases, 64 - HASH_BITS
+            n, bases, shift, digest = len(low), self.bases, 64 - HASH_BITS, xxhash.xxh3_64_intdigest
             found = [digest(b"=" + low) >> shift] + [digest(low[:k]) >> shift for k in STEMS if n >= k]
             out = tuple(found if self.wanted is None else [b for b in found if b in bases])
         self[word] = out
