@@ -44,7 +44,7 @@ def sparse_parts(features_col: str) -> list[Column]:
 
 def linear_rows(df: DataFrame, features_col: str, label_col: str = "label", weight_col: str | None = "weight",
                 fold_col: str | None = None) -> DataFrame:
-    """(idx, val, label, weight, fold) for the functions below; cache it before a fit."""
+    """(idx, val, label, weight, fold) for the functions below."""
     weight = F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
     fold = F.col(fold_col).cast("int") if fold_col else F.lit(0)
     label = F.col(label_col).cast("int")
@@ -55,6 +55,12 @@ def linear_rows(df: DataFrame, features_col: str, label_col: str = "label", weig
 
 def blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, feature numbers, dense rows over them) that cover a batch of (idx, val, ...)."""
+    for start, stop, used, spots, values in _sparse_blocks(batch):
+        yield start, stop, used, _dense(stop - start, used, spots, values)
+
+
+def _sparse_blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, end row, feature numbers, places of the values in dense rows over them, values) of each block."""
     idx, val = (batch.column(k).flatten().to_numpy(zero_copy_only=False) for k in (0, 1))
     ends = np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column(0)).to_numpy(zero_copy_only=False))])
     start = 0
@@ -66,12 +72,45 @@ def blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.nda
             if stop - start == 1 or (stop - start) * len(used) <= BLOCK_CELLS:
                 break
             stop = start + (stop - start) // 2
-        dense = np.zeros((stop - start, len(used)))
-        dense[np.repeat(np.arange(stop - start), np.diff(ends[start:stop + 1])), spot] = val[cells]
-        yield start, stop, used, dense
+        row = np.repeat(np.arange(stop - start), np.diff(ends[start:stop + 1]))
+        yield start, stop, used, row * len(used) + spot, val[cells]
         start = stop
 
 
+def _dense(n_rows: int, used: np.ndarray, spots: np.ndarray, values: np.ndarray) -> np.ndarray:
+    dense = np.zeros(n_rows * len(used))
+    dense[spots] = values
+    return dense.reshape(n_rows, len(used))
+
+
+PACKED = "label binary, weight binary, fold binary, used binary, spots binary, vals binary"
+_TYPES = {"label": np.int32, "weight": np.float64, "fold": np.int32, "used": np.int32, "spots": np.int32, "vals": np.float64}
+
+
+def packed(rows: DataFrame) -> DataFrame:
+    """``linear_rows`` as blocks of up to 1,024 rows, a block's numbers in one binary value a column; cache it before a
+    fit: a pass then only copies blocks, where rows would be sorted into blocks again.  Packed rows stay as they are."""
+    if rows.columns == list(_TYPES):
+        return rows
+
+    def pack(batches):
+        for batch in batches:
+            every = _numbers(batch, "label", "weight", "fold")
+            for start, stop, *parts in _sparse_blocks(batch):
+                block = [*(c[start:stop] for c in every), *parts]
+                yield pa.RecordBatch.from_arrays([pa.array([np.ascontiguousarray(v, t).tobytes()], pa.binary())
+                                                  for v, t in zip(block, _TYPES.values())], list(_TYPES))
+
+    return rows.mapInArrow(pack, PACKED)
+
+
+def _unpacked(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(labels, weights, folds, feature numbers, dense rows over them) of each block."""
+    for k in range(batch.num_rows):
+        label, weight, fold, used, spots, values = (np.frombuffer(batch.column(n)[k].as_buffer(), t) for n, t in _TYPES.items())
+        yield label, weight, fold, used, _dense(len(label), used, spots, values)
+
+
 def _numbers(batch: pa.RecordBatch, *names: str) -> list[np.ndarray]:
     return [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
 
@@ -210,17 +249,16 @@ def feature_scales(rows: DataFrame, width: int, folds: list[int | None]) -> tupl
     places = np.array([*values, 1 << 40])
 
     def add(batch: pa.RecordBatch, sums: np.ndarray) -> None:
-        weight, fold = _numbers(batch, "weight", "fold")
-        for start, stop, used, dense in blocks(batch):
-            w, place = weight[start:stop], np.searchsorted(places, fold[start:stop])
-            place = np.where(places[place] == fold[start:stop], place, len(values))
+        for _, w, fold, used, dense in _unpacked(batch):
+            place = np.searchsorted(places, fold)
+            place = np.where(places[place] == fold, place, len(values))
             for k in np.unique(place):
                 mine = place == k
                 sums[k, used] += w[mine] @ dense[mine]
                 sums[k, width + used] += w[mine] @ dense[mine] ** 2
                 sums[k, -2:] += w[mine].sum(), (w[mine] ** 2).sum()
 
-    sums = _totals(rows, len(values) + 1, 2 * width + 2, add)
+    sums = _totals(packed(rows), len(values) + 1, 2 * width + 2, add)
     scales, centres, weights = {}, {}, {}
     for fold in folds:
         t = sums.sum(0) - (0 if fold is None else sums[values.index(fold)])
@@ -242,24 +280,23 @@ def hinge(rows: DataFrame, problems: list[Problem], coef: np.ndarray) -> tuple[n
     whole = np.array([p.fold is None for p in problems])
 
     def add(batch: pa.RecordBatch, sums: np.ndarray) -> None:
-        label, weight, fold = _numbers(batch, "label", "weight", "fold")
-        for start, stop, used, dense in blocks(batch):
-            sign = np.where(label[start:stop, None] == cls, 1.0, -1.0)
-            share = weight[start:stop, None] * (whole | (fold[start:stop, None] != out))
+        for label, weight, fold, used, dense in _unpacked(batch):
+            sign = np.where(label[:, None] == cls, 1.0, -1.0)
+            share = weight[:, None] * (whole | (fold[:, None] != out))
             short = 1 - sign * (dense @ coef[:, used].T + coef[:, -1])
-            share[short <= 0] = 0
-            sums[:, 0] += (share * short).sum(0)
+            share *= short > 0
+            sums[:, 0] += np.einsum("ij,ij->j", share, short)
             pull = -sign * share
             sums[:, 1 + used] += pull.T @ dense
             sums[:, -1] += pull.sum(0)
 
-    sums = _totals(rows, len(problems), width + 2, add)
+    sums = _totals(packed(rows), len(problems), width + 2, add)
     return sums[:, 0], sums[:, 1:]
 
 
 def fit_svms(rows: DataFrame, problems: list[Problem], width: int, max_iter: int = 10, keep: tuple[int, ...] = (),
              tol: float = 1e-6) -> dict[Problem, Search]:
-    """Fit all ``problems`` on cached ``linear_rows``; ``kept[i]`` of a result has the coefficients after ``i``
+    """Fit all ``problems`` on cached ``packed`` (or ``linear_rows``, slower); ``kept[i]`` of a result has the coefficients after ``i``
     iterations (or at the end, if that came first) for the features as they are, intercept last."""
     keep = tuple(sorted({*keep, max_iter}))
     scales, centres, weights = feature_scales(rows, width, list(dict.fromkeys(p.fold for p in problems)))
@@ -303,14 +340,13 @@ def fold_confusion(rows: DataFrame, models: list[dict[int, np.ndarray]], n_class
     def run(batches):
         cells: dict[tuple, int] = {}
         for batch in batches:
-            label, fold = _numbers(batch, "label", "fold")
-            for start, stop, used, dense in blocks(batch):
-                for f in np.unique(fold[start:stop]):
-                    mine = fold[start:stop] == f
+            for label, _, fold, used, dense in _unpacked(batch):
+                for f in np.unique(fold):
+                    mine = fold == f
                     for setting, by_fold in enumerate(models):
                         coef = by_fold[int(f)]
                         found = np.argmax(dense[mine] @ coef[:, used].T + coef[:, -1], axis=1)
-                        pairs, n = np.unique(np.stack([label[start:stop][mine], found]), axis=1, return_counts=True)
+                        pairs, n = np.unique(np.stack([label[mine], found]), axis=1, return_counts=True)
                         for (actual, guess), count in zip(pairs.T, n):
                             key = (setting, int(f), int(actual), int(guess))
                             cells[key] = cells.get(key, 0) + int(count)
@@ -319,5 +355,5 @@ def fold_confusion(rows: DataFrame, models: list[dict[int, np.ndarray]], n_class
             yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int32()) for c in columns), pa.array(cells.values(), pa.int64())],
                                              ["setting", "fold", "label", "prediction", "n"])
 
-    return rows.mapInArrow(run, "setting int, fold int, label int, prediction int, n long").groupBy(
+    return packed(rows).mapInArrow(run, "setting int, fold int, label int, prediction int, n long").groupBy(
         "setting", "fold", "label", "prediction").agg(F.sum("n").alias("n"))
