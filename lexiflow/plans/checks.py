@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.digests import table_digest
+from ..operators.digests import digested, table_digest
 from ..operators.features import vector_to_long
 from ..operators.fitcheck import fit_report, log_loss
 from ..operators.models import make_classifier, materialize, release
@@ -17,7 +17,7 @@ from ..sources.results import read_results_csv, write_results_csv
 from ..sources.text import read_labeled_files
 from . import catalog as C
 from .pipelines import num_features_of
-from .splits import TRAIN, is_split
+from .splits import TEST, TRAIN, VAL, is_split
 
 
 def _rows(spark, rows, schema: str) -> DataFrame:
@@ -63,15 +63,12 @@ def q_feature_digests(spark, sf_dir):
     names = ("G1", "G2", "G3", "G4")
     rows = []
     for name, model in zip(names, st.models(*names)):
-        feats = model.transform(st.frame)
+        feats, written = digested(model.transform(st.frame), "split", (TRAIN, TEST, VAL))
         path = work_path(spark, f"digests-{name}")
         write_feature_set(feats, path)
-        after = table_digest(read_feature_set(spark, path), ["split"]).select("split", *[
-            F.col(c).alias(f"back_{c}") for c in ("n_rows", "total", "flips")])
-        both = table_digest(feats, ["split"]).join(after, "split", "full")
-        same = [F.col(c).eqNullSafe(F.col(f"back_{c}")) for c in ("n_rows", "total", "flips")]
-        rows += both.select(F.lit(name).alias("feature_set"), "split", "n_rows",
-                            (same[0] & same[1] & same[2]).alias("same")).collect()  # one row a split
+        back = table_digest(read_feature_set(spark, path), ["split"]).select("split", "n_rows", "total", "flips")
+        before, after = written(), {r[0]: tuple(r)[1:] for r in back.collect()}  # one row a split
+        rows += [(name, s, before.get(s, (None,))[0], before.get(s) == after.get(s)) for s in sorted({*before, *after})]
         remove_path(spark, path)
     return _rows(spark, rows, "feature_set string, split string, n_rows bigint, same boolean")
 
@@ -88,16 +85,13 @@ def q_results_csv(spark, sf_dir):
 
 def q_hashed_bigrams(spark, sf_dir):
     """(doc_id, bucket, n): the hashed bigram counts of every document."""
-    st = C.state(spark, sf_dir)
-    (g4,) = st.models("G4")
-    return vector_to_long(g4.transform(st.frame), "rawFeatures", ["doc_id"], "bucket", "value").select(
+    return vector_to_long(C.state(spark, sf_dir).features("G4"), "rawFeatures", ["doc_id"], "bucket", "value").select(
         "doc_id", "bucket", F.col("value").cast("bigint").alias("n"))
 
 
 def _fit_checked(spark, sf_dir, clf: str) -> DataFrame:
     st = C.state(spark, sf_dir)
-    (g3,) = st.models("G3")
-    train = materialize(g3.transform(st.frame).filter(is_split(TRAIN)).select("doc_id", "label", "weight", "featuresIDF"))
+    train = materialize(st.features("G3").filter(is_split(TRAIN)).select("doc_id", "label", "weight", "featuresIDF"))
     if clf == "svm":
         model, _ = C._fit_predict(spark, sf_dir, "svm")
         coef = np.stack([m.coefficients.toArray() for m in model.models])
@@ -134,7 +128,7 @@ def q_mlp_fit_checked(spark, sf_dir):
     """C4: the perceptron's loss on the training rows, by a forward pass of its weights, fell from its start."""
     st = C.state(spark, sf_dir)
     (g3,) = st.models("G3")
-    train = materialize(g3.transform(st.frame).filter(is_split(TRAIN)).select("doc_id", "label", "featuresIDF"))
+    train = materialize(st.features("G3").filter(is_split(TRAIN)).select("doc_id", "label", "featuresIDF"))
     entries = vector_to_long(train, "featuresIDF", ["doc_id"], "feature", "value")
     last, _ = C._fit_predict(spark, sf_dir, "mlp")
     start = make_classifier("mlp", "featuresIDF", "label", None, n_features=num_features_of(g3, "G3"),
