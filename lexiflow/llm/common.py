@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -13,23 +12,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, workers_import
 
 #: White space of every word rule here: space and the controls 9 to 13.  ``bytes.split()`` without an
 #: argument cuts at exactly these.
 SPACE = r"[\x20\x09-\x0D]+"
 
 
-def workers_import(spark: SparkSession) -> None:
-    """Let Python workers import this package wherever the driver was started; on a cluster the package is
-    shipped (``--py-files``), and a path that isn't there is ignored."""
-    here = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    env = spark.sparkContext.environment
-    paths = [p for p in env.get("PYTHONPATH", "").split(":") if p]
-    if here not in paths:
-        env["PYTHONPATH"] = ":".join([here, *paths])
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
