@@ -57,6 +57,13 @@ def test_stages_are_not_run_for_a_set_alone(frame, monkeypatch):
     assert not calls
 
 
+@pytest.mark.parametrize("names", [("G3",), ("G4",), ("G3", "G4")])
+def test_null_texts_fail_alone_as_side_by_side(spark, frame, names):
+    rows = frame.limit(2).unionByName(spark.createDataFrame([(1, None, None, "train", 0, "en", 0.5)], frame.schema))
+    with pytest.raises(Exception, match="null"):
+        P.fit_and_count(rows, names, vocab_size=4, num_hash=8)
+
+
 def test_words_are_looked_up_once_a_slice():
     class Counting(dict):
         asked = 0
