@@ -115,7 +115,7 @@ def _numbers(batch: pa.RecordBatch, *names: str) -> list[np.ndarray]:
     return [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
 
 
-def _totals(rows: DataFrame, n_keys: int, width: int, add: Callable[[pa.RecordBatch, np.ndarray], None]) -> np.ndarray:
+def totals(rows: DataFrame, n_keys: int, width: int, add: Callable[[pa.RecordBatch, np.ndarray], None]) -> np.ndarray:
     """Sum over all rows of what ``add`` adds to an (n_keys, width) matrix, batch by batch.
 
     A task sends one array a key; one group a key adds up its arrays, in the order of the partitions.
@@ -258,7 +258,7 @@ def feature_scales(rows: DataFrame, width: int, folds: list[int | None]) -> tupl
                 sums[k, width + used] += w[mine] @ dense[mine] ** 2
                 sums[k, -2:] += w[mine].sum(), (w[mine] ** 2).sum()
 
-    sums = _totals(packed(rows), len(values) + 1, 2 * width + 2, add)
+    sums = totals(packed(rows), len(values) + 1, 2 * width + 2, add)
     scales, centres, weights = {}, {}, {}
     for fold in folds:
         t = sums.sum(0) - (0 if fold is None else sums[values.index(fold)])
@@ -290,7 +290,7 @@ def hinge(rows: DataFrame, problems: list[Problem], coef: np.ndarray) -> tuple[n
             sums[:, 1 + used] += pull.T @ dense
             sums[:, -1] += pull.sum(0)
 
-    sums = _totals(packed(rows), len(problems), width + 2, add)
+    sums = totals(packed(rows), len(problems), width + 2, add)
     return sums[:, 0], sums[:, 1:]
 
 
