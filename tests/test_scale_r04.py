@@ -76,3 +76,55 @@ def test_cleaning_by_columns_is_that_of_the_expressions(spark):
 def test_bytes_that_are_no_text_go_with_the_rest():
     broken = pa.array([b"ab\xffcd <\xfe> \xe2(efg"]).view(pa.string())
     assert cleaning.cleaned(broken).to_pylist() == ["abcd  efg"]
+
+
+def test_blocks_take_two_bytes_a_number_and_lose_nothing(spark):
+    import numpy as np
+    from lexiflow.operators import linear as V
+    rng = np.random.default_rng(4)
+    for spots in (np.array([0, 3, 65538]), np.array([0, 70_000]), np.array([5, 2]), np.array([], int), np.array([65_536])):
+        assert V._long_spots(pa.py_buffer(V._short_spots(spots.astype(np.int32)))).tolist() == spots.tolist()
+    for values in (rng.integers(0, 9, 500) * 0.7, rng.random(500), np.array([0.0, -0.0, np.nan, np.inf] * 9), np.array([]),
+                   np.arange(200_000) / 3):
+        data = V._short_values(values)
+        assert V._long_values(pa.py_buffer(data)).tobytes() == values.tobytes() and len(data) <= 8 + values.nbytes
+    rows = [(i % 2, 1.0, i % 3, [*range(i % 7, 400, 3)], [float(j % 5 + 1) for j in range(i % 7, 400, 3)]) for i in range(900)]
+    df = spark.createDataFrame(rows, "label int, weight double, fold int, idx array<int>, val array<double>").select(
+        "idx", "val", "label", "weight", "fold").coalesce(1)
+    (block,) = V.packed(df).collect()
+    cells = sum(len(r[3]) for r in rows)
+    assert len(block.spots) < 2 * cells + 100 and len(block.vals) < 2 * cells + 100
+
+
+def test_several_lengths_of_a_line_are_tried_in_one_pass(monkeypatch):
+    """The same searches, step by step, in fewer passes over the rows."""
+    import numpy as np
+    from lexiflow.operators import linear as V
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 8)) * 10.0 ** rng.integers(-1, 2, 8)
+    y = rng.integers(0, 3, 300)
+    x[np.arange(300), y] += 1.0
+    passes = []
+
+    def hinge(rows, problems, coef):
+        passes.append(len(problems))
+        sign = np.where(y[:, None] == [p.cls for p in problems], 1.0, -1.0)
+        short = 1 - sign * (x @ coef[:, :-1].T + coef[:, -1])
+        pull = -sign * (short > 0)
+        return np.maximum(short, 0).sum(0), np.hstack([pull.T @ x, pull.sum(0)[:, None]])
+
+    monkeypatch.setattr(V, "hinge", hinge)
+    monkeypatch.setattr(V, "feature_scales", lambda rows, width, folds: (
+        {None: 1 / x.std(0)}, {None: x.mean(0) / x.std(0)}, {None: 300.0}))
+    problems = [V.Problem(c, reg) for reg in (0.1, 0.001) for c in range(3)]
+    found, counts = [], []
+    for room in (0, 1.25, 3):
+        passes.clear()
+        monkeypatch.setattr(V, "ROOM", room)
+        found.append(V.fit_svms(None, problems, 8, 60, (10, 60)))
+        counts.append((len(passes), max(passes)))
+    for other in found[1:]:
+        for p in problems:
+            assert np.allclose(found[0][p].history, other[p].history, rtol=1e-9)
+            assert np.allclose(found[0][p].kept[60], other[p].kept[60], rtol=1e-6)
+    assert counts[2][0] < counts[1][0] < counts[0][0] and counts[1][1] <= 1.25 * len(problems)
