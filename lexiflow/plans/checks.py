@@ -16,7 +16,7 @@ from ..sources.parquet import read_feature_set, write_feature_set
 from ..sources.results import read_results_csv, write_results_csv
 from ..sources.text import read_labeled_files
 from . import catalog as C
-from .pipelines import num_features_of
+from .pipelines import num_features_of, transform_by_columns
 from .splits import TEST, TRAIN, VAL, is_split
 
 
@@ -63,7 +63,7 @@ def q_feature_digests(spark, sf_dir):
     names = ("G1", "G2", "G3", "G4")
     rows = []
     for name, model in zip(names, st.models(*names)):
-        feats, written = digested(model.transform(st.frame), "split", (TRAIN, TEST, VAL))
+        feats, written = digested(transform_by_columns(model, st.frame), "split", (TRAIN, TEST, VAL))
         path = work_path(spark, f"digests-{name}")
         write_feature_set(feats, path)
         back = table_digest(read_feature_set(spark, path), ["split"]).select("split", "n_rows", "total", "flips")

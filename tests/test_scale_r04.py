@@ -128,3 +128,33 @@ def test_several_lengths_of_a_line_are_tried_in_one_pass(monkeypatch):
             assert np.allclose(found[0][p].history, other[p].history, rtol=1e-9)
             assert np.allclose(found[0][p].kept[60], other[p].kept[60], rtol=1e-6)
     assert counts[2][0] < counts[1][0] < counts[0][0] and counts[1][1] <= 1.25 * len(problems)
+
+
+@pytest.mark.parametrize("part", [1, 4 << 20])
+def test_every_column_of_a_set_is_that_of_its_stages(frame, monkeypatch, part):
+    monkeypatch.setattr(L, "PART_BYTES", part)
+    models = P.fit_feature_sets(frame, vocab_size=9, num_hash=50, chi2_top=4)
+    for model in models.values():
+        stages, columns = model.transform(frame), P.transform_by_columns(model, frame)
+        assert columns.columns == stages.columns and columns.dtypes == stages.dtypes
+        assert sorted(map(str, columns.collect())) == sorted(map(str, stages.collect()))
+        assert columns._jdf.queryExecution().optimizedPlan().toString().count("UDF(") < stages._jdf.queryExecution(
+            ).optimizedPlan().toString().count("UDF(")
+    dropping = P.g1_pipeline(5, drop_empty=True).fit(frame)
+    assert P.transform_by_columns(dropping, frame).collect() == dropping.transform(frame).collect()
+
+
+def test_digests_are_of_sets_by_columns(spark, tmp_path, monkeypatch):
+    from lexiflow.plans import checks as K
+    docs = [(i, t, "en" if i % 3 else "fr", "web", len(t)) for i, t in enumerate(TEXTS)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    written = []
+    write = K.write_feature_set
+    monkeypatch.setattr(K, "write_feature_set", lambda df, path: written.append(df) or write(df, path))
+    rows = K.q_feature_digests(spark, str(tmp_path)).collect()
+    assert all(r.same for r in rows) and sum(r.n_rows for r in rows) == 4 * len(TEXTS)
+    st = C.state(spark, str(tmp_path))
+    for name, df in zip(("G1", "G2", "G3", "G4"), written):
+        assert df.columns == st.models(name)[0].transform(st.frame).columns
+        assert "MapInArrow" in df._jdf.queryExecution().optimizedPlan().toString()
