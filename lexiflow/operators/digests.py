@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -24,6 +24,7 @@ def digested(df: DataFrame, by: str, values: Sequence[str]) -> tuple[DataFrame,
     """``df``, and a function that tells {value of ``by``: (n_rows, total, flips)}, as ``table_digest`` has them, of the
     rows that the next action on that frame (a write) reads: rows aren't made a second time for their digest.  Rows
     whose ``by`` is none of ``values`` aren't counted."""
+    df = _beside(df)
     one, two = _hashes(df)
     seen = Observation()
     sums = []
@@ -38,3 +39,12 @@ def digested(df: DataFrame, by: str, values: Sequence[str]) -> tuple[DataFrame,
         return {v: (got[f"n{k}"], got[f"t{k}"], got[f"f{k}"]) for k, v in enumerate(values) if got[f"n{k}"]}
 
     return observed, found
+
+
+def _beside(df: DataFrame) -> DataFrame:
+    """The same rows in a copy of their session.  A session that has observed once can't be sent to tasks any more, and plans
+    that hold theirs (parallel SVM fits) fail from then on."""
+    spark = df.sparkSession
+    copy = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+    plan = df._jdf.queryExecution().logical()
+    return DataFrame(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(copy._jsparkSession, plan), copy)

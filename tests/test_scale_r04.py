@@ -5,6 +5,7 @@ import re
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import SparkSession
 
 from lexiflow.operators import cleaning
 from lexiflow.operators import counted as N
@@ -158,3 +159,14 @@ def test_digests_are_of_sets_by_columns(spark, tmp_path, monkeypatch):
     for name, df in zip(("G1", "G2", "G3", "G4"), written):
         assert df.columns == st.models(name)[0].transform(st.frame).columns
         assert "MapInArrow" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_digests_leave_the_session_fit_for_tasks(spark, frame, tmp_path):
+    from lexiflow.operators.digests import digested
+    spark.conf.set("lexiflow.test", "kept")
+    seen, found = digested(frame, "split", ("train",))
+    assert seen.sparkSession.conf.get("lexiflow.test") == "kept"
+    seen.write.parquet(f"{tmp_path}/t")
+    assert found()["train"][0] == frame.filter("split = 'train'").count()
+    assert len(spark._jvm.org.apache.spark.util.Utils.serialize(spark._jsparkSession)) > 0
+    assert SparkSession.getActiveSession()._jsparkSession.equals(spark._jsparkSession)
